@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Characters Python calls white space; the JVM's \s knows the ASCII ones only.
-SPACE_CLASS = r"[\s\x0B\x1C-\x1F\x85   -     　]"
+SPACE_CLASS = r"[\s\x0B\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
 def strip(col: Column) -> Column:
