@@ -67,7 +67,7 @@ def seed_map(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("s_name"), F.lit(" Financial Corp.")).alias("canonical_company_name"),
         key.cast("string").alias("sec_cik"), F.concat(F.lit("T"), key.cast("string")).alias("ticker"),
         F.when(key % 2 == 0, "manual_seed").otherwise("imported").alias("match_method"),
-        (F.lit(0.85) + (key % 8) * 0.02).cast("string").alias("confidence"),
+        F.round(F.lit(0.85) + (key % 8) * 0.02, 2).cast("string").alias("confidence"),
         F.when(key % 5 == 0, "true").otherwise("false").alias("manual_review_flag"),
         F.lit("derived").alias("notes"), key.alias("seed_order"),
     )

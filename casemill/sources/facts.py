@@ -24,18 +24,21 @@ FACTS_SCHEMA = T.StructType([
 ])
 
 
-def read_company_facts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per landed document (a file each, or a line each). Documents that do not parse keep their text in ``_corrupt_record``."""
-    return spark.read.schema(FACTS_SCHEMA).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path) \
-        .withColumn("source_file", F.input_file_name())
-
-
 def parse_company_facts(df: DataFrame, json_col: str) -> DataFrame:
-    """The same rows from a column of JSON documents."""
+    """Parsed documents from a column of JSON text."""
     parsed = F.from_json(F.col(json_col), FACTS_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return df.select(parsed.alias("d")).select("d.*")
 
 
+def read_company_facts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per landed document (a file each, or a line each).
+
+    Documents that do not parse keep their text in ``_corrupt_record``. The text is parsed after the scan because
+    Spark refuses queries on a JSON scan that touch the corrupt column only.
+    """
+    return parse_company_facts(spark.read.option("wholetext", multi_line).text(path), "value")
+
+
 def fact_errors(documents: DataFrame) -> DataFrame:
     return documents.filter(F.col("_corrupt_record").isNotNull())
 
