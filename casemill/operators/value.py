@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.fixed import ASSUMPTION_DEFAULTS, SCENARIOS, SENSITIVITY_FIELDS
 from casemill.functions.columns import ratio, share
+from casemill.operators.quantiles import exact_quantiles
 
 ASSUMPTIONS = ["observed_complaints", "hourly_wage", *ASSUMPTION_DEFAULTS]
 
@@ -91,13 +92,15 @@ def sensitivity(workloads: DataFrame, swing: float = 0.2) -> DataFrame:
 
 
 def sample_summary(samples: DataFrame) -> DataFrame:
-    """Quantiles of ``npv`` (linear interpolation) and success shares over a table of samples."""
-    quantiles = F.percentile("npv", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+    """One row: quantiles of ``npv`` (linear interpolation) and success shares over a table of samples."""
+    names = {0.1: "p10_npv", 0.5: "p50_npv", 0.9: "p90_npv"}
+    quantiles = exact_quantiles(samples, "npv", list(names)).agg(F.struct(*[
+        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name) for p, name in names.items()
+    ])).scalar()
     return samples.agg(
-        F.count(F.lit(1)).alias("simulations"), quantiles.alias("q"),
-        share(F.col("npv") > 0).alias("probability_npv_positive"),
+        F.count(F.lit(1)).alias("simulations"), share(F.col("npv") > 0).alias("probability_npv_positive"),
         share(F.col("payback_years") <= 3).alias("probability_payback_within_3_years"),
-    ).select(
-        "simulations", F.col("q")[1].alias("median_npv"), F.col("q")[0].alias("p10_npv"), F.col("q")[1].alias("p50_npv"),
-        F.col("q")[2].alias("p90_npv"), "probability_npv_positive", "probability_payback_within_3_years",
+    ).withColumn("q", quantiles).select(
+        "simulations", F.col("q.p50_npv").alias("median_npv"), "q.*", "probability_npv_positive",
+        "probability_payback_within_3_years",
     )

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from casemill.plans import queries_core, queries_decide, queries_enrich
+from casemill.plans import queries_core, queries_decide, queries_enrich, queries_text
 
-MODULES = [queries_core, queries_decide, queries_enrich]
+MODULES = [queries_core, queries_decide, queries_enrich, queries_text]
 
 
 def all_queries() -> dict:
