@@ -7,24 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.fixed import ENGLISH_STOP_WORDS, LEGAL_SUFFIXES, REDACTION_PATTERN, TOKEN_PATTERN
-from casemill.functions.columns import SPACE_CLASS, strip
+from casemill.functions.columns import WIDE_SPACES, has_wide_space
 
 
 def clean_text(col: Column) -> Column:
-    """Redaction marks and runs of white space become one blank; null becomes the empty string."""
-    unmasked = F.regexp_replace(F.coalesce(col, F.lit("")), f"(?iU){REDACTION_PATTERN}", " ")
-    return strip(F.regexp_replace(unmasked, f"{SPACE_CLASS}+", " "))
+    """Redaction marks and runs of white space become one blank; null becomes the empty string.
+
+    The redaction pattern runs only on text with two x in a row and the one for wide white space only on text that
+    has some. Both are decided on the input column, so that no step is evaluated twice.
+    """
+    text = F.coalesce(col, F.lit(""))
+    unmasked = F.when(F.lower(text).contains("xx"), F.regexp_replace(text, f"(?iU){REDACTION_PATTERN}", " ")).otherwise(text)
+    narrow = F.trim(F.regexp_replace(unmasked, r"\s+", " "))
+    wide = F.trim(F.regexp_replace(unmasked, f"[\\s{WIDE_SPACES}]+", " "))
+    return F.when(has_wide_space(text), wide).otherwise(narrow)
 
 
 def narratives(df: DataFrame, min_chars: int = 80, text: str = "consumer_complaint_narrative") -> DataFrame:
-    """Add ``clean_narrative`` and keep rows whose cleaned text is long enough."""
-    cleaned = df.withColumn("clean_narrative", clean_text(F.col(text)))
+    """Add ``clean_narrative`` and keep rows whose cleaned text is long enough.
+
+    The text goes through a one-element explode, which keeps the optimiser from pushing the length filter below it
+    and cleaning every text twice.
+    """
+    cleaned = df.select("*", F.explode(F.array(clean_text(F.col(text)))).alias("clean_narrative"))
     return cleaned.filter(F.length("clean_narrative") >= min_chars)
 
 
 def tokens(col: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Column:
     """Lower-case words of two or more characters in text order, without stop words."""
-    words = F.regexp_extract_all(F.lower(col), F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
+    words = F.regexp_extract_all(F.lower(col), F.lit(TOKEN_PATTERN), F.lit(0))
     return F.filter(words, lambda w: ~w.isin(list(stop_words))) if stop_words else words
 
 

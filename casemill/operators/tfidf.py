@@ -38,8 +38,12 @@ def terms_of(text: Column, spec: TfidfSpec) -> Column:
 
 
 def term_counts(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    """``(key, term, tf)``, partitioned by document."""
-    by_doc = docs.select(key, text).repartition(key)
+    """``(key, term, tf)``, partitioned by document.
+
+    Splitting text is processor work, so the partition count is the session's, not one merged by data size.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_doc = docs.select(key, text).repartition(partitions, key)
     return by_doc.select(key, F.explode(terms_of(F.col(text), spec)).alias("term")).groupBy(key, "term") \
         .agg(F.count(F.lit(1)).alias("tf"))
 
