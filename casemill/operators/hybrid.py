@@ -16,7 +16,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from casemill.fixed import DENSE_WEIGHT, LEXICAL_WEIGHT
 from casemill.functions.filters import EQUALITY_FIELDS
@@ -24,7 +24,7 @@ from casemill.functions.text import narratives
 from casemill.operators import lowrank, tfidf
 from casemill.operators.search import SCORE_DIGITS, top_k
 from casemill.operators.tfidf import INDEX, TfidfSpec
-from casemill.session import materialize
+from casemill.session import materialize, scratch_path
 
 BATCH = 256
 FILTER_COLUMNS = [*EQUALITY_FIELDS, "date_received"]
@@ -138,6 +138,8 @@ def _best(shared, key: str, k: int):
                 if len(at) > k:
                     border = np.partition(rounded[at, j], len(at) - k)[len(at) - k]
                     at = at[rounded[at, j] >= border]
+                    at = at[np.argsort(keys[at], kind="stable")]
+                    at = at[np.argsort(-rounded[at, j], kind="stable")][:k]
                 head = heads[j] + [(-rounded[i, j], keys[i], lexical[i, j], dense[i, j], fused[i, j]) for i in at]
                 heads[j] = sorted(head, key=lambda t: t[:2])[:k]
         rows = [(j, t[1], t[2], None if np.isnan(t[3]) else t[3], t[4]) for j, head in enumerate(heads) for t in head]
@@ -208,7 +210,7 @@ def without_filters(questions: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Retrieval index as tables: terms with their basis, document vectors with metadata, cleaned texts."""
+    """Retrieval index as tables: terms with their basis row, document vectors with metadata, cleaned texts."""
 
     terms: DataFrame
     vectors: DataFrame
@@ -231,17 +233,27 @@ class Index:
         return without_filters(questions).join(sparse, "question_id", "left").join(dense, "question_id", "left")
 
 
-def build_index(complaints: DataFrame, max_docs: int | None = None, min_chars: int = 80, components: int = 128, passes: int = 5,
-                spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
-    """Clean, weigh and project all narratives, and write the index tables below the shared folder.
+def open_index(spark: SparkSession, path: str, spec: TfidfSpec = INDEX) -> Index:
+    """Index from its tables. The term table, basis included, is limited by ``max_features``."""
+    terms = spark.read.parquet(f"{path}/terms")
+    basis = np.array([r["basis"] for r in terms.orderBy("idx").select("basis").collect()])
+    return Index(terms.drop("basis"), spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/docs"), basis, spec)
+
+
+def build_index(complaints: DataFrame, path: str | None = None, max_docs: int | None = None, min_chars: int = 80,
+                components: int = 128, passes: int = 5, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
+    """Clean, weigh and project all narratives, and write the index tables below ``path``.
 
     ``max_docs`` keeps the newest narratives only; without it all are indexed.
     """
+    spark = complaints.sparkSession
+    path = path or scratch_path(spark, "index")
     docs = narratives(complaints, min_chars)
     if max_docs is not None:
         docs = docs.orderBy(F.desc_nulls_last("date_received"), key).limit(max_docs)
     kept = [c for c in complaints.columns if c != "consumer_complaint_narrative"]
-    docs = materialize(docs.select(*kept, "clean_narrative"), "index_docs")
+    docs.select(*kept, "clean_narrative").write.mode("overwrite").parquet(f"{path}/docs")
+    docs = spark.read.parquet(f"{path}/docs")
     n_docs = docs.count()
     if not n_docs:
         raise ValueError("no narratives to index")
@@ -251,10 +263,13 @@ def build_index(complaints: DataFrame, max_docs: int | None = None, min_chars: i
     sparse = materialize(tfidf.doc_vectors(counts, terms, key, spec), "index_sparse")
     width = min(components, max(2, n_terms - 1), max(2, n_docs - 1))
     _, basis = lowrank.right_singular(sparse, n_terms, width, passes)
+    rows = pa.table({"idx": pa.array(np.arange(n_terms, dtype=np.int32)), "basis": pa.array(list(basis))})
+    terms.join(spark.createDataFrame(rows), "idx").write.mode("overwrite").parquet(f"{path}/terms")
     dense = lowrank.project(sparse, key, basis)
     # Documents without a known term stay candidates; their scores are 0.
     vectors = docs.select(key, *FILTER_COLUMNS).join(sparse, key, "left").join(dense, key, "left")
-    return Index(terms, materialize(vectors, "index_vectors"), docs, basis, spec)
+    vectors.write.mode("overwrite").parquet(f"{path}/vectors")
+    return open_index(spark, path, spec)
 
 
 def retrieve(index: Index, questions: DataFrame, k: int = 8) -> tuple[DataFrame, DataFrame]:

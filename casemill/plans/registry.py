@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from casemill.plans import queries_core, queries_decide, queries_enrich, queries_retrieval, queries_text
+from casemill.plans import queries_core, queries_decide, queries_enrich, queries_models, queries_retrieval, queries_text
 
-MODULES = [queries_core, queries_decide, queries_enrich, queries_retrieval, queries_text]
+MODULES = [queries_core, queries_decide, queries_enrich, queries_models, queries_retrieval, queries_text]
 
 
 def all_queries() -> dict:
