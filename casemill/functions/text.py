@@ -23,12 +23,16 @@ def clean_text(col: Column) -> Column:
     return F.when(has_wide_space(text), wide).otherwise(narrow)
 
 
-def narratives(df: DataFrame, min_chars: int = 80, text: str = "consumer_complaint_narrative") -> DataFrame:
+def narratives(df: DataFrame, min_chars: int = 80, text: str = "consumer_complaint_narrative", by: str | None = None) -> DataFrame:
     """Add ``clean_narrative`` and keep rows whose cleaned text is long enough.
 
-    The text goes through a one-element explode, which keeps the optimiser from pushing the length filter below it
-    and cleaning every text twice.
+    ``by`` names the document key to spread the rows by first. Cleaning and splitting text is processor work, so it
+    gets the session's full partition count, not one merged by data size, and later steps per document need no other
+    shuffle. The text goes through a one-element explode, which keeps the optimiser from pushing the length filter
+    below it and cleaning every text twice.
     """
+    if by is not None:
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
     cleaned = df.select("*", F.explode(F.array(clean_text(F.col(text)))).alias("clean_narrative"))
     return cleaned.filter(F.length("clean_narrative") >= min_chars)
 
@@ -40,10 +44,15 @@ def tokens(col: Column, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> Colum
 
 
 def with_bigrams(words: Column) -> Column:
-    """Words followed by the pairs of neighbouring words."""
-    n = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(words, pairs)
+    """Words followed by the pairs of neighbouring words.
+
+    The array is bound to a lambda variable first; otherwise each of its uses would split the text again.
+    """
+    def add_pairs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.concat(w, F.zip_with(F.slice(w, F.lit(1), n), F.slice(w, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return F.element_at(F.transform(F.array(words), add_pairs), 1)
 
 
 def normalize_company_name(col: Column) -> Column:

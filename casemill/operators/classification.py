@@ -64,25 +64,26 @@ def majority_baseline(train: DataFrame, test: DataFrame, label: str = "label") -
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.25, seed: int = 42) -> DataFrame:
     """Add ``is_test``: exactly ``round(fraction x class size)`` rows of every class, chosen by hash of the key.
 
-    Rows are ordered by md5 of the key within their class. Instead of sorting a class in one task, rows are
-    counted per (class, first four hash digits); a running sum finds the one bucket that holds the cut, and only the
-    rows of that bucket, about 1 in 65,536, are ranked.
+    Rows are ordered by md5 of the key within their class and cut at a threshold. Instead of sorting a class in one
+    task, rows are counted per (class, first four hash digits); a running sum finds the bucket that holds the cut, and
+    only the rows of that bucket, about 1 in 65,536, are ranked to read the threshold. The data itself then passes
+    once, compared with one threshold per class.
     """
-    hashed = df.withColumn("h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))) \
-        .withColumn("bucket", F.substring("h", 1, 4))
+    def with_hash(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))))
+
+    hashed = with_hash(df.select(key, label)).withColumn("bucket", F.substring("h", 1, 4))
     buckets = hashed.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("n"))
     running = Window.partitionBy(label).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     counted = buckets.withColumns({
         "upto": F.sum("n").over(running),
         "wanted": F.round(F.sum("n").over(Window.partitionBy(label)) * test_fraction).cast("bigint"),
     })
-    cut = counted.filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))).select(
-        F.col(label).alias("cut_label"), F.col("bucket").alias("cut_bucket"),
-        (F.col("wanted") - (F.col("upto") - F.col("n"))).alias("from_bucket"),
-    )
-    placed = hashed.join(cut, F.col(label) == F.col("cut_label"), "left")
-    at_cut = F.coalesce(F.col("bucket") == F.col("cut_bucket"), F.lit(False))
-    order = F.row_number().over(Window.partitionBy(label, "bucket").orderBy("h", key))
-    ranked = placed.filter(at_cut).withColumn("is_test", order <= F.col("from_bucket"))
-    rest = placed.filter(~at_cut).withColumn("is_test", F.coalesce(F.col("bucket") < F.col("cut_bucket"), F.lit(False)))
-    return rest.unionByName(ranked).drop("h", "bucket", "cut_label", "cut_bucket", "from_bucket")
+    cut = counted.filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))) \
+        .select(label, "bucket", (F.col("wanted") - (F.col("upto") - F.col("n"))).alias("from_bucket"))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("h", key))
+    last = hashed.join(cut, [label, "bucket"]).withColumn("place", place).filter(F.col("place") == F.col("from_bucket")) \
+        .select(label, F.col("h").alias("last_h"), F.col(key).alias("last_key"))
+    inside = F.struct(F.col("h"), F.col(key)) <= F.struct(F.col("last_h"), F.col("last_key"))
+    flagged = with_hash(df).join(last, label, "left").withColumn("is_test", F.col("last_h").isNotNull() & inside)
+    return flagged.select(*df.columns, "is_test")

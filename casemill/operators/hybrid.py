@@ -192,6 +192,7 @@ def hybrid_search(vectors: DataFrame, asked: DataFrame, k: int = 8, lexical_weig
     hash of their id into batches that are searched one after the other.
     """
     columns = [F.col("question_id").alias("question"), "idx", "x", "dense", *QUESTION_FIELDS]
+    asked = materialize(asked.select("question_id", "idx", "x", "dense", *QUESTION_FIELDS), "asked")
     total = asked.count()
     parts = max(1, -(-total // BATCH))
     found = []
@@ -227,8 +228,7 @@ class Index:
 
     def ask(self, questions: DataFrame) -> DataFrame:
         """Questions (``question_id``, ``question``, filters) with vectors in the space of the index."""
-        counts = tfidf.term_counts(questions, "question_id", "question", self.spec)
-        sparse = materialize(tfidf.doc_vectors(counts, self.terms, "question_id", self.spec), "asked")
+        sparse = materialize(tfidf.doc_vectors(questions, self.terms, "question_id", "question", self.spec), "asked")
         dense = lowrank.project(sparse, "question_id", self.basis)
         return without_filters(questions).join(sparse, "question_id", "left").join(dense, "question_id", "left")
 
@@ -248,7 +248,7 @@ def build_index(complaints: DataFrame, path: str | None = None, max_docs: int |
     """
     spark = complaints.sparkSession
     path = path or scratch_path(spark, "index")
-    docs = narratives(complaints, min_chars)
+    docs = narratives(complaints, min_chars, by=key)
     if max_docs is not None:
         docs = docs.orderBy(F.desc_nulls_last("date_received"), key).limit(max_docs)
     kept = [c for c in complaints.columns if c != "consumer_complaint_narrative"]
@@ -257,10 +257,10 @@ def build_index(complaints: DataFrame, path: str | None = None, max_docs: int |
     n_docs = docs.count()
     if not n_docs:
         raise ValueError("no narratives to index")
-    counts = tfidf.term_counts(docs, key, "clean_narrative", spec)
-    terms = materialize(tfidf.numbered(tfidf.vocabulary(counts, F.lit(n_docs), spec)), "index_terms")
+    text = "clean_narrative"
+    terms = materialize(tfidf.numbered(tfidf.vocabulary(docs, key, text, spec, F.lit(n_docs))), "index_terms")
     n_terms = terms.count()
-    sparse = materialize(tfidf.doc_vectors(counts, terms, key, spec), "index_sparse")
+    sparse = materialize(tfidf.doc_vectors(docs, terms, key, text, spec), "index_sparse")
     width = min(components, max(2, n_terms - 1), max(2, n_docs - 1))
     _, basis = lowrank.right_singular(sparse, n_terms, width, passes)
     rows = pa.table({"idx": pa.array(np.arange(n_terms, dtype=np.int32)), "basis": pa.array(list(basis))})
@@ -288,4 +288,5 @@ def unit(col) -> F.Column:
     """Array of floats as array of doubles of length 1."""
     values = F.transform(col, lambda v: v.cast("double"))
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda s, v: s + v * v))
-    return F.transform(values, lambda v: F.coalesce(F.try_divide(v, norm), F.lit(0.0)))
+    # Binding the norm to a variable computes it once, not once per element.
+    return F.element_at(F.transform(F.array(norm), lambda n: F.transform(values, lambda v: F.coalesce(F.try_divide(v, n), F.lit(0.0)))), 1)

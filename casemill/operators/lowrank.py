@@ -13,10 +13,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 CELLS = 4_000_000  # floats a chunk may expand to inside a task
-ROWS_OUT = 4_096
+BLOCK = 65_536  # floats per block of a partial sum
 
 
 class SparseRows:
@@ -52,25 +52,41 @@ def chunks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[slice, SparseRow
 
 
 def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[[SparseRows, np.ndarray], None]) -> np.ndarray:
-    """Sum of what ``add`` puts into a (n_rows x width) array over all documents."""
+    """Sum of what ``add`` puts into a (n_rows x width) array over all documents.
+
+    Tasks hand on their partial sums as blocks of rows. The blocks are spread by number and added up as they stream
+    in, so a reducer holds its own blocks only, whatever the number of tasks.
+    """
+    height = max(1, BLOCK // width)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_rows, width))
         for batch in batches:
             for _, rows in chunks(batch, width):
                 add(rows, total)
-        used = np.flatnonzero(total.any(axis=1)).astype(np.int32)
-        for at in range(0, len(used), ROWS_OUT):
-            part = used[at:at + ROWS_OUT]
-            columns = [pa.array(part), *[pa.array(total[part, j]) for j in range(width)]]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", *[f"c{j}" for j in range(width)]])
-
-    schema = "row int, " + ", ".join(f"c{j} double" for j in range(width))
-    sums = vectors.select("idx", "x").mapInArrow(partial, schema).groupBy("row") \
-        .agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(width)])
-    table = sums.toArrow()  # at most n_rows rows
+        for block in range(-(-n_rows // height)):
+            part = total[block * height:(block + 1) * height]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])], names=["block", "data"])
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, data in zip(batch.column("block").to_pylist(), batch.column("data")):
+                part = np.frombuffer(data.as_buffer())
+                if block in sums:
+                    sums[block] += part
+                else:
+                    sums[block] = part.copy()
+        for block, part in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])], names=["block", "data"])
+
+    schema = "block int, data binary"
+    table = vectors.select("idx", "x").mapInArrow(partial, schema).repartition("block").mapInArrow(combine, schema).toArrow()
     result = np.zeros((n_rows, width))
-    result[table.column("row").to_numpy()] = np.column_stack([table.column(f"c{j}").to_numpy() for j in range(width)])
+    for block, data in zip(table.column("block").to_pylist(), table.column("data")):
+        part = np.frombuffer(data.as_buffer()).reshape(-1, width)
+        result[block * height:block * height + len(part)] = part
     return result
 
 

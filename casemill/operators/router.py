@@ -52,7 +52,7 @@ def lookup(names: dict, key: Column) -> Column:
 
 
 def train_router(docs: DataFrame, target: str = "product", key: str = "complaint_id", max_docs: int | None = None, spec: TfidfSpec = ROUTER,
-                 max_iter: int = 200, seed: int = 42) -> Router:
+                 max_iter: int = 100, seed: int = 42) -> Router:
     """Train on three quarters of every class with at least 50 documents and report on the rest.
 
     All documents are used unless ``max_docs`` asks for a cap, which then takes the smallest ids.
@@ -61,15 +61,15 @@ def train_router(docs: DataFrame, target: str = "product", key: str = "complaint
     rows = docs.filter(F.col(target).isNotNull()).select(key, "clean_narrative", F.col(target).cast("string").alias("label"))
     if max_docs is not None:
         rows = rows.orderBy(key).limit(max_docs)
-    eligible = classification.eligible_classes(rows, "label", MIN_CLASS)
-    split = materialize(classification.stratified_split(eligible, "label", key, 0.25, seed), "router_split")
+    # Written once, cleaned; the split then reads the key and label columns only.
+    eligible = classification.eligible_classes(materialize(rows, "router_docs"), "label", MIN_CLASS)
+    split = classification.stratified_split(eligible, "label", key, 0.25, seed)
     sizes = {(r["label"], r["is_test"]): r["n"] for r in split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
     classes, total = sorted({label for label, _ in sizes}), sum(sizes.values())
     if total < MIN_ROWS or len(classes) < 2:
         return Router(None, None, classes, spark.createDataFrame([("skipped", target, total, len(classes), None, None, None)], REPORT_SCHEMA), None)
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    counts = tfidf.term_counts(train, key, "clean_narrative", spec)
-    features = feature_stages(materialize(tfidf.vocabulary(counts, tfidf.corpus_size(train), spec), "router_terms"))
+    features = feature_stages(materialize(tfidf.vocabulary(train, key, "clean_narrative", spec), "router_terms"))
     n_train = {c: sizes.get((c, False), 0) for c in classes}
     train_total = sum(n_train.values())
     weight = {c: train_total / (len(classes) * n) for c, n in n_train.items() if n}

@@ -49,10 +49,9 @@ def fill_unmatched(top: DataFrame, questions: DataFrame, docs: DataFrame, questi
 def lexical_search(docs: DataFrame, questions: DataFrame, k: int = 8, key: str = "complaint_id", text: str = "clean_narrative",
                    question: str = "question_id", question_text: str = "question", spec: TfidfSpec = SEARCH) -> DataFrame:
     """``(question, key, score, rank)``: TF-IDF cosine, features fitted on the documents once for all questions."""
-    counts = tfidf.term_counts(docs, key, text, spec)
-    vocab = tfidf.vocabulary(counts, tfidf.corpus_size(docs), spec)
-    asked = tfidf.weights(tfidf.term_counts(questions, question, question_text, spec), vocab, question, spec)
-    scores = lexical_scores(tfidf.weights(counts, vocab, key, spec), asked, question, key)
+    vocab = tfidf.vocabulary(docs, key, text, spec)
+    asked = tfidf.weights(questions, vocab, question, question_text, spec)
+    scores = lexical_scores(tfidf.weights(docs, vocab, key, text, spec), asked, question, key)
     return fill_unmatched(top_k(scores, question, "score", key, k), questions, docs, question, key, k)
 
 

@@ -1,8 +1,9 @@
 """TF-IDF features over words and pairs of words, as long tables and as one row per document.
 
-The text is shuffled once, by document. Term counts, norms and grouped vectors are all keyed by document and
-reuse that partitioning; only (term, count) partial sums travel for the document frequencies. The vocabulary is
-limited to ``max_features`` rows, which is what makes broadcasting it safe at any corpus size.
+Documents come in spread by their key (see ``narratives``). Term counts, norms and grouped vectors are keyed by
+document and reuse that partitioning; only (term, count) partial sums travel for the document frequencies. The
+vocabulary is limited to ``max_features`` rows, which is what makes broadcasting it safe at any corpus size. Features
+look terms up in it before they count, so the many rare pairs of words never reach an aggregation.
 """
 
 from __future__ import annotations
@@ -37,27 +38,23 @@ def terms_of(text: Column, spec: TfidfSpec) -> Column:
     return with_bigrams(tokens(text, spec.stop_words))
 
 
-def term_counts(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    """``(key, term, tf)``, partitioned by document.
-
-    Splitting text is processor work, so the partition count is the session's, not one merged by data size.
-    """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_doc = docs.select(key, text).repartition(partitions, key)
-    return by_doc.select(key, F.explode(terms_of(F.col(text), spec)).alias("term")).groupBy(key, "term") \
-        .agg(F.count(F.lit(1)).alias("tf"))
+def exploded(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
+    """``(key, term)``: one row per occurrence."""
+    return docs.select(key, F.explode(terms_of(F.col(text), spec)).alias("term"))
 
 
 def corpus_size(docs: DataFrame) -> Column:
     return docs.select(F.count(F.lit(1))).scalar()
 
 
-def vocabulary(counts: DataFrame, size: Column, spec: TfidfSpec) -> DataFrame:
+def vocabulary(docs: DataFrame, key: str, text: str, spec: TfidfSpec, size: Column | None = None) -> DataFrame:
     """``(term, df, cf, idf)``: the ``max_features`` most frequent terms within the document-frequency bounds.
 
     Terms below the count that cannot make the cut are dropped before the final ordering, so the single task that
     merges the ordered heads sees little more than ``max_features`` rows however many terms there are.
     """
+    size = corpus_size(docs) if size is None else size
+    counts = exploded(docs, key, text, spec).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     low = F.lit(spec.min_df) if spec.min_df is not None else F.when(size < SMALL_CORPUS, 1).otherwise(2)
     terms = terms.filter((F.col("df") >= low) & (F.col("df") <= F.lit(spec.max_df) * size))
@@ -68,21 +65,22 @@ def vocabulary(counts: DataFrame, size: Column, spec: TfidfSpec) -> DataFrame:
     return kept.withColumn("idf", F.log((size + 1).cast("double") / (F.col("df") + 1)) + 1)
 
 
-def raw_weights(counts: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
-    """Counts of vocabulary terms times idf, before normalisation."""
-    tf = F.log(F.col("tf").cast("double")) + 1 if spec.sublinear else F.col("tf").cast("double")
-    return counts.join(F.broadcast(vocab), "term").withColumn("x", tf * F.col("idf"))
+def known_terms(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec, *names: str) -> DataFrame:
+    """``(key, *names, x)``: count of every known term of a document times its idf, before normalisation."""
+    found = exploded(docs, key, text, spec).join(F.broadcast(vocab.select("term", "idf", *[n for n in names if n != "term"])), "term")
+    counts = found.groupBy(key, *names, "idf").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    tf = F.log("tf") + 1 if spec.sublinear else F.col("tf")
+    return counts.select(key, *names, (tf * F.col("idf")).alias("x"))
 
 
-def weights(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec) -> DataFrame:
+def weights(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
     """``(key, term, x)`` with unit length per document."""
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
-    return raw_weights(counts, vocab, spec).withColumn("x", F.col("x") / norm).select(key, "term", "x")
+    return known_terms(docs, vocab, key, text, spec, "term").withColumn("x", F.col("x") / norm)
 
 
 def tfidf(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    counts = term_counts(docs, key, text, spec)
-    return weights(counts, vocabulary(counts, corpus_size(docs), spec), key, spec)
+    return weights(docs, vocabulary(docs, key, text, spec), key, text, spec)
 
 
 def numbered(vocab: DataFrame) -> DataFrame:
@@ -90,9 +88,11 @@ def numbered(vocab: DataFrame) -> DataFrame:
     return vocab.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
-def doc_vectors(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec) -> DataFrame:
+def doc_vectors(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
     """``(key, idx array<int>, x array<double>)``: one unit-length sparse row per document with a known term."""
-    rows = raw_weights(counts, vocab, spec).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "x"))).alias("terms"))
-    x = F.col("terms.x")
-    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v))
-    return rows.select(key, F.col("terms.idx").alias("idx"), F.transform(x, lambda v: v / norm).alias("x"))
+    # The two lists are filled in the same order; the norm is an aggregate, as inside the lambda it would be
+    # computed again for every element.
+    rows = known_terms(docs, vocab, key, text, spec, "idx").groupBy(key).agg(
+        F.collect_list("idx").alias("idx"), F.collect_list("x").alias("x"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")
+    )
+    return rows.select(key, "idx", F.transform("x", lambda v: v / F.col("norm")).alias("x"))

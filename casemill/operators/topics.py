@@ -61,12 +61,12 @@ def discover_topics(docs: DataFrame, n_topics: int = 12, max_docs: int | None =
     empty = spark.createDataFrame([], REGISTRY_SCHEMA), spark.createDataFrame([], ASSIGNMENT_SCHEMA)
     if n_docs < max(20, 3 * n_topics):
         return empty
-    counts = tfidf.term_counts(docs, "complaint_id", "clean_narrative", spec)
-    vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, F.lit(n_docs), spec)), "topic_terms")
+    key, text = "complaint_id", "clean_narrative"
+    vocab = materialize(tfidf.numbered(tfidf.vocabulary(docs, key, text, spec, F.lit(n_docs))), "topic_terms")
     terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
     if not terms:
         return empty
-    vectors = materialize(tfidf.doc_vectors(counts, vocab, "complaint_id", spec), "topic_vectors")
+    vectors = materialize(tfidf.doc_vectors(docs, vocab, key, text, spec), "topic_vectors")
     components, _ = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
     found = lowrank.assign_components(vectors, "complaint_id", components)
     # A document without any known term has weight 0 for every topic and falls to the first.

@@ -27,7 +27,7 @@ def run_nightly(spark: SparkSession, csv_path: str, output: str, max_records: in
         "opportunities": opportunities.derive_opportunities(rows, emerging),
     }
     if run_nlp:
-        docs = narratives(rows)
+        docs = narratives(rows, by="complaint_id")
         registry, _ = topics.discover_topics(docs)
         tables["topics"] = registry.withColumns({
             c: F.to_json(c) for c in ("product_distribution", "company_distribution", "representatives")

@@ -12,7 +12,7 @@ from casemill.plans.tables import documents, questions, table
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return narratives(documents(spark, sf_dir))
+    return narratives(documents(spark, sf_dir), by="complaint_id")
 
 
 def clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +94,7 @@ FROM found JOIN expected USING (question_id)"""
 QUERIES = {
     "clean_text": clean_all,
     "narratives": lambda s, d: docs_of(s, d).select("complaint_id", F.length("clean_narrative").alias("n_chars")),
-    "vocabulary": lambda s, d: rounded(tfidf.vocabulary(
-        tfidf.term_counts(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), tfidf.corpus_size(docs_of(s, d)), tfidf.TOPICS), 6, "idf"),
+    "vocabulary": lambda s, d: rounded(tfidf.vocabulary(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "idf"),
     "tfidf_weights": lambda s, d: rounded(tfidf.tfidf(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "x"),
     "tfidf_weights_sublinear": lambda s, d: rounded(tfidf.tfidf(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.INDEX), 6, "x"),
     "lexical_topk": lambda s, d: rounded(search.lexical_search(docs_of(s, d), questions(s, d)), 6, "score"),
