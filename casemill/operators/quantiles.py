@@ -25,24 +25,25 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float])
         F.struct(F.lit(float(p)).alias("probability"), sketch[2 * i].alias("low"), sketch[2 * i + 1].alias("high"))
         for i, p in enumerate(probabilities)
     ])
-    cells = present.select("v", F.explode(bounds).alias("b")).filter(F.col("v") <= F.col("b.high"))
-    inside = F.when(F.col("v") >= F.col("b.low"), F.col("v"))
-    counted = cells.groupBy(F.col("b.probability").alias("probability"), inside.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    total = present.select(F.count(F.lit(1))).scalar()
-    ordered = Window.partitionBy("probability").orderBy(F.asc_nulls_first("v")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("n").over(ordered))
+    side = F.when(F.col("v") < F.col("b.low"), -1).when(F.col("v") > F.col("b.high"), 1).otherwise(0)
+    counted = present.select("v", F.explode(bounds).alias("b")).select(F.col("b.probability").alias("probability"), side.alias("side"), "v") \
+        .groupBy("probability", "side", F.when(F.col("side") == 0, F.col("v")).alias("inside")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    ordered = Window.partitionBy("probability").orderBy("side", "inside").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumns({"upto": F.sum("n").over(ordered), "total": present.select(F.count(F.lit(1))).scalar()})
+    spot = F.col("probability") * (F.col("total") - 1)
 
     def at(rank) -> F.Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("v")))
-
-    spot = F.col("probability") * (F.col("total") - 1)
-    picked = ranked.withColumn("total", total).groupBy("probability").agg(
-        at(F.floor(spot)).alias("lower"), at(F.ceil(spot)).alias("upper"), F.first("total").alias("total"),
-        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("upto"))), F.lit(0)).alias("below"),
-    )
-    covered = (F.col("below") <= F.floor(spot)) & F.col("upper").isNotNull()
+        """Value at a rank from 0: any rank inside the bracket, or the one value next to it on either side."""
+        found = (
+            F.when(F.col("side") == 0, F.col("inside"))
+            .when((F.col("side") < 0) & (rank == F.col("upto") - 1), F.col("most"))
+            .when((F.col("side") > 0) & (rank == F.col("upto") - F.col("n")), F.col("least"))
+        )
+        return F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("n")), found))
+
+    picked = ranked.groupBy("probability").agg(at(F.floor(spot)).alias("lower"), at(F.ceil(spot)).alias("upper"), F.first("total").alias("total"))
     weight = spot - F.floor(spot)
-    result = F.when(weight == 0, F.col("lower")).otherwise(F.col("lower") + (F.col("upper") - F.col("lower")) * weight)
-    return picked.select(
-        "probability", F.when(covered, result).otherwise(F.raise_error(F.lit("quantile bracket missed")).cast("double")).alias("quantile")
-    )
+    result = F.col("lower") + (F.col("upper") - F.col("lower")) * weight
+    missed = F.raise_error(F.lit("quantile bracket missed")).cast("double")
+    return picked.select("probability", F.when(F.col("lower").isNotNull() & F.col("upper").isNotNull(), result).otherwise(missed).alias("quantile"))

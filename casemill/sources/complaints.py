@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import month, strip, to_long, to_timestamp
@@ -84,18 +84,12 @@ def read_api_pages(spark: SparkSession, path: str, date_min: str | None = None,
     return rows
 
 
-def metadata_aggregates() -> list:
-    """Row count, date span and narrative count of an ingest."""
-    return [
-        F.count(F.lit(1)).alias("record_count"),
-        F.to_date(F.min("date_received")).alias("date_min"),
-        F.to_date(F.max("date_received")).alias("date_max"),
-        F.count("consumer_complaint_narrative").alias("narrative_count"),
-    ]
-
-
 def ingest_metadata(df: DataFrame, limited: bool = False) -> DataFrame:
-    return df.agg(*metadata_aggregates()).withColumn("limited_extract", F.lit(limited))
+    """Row count, date span and narrative count of an ingest."""
+    return df.agg(
+        F.count(F.lit(1)).alias("record_count"), F.to_date(F.min("date_received")).alias("date_min"),
+        F.to_date(F.max("date_received")).alias("date_max"), F.count("consumer_complaint_narrative").alias("narrative_count"),
+    ).withColumn("limited_extract", F.lit(limited))
 
 
 def with_partition(df: DataFrame) -> DataFrame:
@@ -103,22 +97,19 @@ def with_partition(df: DataFrame) -> DataFrame:
 
 
 def write_store(df: DataFrame, path: str, limited: bool = False) -> dict[str, Any]:
-    """Write the store partitioned by month and return its metadata, measured during the same pass.
+    """Write the store partitioned by month and return the metadata of what was written.
 
-    The rebalance hint lets adaptive execution split a hot month and merge small ones into even files.
+    The rebalance hint lets adaptive execution split a hot month and merge small ones into even files. The metadata
+    reads two columns of the result back, which stays right when tasks of the write were run twice.
     """
-    seen = Observation("ingest")
-    (
-        with_partition(df.observe(seen, *metadata_aggregates()))
-        .hint("rebalance", STORE_PARTITION)
+    with_partition(df).hint("rebalance", STORE_PARTITION) \
         .write.mode("overwrite").partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(path)
-    )
-    metadata = dict(seen.get)
+    metadata = ingest_metadata(read_store(df.sparkSession, path), limited).first().asDict()
     if not metadata["record_count"]:
         raise ValueError("no complaint rows were ingested")
     for key in ("date_min", "date_max"):
         metadata[key] = str(metadata[key]) if metadata[key] else None
-    return {**metadata, "output_path": path, "limited_extract": limited}
+    return {**metadata, "output_path": path}
 
 
 def write_metadata(spark: SparkSession, metadata: dict[str, Any], path: str) -> None:
