@@ -52,7 +52,7 @@ def lookup(names: dict, key: Column) -> Column:
 
 
 def train_router(docs: DataFrame, target: str = "product", key: str = "complaint_id", max_docs: int | None = None, spec: TfidfSpec = ROUTER,
-                 max_iter: int = 100, seed: int = 42) -> Router:
+                 max_iter: int = 100, tol: float = 1e-5, seed: int = 42) -> Router:
     """Train on three quarters of every class with at least 50 documents and report on the rest.
 
     All documents are used unless ``max_docs`` asks for a cap, which then takes the smallest ids.
@@ -61,9 +61,10 @@ def train_router(docs: DataFrame, target: str = "product", key: str = "complaint
     rows = docs.filter(F.col(target).isNotNull()).select(key, "clean_narrative", F.col(target).cast("string").alias("label"))
     if max_docs is not None:
         rows = rows.orderBy(key).limit(max_docs)
-    # Written once, cleaned; the split then reads the key and label columns only.
+    # Written cleaned, then again with the split: the thresholds read the key and label columns only, and the later
+    # passes over the text start from a plain scan.
     eligible = classification.eligible_classes(materialize(rows, "router_docs"), "label", MIN_CLASS)
-    split = classification.stratified_split(eligible, "label", key, 0.25, seed)
+    split = materialize(classification.stratified_split(eligible, "label", key, 0.25, seed), "router_split")
     sizes = {(r["label"], r["is_test"]): r["n"] for r in split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
     classes, total = sorted({label for label, _ in sizes}), sum(sizes.values())
     if total < MIN_ROWS or len(classes) < 2:
@@ -81,7 +82,7 @@ def train_router(docs: DataFrame, target: str = "product", key: str = "complaint
     # Inverse penalty strength 1 over the summed loss is 1/n over the mean loss that Spark minimises.
     regression = LogisticRegression(
         featuresCol="features", labelCol="y", weightCol="weight", family="multinomial", regParam=1.0 / train_total, elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter,
+        standardization=False, maxIter=max_iter, tol=tol,
     )
     router = Router(features, regression.fit(vectors), classes, None, None)
     predicted = materialize(router.predict(test, spec=spec).select(key, "label", "prediction"), "router_predictions")
