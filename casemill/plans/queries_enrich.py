@@ -147,7 +147,7 @@ def default_wage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default wage when each occupation has one row, its mean over the workbook."""
     rows = wages.normalize_wages(raw_wages(spark, sf_dir))
     means = rows.groupBy("occupation_code").agg(F.avg("mean_hourly_wage").alias("mean_hourly_wage"))
-    return rounded(wages.default_hourly_wage(means), 4, "hourly_wage")
+    return rounded(wages.default_hourly_wage(means), 8, "hourly_wage")
 
 
 # --- entities -----------------------------------------------------------------------------------------
@@ -199,7 +199,7 @@ QUERIES = {
     "facts_status": lineage_status,
     "macro_observation_scan": macro_observation_scan,
     "macro_status": lambda s, d: macro.series_status(macro_observations(s, d)),
-    "macro_monthly": lambda s, d: rounded(macro_context.join_months(cases(s, d, "date_received"), macro_observations(s, d)), 4, "value"),
+    "macro_monthly": lambda s, d: rounded(macro_context.join_months(cases(s, d, "date_received"), macro_observations(s, d)), 8, "value"),
     "lag_correlation": lambda s, d: rounded(
         macro_context.lagged_correlation(cases(s, d, "date_received"), macro_observations(s, d)), 6, "correlation"),
     "wage_table": lambda s, d: wages.normalize_wages(raw_wages(s, d)),
@@ -249,7 +249,7 @@ SELECT (SELECT count(*) FROM entity_map WHERE confidence_tier = 'HIGH CONFIDENCE
   count(*) AS observations, round(sum(l_extendedprice), 2) AS total, strftime(min(l_shipdate), '%Y-%m-%d') AS first_date
 FROM lineitem WHERE l_partkey % 8 <> 0 GROUP BY 1""",
     "macro_status": "SELECT count(DISTINCT l_returnflag) AS series, count(*) AS observations FROM lineitem",
-    "macro_monthly": f"WITH {MACRO_MONTHS} SELECT series_id, month, complaints, round(value, 4) AS value FROM joined",
+    "macro_monthly": f"WITH {MACRO_MONTHS} SELECT series_id, month, complaints, round(value, 8) AS value FROM joined",
     "lag_correlation": f"""WITH {MACRO_MONTHS}, shifted AS (
   SELECT series_id, k, complaints, CASE k WHEN 0 THEN value WHEN 1 THEN lag(value, 1) OVER w WHEN 3 THEN lag(value, 3) OVER w
          ELSE lag(value, 6) OVER w END AS v, count(*) OVER (PARTITION BY series_id, k) AS months
@@ -258,7 +258,7 @@ SELECT series_id, CAST(k AS BIGINT) AS lag_months, round(corr(v, complaints), 6)
   series_id AS description, '{MACRO_CAVEAT}' AS caveat FROM shifted WHERE months >= 12 GROUP BY series_id, k""",
     "wage_table": f"""WITH {WAGES_SQL} SELECT *, '{WAGE_PERIOD}' AS benchmark_period, '{WAGE_SOURCE}' AS source,
   '{WAGE_SOURCE_URL}' AS source_url, '{WAGE_NOTE}' AS benchmark_note FROM wages""",
-    "default_wage": f"WITH {WAGES_SQL} SELECT round(coalesce(avg(mean_hourly_wage), 24.0), 4) AS hourly_wage FROM wages WHERE occupation_code = '43-4051'",
+    "default_wage": f"WITH {WAGES_SQL} SELECT round(coalesce(avg(mean_hourly_wage), 24.0), 8) AS hourly_wage FROM wages WHERE occupation_code = '43-4051'",
     "seed_recovery": """SELECT s_name || CASE WHEN s_suppkey % 3 = 0 THEN ', N.A.' ELSE '' END AS cfpb_company_name,
   'Parent Corp.' AS canonical_company_name, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS sec_cik, 'TCK' AS ticker,
   'manual_seed' AS match_method, '0.98' AS confidence, 'false' AS manual_review_flag, 'Public, listed.' AS notes
