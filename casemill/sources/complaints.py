@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
-from casemill.functions.columns import month, strip, to_long, to_timestamp
+from casemill.functions.columns import strip, to_long, to_timestamp
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
 STORE_PARTITION = "received_month"
