@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+OWN: dict[str, str] = {}
+
 
 def local_session(cores: int | str = 8, memory: str = "16g", partitions: int = 8) -> SparkSession:
-    """A single-machine session. On a cluster the session comes from the submitter instead."""
+    """A single-machine session with a scratch folder of its own. On a cluster the session comes from the submitter instead."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("casemill")
@@ -17,22 +22,31 @@ def local_session(cores: int | str = 8, memory: str = "16g", partitions: int = 8
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", own_folder())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def own_folder() -> str:
+    """A folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="casemill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only for an unconfigured local run."""
+    """The shared folder named by ``spark.checkpoint.dir``. Only a one-machine session without that setting gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="casemill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    if context.applicationId not in OWN:
+        OWN[context.applicationId] = own_folder()
+    return OWN[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
