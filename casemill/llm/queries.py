@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import bpe, counts, packing, token_file
+from casemill.llm import ann, bpe, counts, embed_dedup, language, line_dedup, ngram_join, packing, quality, token_file
 from casemill.session import scratch_path
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 WORD_VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+LINK_COSINE = 0.93
+SHINGLE_WORDS, SIMILAR = 5, 0.8
+GOOD = 0.3
+NEIGHBOURS = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +26,31 @@ def vocabulary(name: str) -> str:
     return bpe.read_vocabulary(public_tokenizers.path(name))
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents and all pages; a row has either a doc_id or a page_id."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.fit(docs, "doc_id", "text", "lang")
+    none = F.lit(None).cast("long")
+    evidence = ["text", "declared", "host", "suffix"]
+    rows = language.of_document(docs).select("doc_id", none.alias("page_id"), *evidence).union(
+        language.of_page(pages).select(none.alias("doc_id"), "page_id", *evidence))
+    return language.identify(rows, model)
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), LINK_COSINE)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMILAR)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = vocabulary(BYTE_VOCABULARY)
     ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), file)
@@ -36,6 +65,14 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.layout(spark, path)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, NEIGHBOURS)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(WORD_VOCABULARY))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -45,5 +82,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), end_id=0, longest=1024)
 
 
-QUERIES = {f.__name__: f for f in (op5_bpe, op6_token_file, op9_token_counts, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_language, op2_embedding_dedup, op3_quality, op4_ngram_join, op5_bpe, op6_token_file, op7_line_dedup, op8_neighbours, op9_token_counts, op10_packing)}
 ORACLE: dict[str, str] = {}
