@@ -84,4 +84,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language, op2_embedding_dedup, op3_quality, op4_ngram_join, op5_bpe, op6_token_file, op7_line_dedup, op8_neighbours, op9_token_counts, op10_packing)}
+# The results are digests of tokens, hashes and fitted models, which SQL cannot express: tests hold the queries against brute force.
 ORACLE: dict[str, str] = {}
