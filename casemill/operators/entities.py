@@ -37,9 +37,10 @@ def mapped_companies(companies: DataFrame, seed: DataFrame) -> DataFrame:
     return keyed.join(_name_keys(seed), "name_key", "left_semi").drop("name_key")
 
 
-def alias_target(normalized: Column, aliases: dict[str, str] = ALIASES) -> Column:
-    """Canonical name of the first alias contained in the normalised name, else null."""
-    return F.coalesce(*[F.when(normalized.contains(a), F.lit(target)) for a, target in aliases.items()])
+def alias_target(normalized: Column, aliases: dict[str, str] = ALIASES, whole_words: bool = True) -> Column:
+    """Canonical name of the first alias found in the normalised name, as whole words unless they may be parts of longer ones; else null."""
+    text = F.concat(F.lit(" "), normalized, F.lit(" ")) if whole_words else normalized
+    return F.coalesce(*[F.when(text.contains(f" {a} " if whole_words else a), F.lit(target)) for a, target in aliases.items()])
 
 
 def with_order(seed: DataFrame) -> DataFrame:
@@ -108,14 +109,14 @@ def fuzzy_best(candidates: DataFrame, seed: DataFrame) -> DataFrame:
     return partial.groupBy("query").agg(best.alias("b")).select("query", "b.*")
 
 
-def review_table(companies: DataFrame, seed: DataFrame, n: int = 200, aliases: dict[str, str] = ALIASES) -> DataFrame:
+def review_table(companies: DataFrame, seed: DataFrame, n: int = 200, aliases: dict[str, str] = ALIASES, whole_words: bool = True) -> DataFrame:
     """Suggestions for the n largest unmapped companies: a seeded alias first, else the closest canonical name.
 
     Both kinds always need review.
     """
     open_names = unmapped_companies(companies, seed, n).withColumn(
         "normalized", normalize_company_name(F.col("cfpb_company_name"))
-    ).withColumn("target", alias_target(F.col("normalized"), aliases))
+    ).withColumn("target", alias_target(F.col("normalized"), aliases, whole_words))
     registrants = with_order(seed).groupBy(F.col("canonical_company_name").alias("target")).agg(
         F.min_by(F.struct("sec_cik", "ticker"), F.struct("tie", "sec_cik")).alias("registrant"), F.lit(True).alias("seeded")
     )

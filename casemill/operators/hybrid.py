@@ -105,7 +105,7 @@ def _ranges(shared):
     """Task body: candidates and score ranges per question."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: Questions = shared.value
+        asked = Questions(**shared.value)
         n = len(asked.ids)
         count, low, high = np.zeros(n, dtype=np.int64), np.full((2, n), np.inf), np.full((2, n), -np.inf)
         for batch in batches:
@@ -125,7 +125,8 @@ def _best(shared, key: str, k: int):
     """Task body: the k best candidates per question of this task."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, ranges, lexical_weight, dense_weight = shared.value
+        fields, ranges, lexical_weight, dense_weight = shared.value
+        asked = Questions(**fields)
         heads: list[list[tuple]] = [[] for _ in asked.ids]
         for batch in batches:
             mask = asked.candidates(batch)
@@ -159,12 +160,12 @@ def search_batch(vectors: DataFrame, asked: Sequence[Row], key: str, k: int, lex
     sc = spark.sparkContext
     lowered = vectors.select(key, "idx", "x", "dense", "date_received", *[F.lower(c).alias(c) for c in EQUALITY_FIELDS])
     schema = "position int, n bigint, lexical_low double, lexical_high double, dense_low double, dense_high double"
-    ranges = lowered.mapInArrow(_ranges(sc.broadcast(questions)), schema).groupBy("position").agg(
+    ranges = lowered.mapInArrow(_ranges(sc.broadcast(vars(questions))), schema).groupBy("position").agg(
         F.sum("n").alias("n"), *[F.min(f"{c}_low").alias(f"{c}_low") for c in ("lexical", "dense")],
         *[F.max(f"{c}_high").alias(f"{c}_high") for c in ("lexical", "dense")],
     ).orderBy("position").collect()  # one row per question of the batch
     limits = [tuple(np.array([r[f"{c}_{side}"] for r in ranges], dtype=float) for side in ("low", "high")) for c in ("lexical", "dense")]
-    shared = sc.broadcast((questions, limits, lexical_weight, dense_weight))
+    shared = sc.broadcast((vars(questions), limits, lexical_weight, dense_weight))
     kind = vectors.schema[key].dataType.simpleString()
     best = lowered.mapInArrow(
         _best(shared, key, k), f"position int, `{key}` {kind}, lexical_score double, dense_score double, hybrid_score double"
@@ -240,17 +241,14 @@ def open_index(spark: SparkSession, path: str, spec: TfidfSpec = INDEX) -> Index
     return Index(terms.drop("basis"), spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/docs"), basis, spec)
 
 
-def build_index(complaints: DataFrame, path: str | None = None, max_docs: int | None = None, min_chars: int = 80,
+def build_index(complaints: DataFrame, path: str | None = None, min_chars: int = 80,
                 components: int = 128, passes: int = 5, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
     """Clean, weigh and project all narratives, and write the index tables below ``path``.
 
-    ``max_docs`` keeps the newest narratives only; without it all are indexed.
     """
     spark = complaints.sparkSession
     path = path or scratch_path(spark, "index")
     docs = narratives(complaints, min_chars, by=key)
-    if max_docs is not None:
-        docs = docs.orderBy(F.desc_nulls_last("date_received"), key).limit(max_docs)
     kept = [c for c in complaints.columns if c != "consumer_complaint_narrative"]
     docs.select(*kept, "clean_narrative").write.mode("overwrite").parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")

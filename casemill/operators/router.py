@@ -15,19 +15,16 @@ from casemill.operators import classification, tfidf
 from casemill.operators.tfidf import ROUTER, TfidfSpec
 from casemill.session import materialize
 
-MIN_CLASS, MIN_ROWS = 50, 500
-REPORT_SCHEMA = ("status string, target string, records bigint, classes bigint, baseline_macro_f1 double, model_macro_f1 double, "
-                 "accuracy double")
 
 
 @dataclass(frozen=True)
 class Router:
-    """Feature stages, fitted model and class names in index order; absent when training was skipped."""
+    """Feature stages, fitted model and class names in index order, and the reports."""
 
-    features: PipelineModel | None
-    model: LogisticRegressionModel | None
+    features: PipelineModel
+    model: LogisticRegressionModel
     classes: list[str]
-    report: DataFrame
+    report: DataFrame | None
     class_report: DataFrame | None
 
     def predict(self, docs: DataFrame, text: str = "clean_narrative", spec: TfidfSpec = ROUTER) -> DataFrame:
@@ -51,24 +48,21 @@ def lookup(names: dict, key: Column) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in names.items()))[key]
 
 
-def train_router(docs: DataFrame, target: str = "product", key: str = "complaint_id", max_docs: int | None = None, spec: TfidfSpec = ROUTER,
-                 max_iter: int = 100, tol: float = 1e-5, seed: int = 42) -> Router:
-    """Train on three quarters of every class with at least 50 documents and report on the rest.
+def train_router(docs: DataFrame, target: str = "product", key: str = "complaint_id", spec: TfidfSpec = ROUTER, min_class: int = 50,
+                 max_iter: int = 1000, tol: float = 1e-5, seed: int = 42) -> Router:
+    """Train on three quarters of every class with at least ``min_class`` documents and report on the rest.
 
-    All documents are used unless ``max_docs`` asks for a cap, which then takes the smallest ids.
+    A class needs a few documents on both sides of the split; fewer than two such classes are an error.
     """
-    spark = docs.sparkSession
     rows = docs.filter(F.col(target).isNotNull()).select(key, "clean_narrative", F.col(target).cast("string").alias("label"))
-    if max_docs is not None:
-        rows = rows.orderBy(key).limit(max_docs)
     # Written cleaned, then again with the split: the thresholds read the key and label columns only, and the later
     # passes over the text start from a plain scan.
-    eligible = classification.eligible_classes(materialize(rows, "router_docs"), "label", MIN_CLASS)
+    eligible = classification.eligible_classes(materialize(rows, "router_docs"), "label", min_class)
     split = materialize(classification.stratified_split(eligible, "label", key, 0.25, seed), "router_split")
     sizes = {(r["label"], r["is_test"]): r["n"] for r in split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
     classes, total = sorted({label for label, _ in sizes}), sum(sizes.values())
-    if total < MIN_ROWS or len(classes) < 2:
-        return Router(None, None, classes, spark.createDataFrame([("skipped", target, total, len(classes), None, None, None)], REPORT_SCHEMA), None)
+    if len(classes) < 2:
+        raise ValueError(f"a router needs two classes of {min_class} documents, {target} has {len(classes)}")
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
     features = feature_stages(materialize(tfidf.vocabulary(train, key, "clean_narrative", spec), "router_terms"))
     n_train = {c: sizes.get((c, False), 0) for c in classes}

@@ -13,8 +13,9 @@ def is_full_year() -> Column:
 
 def prefer_annual(facts: DataFrame) -> DataFrame:
     """Full-year facts; for a company that has none at all, its annual reports instead."""
-    has_year = facts.groupBy("sec_cik", "company").agg(F.bool_or(is_full_year()).alias("has_year"))
-    return facts.join(has_year, ["sec_cik", "company"]) \
+    has_year = facts.groupBy("sec_cik", "company").agg(F.bool_or(is_full_year()).alias("has_year")).alias("y")
+    same = F.expr("f.sec_cik <=> y.sec_cik AND f.company <=> y.company")  # documents may lack a name
+    return facts.alias("f").join(has_year, same).select("f.*", "has_year") \
         .filter(F.when(F.col("has_year"), is_full_year()).otherwise(F.col("form") == "10-K")).drop("has_year")
 
 

@@ -14,17 +14,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casemill.fixed import (
-    ENGLISH_STOP_WORDS, SMALL_CORPUS, TFIDF_INDEX, TFIDF_ROUTER, TFIDF_SEARCH, TFIDF_TOPICS,
+    ENGLISH_STOP_WORDS, TFIDF_INDEX, TFIDF_ROUTER, TFIDF_SEARCH, TFIDF_TOPICS,
 )
 from casemill.functions.text import tokens, with_bigrams
 
 
 @dataclass(frozen=True)
 class TfidfSpec:
-    """Feature settings; ``max_df`` is a share of documents, ``stop_words`` may be any list."""
+    """Feature settings; ``max_features`` None keeps all terms, ``max_df`` is a share of documents, ``stop_words`` may be any list."""
 
-    max_features: int
-    min_df: int | None = 1
+    max_features: int | None
+    min_df: int = 1
     max_df: float = 1.0
     sublinear: bool = False
     stop_words: Sequence[str] = tuple(ENGLISH_STOP_WORDS)
@@ -48,7 +48,7 @@ def corpus_size(docs: DataFrame) -> Column:
 
 
 def vocabulary(docs: DataFrame, key: str, text: str, spec: TfidfSpec, size: Column | None = None) -> DataFrame:
-    """``(term, df, cf, idf)``: the ``max_features`` most frequent terms within the document-frequency bounds.
+    """``(term, df, cf, idf)``: the terms within the document-frequency bounds, or the ``max_features`` most frequent of them.
 
     Terms below the count that cannot make the cut are dropped before the final ordering, so the single task that
     merges the ordered heads sees little more than ``max_features`` rows however many terms there are.
@@ -56,18 +56,22 @@ def vocabulary(docs: DataFrame, key: str, text: str, spec: TfidfSpec, size: Colu
     size = corpus_size(docs) if size is None else size
     counts = exploded(docs, key, text, spec).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
     terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    low = F.lit(spec.min_df) if spec.min_df is not None else F.when(size < SMALL_CORPUS, 1).otherwise(2)
-    terms = terms.filter((F.col("df") >= low) & (F.col("df") <= F.lit(spec.max_df) * size))
+    terms = terms.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(spec.max_df) * size))
+    idf = F.log((size + 1).cast("double") / (F.col("df") + 1)) + 1
+    if spec.max_features is None:
+        return terms.withColumn("idf", idf)
     by_count = terms.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, 0))
     cut = by_count.withColumn("upto", upto).filter(F.col("upto") >= spec.max_features).select(F.max("cf")).scalar()
     kept = terms.filter(F.col("cf") >= F.coalesce(cut, F.lit(0))).orderBy(F.desc("cf"), "term").limit(spec.max_features)
-    return kept.withColumn("idf", F.log((size + 1).cast("double") / (F.col("df") + 1)) + 1)
+    return kept.withColumn("idf", idf)
 
 
 def known_terms(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec, *names: str) -> DataFrame:
     """``(key, *names, x)``: count of every known term of a document times its idf, before normalisation."""
-    found = exploded(docs, key, text, spec).join(F.broadcast(vocab.select("term", "idf", *[n for n in names if n != "term"])), "term")
+    terms = vocab.select("term", "idf", *[n for n in names if n != "term"])
+    # Only a vocabulary with a bound is sure to be small; any other is joined as its measured size allows.
+    found = exploded(docs, key, text, spec).join(terms if spec.max_features is None else F.broadcast(terms), "term")
     counts = found.groupBy(key, *names, "idf").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     tf = F.log("tf") + 1 if spec.sublinear else F.col("tf")
     return counts.select(key, *names, (tf * F.col("idf")).alias("x"))

@@ -48,24 +48,16 @@ def topic_registry(assigned: DataFrame, names: DataFrame) -> DataFrame:
     return joined.withColumn("volume", F.coalesce("volume", F.lit(0)))
 
 
-def discover_topics(docs: DataFrame, n_topics: int = 12, max_docs: int | None = None, spec: TfidfSpec = TOPICS, max_iter: int = 400,
+def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPICS, max_iter: int = 400,
                     tol: float = 1e-4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``(registry, assignments)`` of cleaned narratives; both empty when there are too few documents.
-
-    All documents are used unless ``max_docs`` asks for a cap, which then takes the smallest ids.
-    """
+    """``(registry, assignments)`` of cleaned narratives; both empty when no term is left. All documents are used."""
     spark = docs.sparkSession
-    if max_docs is not None:
-        docs = docs.orderBy("complaint_id").limit(max_docs)
     n_docs = docs.count()
-    empty = spark.createDataFrame([], REGISTRY_SCHEMA), spark.createDataFrame([], ASSIGNMENT_SCHEMA)
-    if n_docs < max(20, 3 * n_topics):
-        return empty
     key, text = "complaint_id", "clean_narrative"
     vocab = materialize(tfidf.numbered(tfidf.vocabulary(docs, key, text, spec, F.lit(n_docs))), "topic_terms")
     terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
     if not terms:
-        return empty
+        return spark.createDataFrame([], REGISTRY_SCHEMA), spark.createDataFrame([], ASSIGNMENT_SCHEMA)
     vectors = materialize(tfidf.doc_vectors(docs, vocab, key, text, spec), "topic_vectors")
     components, _ = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
     found = lowrank.assign_components(vectors, "complaint_id", components)

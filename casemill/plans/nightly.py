@@ -9,17 +9,20 @@ from casemill.operators import anomaly, opportunities, quality, router, topics
 from casemill.sources import artifacts, complaints
 
 
-def run_nightly(spark: SparkSession, csv_path: str, output: str, max_records: int | None = None, run_nlp: bool = True,
+def refuse_invalid(rows: DataFrame) -> None:
+    violated = [r["check"] for r in quality.validate_schema(rows).filter("violated").collect()]
+    if violated:
+        raise ValueError("; ".join(violated))
+
+
+def run_nightly(spark: SparkSession, csv_path: str, output: str, run_nlp: bool = True,
                 multi_line: bool = True) -> dict[str, DataFrame]:
     """Write the store and all artifact tables below ``output`` and return them.
 
-    Fails with the list of violated checks when the ingested rows are not valid.
+    Fails with the list of violated checks when the ingested rows are not valid; the store of the run before then stays.
     """
-    complaints.ingest_bulk(spark, csv_path, f"{output}/complaints", max_records, multi_line)
+    complaints.ingest_bulk(spark, csv_path, f"{output}/complaints", multi_line, check=refuse_invalid)
     rows = complaints.read_store(spark, f"{output}/complaints").drop(complaints.STORE_PARTITION)
-    violated = [r["check"] for r in quality.validate_schema(rows).filter("violated").collect()]
-    if violated:
-        raise ValueError("; ".join(violated))
     emerging = anomaly.emerging_scores(rows, "issue")
     tables = {
         "quality_profile": quality.column_profile(rows),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import (
-    ALIAS_NOTE, MACRO_CAVEAT, MACRO_SOURCE, SCALE_NOTE, WAGE_NOTE, WAGE_OCCUPATIONS, WAGE_PERIOD, WAGE_SOURCE, WAGE_SOURCE_URL,
+    ALIAS_NOTE, LEGAL_SUFFIXES, MACRO_CAVEAT, MACRO_SOURCE, SCALE_NOTE, WAGE_NOTE, WAGE_OCCUPATIONS, WAGE_PERIOD, WAGE_SOURCE, WAGE_SOURCE_URL,
 )
 from casemill.functions.text import normalize_company_name
 from casemill.operators import entities, macro_context, scale
@@ -160,13 +160,15 @@ def seed_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed map text with a header, unquoted commas in names and notes, and lines without a registrant number."""
+    """Seed map text with a header: unquoted commas and a second number in the notes, quoted fields, short and empty registrant numbers."""
     key = F.col("s_suppkey")
-    line = F.concat_ws(",", F.concat(F.col("s_name"), F.when(key % 3 == 0, ", N.A.").otherwise("")), F.lit("Parent Corp."),
-                       F.when(key % 10 == 9, "none").otherwise(F.lpad(key.cast("string"), 10, "0")), F.lit("TCK"),
-                       F.lit("manual_seed"), F.lit("0.98"), F.lit("false"), F.lit("Public, listed."))
+    name = F.concat(F.col("s_name"), F.when(key % 3 == 0, ", N.A.").otherwise(""))
+    number = F.when(key % 10 == 9, "").when(key % 10 == 8, key.cast("string")).otherwise(F.lpad(key.cast("string"), 10, "0"))
+    quoted = F.concat(F.lit('"'), name, F.lit(' ""Q""",Parent Corp.,'), number, F.lit(',TCK,manual_seed,0.98,false,"Public, listed."'))
+    ragged = F.concat_ws(",", name, F.lit("Parent Corp."), F.lpad(key.cast("string"), 10, "0"), F.lit("TCK,manual_seed,0.98,false,Public, see,0000000001,a,b,c,d"))
     path = scratch_path(spark, "seed_map")
-    table(spark, sf_dir, "supplier").select(line.alias("value")).write.text(path)
+    lines = table(spark, sf_dir, "supplier").select(F.when((key % 2 == 0) | (key % 10 == 9), quoted).otherwise(ragged).alias("value"))
+    lines.union(spark.createDataFrame([(",".join(entity_seed.SEED_COLUMNS),)], "value string")).write.text(path)
     return entity_seed.read_seed_map(spark, path).drop("seed_order")
 
 
@@ -184,7 +186,7 @@ def review(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alias_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review rows decided by alias: every company name contains one of the aliases, one of them not seeded."""
     aliases = {f"customer 00000{d}": f"Supplier#00000000{d} Financial Corp." for d in range(9)} | {"customer": "Not seeded"}
-    rows = entities.review_table(companies_of(spark, sf_dir), seed_of(spark, sf_dir), aliases=aliases)
+    rows = entities.review_table(companies_of(spark, sf_dir), seed_of(spark, sf_dir), aliases=aliases, whole_words=False)
     return rows.filter(F.col("match_method") == "alias_suggestion")
 
 
@@ -259,15 +261,16 @@ SELECT series_id, CAST(k AS BIGINT) AS lag_months, round(corr(v, complaints), 6)
     "wage_table": f"""WITH {WAGES_SQL} SELECT *, '{WAGE_PERIOD}' AS benchmark_period, '{WAGE_SOURCE}' AS source,
   '{WAGE_SOURCE_URL}' AS source_url, '{WAGE_NOTE}' AS benchmark_note FROM wages""",
     "default_wage": f"WITH {WAGES_SQL} SELECT round(coalesce(avg(mean_hourly_wage), 24.0), 8) AS hourly_wage FROM wages WHERE occupation_code = '43-4051'",
-    "seed_recovery": """SELECT s_name || CASE WHEN s_suppkey % 3 = 0 THEN ', N.A.' ELSE '' END AS cfpb_company_name,
-  'Parent Corp.' AS canonical_company_name, lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS sec_cik, 'TCK' AS ticker,
-  'manual_seed' AS match_method, '0.98' AS confidence, 'false' AS manual_review_flag, 'Public, listed.' AS notes
-FROM supplier WHERE s_suppkey % 10 <> 9""",
+    "seed_recovery": """SELECT s_name || CASE WHEN s_suppkey % 3 = 0 THEN ', N.A.' ELSE '' END || CASE WHEN regular THEN ' "Q"' ELSE '' END AS cfpb_company_name,
+  'Parent Corp.' AS canonical_company_name,
+  CASE s_suppkey % 10 WHEN 9 THEN NULL WHEN 8 THEN CAST(s_suppkey AS VARCHAR) ELSE lpad(CAST(s_suppkey AS VARCHAR), 10, '0') END AS sec_cik, 'TCK' AS ticker,
+  'manual_seed' AS match_method, '0.98' AS confidence, 'false' AS manual_review_flag,
+  CASE WHEN regular THEN 'Public, listed.' ELSE 'Public, see,0000000001,a,b,c,d' END AS notes
+FROM (SELECT *, s_suppkey % 2 = 0 OR s_suppkey % 10 = 9 AS regular FROM supplier)""",
     "seed_coercion": f"WITH {SEED_SQL} SELECT * REPLACE (round(match_score, 4) AS match_score) FROM entity_map",
-    "company_name_forms": """SELECT s_suppkey, array_to_string(list_filter(string_split_regex(regexp_replace(replace(lower(
+    "company_name_forms": f"""SELECT s_suppkey, array_to_string(list_filter(string_split_regex(regexp_replace(replace(lower(
     'The ' || s_name || ' & Sons, Nat''l. Bank, N.A. of ' || n_name || ' INC.'), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +'),
-  lambda w: w <> '' AND w NOT IN ('inc', 'incorporated', 'corp', 'corporation', 'co', 'company', 'llc', 'ltd', 'limited', 'na',
-    'national', 'association', 'bank', 'bancorp', 'financial', 'services', 'of', 'the')), ' ') AS normalized
+  lambda w: w <> '' AND w NOT IN ({", ".join(f"'{w}'" for w in LEGAL_SUFFIXES)})), ' ') AS normalized
 FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "company_counts": f"WITH {CASES}, {COMPANIES_SQL} SELECT * FROM companies",
     "unmapped_companies": f"""WITH {CASES}, {COMPANIES_SQL}, {SEED_SQL}

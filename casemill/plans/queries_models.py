@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT
+from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT, REQUIRED_COLUMNS
 from casemill.operators import answers, rollup, router, topics
 from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
@@ -103,8 +103,7 @@ def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_valid_csv(spark: SparkSession, sf_dir: str) -> str:
     """The cases as a valid bulk extract with all columns validation asks for."""
-    names = [*"complaint_id date_received product issue company state submitted_via company_response_to_consumer timely_response".split(),
-             "consumer_complaint_narrative"]
+    names = REQUIRED_COLUMNS
     header = {name: text for text, name in COMPLAINT_COLUMNS.items()}
     rows = cases(spark, sf_dir, *names).withColumn("date_received", F.date_format("date_received", "yyyy-MM-dd"))
     path = scratch_path(spark, "valid_csv")

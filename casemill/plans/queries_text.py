@@ -46,12 +46,11 @@ DOCS_SQL = f"""docs AS (SELECT * FROM (SELECT doc_id, lang, source, {clean_sql("
 
 def weights_sql(spec: tfidf.TfidfSpec) -> str:
     """CTEs from ``docs`` to ``weights``: vocabulary and unit-length TF-IDF."""
-    low = spec.min_df if spec.min_df is not None else "CASE WHEN (SELECT count(*) FROM docs) < 50 THEN 1 ELSE 2 END"
     tf = "(1 + ln(tf))" if spec.sublinear else "tf"
     return f"""{terms_sql("counts", "docs", "doc_id", "clean")}, vocab AS (
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, ln((1 + (SELECT count(*) FROM docs)) / CAST(1 + count(*) AS DOUBLE)) + 1 AS idf
-  FROM counts GROUP BY 1 HAVING count(*) >= {low} AND count(*) <= {spec.max_df} * (SELECT count(*) FROM docs)
-  ORDER BY sum(tf) DESC, term LIMIT {spec.max_features}
+  FROM counts GROUP BY 1 HAVING count(*) >= {spec.min_df} AND count(*) <= {spec.max_df} * (SELECT count(*) FROM docs)
+  {f'ORDER BY sum(tf) DESC, term LIMIT {spec.max_features}' if spec.max_features else ''}
 ), raw AS (SELECT doc_id, term, {tf} * idf AS x FROM counts JOIN vocab USING (term)),
 weights AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS x FROM raw)"""
 

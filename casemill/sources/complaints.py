@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -42,19 +45,17 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.select([project(header, name) for header, name in COMPLAINT_COLUMNS.items()])
 
 
-def read_bulk_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True,
-                  max_records: int | None = None) -> DataFrame:
+def read_bulk_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Normalised rows of the extracted bulk CSV.
 
     Narratives may contain line breaks, so a file is one split by default; land the extract as many files. With
-    ``multi_line=False`` Spark also splits inside a file. ``max_records`` is a development cap.
+    ``multi_line=False`` Spark also splits inside a file.
     """
     raw = (
         spark.read.option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"').csv(path)
     )
-    rows = normalize_columns(raw)
-    return rows if max_records is None else rows.limit(max_records)
+    return normalize_columns(raw)
 
 
 _API_FIELDS = {name: API_FIELD_RENAMES.get(name, name) for name in COMPLAINT_COLUMNS.values()}
@@ -96,17 +97,25 @@ def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(STORE_PARTITION, F.coalesce(F.date_format("date_received", "yyyy-MM"), F.lit("none")))
 
 
-def write_store(df: DataFrame, path: str, limited: bool = False) -> dict[str, Any]:
+def write_store(df: DataFrame, path: str, limited: bool = False, check: Callable[[DataFrame], None] | None = None) -> dict[str, Any]:
     """Write the store partitioned by month and return the metadata of what was written.
 
-    The rebalance hint lets adaptive execution split a hot month and merge small ones into even files. The metadata
-    reads two columns of the result back, which stays right when tasks of the write were run twice.
+    The new store is written beside the old one, counted and, with ``check``, validated; only then it takes the old one's place. An empty or
+    invalid ingest leaves the old store as it was. The rebalance hint lets adaptive execution split a hot month and merge small ones.
     """
-    with_partition(df).hint("rebalance", STORE_PARTITION) \
-        .write.mode("overwrite").partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(path)
-    metadata = ingest_metadata(read_store(df.sparkSession, path), limited).first().asDict()
-    if not metadata["record_count"]:
-        raise ValueError("no complaint rows were ingested")
+    spark, staged = df.sparkSession, f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    try:
+        with_partition(df).hint("rebalance", STORE_PARTITION) \
+            .write.partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(staged)
+        rows = read_store(spark, staged)
+        metadata = ingest_metadata(rows, limited).first().asDict()
+        if not metadata["record_count"]:
+            raise ValueError("no complaint rows were ingested")
+        if check is not None:
+            check(rows.drop(STORE_PARTITION))
+        replace_folder(spark, staged, path)
+    finally:
+        _delete_folder(spark, staged)
     for key in ("date_min", "date_max"):
         metadata[key] = str(metadata[key]) if metadata[key] else None
     return {**metadata, "output_path": path}
@@ -117,11 +126,10 @@ def write_metadata(spark: SparkSession, metadata: dict[str, Any], path: str) ->
         .write.mode("overwrite").text(path)
 
 
-def ingest_bulk(spark: SparkSession, csv_path: str, store_path: str, max_records: int | None = None,
-                multi_line: bool = True) -> dict[str, Any]:
+def ingest_bulk(spark: SparkSession, csv_path: str, store_path: str, multi_line: bool = True,
+                check: Callable[[DataFrame], None] | None = None) -> dict[str, Any]:
     """Bulk CSV to Parquet store."""
-    rows = read_bulk_csv(spark, csv_path, multi_line, max_records)
-    return write_store(rows, store_path, limited=max_records is not None)
+    return write_store(read_bulk_csv(spark, csv_path, multi_line), store_path, check=check)
 
 
 STORE_SCHEMA = T.StructType([*COMPLAINT_SCHEMA.fields, T.StructField(STORE_PARTITION, T.StringType())])
@@ -134,14 +142,17 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 def merge_window(base: DataFrame, window: DataFrame) -> DataFrame:
     """Upsert by complaint id: window rows replace base rows of the same id, all other rows stay.
 
-    When the window holds an id more than once, the row received last wins; rows without an id are all kept.
+    When the window holds an id more than once, the row received last wins. Rows without an id are told apart by their content: a window row
+    equal to one that is there is not added again, so merging a window twice changes nothing.
     """
     ordered = F.struct(*[F.col(c) for c in ["date_received", *[c for c in window.columns if c != "date_received"]]])
     keyed = window.filter(F.col("complaint_id").isNotNull())
     newest = keyed.groupBy("complaint_id").agg(F.max(ordered).alias("r")).select("r.*").select(window.columns)
-    fresh = newest.unionByName(window.filter(F.col("complaint_id").isNull()))
+    anonymous = window.filter(F.col("complaint_id").isNull()).select(base.columns)
+    known = base.filter(F.col("complaint_id").isNull())
+    same = [anonymous[c].eqNullSafe(known[c]) for c in base.columns if c != "complaint_id"]
     return base.join(newest.select("complaint_id"), "complaint_id", "left_anti").select(base.columns) \
-        .unionByName(fresh.select(base.columns))
+        .unionByName(newest.select(base.columns)).unionByName(anonymous.distinct().join(known, reduce(lambda a, b: a & b, same), "left_anti"))
 
 
 def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> list[str]:
@@ -160,18 +171,40 @@ def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> li
         return []
     current = base.filter(F.col(STORE_PARTITION).isin(months)).select(columns)
     merged = with_partition(merge_window(current, window.select(columns)))
-    kept = {r[0] for r in merged.select(STORE_PARTITION).distinct().collect()}
-    (
-        merged.hint("rebalance", STORE_PARTITION)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(STORE_PARTITION).parquet(store_path)
-    )
-    # A month whose last row moved to another month gets no new file, so its old folder has to go.
-    for m in sorted(set(months) - kept):
-        _delete_folder(spark, f"{store_path}/{STORE_PARTITION}={m}")
+    # The touched months are computed once, beside the store; each then takes its old folder's place. Should the job end in between, running it again
+    # merges the same rows into whatever months were already replaced.
+    staged = f"{store_path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    try:
+        merged.hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(staged)
+        kept = {r[0] for r in read_store(spark, staged).select(STORE_PARTITION).distinct().collect()}
+        for m in sorted(kept):
+            replace_folder(spark, f"{staged}/{STORE_PARTITION}={m}", f"{store_path}/{STORE_PARTITION}={m}")
+        # A month whose last row moved to another month has no new folder.
+        for m in sorted(set(months) - kept):
+            _delete_folder(spark, f"{store_path}/{STORE_PARTITION}={m}")
+    finally:
+        _delete_folder(spark, staged)
     return sorted(months)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a folder in the place of another by renaming; the old one goes last, and comes back if the new one cannot take its place."""
+    path = path.rstrip("/")
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    moved = _rename(spark, path, old)
+    if not _rename(spark, new, path):
+        if moved:
+            _rename(spark, old, path)
+        raise OSError(f"cannot move {new} to {path}")
+    _delete_folder(spark, old)
+
+
+def _rename(spark: SparkSession, path: str, to: str) -> bool:
+    source, target = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(source) and files.rename(source, target)
+
+
 def _delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,4 +1,4 @@
-"""Seed map of company names to registrants, including rows with unquoted commas."""
+"""Seed map of company names to registrants, as CSV or with unquoted commas."""
 
 from __future__ import annotations
 
@@ -7,19 +7,41 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from casemill.fixed import HIGH, LOW, MEDIUM
 from casemill.functions.columns import strip
 
-# name, canonical name, ten-digit registrant number, ticker, method, confidence, review flag, notes
-SEED_LINE = r"^(.*),([^,]*),(\d{10}),([^,]*),([^,]*),([^,]*),([^,]*),(.*)$"
 SEED_COLUMNS = [
     "cfpb_company_name", "canonical_company_name", "sec_cik", "ticker", "match_method", "confidence",
     "manual_review_flag", "notes",
 ]
+# A comma that is not inside quotes.
+SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A line with stray commas: text before the first ten-digit number, the number, four plain fields, notes.
+RAGGED_LINE = r"^(.*?),(\d{10}),([^,]*),([^,]*),([^,]*),([^,]*),(.*)$"
+
+
+def unquoted(field: Column) -> Column:
+    """Content of a CSV field; empty is null."""
+    inner = F.regexp_replace(F.regexp_extract(field, r'^\s*"(.*)"\s*$', 1), '""', '"')
+    return F.nullif(F.when(field.rlike(r'^\s*".*"\s*$'), inner).otherwise(field), F.lit(""))
 
 
 def parse_seed_lines(lines: DataFrame) -> DataFrame:
-    """Split ``value`` around the registrant number; lines without one (the header too) are skipped."""
-    return lines.withColumn("seed_order", F.monotonically_increasing_id()).filter(F.col("value").rlike(SEED_LINE)).select(
-        "seed_order", *[F.regexp_extract("value", SEED_LINE, i).alias(c) for i, c in enumerate(SEED_COLUMNS, start=1)]
-    )
+    """The eight fields of every line of ``value``.
+
+    A line is regular CSV if it has eight fields and its third is a number or empty; numbers need no padding there. Any other line is
+    taken apart around its first ten-digit number, with the comma before the canonical name as the last one on the left. The header and lines
+    of neither form are skipped.
+    """
+    fields = F.split("value", SEPARATOR, -1)
+    number = F.regexp_replace(F.element_at("fields", 3), '"', "")
+    # element_at fails on short lines in ANSI mode, so the size is tested first.
+    regular = F.when(F.size("fields") == 8, number.rlike(r"^\s*\d*(\.0)?\s*$")).otherwise(False)
+    left = F.regexp_extract("value", RAGGED_LINE, 1)
+    names = [F.regexp_extract(left, "^(.*),([^,]*)$", i) for i in (1, 2)]
+    ragged = [*names, *(F.regexp_extract("value", RAGGED_LINE, i) for i in range(2, 8))]
+    rows = lines.withColumn("seed_order", F.monotonically_increasing_id()).withColumn("fields", fields).withColumn("regular", regular)
+    rows = rows.filter(F.col("regular") | (F.col("value").rlike(RAGGED_LINE) & left.contains(",")))
+    parsed = rows.select("seed_order", *[
+        F.when(F.col("regular"), unquoted(F.get("fields", F.lit(i)))).otherwise(F.nullif(ragged[i], F.lit(""))).alias(c) for i, c in enumerate(SEED_COLUMNS)])
+    return parsed.filter(F.coalesce(F.col("cfpb_company_name") != SEED_COLUMNS[0], F.lit(True)))
 
 
 def read_seed_map(spark: SparkSession, path: str) -> DataFrame:

@@ -64,11 +64,27 @@ def test_refresh_moves_and_drops_month(spark, tmp_path):
     before = found
     complaints.refresh_store(spark, store, rows((4, "2024-04-02", "c")))
     assert {(r.complaint_id, r.issue, r.received_month) for r in complaints.read_store(spark, store).collect()} == before
+    for _ in range(3):  # a replayed window without ids changes nothing
+        complaints.refresh_store(spark, store, rows((None, "2024-04-03", "d"), (None, "2024-04-03", "d")))
+    assert sorted(r.issue for r in complaints.read_store(spark, store).collect()) == ["a", "a", "b", "c", "d"]
+    assert [p.name for p in tmp_path.iterdir()] == ["store"]
 
 
-def test_empty_ingest_fails(spark, tmp_path):
-    with pytest.raises(ValueError):
-        complaints.write_store(spark.createDataFrame([], complaints.COMPLAINT_SCHEMA), str(tmp_path / "empty"))
+def test_empty_or_invalid_ingest_keeps_the_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = complaints.normalize_columns(spark.createDataFrame([(1, "2024-01-05")], "complaint_id long, date_received string"))
+
+    def refuse(_):
+        raise ValueError("invalid")
+
+    complaints.write_store(rows, store)
+    with pytest.raises(ValueError, match="no complaint rows"):
+        complaints.write_store(rows.limit(0), store)
+    with pytest.raises(ValueError, match="invalid"):
+        complaints.write_store(rows.union(rows), store, check=refuse)
+    assert complaints.read_store(spark, store).count() == 1
+    complaints.write_store(rows.union(rows), store)
+    assert complaints.read_store(spark, store).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["store"]
 
 
 def test_absent_artifact_is_empty(spark, tmp_path):
@@ -214,6 +230,23 @@ def test_seed_recovery(spark, tmp_path):
         "BANK OF X, NATIONAL ASSOCIATION", "X Corp", "MEDIUM - REVIEW", True, "a, b")
 
 
+def test_seed_forms(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text("\n".join([
+        ",".join(entity_seed.SEED_COLUMNS), "Short Cik,Short Inc.,19617,S,manual,0.98,false,n", "No Number,None Inc.,,N,manual,0.9,true,", '"Quoted, ""Q"" N.A.",Q Inc.,0000000007,Q,m,0.9,false,"a, b"',
+        "Stray, N.A.,Stray Inc.,0000000008,T,m,0.9,false,see,0000000009,x,y,z,w"]))
+    rows = {r.ticker: r for r in entity_seed.read_seed_map(spark, str(path)).collect()}
+    assert sorted(rows) == ["N", "Q", "S", "T"]
+    assert (rows["S"].sec_cik, rows["N"].sec_cik, rows["N"].notes) == ("19617", None, None)
+    assert (rows["Q"].cfpb_company_name, rows["Q"].notes) == ('Quoted, "Q" N.A.', "a, b")
+    assert (rows["T"].cfpb_company_name, rows["T"].canonical_company_name, rows["T"].sec_cik, rows["T"].notes) == ("Stray, N.A.", "Stray Inc.", "0000000008", "see,0000000009,x,y,z,w")
+
+
+def test_annual_facts_without_a_name(spark):
+    facts_ = spark.createDataFrame([(None, "1", "FY", "10-K"), (None, "1", "Q2", "10-Q"), ("A", "1", "Q2", "10-K")], "company string, sec_cik string, fiscal_period string, form string")
+    assert sorted((r.company or "", r.fiscal_period) for r in scale.prefer_annual(facts_).collect()) == [("", "FY"), ("A", "Q2")]
+
+
 def test_fuzzy_match_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "north", "south"]
@@ -236,7 +269,9 @@ def test_review_prefers_alias(spark):
     companies = spark.createDataFrame([("Citizens Trust", 5), ("Othr", 3), ("citibank", 9)], "cfpb_company_name string, complaints long")
     rows = {r.cfpb_company_name: r for r in entities.review_table(companies, seed).collect()}
     assert set(rows) == {"Citizens Trust", "Othr"}
-    assert rows["Citizens Trust"].match_method == "alias_suggestion" and rows["Citizens Trust"].suggested_sec_cik == "0000831001"
+    assert rows["Citizens Trust"].match_method == "fuzzy_suggestion"
+    parts = {r.cfpb_company_name: r for r in entities.review_table(companies, seed, whole_words=False).collect()}
+    assert parts["Citizens Trust"].match_method == "alias_suggestion" and parts["Citizens Trust"].suggested_sec_cik == "0000831001"
     assert rows["Othr"].suggested_canonical_company_name == "Other Corp" and rows["Othr"].manual_review_required
 
 
@@ -335,10 +370,11 @@ def test_index_round_trip(spark, tmp_path):
     assert search.evidence(again, index.docs).first().citation.startswith("[CFPB Complaint ")
 
 
-def test_topics_skip_and_run(spark):
-    docs = small_docs(spark, 15)
-    registry, assigned = topics.discover_topics(docs)
+def test_topics(spark):
+    registry, assigned = topics.discover_topics(small_docs(spark, 15).withColumn("clean_narrative", F.lit("of the")))
     assert registry.count() == 0 and assigned.count() == 0
+    registry, assigned = topics.discover_topics(small_docs(spark, 5), n_topics=2, spec=tfidf.TfidfSpec(500, 1), max_iter=5)
+    assert assigned.count() == 5 and sum(column(registry, "volume")) == 5
     registry, assigned = topics.discover_topics(small_docs(spark), n_topics=3, spec=tfidf.TfidfSpec(500, 1), max_iter=5)
     assert assigned.count() == 40 and sum(column(registry, "volume")) == 40 and len(registry.first().top_terms.split(", ")) == 12
 
@@ -355,13 +391,15 @@ def test_abstain_and_roll_up(spark):
 
 
 # --- models and decisions -----------------------------------------------------------------------------
-def test_router_learns_and_skips(spark):
+def test_router_learns(spark):
     rows = [(i, " ".join([f"{'mortgage' if i % 2 else 'card'} item{i % 7}"] * 4), "M" if i % 2 else "C") for i in range(600)]
     docs = spark.createDataFrame(rows, "complaint_id long, clean_narrative string, product string")
     trained = router.train_router(docs, max_iter=20)
     report = trained.report.first()
     assert report.status == "trained" and report.model_macro_f1 > 0.95 > report.baseline_macro_f1
-    assert router.train_router(docs.limit(100)).report.first().status == "skipped"
+    assert router.train_router(docs.limit(100), min_class=20, max_iter=20).report.first().records == 100
+    with pytest.raises(ValueError, match="two classes"):
+        router.train_router(docs.where("product = 'M'"))
 
 
 def test_majority_baseline_macro_f1(spark):
