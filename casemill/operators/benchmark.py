@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from casemill.fixed import NO_SCALE_NOTE, SCALE_NOTE
-from casemill.operators.metrics import timely_share
+from casemill.operators.metrics import timely_share, top_n
 
 SCALE_COLUMNS = [
     "cfpb_company_name", "canonical_company_name", "sec_cik", "ticker", "confidence_tier", "manual_review_required",
@@ -21,6 +21,11 @@ def company_base(complaints: DataFrame) -> DataFrame:
     )
 
 
+def benchmark_page(benchmark: DataFrame, n: int = 200) -> DataFrame:
+    """The companies with most complaints, in order: ``n`` is the length of the page."""
+    return top_n(benchmark, "raw_complaints", "company", n=n)
+
+
 def company_benchmark(complaints: DataFrame, scale: DataFrame | None = None) -> DataFrame:
     """Benchmark rows, joined to scale metrics where given. Order by ``raw_complaints`` at the point of use.
 

@@ -74,6 +74,12 @@ def question_report(evidence: DataFrame, questions: DataFrame, traces: DataFrame
     )
 
 
+def answer_citation_rate(answers: DataFrame) -> DataFrame:
+    """One row: share of answers that cite a complaint or a metric."""
+    cites = F.col("answer").contains("[CFPB Complaint") | F.col("answer").contains("[Analytics:")
+    return answers.agg(F.avg(F.when(cites, 1.0).otherwise(0.0)).alias("answer_citation_presence_rate"))
+
+
 def roll_up(report: DataFrame, k_values: tuple[int, ...] = (5, 10)) -> DataFrame:
     """One row: question count and the share of questions that pass each check."""
     flags = [*[f"recall_at_{k}" for k in k_values], "citation_valid", "expected_term_hit"]

@@ -70,7 +70,9 @@ def scenario_table(workloads: DataFrame) -> DataFrame:
 
 
 def sensitivity(workloads: DataFrame, swing: float = 0.2) -> DataFrame:
-    """Per workload and assumption: change of the three-year net value when it moves by ``swing`` either way.
+    """Per workload and assumption: change of the three-year net value when it moves by ``swing`` either way, and its rank, widest range first.
+
+    Ranges that differ by less than a ten-thousandth are ties, which keep the order of the assumptions.
 
     Each workload row unrolls into one row per assumption inside its task; nothing is shuffled.
     """
@@ -81,10 +83,12 @@ def sensitivity(workloads: DataFrame, swing: float = 0.2) -> DataFrame:
         return net_value({**now, field: F.greatest(now[field] * factor, F.lit(0.0))})
 
     cases = F.array(*[
-        F.struct(F.lit(f).alias("assumption"), moved(f, 1 - swing).alias("low"), moved(f, 1 + swing).alias("high"))
-        for f in SENSITIVITY_FIELDS
+        F.struct((-F.round(F.abs(moved(f, 1 + swing) - moved(f, 1 - swing)), 4)).alias("order"), F.lit(i).alias("place"), F.lit(f).alias("assumption"),
+                 moved(f, 1 - swing).alias("low"), moved(f, 1 + swing).alias("high"))
+        for i, f in enumerate(SENSITIVITY_FIELDS)
     ])
-    rows = base.select(*base.columns, net_value(now).alias("base"), F.inline(cases))
+    rows = base.select(*base.columns, net_value(now).alias("base"), F.posexplode(F.array_sort(cases)).alias("at", "case"))
+    rows = rows.select(*base.columns, "base", (F.col("at") + 1).alias("rank"), "case.assumption", "case.low", "case.high")
     return rows.withColumns({
         "low_case_delta": F.col("low") - F.col("base"), "high_case_delta": F.col("high") - F.col("base"),
         "range": F.abs(F.col("high") - F.col("low")),

@@ -263,7 +263,8 @@ QUERIES = {
     "streaming_refresh": streaming_refresh,
     "csv_artifact": csv_artifact,
     "parameterised_sql": parameterised_sql,
-    "sample_head": lambda s, d: complaints.sample_head(cases(s, d, "complaint_id", "product")),
+    "sample_head": lambda s, d: complaints.sample_head(cases(s, d, "complaint_id", "product")).agg(
+        F.count("*").alias("rows_read"), F.count_distinct("complaint_id").alias("ids")),
     "metadata_filter": metadata_filter,
     "interactive_filter": interactive_filter,
     "company_drill_down": lambda s, d: rounded(company_drill_down(s, d), 6, "share"),
@@ -290,6 +291,7 @@ QUERIES = {
     "company_base": lambda s, d: rounded(benchmark.company_benchmark(
         cases(s, d, "complaint_id", "company", "product", "timely_response", "consumer_complaint_narrative")), 6, "timely_rate"),
     "company_benchmark": company_benchmark,
+    "benchmark_page": lambda s, d: benchmark.benchmark_page(benchmark.company_base(cases(s, d))).select("company", "raw_complaints", "products"),
     "column_profile": column_profile,
     "response_distribution": lambda s, d: quality.response_distribution(
         cases(s, d, "company_response_to_consumer", "timely_response", "submitted_via")),
@@ -387,6 +389,9 @@ SELECT month, state, complaints, round(baseline_mean, 6) AS baseline_mean, round
     "anomaly_summary": f"""WITH {scores("issue")}
 SELECT issue, complaints, emerging_issue_score FROM scores ORDER BY 3 DESC, 1 LIMIT 5""",
     "company_base": f"WITH {CASES} SELECT *, '{NO_SCALE_NOTE}' AS normalization_note FROM ({COMPANY_SQL})",
+    "sample_head": "SELECT least(count(*), 10000) AS rows_read, least(count(*), 10000) AS ids FROM orders",
+    "benchmark_page": f"""WITH {CASES} SELECT company, raw_complaints, products FROM ({COMPANY_SQL})
+ORDER BY raw_complaints DESC, company NULLS LAST LIMIT 200""",
     "company_benchmark": f"""WITH {CASES}, base AS ({COMPANY_SQL}),
 totals AS (SELECT company AS cfpb_company_name, sum(assets) AS assets,
                   CAST(regexp_extract(company, '(\\d+)$', 1) AS BIGINT) AS number FROM cases GROUP BY 1),

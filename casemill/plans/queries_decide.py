@@ -235,6 +235,7 @@ QUERIES = {
     "value_scenarios": lambda s, d: rounded(value.scenario_table(workloads(s, d)), 4, *VALUE_OUTPUTS, "payback_years", "implementation_cost"),
     "value_sensitivity": lambda s, d: rounded(value.sensitivity(workloads(s, d)), 4, "low_case_delta", "high_case_delta", "range")
     .select("product", "issue", "assumption", "low_case_delta", "high_case_delta", "range"),
+    "sensitivity_ranking": lambda s, d: value.sensitivity(workloads(s, d)).select("product", "issue", "assumption", "rank"),
     "sample_summary": lambda s, d: rounded(value.sample_summary(samples(s, d)), 4, "median_npv", "p10_npv", "p50_npv", "p90_npv",
                                            "probability_npv_positive", "probability_payback_within_3_years"),
     "governance_catalog": catalog,
@@ -264,6 +265,8 @@ SELECT opps.*, coalesce(emerging_issue_score, 0) AS emerging_issue_signal FROM o
   {', '.join(f for f in FIELDS_SQL if f != 'implementation_cost')}, round(implementation_cost, 4) AS implementation_cost, {ROUND_OUTPUTS},
   round(payback_years, 4) AS payback_years FROM outputs""",
     "value_sensitivity": sensitivity_sql(),
+    "sensitivity_ranking": f"""SELECT product, issue, assumption, CAST(row_number() OVER (PARTITION BY product, issue ORDER BY "range" DESC,
+  list_position([{", ".join(map(quoted, SENSITIVITY_FIELDS))}], assumption)) AS INTEGER) AS rank FROM ({sensitivity_sql()})""",
     "sample_summary": """WITH samples AS (SELECT l_extendedprice * (1 - l_discount) - 25000 AS npv,
   CASE WHEN l_quantity < 5 THEN CAST('inf' AS DOUBLE) ELSE l_quantity / 10 END AS payback_years FROM lineitem)
 SELECT count(*) AS simulations, round(median(npv), 4) AS median_npv, round(quantile_cont(npv, 0.1), 4) AS p10_npv,

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT, REQUIRED_COLUMNS
-from casemill.operators import answers, rollup, router, topics
+from casemill.operators import answers, evaluation, rollup, router, topics
 from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
-from casemill.plans.queries_decide import CATALOG_SQL, ISSUES_SQL, OPPORTUNITIES_SQL, derived, quoted, value_sql
+from casemill.plans.queries_decide import CATALOG_SQL, ISSUES_SQL, OPPORTUNITIES_SQL, REPORT_SQL, SPLIT_SQL, SUMMARY_SQL, derived, quoted, value_sql
 from casemill.plans.queries_retrieval import filtered_questions, hybrid_fixed, hybrid_sql
-from casemill.plans.queries_text import docs_of
+from casemill.plans.queries_text import DOCS_SQL, docs_of
 from casemill.plans.sql import CASES, scores
 from casemill.plans.tables import cases, documents, table
 from casemill.session import scratch_path
@@ -18,8 +18,18 @@ from casemill.session import scratch_path
 
 # --- topics and router --------------------------------------------------------------------------------
 def topic_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the fitted topics: their number, all documents assigned once, twelve terms and a name each, language counts adding up."""
     registry, _ = topics.discover_topics(docs_of(spark, sf_dir))
-    return registry.select("topic_id", "topic_name", "top_terms", "volume", F.to_json("product_distribution").alias("products"))
+    languages = F.aggregate(F.map_values("product_distribution"), F.lit(0).cast("bigint"), lambda a, n: a + n)
+    return registry.agg(
+        F.count("*").alias("topics"), F.sum("volume").alias("documents"), F.sum(F.size(F.split("top_terms", ", "))).alias("terms"),
+        F.count_distinct("topic_name").alias("names"), F.bool_and(F.coalesce(languages, F.lit(0)) == F.col("volume")).alias("products_fit_volumes"))
+
+
+def router_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, classes and baseline of the router, and whether its quality reaches a floor."""
+    report = rounded(router.train_router(docs_of(spark, sf_dir)).report, 4, "baseline_macro_f1")
+    return report.withColumn("model_reaches_floor", (F.col("model_macro_f1") >= 0.9) & (F.col("accuracy") >= 0.9)).drop("model_macro_f1", "accuracy")
 
 
 def given_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +129,9 @@ def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "topic_registry": topic_registry,
     "given_topics": given_topics,
-    "router_report": lambda s, d: rounded(router.train_router(docs_of(s, d)).report, 4, "baseline_macro_f1", "model_macro_f1", "accuracy"),
+    "router_report": router_report,
     "answers": answer_table,
+    "answer_citations": lambda s, d: rounded(evaluation.answer_citation_rate(answer_table(s, d)), 6, "answer_citation_presence_rate"),
     "final_metrics": final_metrics,
     "nightly_run": nightly_run,
 }
@@ -133,6 +144,15 @@ best AS (SELECT topic_id, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rn) A
 SELECT topic_id, volume, products, companies, representatives FROM volume JOIN products USING (topic_id) JOIN companies USING (topic_id)
 JOIN best USING (topic_id)""",
     "answers": ANSWERS_SQL,
+    "answer_citations": f"""SELECT round(avg(CASE WHEN contains(answer, '[CFPB Complaint') OR contains(answer, '[Analytics:') THEN 1.0 ELSE 0.0 END), 6)
+  AS answer_citation_presence_rate FROM ({ANSWERS_SQL})""",
+    "router_report": f"""WITH {DOCS_SQL}, classed AS (SELECT doc_id, lang AS label FROM docs WHERE lang IN (SELECT lang FROM docs GROUP BY 1 HAVING count(*) >= 50)),
+{SPLIT_SQL.replace("o_orderkey AS doc_id, o_orderpriority AS label", "doc_id, label").replace("o_orderpriority", "label").replace("o_orderkey", "doc_id").replace("FROM orders", "FROM classed")},
+predictions AS (SELECT label, (SELECT label FROM split WHERE NOT is_test GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS prediction FROM split WHERE is_test), {REPORT_SQL}
+SELECT 'trained' AS status, 'product' AS target, (SELECT count(*) FROM split) AS records, (SELECT count(DISTINCT label) FROM split) AS classes,
+  round(macro_f1, 4) AS baseline_macro_f1, true AS model_reaches_floor FROM ({SUMMARY_SQL})""",
+    "topic_registry": f"""WITH {DOCS_SQL} SELECT CAST(12 AS BIGINT) AS topics, count(*) AS documents, CAST(144 AS BIGINT) AS terms, CAST(12 AS BIGINT) AS names,
+  true AS products_fit_volumes FROM docs""",
     "final_metrics": f"""WITH {CASES}, {CATALOG_SQL.replace(ISSUES_SQL, ISSUES_SQL.replace("cases AS", "issue_cases AS", 1), 1).replace("FROM cases GROUP BY", "FROM issue_cases GROUP BY", 1)},
 base AS (SELECT count(*) AS observed_complaints, CAST(24.0 AS DOUBLE) AS hourly_wage,
   {", ".join(f"CAST({v!r} AS DOUBLE) AS {c}" for c, v in ASSUMPTION_DEFAULTS.items())} FROM cases), {value_sql("base")}

@@ -8,7 +8,8 @@ from casemill.operators import evaluation, hybrid, tfidf
 from casemill.plans.queries_core import rounded
 from casemill.plans.queries_text import DOCS_SQL, asked_sql, docs_of, weights_sql
 from casemill.plans.tables import documents, questions, table
-from casemill.session import materialize
+from casemill.session import materialize, scratch_path
+from casemill.sources import questions as question_sets
 
 
 def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +118,29 @@ def index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(evidence, 6, "lexical_score", "dense_score", "hybrid_score")
 
 
+def question_set_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered questions written as JSON and read back with their defaults."""
+    path = scratch_path(spark, "questions")
+    asked = filtered_questions(spark, sf_dir)
+    landed = asked.select(F.col("question_id").cast("string").alias("question_id"), "question", F.when(F.size("expected_terms") > 0, F.col("expected_terms")).alias("expected_terms"),
+                          F.when(F.col("expected_behavior") == "abstain", "abstain").alias("expected_behavior"), F.struct("product", "company", F.lit("x").alias("unknown")).alias("filters"))
+    landed.write.json(path)
+    rows = question_sets.with_defaults(spark.read.schema(question_sets.QUESTION_SCHEMA).json(path))
+    return rows.select("question_id", "question", F.size("expected_terms").alias("terms"), "expected_behavior", F.col("filters.product").alias("product"), F.col("filters.company").alias("company"))
+
+
+def question_set_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older form: terms in one field, separated by bars."""
+    path = scratch_path(spark, "questions")
+    questions(spark, sf_dir).select(
+        F.col("question_id").cast("string"), "question", F.concat(F.lit(" Fee | |"), F.substring("question", 1, 5)).alias("expected_evidence_terms"), F.lit("").alias("answer_must_include"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    return question_sets.read_question_csv(spark, path).select("question_id", "question", F.array_join("expected_terms", "|").alias("terms"))
+
+
 QUERIES = {
+    "question_set_json": question_set_json,
+    "question_set_csv": question_set_csv,
     "dense_topk": dense_topk,
     "hybrid_topk": hybrid_topk,
     "hybrid_trace": lambda s, d: hybrid_fixed(s, d, 8)[1],
@@ -127,6 +150,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "question_set_json": r"""SELECT CAST(item_id AS VARCHAR) AS question_id, text AS question, CAST(CASE WHEN item_id % 3 = 0 THEN 0
+  ELSE len(list_distinct(regexp_extract_all(lower(text), '\p{L}{8,}'))) END AS INTEGER) AS terms, CASE WHEN item_id % 8 = 6 THEN 'abstain' ELSE 'retrieve' END AS expected_behavior,
+  CASE item_id % 4 WHEN 0 THEN 'EN' WHEN 1 THEN 'fr' END AS product,
+  CASE item_id % 8 WHEN 2 THEN 'SRC' || (item_id % 20) WHEN 6 THEN 'nowhere' END AS company FROM benchmark""",
+    "question_set_csv": """SELECT CAST(item_id AS VARCHAR) AS question_id, text AS question,
+  'fee' || CASE WHEN trim(substring(text, 1, 5)) = '' THEN '' ELSE '|' || lower(trim(substring(text, 1, 5))) END AS terms FROM benchmark""",
     "dense_topk": """WITH parts AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
   FROM embeddings, range(1, 65) AS r(i) GROUP BY 1, 2),
 centroids AS (SELECT label, list(v ORDER BY i) AS q FROM parts GROUP BY 1),

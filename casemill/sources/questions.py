@@ -38,5 +38,5 @@ def split_terms(col: F.Column) -> F.Column:
 def read_question_csv(spark: SparkSession, path: str) -> DataFrame:
     """Older question set: CSV with ``|``-separated evidence terms."""
     schema = "question_id string, question string, expected_evidence_terms string, answer_must_include string"
-    rows = spark.read.schema(schema).option("header", True).csv(path)
+    rows = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return rows.withColumn("expected_terms", split_terms(F.col("expected_evidence_terms")))
