@@ -11,7 +11,7 @@ import sys
 import time
 
 from casemill.plans.registry import all_queries
-from casemill.session import local_session
+from casemill.session import clear_scratch, local_session
 
 HEADLINE = [
     "bulk_ingest", "incremental_refresh", "kpi_summary", "volume_by_month_group", "top_categories", "yoy_growth", "detect_spikes",
@@ -35,6 +35,7 @@ def main() -> None:
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        clear_scratch(spark)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,

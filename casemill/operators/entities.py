@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -74,36 +74,38 @@ def best_ratio(query: str, names: list[str]) -> tuple[float, int]:
     return best, at
 
 
-def _partial_best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _partial_best(queries: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Per batch of canonical names: the best of the batch for every candidate, not every pair."""
-    for batch in batches:
-        batch = batch.sort_values("tie", kind="stable")
-        names = batch["normalized"].tolist()
-        if not names:
-            continue
-        queries = list(batch["queries"].iloc[0])
-        found = [best_ratio(q, names) for q in queries]
-        yield pd.DataFrame({
-            "query": queries, "match_score": [s for s, _ in found],
-            "tie": [batch["tie"].iloc[i] for _, i in found],
-            "canonical_company_name": [batch["canonical_company_name"].iloc[i] for _, i in found],
-        })
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.sort_values("tie", kind="stable")
+            names = batch["normalized"].tolist()
+            if not names:
+                continue
+            found = [best_ratio(q, names) for q in queries]
+            yield pd.DataFrame({
+                "query": queries, "match_score": [s for s, _ in found],
+                "tie": [batch["tie"].iloc[i] for _, i in found],
+                "canonical_company_name": [batch["canonical_company_name"].iloc[i] for _, i in found],
+            })
+
+    return best
 
 
 def fuzzy_best(candidates: DataFrame, seed: DataFrame) -> DataFrame:
     """``(query, canonical_company_name, match_score)``: the most similar canonical name of each candidate.
 
-    ``candidates`` is the review list, whose length is a parameter of the report. Its normalised names travel to the
-    canonical side as one array; every task there compares its own canonical names and returns one row per
-    candidate, so no pair is ever materialised and the final step reduces (tasks x candidates) rows. The first
-    canonical name in seed order wins ties.
+    ``candidates`` is the review list, whose length is a parameter of the report: its names go to every task once, with the task's code. A task
+    compares its own canonical names and returns one row per candidate, so no pair is ever materialised and the final step
+    reduces (tasks x candidates) rows. The first canonical name in seed order wins ties.
     """
-    queries = candidates.select(F.array_sort(F.collect_set("normalized"))).scalar()
+    queries = sorted(r["normalized"] for r in candidates.select("normalized").where("normalized IS NOT NULL").distinct().collect())
     # A fixed partition count keeps the comparison spread over all cores however small the name table is.
     cores = seed.sparkSession.sparkContext.defaultParallelism
-    names = canonical_names(seed).repartition(cores, "canonical_company_name").withColumn("queries", queries)
+    names = canonical_names(seed).repartition(cores, "canonical_company_name")
     partial = names.mapInPandas(
-        _partial_best, "query string, match_score double, tie string, canonical_company_name string"
+        _partial_best(queries), "query string, match_score double, tie string, canonical_company_name string"
     )
     best = F.min_by(F.struct("canonical_company_name", "match_score"), F.struct(-F.col("match_score"), F.col("tie")))
     return partial.groupBy("query").agg(best.alias("b")).select("query", "b.*")

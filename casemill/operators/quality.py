@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from casemill.fixed import REQUIRED_COLUMNS, RESPONSE_DIMENSIONS
 from casemill.functions.columns import or_missing
@@ -45,15 +45,24 @@ def validate_schema(df: DataFrame, now: Column | None = None) -> DataFrame:
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Per column: records, missing count and rate, distinct values, and the smallest value as an example.
 
-    All columns are profiled in one aggregate that is then turned into rows. Exact distinct counts shuffle the
-    distinct values of every column; ``approximate`` replaces them by sketches for very wide or unique columns.
+    All columns are profiled in one aggregate that is then turned into rows. Exact distinct counts shuffle the distinct values of every column, long
+    texts as a digest of fixed width, so no narrative travels; ``approximate`` replaces them by sketches for very wide or unique columns.
+    The smallest text starts with the smallest beginning, so only beginnings are compared for the example.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+
+    def distinct(name: str) -> Column:
+        c = F.col(name)
+        if approximate:
+            return F.approx_count_distinct(c)
+        # The mark keeps a digest apart from a short text that spells it.
+        return F.count_distinct(F.when(F.length(c) > 40, F.concat(F.lit("\u0001"), F.sha2(c, 256))).otherwise(c) if name in texts else c)
+
     aggregates = [F.count(F.lit(1)).alias("records")]
     for i, c in enumerate(df.columns):
         aggregates += [
-            F.count(F.col(c)).alias(f"present_{i}"), distinct(F.col(c)).alias(f"distinct_{i}"),
-            F.substring(F.min(F.col(c)).cast("string"), 1, 160).alias(f"example_{i}"),
+            F.count(F.col(c)).alias(f"present_{i}"), distinct(c).alias(f"distinct_{i}"),
+            (F.min(F.substring(c, 1, 160)) if c in texts else F.substring(F.min(c).cast("string"), 1, 160)).alias(f"example_{i}"),
         ]
     total = F.col("records")
     rows = [F.struct(

@@ -56,5 +56,5 @@ def lexical_search(docs: DataFrame, questions: DataFrame, k: int = 8, key: str =
 
 
 def evidence(top: DataFrame, docs: DataFrame, key: str = "complaint_id") -> DataFrame:
-    """Top rows with their document columns and citation."""
-    return top.join(docs, key).withColumn("citation", citation(F.col(key)))
+    """Top rows with their document columns and citation; a document without id is cited as missing."""
+    return top.join(docs, key).withColumn("citation", citation(F.col("complaint_id")))

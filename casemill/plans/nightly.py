@@ -30,7 +30,9 @@ def run_nightly(spark: SparkSession, csv_path: str, output: str, run_nlp: bool =
         "opportunities": opportunities.derive_opportunities(rows, emerging),
     }
     if run_nlp:
-        docs = narratives(rows, by="complaint_id")
+        # Ids may be null or repeated; the models need a key per document, which stands for the id.
+        keyed = complaints.with_document_key(rows.where("consumer_complaint_narrative IS NOT NULL"))
+        docs = narratives(keyed.withColumn("complaint_id", F.col(complaints.DOCUMENT_KEY)).drop(complaints.DOCUMENT_KEY), by="complaint_id")
         registry, _ = topics.discover_topics(docs)
         tables["topics"] = registry.withColumns({
             c: F.to_json(c) for c in ("product_distribution", "company_distribution", "representatives")

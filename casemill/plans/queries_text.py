@@ -9,6 +9,7 @@ from casemill.functions.text import clean_text, narratives
 from casemill.operators import search, tfidf
 from casemill.plans.queries_core import rounded
 from casemill.plans.tables import documents, questions, table
+from casemill.sources import complaints
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +91,22 @@ SELECT question_id, retrieved_records, true AS has_citable_complaint_ids, true A
   CASE WHEN len(terms) = 0 THEN 0 ELSE round(len(list_filter(terms, lambda t: contains(combined, t))) / CAST(len(terms) AS DOUBLE), 6) END AS term_recall
 FROM found JOIN expected USING (question_id)"""
 
+def unkeyed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which every tenth has no id and every tenth shares its id with a neighbour."""
+    number = F.col("complaint_id")
+    ids = F.when(number % 10 == 3, None).when(number % 10 == 5, number - 1).otherwise(number)
+    return narratives(complaints.with_document_key(documents(spark, sf_dir).withColumn("complaint_id", ids)), by=complaints.DOCUMENT_KEY)
+
+
+def unkeyed_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = unkeyed_docs(spark, sf_dir)
+    top = search.lexical_search(docs, questions(spark, sf_dir), k=6, key=complaints.DOCUMENT_KEY)
+    return rounded(search.evidence(top, docs, complaints.DOCUMENT_KEY), 6, "score").select("question_id", "rank", "score", "complaint_id", "citation")
+
+
 QUERIES = {
     "clean_text": clean_all,
+    "unkeyed_evidence": unkeyed_evidence,
     "narratives": lambda s, d: docs_of(s, d).select("complaint_id", F.length("clean_narrative").alias("n_chars")),
     "vocabulary": lambda s, d: rounded(tfidf.vocabulary(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "idf"),
     "tfidf_weights": lambda s, d: rounded(tfidf.tfidf(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "x"),
@@ -103,7 +118,14 @@ QUERIES = {
     "term_recall": term_recall,
 }
 
+UNKEYED_SQL = f"""{lexical_sql(6).split("top AS (")[0]}
+keyed AS (SELECT *, CASE WHEN complaint_id % 10 = 3 THEN NULL WHEN complaint_id % 10 = 5 THEN complaint_id - 1 ELSE complaint_id END AS id FROM every),
+top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY round(score, 9) DESC, complaint_id % 10 IN (3, 4, 5), complaint_id) AS INTEGER) AS rank
+  FROM keyed) WHERE rank <= 6)"""
+
 ORACLE = {
+    "unkeyed_evidence": f"""WITH {UNKEYED_SQL} SELECT question_id, rank, round(score, 6) AS score, id AS complaint_id,
+  coalesce('[CFPB Complaint ' || id || ']', '[CFPB Complaint missing]') AS citation FROM top""",
     "clean_text": f"""SELECT id, {clean_sql("text")} AS clean_text FROM (
   SELECT -doc_id AS id, text FROM documents
   UNION ALL SELECT conv_id * 1000 + turn, 'XXXX paid on xx/xx/2025' || chr(13) || chr(10) || text || ' XX ' FROM conversations)""",

@@ -50,8 +50,14 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/casemill/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's part of it."""
+    return f"{scratch_root(spark)}/casemill/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote below the shared folder; call it when a job's results are written elsewhere."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/casemill/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

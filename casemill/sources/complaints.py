@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import strip, to_long, to_timestamp
+from casemill.session import materialize
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
 STORE_PARTITION = "received_month"
@@ -210,6 +211,21 @@ def _delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+DOCUMENT_KEY = "doc_key"
+
+
+def with_document_key(rows: DataFrame, key: str = DOCUMENT_KEY) -> DataFrame:
+    """``rows`` as a written table with a key that is never null and never repeated.
+
+    The key is the complaint id where exactly one row has it. Other rows, without id or with an id of several rows, get numbers above all ids in the
+    order of the input. Ids are counted without the texts; Spark broadcasts the repeated ones if they are few.
+    """
+    repeated = materialize(rows.groupBy("complaint_id").count().where("count > 1 AND complaint_id IS NOT NULL").select("complaint_id", F.lit(True).alias("repeated")), "repeated_ids")
+    numbered = rows.withColumn(key, F.monotonically_increasing_id() + F.lit(1 << 62)).join(repeated, "complaint_id", "left")
+    own = F.col("complaint_id").isNotNull() & F.col("repeated").isNull()
+    return materialize(numbered.withColumn(key, F.when(own, F.col("complaint_id")).otherwise(F.col(key))).select(*rows.columns, key), "keyed")
+
+
 def sql_query(spark: SparkSession, sql: str, store: DataFrame, args: dict[str, Any] | list[Any] | None = None) -> DataFrame:
     """Parameterised SQL over the view ``complaints``."""
     store.createOrReplaceTempView("complaints")
