@@ -8,7 +8,7 @@ costs no more to shuffle than any other.
 
 from __future__ import annotations
 
-import datetime as dt
+import operator
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -16,7 +16,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from casemill.fixed import DENSE_WEIGHT, LEXICAL_WEIGHT
 from casemill.functions.filters import EQUALITY_FIELDS
@@ -41,16 +41,16 @@ def min_max(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 
 @dataclass
 class Questions:
-    """A batch of questions as arrays: term columns, lexical and dense matrix, filters."""
+    """A batch of questions as arrays: term columns, lexical and dense matrix, and for each question the number of its filters."""
 
     ids: list
     terms: np.ndarray
     lexical: np.ndarray
     dense: np.ndarray
-    filters: list[dict]
+    group: np.ndarray
 
     @staticmethod
-    def of(rows: Sequence[Row]) -> Questions:
+    def of(rows: Sequence[Row]) -> tuple[Questions, list[dict]]:
         terms = np.unique(np.concatenate([np.asarray(r["idx"] or [], dtype=np.int64) for r in rows]))
         width = max((len(r["dense"]) for r in rows if r["dense"]), default=0)
         lexical, dense = np.zeros((len(terms), len(rows))), np.zeros((width, len(rows)))
@@ -59,24 +59,14 @@ class Questions:
             if r["dense"]:
                 dense[:, j] = r["dense"]
         wanted = [{f: r[f] for f in QUESTION_FIELDS if r[f]} for r in rows]
-        return Questions([r["question"] for r in rows], terms, lexical, dense, wanted)
+        filters = [dict(items) for items in sorted({tuple(sorted(w.items())) for w in wanted})]
+        group = np.array([filters.index(w) for w in wanted], dtype=np.int64)
+        return Questions([r["question"] for r in rows], terms, lexical, dense, group), filters
 
     def candidates(self, batch: pa.RecordBatch) -> np.ndarray:
         """Rows x questions: whether the document passes the question's filters."""
-        mask = np.ones((batch.num_rows, len(self.ids)), dtype=bool)
-        if not any(self.filters):
-            return mask
-        names = {c: np.asarray(batch.column(c).to_pylist(), dtype=object) for c in EQUALITY_FIELDS}
-        received = batch.column("date_received").to_numpy(zero_copy_only=False).astype("datetime64[us]")
-        for j, wanted in enumerate(self.filters):
-            for field, value in wanted.items():
-                if field in names:
-                    mask[:, j] &= names[field] == value.lower()
-                elif field == "date_start":
-                    mask[:, j] &= received >= np.datetime64(dt.datetime.fromisoformat(value), "us")
-                else:
-                    mask[:, j] &= received <= np.datetime64(dt.datetime.fromisoformat(value), "us")
-        return mask
+        groups = batch.column("passes").flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(batch.num_rows, -1)
+        return groups[:, self.group]
 
     def scores(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Lexical and dense score of every row and question; dense is NaN where a row has no vector."""
@@ -153,12 +143,23 @@ def _best(shared, key: str, k: int):
     return body
 
 
+def passing(wanted: dict) -> Column:
+    """Whether a document passes a question's filters; unknown values pass none."""
+    tests = [F.lower(field) == value.lower() for field, value in wanted.items() if field in EQUALITY_FIELDS]
+    for field, test in (("date_start", operator.ge), ("date_end", operator.le)):
+        if field in wanted:
+            tests.append(test(F.col("date_received"), F.lit(wanted[field]).cast("timestamp_ntz")))
+    return F.coalesce(reduce(operator.and_, tests, F.lit(True)), F.lit(False))
+
+
 def search_batch(vectors: DataFrame, asked: Sequence[Row], key: str, k: int, lexical_weight: float, dense_weight: float) -> tuple[DataFrame, DataFrame]:
     """Evidence and trace of one batch of questions."""
     spark = vectors.sparkSession
-    questions = Questions.of(asked)
+    questions, filters = Questions.of(asked)
     sc = spark.sparkContext
-    lowered = vectors.select(key, "idx", "x", "dense", "date_received", *[F.lower(c).alias(c) for c in EQUALITY_FIELDS])
+    # Every distinct filter is evaluated where the scan is; documents that pass none never reach a Python worker.
+    passes = [passing(f) for f in filters]
+    lowered = vectors.where(reduce(lambda a, b: a | b, passes)).select(key, "idx", "x", "dense", F.array(*passes).alias("passes"))
     schema = "position int, n bigint, lexical_low double, lexical_high double, dense_low double, dense_high double"
     ranges = lowered.mapInArrow(_ranges(sc.broadcast(vars(questions))), schema).groupBy("position").agg(
         F.sum("n").alias("n"), *[F.min(f"{c}_low").alias(f"{c}_low") for c in ("lexical", "dense")],
