@@ -88,9 +88,12 @@ def moved(place: str, by: str) -> F.Column:
 
 
 def named(rows: DataFrame, keys: list[str], level: str = "name") -> DataFrame:
-    """``rows`` whose keys occur more than once, with the first place of their keys as name."""
+    """``rows`` whose keys occur more than once, with the first place of their keys as name.
+
+    The names are written first: then both sides of the join come from exchanges of their own, and adaptive execution can split a hot key's rows.
+    """
     first = rows.groupBy(*keys).agg(F.min("place").alias(level), F.count("*").alias("times")).where("times > 1").drop("times")
-    return rows.join(first, keys)
+    return rows.join(materialize(first, "names"), keys)
 
 
 def doubled(level: DataFrame, length: int) -> DataFrame:
@@ -135,7 +138,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", t
     cut = F.split(text, "\n", -1)
     keep = F.filter(cut, lambda line, i: ~F.exists("_runs", lambda r: (r["a"] <= i) & (i < r["b"])))
     count = F.size(cut)
-    return (keyed.join(runs, ["_d", "_h"], "left")
+    # A merge join at any size: texts with and without runs move once, however many of them there are.
+    return (keyed.join(runs.hint("merge"), ["_d", "_h"], "left")
             .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(count))
             .withColumn("n_deleted", F.coalesce(F.aggregate("_runs", F.lit(0), lambda n, r: n + r["b"] - r["a"]), F.lit(0)))
             .withColumn(text, F.when(F.col("_runs").isNull(), F.col(text)).otherwise(F.array_join(keep, "\n")))
