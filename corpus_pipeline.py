@@ -1,7 +1,7 @@
 """The corpus pipeline: language ID, quality, line dedup, near duplicates, packing.
 
 Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read again as the next one's
-documents. All but the last keep the columns of ``documents``. Rows that a stage keeps are whole; the line stage changes texts only.
+documents. All but the last keep the columns of ``documents``. Rows that a stage keeps are whole, but for the lines that the line stage deletes.
 
 Null and repeated ids: language and quality judge row by row, the line stage counts a row that repeats id and text as one, the similarity stage keeps
 every row of a kept id and every row without id.
@@ -19,9 +19,13 @@ from casemill.session import materialize
 SEQUENCE, END_ID = 1024, 0
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for those ids. The ids are a written table: Spark knows its size and broadcasts it only if it is small."""
-    return docs.join(materialize(ids, "dropped"), "doc_id", "left_anti").select(docs.columns)
+def without(docs: DataFrame, ids: DataFrame, hint: str | None = None) -> DataFrame:
+    """``docs`` but for those ids. The ids are a written table: Spark knows its size and broadcasts it only if it is small.
+
+    With the hint "merge" the texts move once at any size, which suits ids that grow with the documents.
+    """
+    dropped = materialize(ids, "dropped")
+    return docs.join(dropped.hint(hint) if hint else dropped, "doc_id", "left_anti").select(docs.columns)
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +43,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of repeated runs of lines; n_chars follows the new text."""
-    cut = line_dedup.dedup(docs)
+    """Documents without later copies of repeated runs of lines; n_chars follows the new text. Documents of which nothing is left go."""
+    cut = line_dedup.dedup(docs).where("n_deleted = 0 OR n_deleted < n_lines")
     return cut.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, the smallest id."""
-    return without(docs, ngram_join.similar(docs, SHINGLE_WORDS, SIMILAR).where("NOT kept").select("doc_id"))
+    return without(docs, ngram_join.similar(docs, SHINGLE_WORDS, SIMILAR).where("NOT kept").select("doc_id"), "merge")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
