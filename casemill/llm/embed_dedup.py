@@ -68,6 +68,7 @@ def cells_of(rows: DataFrame, window: float, block: int) -> DataFrame:
     most = sizes.agg(F.max("size")).first()[0] or 1
     parts = -(-most // block)
     cuts = rows.groupBy("label").agg(F.percentile_approx("at", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("cuts"), F.count("*").alias("size"))
+    cuts = materialize(cuts, "cuts")  # written, so that Spark knows how small it is and leaves a hot label's rows where they are
     # Of ``parts`` equal ranges of the largest label, a smaller one joins neighbours until its blocks are full too.
     dealt = (rows.join(cuts, "label").withColumn("blocks", F.ceil(F.col("size") / block))
              .withColumn("part", (F.expr("size(filter(cuts, c -> c < at))") * F.col("blocks") / F.lit(parts)).cast("int")).drop("cuts", "size", "blocks"))

@@ -169,7 +169,8 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     prior = (by_host.where("host IS NOT NULL").alias("h").join(by_suffix.alias("s"), F.expr("h.suffix <=> s.suffix"))
              .select(F.col("h.host").alias("at_host"), F.col("h.suffix").alias("at_suffix"), F.array(*(F.col(f"h{k}") for k in wide)).alias("hosts"),
                      F.array(*(F.col(f"s{k}") for k in wide)).alias("suffixes")))
-    joined = seen.join(prior, F.expr("host = at_host AND suffix <=> at_suffix"), "left")
+    # Written, so that Spark knows its size: a small one is broadcast, a large one joined with a hot host's rows split.
+    joined = seen.join(materialize(prior, "priors"), F.expr("host = at_host AND suffix <=> at_suffix"), "left")
     zeros = F.array(*(F.lit(0).cast("long") for _ in wide))
     joined = joined.withColumn("hosts", F.coalesce("hosts", zeros)).withColumn("suffixes", F.coalesce("suffixes", zeros))
 
