@@ -243,7 +243,7 @@ def open_index(spark: SparkSession, path: str, spec: TfidfSpec = INDEX) -> Index
 
 
 def build_index(complaints: DataFrame, path: str | None = None, min_chars: int = 80,
-                components: int = 128, passes: int = 5, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
+                components: int = 128, passes: int = 12, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
     """Clean, weigh and project all narratives, and write the index tables below ``path``.
 
     """
@@ -272,7 +272,9 @@ def build_index(complaints: DataFrame, path: str | None = None, min_chars: int =
 
 
 def retrieve(index: Index, questions: DataFrame, k: int = 8) -> tuple[DataFrame, DataFrame]:
-    return hybrid_search(index.vectors, index.ask(questions), k)
+    """Evidence and trace of questions asked to an index; the trace names the index's dense model."""
+    evidence, trace = hybrid_search(index.vectors, index.ask(questions), k)
+    return evidence, trace.withColumn("embedding_model", F.lit(index.model))
 
 
 def dense_search(vectors: DataFrame, asked: DataFrame, k: int = 8, key: str = "vec_id") -> DataFrame:

@@ -9,6 +9,7 @@ cut and a lost task is simply run again.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -90,18 +91,28 @@ def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[[Spar
     return result
 
 
-def right_singular(vectors: DataFrame, n_terms: int, k: int, passes: int = 5, oversample: int = 10,
-                   seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest singular values and right singular vectors (terms x k), by block power iteration."""
+def right_singular(vectors: DataFrame, n_terms: int, k: int, passes: int = 12, oversample: int = 10,
+                   seed: int = 42, tol: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest singular values and right singular vectors (terms x k), by block power iteration.
+
+    Stops when a pass changes the sum of the squared values by less than ``tol`` of it; warns if ``passes`` did not get there.
+    """
     width = min(k + oversample, n_terms)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
     sc = vectors.sparkSession.sparkContext
+    before = 0.0
     for step in range(passes + 1):
         shared = sc.broadcast(basis)
         image = sum_by_term(vectors, n_terms, width, lambda rows, total: rows.add_transposed(rows.times(shared.value), total))
         shared.unpersist()
+        now = np.sort(np.linalg.eigvalsh(basis.T @ image))[::-1][:k].sum()
+        if now - before <= tol * now:
+            break
+        before = now
         if step < passes:
             basis = np.linalg.qr(image)[0]
+        else:
+            warnings.warn(f"singular values still moved after {passes} passes", stacklevel=2)
     squared, mix = np.linalg.eigh(basis.T @ image)
     largest = np.argsort(squared)[::-1][:k]
     directions = basis @ mix[:, largest]
@@ -161,6 +172,7 @@ def initial_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, se
         total[2, 0] += rows.x.sum()
 
     sums = sum_by_term(vectors, 3, directions.shape[1], add)
+    shared.unpersist()
     components = np.zeros((k, n_terms))
     for j in range(directions.shape[1]):
         if j == 0:
@@ -171,8 +183,9 @@ def initial_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, se
             key=lambda side: np.linalg.norm(side[0]) * side[1],
         )
         length = np.linalg.norm(best)
-        if length > 0 and values[j] > 0:
-            components[j] = np.sqrt(values[j] * length * weight / values[j]) * best / length
+        if length > 0:
+            # Singular value times the norms of both parts; the weight is the document side's norm times the value already.
+            components[j] = np.sqrt(length * weight) * best / length
     components[components < 1e-6] = 0.0
     components[components == 0.0] = sums[2, 0] / (n_docs * n_terms)
     return components
@@ -206,6 +219,8 @@ def nmf_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, max_it
         errors.append(float(sums[n_terms + k, 0]))
         if len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]:
             break
+        if len(errors) == max_iter:
+            warnings.warn(f"the factorisation still improved after {max_iter} passes", stacklevel=2)
         components = fit_weights(sums[:n_terms], sums[n_terms:n_terms + k], components.T, sweeps=10).T
     return components, errors
 
