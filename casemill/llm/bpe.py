@@ -22,8 +22,8 @@ from casemill.llm.arrow import gather, list_array, map_batches, ragged, texts_of
 
 # The pre-tokeniser's pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-TABLE_WORDS = 500_000
-BATCH_CHARS = 2_000_000
+TABLE_WORDS = 200_000
+BATCH_CHARS = 1_000_000
 
 
 def read_vocabulary(path: str) -> str:
