@@ -50,7 +50,7 @@ def lookup(names: dict, key: Column) -> Column:
 
 
 def train_router(docs: DataFrame, target: str = "product", key: str = "complaint_id", spec: TfidfSpec = ROUTER, min_class: int = 50,
-                 max_iter: int = 200, tol: float = 1e-4, seed: int = 42) -> Router:
+                 max_iter: int = 100, tol: float = 1e-4, seed: int = 42) -> Router:
     """Train on three quarters of every class with at least ``min_class`` documents and report on the rest.
 
     A class needs a few documents on both sides of the split; fewer than two such classes are an error.
