@@ -3,10 +3,11 @@
 Unit vectors with cosine ``threshold`` or more lie within a known distance, so their projections on a random direction differ by little: within a window of
 ``WIDTH`` standard deviations of that difference, around the query's own projection, they collide with a known probability. Over many projections
 the number of collisions of a pair is binomial; :func:`calibrated` gives the largest count that linked pairs reach with the wanted recall. Pairs that reach
-it are verified by their cosine in double precision.
+it are verified by their cosine in double precision. The projection that deals the vectors into blocks has a wider window of its own (:func:`reach`), as a
+pair outside it is never compared. Each of the two may miss half of what the wanted recall allows.
 
 Only vectors of the same label are compared. Vectors with equal components are one class of copies. A label's vectors are sorted by
-the first projection into blocks; blocks whose ranges come within a window of each other form a cell. Cells count collisions in tiles and return, per
+the first projection into blocks; blocks whose ranges come within the reach of each other form a cell. Cells count collisions in tiles and return, per
 vector, the weight of its links and the smallest vector linked with it: no pair leaves a cell. The number of pairs that are looked at still grows
 with the square of a label's vectors.
 
@@ -17,6 +18,7 @@ without id are left out of the result; rows with the same id count as one vector
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,11 @@ def calibrated(projections: int = PROJECTIONS, width: float = WIDTH, recall: flo
     return 0
 
 
+def reach(recall: float = RECALL) -> float:
+    """Standard deviations within which one projection of a pair at the threshold differs with probability ``recall``."""
+    return NormalDist().inv_cdf((1 + recall) / 2)
+
+
 def directions(size: int, projections: int, seed: int = 11) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((size, projections))
 
@@ -62,7 +69,7 @@ def projected(rows: DataFrame, dims: int) -> DataFrame:
     return rows.withColumn("at", dot / norm)
 
 
-def cells_of(rows: DataFrame, window: float, block: int) -> DataFrame:
+def cells_of(rows: DataFrame, span: float, block: int) -> DataFrame:
     """``rows`` once per cell, with columns cell, part (the row's block) and across (whether the cell pairs two blocks)."""
     sizes = rows.groupBy("label").agg(F.count("*").alias("size"))
     most = sizes.agg(F.max("size")).first()[0] or 1
@@ -74,7 +81,7 @@ def cells_of(rows: DataFrame, window: float, block: int) -> DataFrame:
              .withColumn("part", (F.expr("size(filter(cuts, c -> c < at))") * F.col("blocks") / F.lit(parts)).cast("int")).drop("cuts", "size", "blocks"))
     dealt = materialize(dealt, "dealt")
     spans = dealt.groupBy("label", "part").agg(F.min("at").alias("low"), F.max("at").alias("high"))
-    pairs = (spans.alias("a").join(spans.alias("b"), F.expr("a.label = b.label AND a.low <= b.high + {w} AND b.low <= a.high + {w}".format(w=window)))
+    pairs = (spans.alias("a").join(spans.alias("b"), F.expr("a.label = b.label AND a.low <= b.high + {w} AND b.low <= a.high + {w}".format(w=span)))
              .groupBy(F.col("a.label").alias("label"), F.col("a.part").alias("part")).agg(F.collect_list("b.part").alias("others")))
     return (dealt.join(pairs, ["label", "part"]).withColumn("other", F.explode("others"))
             .withColumn("cell", F.xxhash64("label", F.least("part", "other"), F.greatest("part", "other")))
@@ -143,13 +150,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "
     valid = valid.where(F.size("vector") == dims)
     classes = materialize(valid.groupBy("label", "one", "two").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "copies")
     reps = projected(valid.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id").select("vec_id", "label", "vector", "copies"), dims)
-    window = WIDTH * math.sqrt(2 - 2 * threshold)
-    through, count = directions(dims, PROJECTIONS), calibrated()
+    deviation = math.sqrt(2 - 2 * threshold)
+    each = 1 - (1 - RECALL) / 2
+    through, count = directions(dims, PROJECTIONS), calibrated(recall=each)
+    window = WIDTH * deviation
+    span = reach(each) * deviation * float(np.linalg.norm(through[:, 0])) / math.sqrt(dims)  # by the length that the one direction really has
 
     def verify(cell: pa.Table) -> pa.Table:
         return links_within(cell, threshold, window, count, through)
 
-    found = materialize(cells_of(reps, window, block).groupBy("cell").applyInArrow(verify, "vec_id bigint, linked bigint, lead bigint"), "links")
+    found = materialize(cells_of(reps, span, block).groupBy("cell").applyInArrow(verify, "vec_id bigint, linked bigint, lead bigint"), "links")
     joined = components(found, "vec_id", "lead").select(F.col("node").alias("rep"), "component")
     counted = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("linked").alias("linked"))
     by_class = (classes.join(joined, "rep", "left").join(counted, "rep", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -315,6 +316,31 @@ def test_calibrated_count():
     assert ((gaps <= embed_dedup.WIDTH).sum(axis=1) >= count).all()
 
 
+def test_pairs_far_apart_on_the_first_projection(spark):
+    draw = np.random.default_rng(12)
+    base = draw.standard_normal((80_000, 48))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = draw.standard_normal(base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = draw.uniform(0.9301, 0.94, (len(base), 1))
+    other = cosine * base + np.sqrt(1 - cosine**2) * side
+    first = embed_dedup.directions(48, embed_dedup.PROJECTIONS)[:, 0]
+    far = np.flatnonzero(np.abs((base - other) @ first) > 1.06 * embed_dedup.WIDTH * np.sqrt(2 - 2 * 0.93))[:60]
+    vectors = np.vstack([base[far], other[far], draw.standard_normal((2000, 48))])
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    links = {i: set(np.flatnonzero(near[i]).tolist()) - {i} for i in range(len(vectors))}
+    assert len(far) == 60 and sum(map(len, links.values())) >= 120
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>, label int")
+    check_links(embed_dedup.near_duplicates(table, 0.93, block=64).collect(), links, "vec_id", "component_id")
+
+
+def test_reach_of_the_blocks():
+    assert 4.8 < embed_dedup.reach() < 5
+    assert 1 - math.erf(embed_dedup.reach() / math.sqrt(2)) <= 1.001 * (1 - embed_dedup.RECALL)
+
+
 # 8: neighbours
 
 
