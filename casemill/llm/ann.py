@@ -5,8 +5,9 @@ is a matrix of neighbour numbers for each layer (-1 where there is none), writte
 searches read. Points enter a graph in small batches: each batch is searched in the graph so far, its points are compared with each other, neighbours are
 chosen for diversity and filled up, and full lists of their neighbours are pruned by the same rule. Searches walk many queries in step.
 
-Every valid row is indexed and every query meets every shard, in blocks; the beam's vectors are scored again in double precision. Should a query reach
-fewer rows than wanted in a shard, that shard's other rows are scored too, so short tables give all their rows.
+Equal vectors are one node, so copies do not fill each other's lists or a beam. A node carries the ids of its rows, of many copies the ``k`` + 1 smallest,
+which is exact for the best ``k`` without the query. Every valid row has its node and every query meets every shard, in blocks; the beam's vectors are scored
+again in double precision. Should a query reach fewer rows than wanted in a shard, that shard's other nodes are scored too, so short tables give all their rows.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do rows without id. Rows with the same
 id are neighbours of their own, but never of a query with that id.
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.arrow import map_batches
+from casemill.llm.arrow import gather, map_batches, ragged
 from casemill.llm.embed_dedup import usable
 from casemill.session import materialize
 
@@ -32,7 +33,7 @@ SHARD_ROWS = 8_192
 QUERY_ROWS = 2_048
 BATCH = 128
 STEP = 4
-INDEX_SCHEMA = "shard int, size int, ids binary, vectors binary, entry int, layers array<binary>"
+INDEX_SCHEMA = "shard int, size int, ids binary, counts binary, vectors binary, entry int, layers array<binary>"
 
 
 def beam_search(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,42 +185,60 @@ def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
     return (np.column_stack([vectors, rest]) / longest).astype(np.float32)
 
 
-def index(vectors: DataFrame, shards: int, longest: float) -> DataFrame:
-    """One row per shard with its graph; ``vectors`` has vec_id and vector (array of double)."""
+def nodes_of(valid: DataFrame, k: int) -> DataFrame:
+    """One row per distinct vector: its smallest vec_id, the vector, and its ids (the ``k`` + 1 smallest, each up to ``k`` times if rows repeat it)."""
+    keyed = materialize(valid.withColumn("one", F.xxhash64("vector")).withColumn("two", F.xxhash64(F.reverse("vector"))), "keyed")
+    ids = keyed.groupBy("one", "two", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"))
+    place = Window.partitionBy("one", "two").orderBy("vec_id")
+    ids = ids.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)  # limited in each task before the shuffle
+    members = ids.groupBy("one", "two").agg(F.sort_array(F.flatten(F.collect_list(F.expr("array_repeat(vec_id, times)")))).alias("members"))
+    return keyed.groupBy("one", "two").agg(F.first("vector").alias("vector")).join(members, ["one", "two"]).select(F.col("members")[0].alias("vec_id"), "vector", "members")
+
+
+def index(nodes: DataFrame, shards: int, longest: float) -> DataFrame:
+    """One row per shard with its graph; ``nodes`` has vec_id, vector (array of double) and members (the ids of the rows with that vector)."""
 
     def make(rows: pa.Table) -> pa.Table:
         ids = rows["vec_id"].to_numpy()
         order = np.argsort(ids, kind="stable")
+        members = rows["members"].combine_chunks()
+        counts = np.diff(members.offsets.to_numpy())
+        starts = ragged(counts)[:-1]
         flat = rows["vector"].combine_chunks().flatten().to_numpy().reshape(ids.size, -1)[order]
         graph = build(lifted(flat, longest))
         return pa.table({
-            "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "size": pa.array([ids.size], pa.int32()), "ids": pa.array([ids[order].tobytes()]),
+            "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "size": pa.array([ids.size], pa.int32()),
+            "ids": pa.array([members.flatten().to_numpy()[gather(starts[order], counts[order])].astype(np.int64).tobytes()]),
+            "counts": pa.array([counts[order].astype(np.int64).tobytes()]),
             "vectors": pa.array([flat.tobytes()]), "entry": pa.array([graph.entry], pa.int32()),
             "layers": pa.array([[x.astype(np.int32).tobytes() for x in graph.layers]], pa.list_(pa.binary()))})
 
-    return vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(make, INDEX_SCHEMA)
+    return nodes.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(make, INDEX_SCHEMA)
 
 
-def best_of_shard(ids: np.ndarray, flat: np.ndarray, graph: Graph, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, ...]:
-    """(query number, vec_id, score) of the best ``k`` of a shard for each query."""
+def best_of_shard(ids: np.ndarray, counts: np.ndarray, flat: np.ndarray, graph: Graph, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, ...]:
+    """(query number, vec_id, score) of the best ``k`` rows of a shard for each query; ``ids`` has the rows of the nodes one after the other."""
     rows, found, scores = [], [], []
     norm = np.linalg.norm(queries, axis=1, keepdims=True)
     unit = np.column_stack([queries / norm, np.zeros(len(queries))]).astype(np.float32)
+    starts = ragged(counts)[:-1]
+
+    def rows_of(at: np.ndarray, score: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+        of, score = ids[gather(starts[at], counts[at])], np.repeat(score, counts[at])
+        return of[of != own], score[of != own]
+
     for first in range(0, len(queries), BATCH):
         nodes = graph.search(unit[first : first + BATCH], max(beam, k + 1))
         q = queries[first : first + BATCH]
-        dots = np.where(nodes >= 0, exact(flat[nodes], q[:, None, :]), -np.inf)
-        own = (nodes >= 0) & (ids[nodes] == query_ids[first : first + BATCH, None])
-        dots[own] = -np.inf
+        dots = exact(flat[nodes], q[:, None, :])
         for i in range(len(q)):
-            at, score = nodes[i], dots[i]
-            if np.count_nonzero(score > -np.inf) < min(k, ids.size):
-                at = np.flatnonzero(ids != query_ids[first + i])
-                score = exact(flat[at], q[i])
-            order = np.lexsort((ids[at], -score))[:k]
-            order = order[score[order] > -np.inf]
+            real = nodes[i] >= 0
+            of, score = rows_of(nodes[i][real], dots[i][real], query_ids[first + i])
+            if of.size < k and np.count_nonzero(real) < counts.size:
+                of, score = rows_of(np.arange(counts.size), exact(flat, q[i]), query_ids[first + i])
+            order = np.lexsort((of, -score))[:k]
             rows.append(np.full(order.size, first + i))
-            found.append(ids[at[order]])
+            found.append(of[order])
             scores.append(score[order])
     return tuple(np.concatenate([*x, np.zeros(0, x[0].dtype if x else np.int64)]) for x in (rows, found, scores))
 
@@ -241,20 +260,20 @@ def search(graphs: DataFrame, queries: DataFrame, shards: int, k: int, dims: int
         def step(part: pa.RecordBatch):
             for row in range(part.num_rows):
                 cell = {name: part.column(i)[row] for i, name in enumerate(part.schema.names)}
-                ids = np.frombuffer(cell["ids"].as_buffer(), np.int64)
-                flat = np.frombuffer(cell["vectors"].as_buffer(), np.float64).reshape(ids.size, dims)
-                layers = [np.frombuffer(x.as_buffer(), np.int32).reshape(ids.size, -1).astype(np.int64) for x in cell["layers"]]
+                ids, counts = (np.frombuffer(cell[name].as_buffer(), np.int64) for name in ("ids", "counts"))
+                flat = np.frombuffer(cell["vectors"].as_buffer(), np.float64).reshape(counts.size, dims)
+                layers = [np.frombuffer(x.as_buffer(), np.int32).reshape(counts.size, -1).astype(np.int64) for x in cell["layers"]]
                 longest = np.sqrt((flat**2).sum(axis=1).max())
                 graph = Graph(lifted(flat, longest), cell["entry"].as_py(), layers)
                 asked = cell["q"].values
                 query_ids = asked.field("vec_id").to_numpy()
                 vectors = asked.field("vector").flatten().to_numpy().reshape(query_ids.size, dims)
-                at, found, scores = best_of_shard(ids, flat, graph, query_ids, vectors, k, beam)
+                at, found, scores = best_of_shard(ids, counts, flat, graph, query_ids, vectors, k, beam)
                 yield pa.RecordBatch.from_arrays([pa.array(query_ids[at]), pa.array(found), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
         return step
 
-    names = ["ids", "vectors", "entry", "layers", "q"]
+    names = ["ids", "counts", "vectors", "entry", "layers", "q"]
     return map_batches(cells.select(*names), make, "query_id bigint, vec_id bigint, score double")
 
 
@@ -266,9 +285,10 @@ def nearest_neighbours(rows: DataFrame, is_query: F.Column, k: int = 20, vec_id:
     dims = length["size"] if length else 0
     valid = valid.where(F.size("vector") == dims)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    n, longest = valid.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(1.0))).first()
+    nodes = materialize(nodes_of(valid, k), "nodes")
+    n, longest = nodes.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(1.0))).first()
     shards = n // shard_rows + 1
-    graphs = materialize(index(valid, shards, longest), "graphs")
+    graphs = materialize(index(nodes, shards, longest), "graphs")
     found = search(graphs, valid.where(is_query), shards, k, dims, beam)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

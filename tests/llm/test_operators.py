@@ -366,6 +366,35 @@ def test_neighbours_recall(spark):
     assert hit / (150 * 20) >= 0.95
 
 
+def test_neighbours_beside_copies(spark):
+    draw = np.random.default_rng(14)
+    vectors = draw.standard_normal((ann.SHARD_ROWS, 24))
+    vectors[1::8] = vectors[1]  # a hot group in one full shard
+    vectors[0], vectors[20] = vectors[1], vectors[1]
+    vectors[4000:4030] = vectors[1] * 0.9 + 0.1 * draw.standard_normal((30, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    rows = ann.nearest_neighbours(table, F.col("vec_id") % 20 == 0, 20).collect()
+    got, ids, hit = {}, np.arange(len(vectors)), []
+    for r in sorted(rows, key=lambda r: r.rank):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    copies = np.flatnonzero((vectors == vectors[1]).all(axis=1)).tolist()
+    for q in range(0, len(vectors), 20):
+        hit.append(len(set(got[q]) & {i for i, _ in exact_neighbours(ids, vectors, q, 20)}) / 20)
+        assert len(got[q]) == len(set(got[q])) == 20
+    for q in (0, 20):
+        longer = [i for i in np.argsort(-(vectors @ vectors[q])) if vectors[i] @ vectors[q] > vectors[q] @ vectors[q] + 1e-9][:20]
+        assert got[q][len(longer) :] == [i for i in copies if i != q][: 20 - len(longer)]
+    print("recall beside copies", np.mean(hit))
+    assert np.mean(hit) >= 0.95
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0])] * 30 + [(1, [1.0, 0.0])] * 3 + [(2, [1.0, 0.0]), (0, [0.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.nearest_neighbours(table, F.expr("vec_id = 2"), 20).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [0] * 20
+
+
 def test_neighbours_of_few_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [float("nan"), 1.0]), (6, [0.5, None]), (7, [1.0]), (20, [-1.0, 2.0]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
