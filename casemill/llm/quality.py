@@ -1,7 +1,7 @@
 """Quality scores: random-indexing word vectors, pooled per document, and a two-layer network with a calibrated temperature.
 
 Every word is hashed to a bucket with a fixed sparse random vector of +1 and -1. The vector of a word is the normalised sum of the random vectors of the words
-around it in the training texts. A document is the mean vector of its words with a few shares of its form (distinct words, capitals, signs, repeats).
+around it in all documents, labelled or not, summed in a pass over them. A document is the mean vector of its words with a few shares of its form (distinct words, capitals, signs, repeats).
 The network is fitted on at most ``TRAIN_ROWS`` labelled rows, the ones with the smallest hash of their id; a further ``CALIBRATE_ROWS`` at most
 set the temperature that makes its probabilities fit the labels. Only texts enter a score. All documents are scored, whole.
 
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm import words
-from casemill.llm.arrow import map_batches, texts_of, with_columns
+from casemill.llm.arrow import ROWS, map_batches, texts_of, with_columns
 from casemill.llm.counts import pretoken_spans
 
 TRAIN_ROWS = 6_000
@@ -112,17 +112,42 @@ def features(tokens: Tokens, vectors: np.ndarray, texts: list[str]) -> np.ndarra
     return np.concatenate(parts)
 
 
-def word_vectors(tokens: Tokens, texts: list[str]) -> np.ndarray:
-    index = index_vectors()
-    total = np.zeros((BUCKETS, WIDTH), np.float32)
+def add_contexts(total: np.ndarray, index: np.ndarray, tokens: Tokens, texts: list[str]) -> None:
+    """Add the random vectors around every word of the texts to its bucket's row. All numbers are whole, so sums are exact in any order."""
     for _, _, hashes, of, _ in tokens(texts):
+        if not of.size:
+            continue
         at = buckets(hashes)
+        around = np.zeros((at.size, WIDTH), np.float32)
         for step in range(1, WINDOW + 1):
             near = of[step:] == of[:-step]
-            left, right = at[:-step][near], at[step:][near]
-            pairs, times = np.unique(np.concatenate([left * BUCKETS + right, right * BUCKETS + left]), return_counts=True)
-            np.add.at(total, pairs // BUCKETS, index[pairs % BUCKETS] * times[:, None].astype(np.float32))
-    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+            around[:-step] += index[np.where(near, at[step:], BUCKETS)]
+            around[step:] += index[np.where(near, at[:-step], BUCKETS)]
+        order = np.argsort(at, kind="stable")
+        heads = np.flatnonzero(np.diff(at[order], prepend=-1))
+        total[at[order[heads]]] += np.add.reduceat(around[order], heads, axis=0).astype(np.int64)
+
+
+def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """The vector of every bucket from all documents. A task sends one row per bucket it met; the driver gets BUCKETS rows at most."""
+    names = [f"c{k}" for k in range(WIDTH)]
+
+    def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = np.vstack([index_vectors(), np.zeros((1, WIDTH), np.float32)])  # the last row stands for "no word"
+        tokens, total = Tokens(), np.zeros((BUCKETS, WIDTH), np.int64)
+        for part in parts:
+            for first in range(0, part.num_rows, ROWS):
+                add_contexts(total, index, tokens, texts_of(part.column(0).slice(first, ROWS)))
+        met = np.flatnonzero(total.any(axis=1))
+        for first in range(0, met.size, 4096):
+            some = met[first : first + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(total[some, k]) for k in range(WIDTH))], names=["bucket", *names])
+
+    sums = (docs.select(text).mapInArrow(partial, ", ".join(f"{n} bigint" for n in ["bucket", *names]))
+            .groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))).toArrow()
+    total = np.zeros((BUCKETS, WIDTH))
+    total[sums["bucket"].to_numpy()] = np.column_stack([sums[n].to_numpy() for n in names])
+    return (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
 def fit_network(x: np.ndarray, y: np.ndarray, steps: int = 1500, seed: int = 5, rate: float = 0.01, decay: float = 1e-4) -> list[np.ndarray]:
@@ -153,9 +178,8 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(losses))])
 
 
-def fit_texts(texts: list[str], y: np.ndarray, calibrate: list[str], y_calibrate: np.ndarray) -> Model:
+def fit_texts(vectors: np.ndarray, texts: list[str], y: np.ndarray, calibrate: list[str], y_calibrate: np.ndarray) -> Model:
     tokens = Tokens()
-    vectors = word_vectors(tokens, texts)
     x = features(tokens, vectors, texts).astype(np.float64)
     mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     model = Model(vectors, mean, spread, fit_network((x - mean) / spread, y))
@@ -170,7 +194,7 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
-    """A model of at most ``TRAIN_ROWS`` labelled rows; None without labelled rows of both kinds."""
+    """A model of at most ``TRAIN_ROWS`` labelled rows with word vectors of all documents; None without labelled rows of both kinds."""
     ids = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL").where(~held_out())
            .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS + CALIBRATE_ROWS))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), "doc_id").toArrow()  # the limit bounds both
@@ -180,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if len(set(y.tolist())) < 2:
         return None
     cut = len(y) * TRAIN_ROWS // (TRAIN_ROWS + CALIBRATE_ROWS)
-    return fit_texts(texts[:cut], y[:cut], texts[cut:], y[cut:])
+    return fit_texts(word_vectors(docs, text), texts[:cut], y[:cut], texts[cut:], y[cut:])
 
 
 def hash_order(i: int) -> int:

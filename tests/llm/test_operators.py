@@ -506,3 +506,18 @@ def test_quality_edges(spark):
     assert scored.where("score >= 0 AND score <= 1").count() == len(ODD) and scored.columns == [*docs.columns, "score"]
     assert quality.fit(docs, labels.limit(0)) is None and quality.score(docs, None).where("score = 0.5").count() == len(ODD)
     assert quality.score(empty(spark), quality.fit(docs, labels)).count() == 0
+
+
+def test_word_vectors_of_all_documents(spark):
+    texts = [f"labelled words of kind {i % 2} here" for i in range(20)] + [f"rare{i} vocabulary{i} only{i} there" for i in range(40)] + ODD[:9]
+    docs = documents(spark, texts).repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    got, index, want = quality.fit(docs, labels).vectors, quality.index_vectors(), np.zeros((quality.BUCKETS, quality.WIDTH))
+    for _, _, hashes, of, _ in quality.Tokens()([t or "" for t in texts]):
+        at = quality.buckets(hashes)
+        for i in range(at.size):
+            for j in range(max(0, i - 2), min(at.size, i + 3)):
+                if i != j and of[i] == of[j]:
+                    want[at[i]] += index[at[j]]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(got, want, atol=1e-6)
