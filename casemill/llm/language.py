@@ -1,7 +1,6 @@
 """Language of texts by fusing evidence: posterior ~ text x declared language x address suffix x prior of the host.
 
-* Text: log probabilities of hashed byte trigrams of each language, learned from at most ``SAMPLE`` rows with a known language (the smallest hashes
-  of their ids). A text counts as at most ``STRENGTH`` independent trigrams, as its trigrams are not independent. A uniform distribution competes as
+* Text: log probabilities of hashed byte trigrams of each language, counted over all rows with a known language, with or without id. A text counts as at most ``STRENGTH`` independent trigrams, as its trigrams are not independent. A uniform distribution competes as
   "unknown".
 * Declared: the lang attribute of markup; right with probability ``DECLARED``.
 * Suffix: country suffixes of the address speak for a language with probability ``SUFFIX``; others say nothing.
@@ -26,7 +25,6 @@ from pyspark.sql import functions as F
 from casemill.llm.arrow import list_array, map_batches, ragged
 from casemill.session import materialize
 
-SAMPLE = 4_000
 BUCKETS = 1 << 16
 STRENGTH = 40.0
 DECLARED, SUFFIX, LEAST = 0.9, 0.7, 0.5
@@ -62,6 +60,7 @@ class Trigrams:
         codes = (x[:-3] << np.uint32(16)) + (x[1:-2] << np.uint32(8)) + x[2:-1]
         rows = rows[: codes.size]
         live = codes > 0
+        live[np.cumsum(lengths)[:-1] - 1] = False  # two bytes of padding and the next text's first letter
         codes = codes[live] * np.uint32(2654435761)
         return codes >> np.uint32(16), rows[live]
 
@@ -73,19 +72,30 @@ class TextModel:
 
 
 def fit(rows: DataFrame, row_id: str, text: str, lang: str) -> TextModel:
-    """Trigram probabilities of the languages among a bounded sample of rows with a known language."""
-    ids = (rows.select(F.col(row_id).alias("id"), F.col(lang).alias("lang")).where("id IS NOT NULL AND lang IS NOT NULL")
-           .orderBy(F.xxhash64("id"), "id", "lang").limit(SAMPLE))
-    sample = rows.select(F.col(row_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id").select("text", "lang").toArrow()
-    known = sample["lang"].to_pylist()
-    languages = sorted(set(known)) or ["en"]
-    place = np.array([languages.index(x) for x in known], np.int64)
+    """Trigram probabilities of every language that a row is known to have. A task sends its sums, the driver gets BUCKETS numbers a language."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trigrams, totals = Trigrams(), {}
+        for part in parts:
+            known = np.array(part.column(1).to_pylist(), object)
+            for first in range(0, part.num_rows, 200):
+                codes, row = trigrams(part.column(0).slice(first, 200))
+                of = known[first : first + 200]
+                for name in set(of):
+                    total = totals.setdefault(name, np.zeros(BUCKETS, np.int64))
+                    total += np.bincount(codes[(of == name)[row]], minlength=BUCKETS)
+        for name, total in totals.items():
+            met = np.union1d(np.flatnonzero(total), [0])  # at least one, so that a language of empty texts is one too
+            yield pa.RecordBatch.from_arrays([pa.array([name] * met.size, pa.string()), pa.array(met, pa.int64()), pa.array(total[met])], names=["lang", "bucket", "n"])
+
+    labelled = rows.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    sums = labelled.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    names = sums["lang"].combine_chunks().dictionary_encode()
+    found = names.dictionary.to_pylist()
+    languages = sorted(found) or ["en"]
+    place = np.array([languages.index(x) for x in found], np.int64)[names.indices.to_numpy()]
     counts = np.ones((BUCKETS, len(languages)))
-    trigrams, texts = Trigrams(), sample["text"].combine_chunks()
-    for first in range(0, len(known), 200):
-        codes, row = trigrams(texts.slice(first, 200))
-        at = codes.astype(np.int64) * len(languages) + place[first + row]
-        counts += np.bincount(at, minlength=counts.size).reshape(counts.shape)
+    counts[sums["bucket"].to_numpy(), place] += sums["n"].to_numpy()
     logs = np.log(counts / counts.sum(axis=0))
     return TextModel(languages, np.hstack([logs, np.full((BUCKETS, 1), 1 - np.log(BUCKETS))]).astype(np.float32))
 

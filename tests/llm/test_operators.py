@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -471,6 +472,19 @@ def test_language_of_tables(spark):
     assert np.mean([r.language == r.declared for r in pages]) >= 0.98
 
 
+def test_rare_languages_are_languages(spark):
+    rows = [(i if i % 3 else i % 50, f"some common text {i % 7}", "en") for i in range(9000)] + [(9000 + k, f"{c * 5} rare", c * 2) for k, c in enumerate("abcdfghi")]
+    rows += [(None, "no id", "xx"), (9100, None, "yy"), (9101, "unlabelled", None)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "doc_id", "text", "lang")
+    assert model.languages == sorted([*(c * 2 for c in "abcdfghi"), "en", "xx", "yy"])
+    trigrams = language.Trigrams()
+    for k, name in enumerate(model.languages):
+        codes, _ = trigrams(pa.array([t for _, t, of in rows if of == name], pa.string()))
+        counts = 1 + np.bincount(codes, minlength=language.BUCKETS)
+        assert np.allclose(model.logs[:, k], np.log(counts / counts.sum()), atol=1e-4)
+    assert language.fit(spark.createDataFrame([], "doc_id bigint, text string, lang string"), "doc_id", "text", "lang").languages == ["en"]
+
+
 def test_language_evidence_and_nulls(spark):
     model = language.TextModel(["de", "en"], np.zeros((language.BUCKETS, 3), np.float32) - 9)
     model.logs[:, 2] = -20
