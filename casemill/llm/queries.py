@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import ann, bpe, counts, embed_dedup, language, line_dedup, ngram_join, packing, quality, ranked, token_file
+from casemill.llm import ann, bpe, counts, embed_dedup, language, line_dedup, lm, ngram_join, packing, quality, ranked, spelling, token_file
 from casemill.session import scratch_path
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -88,6 +88,14 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("item_id", "rank", "doc_id", "score")
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 TERMS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
 RANKED_SQL = f"""WITH words AS (SELECT doc_id, rn, unnest({TERMS_SQL}) AS term FROM (SELECT doc_id, text, row_number() OVER () AS rn FROM documents)),
 tf AS (SELECT rn, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
@@ -104,6 +112,6 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row
 
 QUERIES = {f.__name__: f for f in (
     op1_language, op2_embedding_dedup, op3_quality, op4_ngram_join, op5_bpe, op6_token_file, op7_line_dedup, op8_neighbours, op9_token_counts, op10_packing,
-    op11_ranked_search)}
+    op11_ranked_search, op12_lm_scores, op13_spelling_variants)}
 # The other results are digests of tokens, hashes and fitted models, which SQL cannot express: tests hold those queries against brute force.
 ORACLE: dict[str, str] = {"op11_ranked_search": RANKED_SQL}
