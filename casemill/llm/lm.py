@@ -18,7 +18,6 @@ token. Null and empty texts are the end token alone. A null id reads as empty in
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +35,11 @@ from casemill.session import materialize
 WORD = spans.marker([0x20, *range(9, 14)])
 FOLDS, HELD_FOLD = 7, 2
 HEAD_WORDS, HEAD_BYTES = 65_536, 64  # words that are broadcast with their counts, and their longest
-PROBES, BITS_PER_ENTRY = 6, 8.66  # a probe of an absent entry succeeds once in 64 times
-PART_TOKENS, PART_WORDS = 4_000_000, 1_000_000  # tokens and words behind a segment
-PENDING_TOKENS = 3_000_000
+PROBES, BITS_PER_ENTRY = 6, 10.0  # an entry's six bits lie in one word of 64; a probe of an absent entry succeeds about once in 60 times
+PART_TOKENS, PART_WORDS = 1_000_000, 500_000  # tokens and words behind a segment
+HOT_WORDS, HOT_SHARE = 1 << 20, 8  # most words whose pairs are spread over all segments, and the share of a segment from which they are
+PENDING_TOKENS, SLICE_BYTES = 1_000_000, 1_000_000
+KNOWN_WORDS = 400_000  # words whose counts a task remembers
 FILTER_BYTES = 256 << 20
 END = np.uint64(0x6A09E667F3BCC908)  # the end token's key
 PAIR, COUNT, FOLLOWERS = 1, 2, 3
@@ -53,7 +54,11 @@ def held_out(doc: str = "doc_id") -> Column:
 
 def keys_of(words: pa.Array) -> np.ndarray:
     """64-bit keys of words; a null is the end token."""
-    return np.array([END if w is None else xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()], np.uint64)
+    digest = xxhash.xxh3_64_intdigest
+    keys = np.fromiter((digest(w) for w in spans.pieces(words)), np.uint64, len(words))
+    if words.null_count:
+        keys[pc.is_null(words).to_numpy(zero_copy_only=False)] = END
+    return keys
 
 
 def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -70,58 +75,92 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mixed(keys) % np.uint64(parts)).astype(np.int64)
 
 
-def entry(keys: np.ndarray, level: int, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    first = mixed(keys ^ mixed(np.array([level * 4 + kind], np.uint64)))
-    return first, mixed(first + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+def pair_part(pairs: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
+    """The segment of pairs: that of their first token, so its followers lie together, but for hot ones (sorted prefixes), whose pairs are spread."""
+    first = prefix(pairs)
+    spread = hot[np.minimum(np.searchsorted(hot, first), hot.size - 1)] == first
+    return part_of(np.where(spread, pairs, first), parts)
 
 
-def place(entries: tuple[np.ndarray, np.ndarray], probe: int, bits) -> np.ndarray:
-    first, step = entries
-    return ((first + np.uint64(probe) * step) >> np.uint64(32)) * bits >> np.uint64(32)
+def entry(keys: np.ndarray, level: int, kind: int, words) -> tuple[np.ndarray, np.ndarray]:
+    """The word that holds each entry, and its bits there."""
+    first = mixed(keys ^ mixed(np.array([level * 4 + kind], np.uint64)))
+    second = mixed(first + np.uint64(0x9E3779B97F4A7C15))
+    bits = np.zeros(keys.size, np.uint64)
+    for _ in range(PROBES):
+        bits |= np.uint64(1) << (second & np.uint64(63))
+        second >>= np.uint64(6)
+    return (first >> np.uint64(32)) * words >> np.uint64(32), bits
 
 
 def segment(filled: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
-    """Bits that hold (kind, keys, counts), packed."""
+    """Words that hold (kind, keys, counts)."""
     levels = [np.searchsorted(SCALE, counts, side="right") for _, _, counts in filled]
-    bits = max(64, int(BITS_PER_ENTRY * sum(int(q.sum()) for q in levels)))
-    out = np.zeros(bits, bool)
+    out = np.zeros(max(1, int(BITS_PER_ENTRY / 64 * sum(int(q.sum()) for q in levels))), np.uint64)
     for (kind, keys, _), upto in zip(filled, levels, strict=True):
         for level in range(1, int(upto.max(initial=0)) + 1):
-            entries = entry(keys[upto >= level], level, kind)
-            for probe in range(PROBES):
-                out[place(entries, probe, np.uint64(bits)).astype(np.int64)] = True
-    return struct.pack("<q", bits) + np.packbits(out, bitorder="little").tobytes()
+            at, bits = entry(keys[upto >= level], level, kind, np.uint64(out.size))
+            np.bitwise_or.at(out, at.astype(np.int64), bits)
+    return out.tobytes()
 
 
 class Filter:
-    """Segments as one flat array; ``level`` probes them."""
+    """Segments as one flat array of words; ``level`` probes them."""
 
-    def __init__(self, flat: np.ndarray, bits: np.ndarray, begins: np.ndarray):
-        self.flat, self.bits, self.begins = flat, bits.astype(np.uint64), begins.astype(np.int64)
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes, self.begins = flat, sizes.astype(np.uint64), ragged(sizes)[:-1]
 
     @staticmethod
-    def fields(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``segments`` by number; None for one that is not here."""
-        bits = np.array([struct.unpack("<q", s[:8])[0] if s else 1 for s in segments], np.int64)
-        bodies = [np.frombuffer(s, np.uint8, offset=8) if s else np.zeros(1, np.uint8) for s in segments]
-        return np.concatenate([*bodies, np.zeros(1, np.uint8)]), bits, ragged(np.array([b.size for b in bodies], np.int64))[:-1]
+    def fields(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``segments`` by number; an empty one holds nothing."""
+        bodies = [np.frombuffer(s or bytes(8), np.uint64) for s in segments]
+        return np.concatenate(bodies), np.array([b.size for b in bodies], np.int64)
 
     def level(self, keys: np.ndarray, parts: np.ndarray, kind: int) -> np.ndarray:
-        """The level of each key: probes go on from level 1 while all places of the entry are set."""
+        """The level of each key: probes go on from level 1 while all bits of the entry are set."""
         out = np.zeros(keys.size, np.int64)
         active = np.arange(keys.size)
+        sizes, begins = self.sizes[parts], self.begins[parts]
         for level in range(1, SCALE.size + 1):
-            for probe in range(PROBES):
-                entries = entry(keys[active], level, kind)
-                at = place(entries, probe, self.bits[parts[active]]).astype(np.int64)
-                active = active[(self.flat[self.begins[parts[active]] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1]
-                if not active.size:
-                    return out
+            at, bits = entry(keys, level, kind, sizes)
+            hit = np.flatnonzero(self.flat[begins + at.astype(np.int64)] & bits == bits)
+            if not hit.size:
+                break
+            active, keys, sizes, begins = active[hit], keys[hit], sizes[hit], begins[hit]
             out[active] = level
         return out
 
-    def count(self, keys: np.ndarray, kind: int, by: np.ndarray) -> np.ndarray:
-        return MIDDLE[self.level(keys, part_of(by, self.bits.size), kind)]
+    def count(self, keys: np.ndarray, kind: int, parts: np.ndarray) -> np.ndarray:
+        return MIDDLE[self.level(keys, parts, kind)]
+
+
+class WordCounts:
+    """Counts and follower counts of words from the filter; those met before are remembered."""
+
+    def __init__(self, held: Filter):
+        self.held = held
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros((0, 2))
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """(count, followers) of distinct keys."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(keys.size, bool)
+        inside = np.flatnonzero(at < self.keys.size)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        out = np.zeros((keys.size, 2))
+        out[known] = self.values[at[known]]
+        new = np.flatnonzero(~known)
+        if new.size:
+            new = new[np.argsort(keys[new])]
+            fresh = keys[new]
+            home = part_of(prefix(fresh), self.held.sizes.size)
+            out[new, 0] = self.held.count(fresh, COUNT, home)
+            out[new, 1] = np.minimum(self.held.count(prefix(fresh), FOLLOWERS, home), out[new, 0])
+            if self.keys.size + fresh.size > KNOWN_WORDS:
+                self.keys, self.values = np.zeros(0, np.uint64), np.zeros((0, 2))
+            place = np.searchsorted(self.keys, fresh)
+            self.keys, self.values = np.insert(self.keys, place, fresh), np.insert(self.values, place, out[new], axis=0)
+        return out
 
 
 class Tokens:
@@ -158,7 +197,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield from pa.table({"word": table["word"].cast(pa.string()), "n": table["n_sum"]}).to_batches(max_chunksize=20_000)
 
         for whole in parts:
-            for part in spans.slices(whole, "text"):
+            for part in spans.slices(whole, "text", SLICE_BYTES):
                 coded = spans.cut(part.column("text"), WORD)[0].dictionary_encode()
                 n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
                 pending.append(pa.table({"word": coded.dictionary, "n": n.astype(np.int64)}))
@@ -182,12 +221,11 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
-def dealt(keys: np.ndarray, counts: np.ndarray, by: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+def dealt(keys: np.ndarray, counts: np.ndarray, part: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """``(part, keys, counts)``: a row per part with the bytes of its arrays."""
-    part = part_of(by, parts)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    keys, counts = keys[order], counts[order].astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64)
+    keys, counts = keys[order], counts[order].astype(np.int64)
     use = np.flatnonzero(np.diff(cuts)).tolist()
     for first in range(0, len(use), 64):
         some = use[first : first + 64]
@@ -196,14 +234,12 @@ def dealt(keys: np.ndarray, counts: np.ndarray, by: np.ndarray, parts: int) -> I
             names=["part", "keys", "counts"])
 
 
-def arrays_of(rows: pa.Table, keys: str = "keys", counts: str = "counts") -> tuple[np.ndarray, np.ndarray]:
-    """The arrays of ``dealt`` rows, put together."""
-    found = [(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32 if len(c) < len(k) else np.uint64).astype(np.int64))
-             for k, c in zip(rows[keys].to_pylist(), rows[counts].to_pylist(), strict=True)]
-    return (np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in ((0, np.uint64), (1, np.int64)))
+def arrays_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays of ``dealt`` rows, put together: they lie one after the other in the columns' buffers."""
+    return tuple(np.concatenate([np.zeros(0, t), *(spans.bytes_of(c)[0].view(t) for c in rows[name].chunks)]) for name, t in (("keys", np.uint64), ("counts", np.int64)))
 
 
-def pair_segments(docs: DataFrame, parts: int, word_parts: int) -> DataFrame:
+def pair_segments(docs: DataFrame, parts: int, word_parts: int, hot: np.ndarray) -> DataFrame:
     """``(part, bits, n1, n2, followers)``: segments of the pair filter, pairs seen once and twice, and per word part keys and numbers of followers."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,10 +247,10 @@ def pair_segments(docs: DataFrame, parts: int, word_parts: int) -> DataFrame:
 
         def merged() -> Iterator[pa.RecordBatch]:
             keys, counts = summed(*(np.concatenate([p[i] for p in pending]) for i in (0, 1)))
-            yield from dealt(keys, counts, keys, parts)
+            yield from dealt(keys, counts, pair_part(keys, parts, hot), parts)
 
         for whole in batches:
-            for part in spans.slices(whole, "text"):
+            for part in spans.slices(whole, "text", SLICE_BYTES):
                 tokens = Tokens(part.column("text"))
                 keys = tokens.keys()
                 pairs, counts = tokens.pairs()
@@ -229,7 +265,7 @@ def pair_segments(docs: DataFrame, parts: int, word_parts: int) -> DataFrame:
     def build(rows: pa.Table) -> pa.Table:
         keys, counts = summed(*arrays_of(rows))
         heads, followers = summed(prefix(keys), np.ones(keys.size, np.int64))
-        dealt_out = list(dealt(heads, followers, heads, word_parts))
+        dealt_out = list(dealt(heads, followers, part_of(heads, word_parts), word_parts))
         rows_out = pa.Table.from_batches(dealt_out) if dealt_out else None
         lists = rows_out.to_struct_array().combine_chunks() if rows_out else pa.array([], pa.struct([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
         return pa.table({"part": rows["part"].slice(0, 1), "bits": pa.array([segment([(PAIR, keys, counts)])], pa.binary()), "n1": [int((counts == 1).sum())],
@@ -246,7 +282,7 @@ def word_segments(counts: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = keys_of(batch.column("word").cast(pa.binary()))
-            yield from dealt(keys, batch.column("n").to_numpy(), prefix(keys), parts)
+            yield from dealt(keys, batch.column("n").to_numpy(), part_of(prefix(keys), parts), parts)
 
     def build(rows: pa.Table) -> pa.Table:
         words = [arrays_of(rows.filter(pc.equal(rows["kind"], kind))) for kind in (COUNT, FOLLOWERS)]
@@ -258,38 +294,54 @@ def word_segments(counts: DataFrame, pairs: DataFrame, parts: int) -> DataFrame:
     return blobs.union(followers).groupBy("part").applyInArrow(build, "part int, bits binary")
 
 
-def head_words(counts: DataFrame) -> list:
-    """The words of at least a count that no more than ``HEAD_WORDS`` words reach, as (word, n)."""
-    sizes = counts.groupBy(F.floor(F.log2("n")).cast("int").alias("e")).count().orderBy(F.desc("e")).collect()  # at most 63 rows
+def least_power(counts: DataFrame, most: int) -> int:
+    """The smallest e so that no more than ``most`` words occur 2^e times or more."""
     least, total = 63, 0
-    for row in sizes:
+    for row in counts.groupBy(F.floor(F.log2("n")).cast("int").alias("e")).count().orderBy(F.desc("e")).collect():  # at most 63 rows
         total += row["count"]
-        if total > HEAD_WORDS:
+        if total > most:
             break
         least = row["e"]
-    return counts.where((F.floor(F.log2("n")) >= least) & (F.octet_length("word") <= HEAD_BYTES)).collect()
+    return least
+
+
+def head_words(counts: DataFrame) -> pa.Table:
+    """The words of at least a count that no more than ``HEAD_WORDS`` words reach."""
+    return counts.where((F.floor(F.log2("n")) >= least_power(counts, HEAD_WORDS)) & (F.octet_length("word") <= HEAD_BYTES)).toArrow()
+
+
+def hot_prefixes(counts: DataFrame) -> np.ndarray:
+    """Sorted prefixes of the keys of words that would fill a good part of a segment, at most ``HOT_WORDS``, and of the end token."""
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(prefix(keys_of(batch.column("word").cast(pa.binary()))).astype(np.int64))], names=["prefix"])
+
+    hot = counts.where((F.col("n") >= PART_TOKENS // HOT_SHARE) & (F.floor(F.log2("n")) >= least_power(counts, HOT_WORDS)))
+    found = hot.mapInArrow(body, "prefix long").toArrow()["prefix"].to_numpy().astype(np.uint64)
+    return np.unique(np.append(found, prefix(np.array([END]))))
 
 
 def score_texts(docs: DataFrame, shared) -> DataFrame:
     """One row per text, and one per text and word that is not broadcast. Only the pairs of the segments at hand add to the score."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, head_counts, n, v, ends, discount, pair_fields, here, word_fields, with_base = shared.value
-        wanted, pairs_held, words_held = pa.array(head, pa.binary()), Filter(*pair_fields), Filter(*word_fields)
+        head, head_counts, n, v, ends, discount, pair_fields, here, hot, word_fields, with_base = shared.value
+        wanted, pairs_held, word_counts_of = pa.array(head, pa.binary()), Filter(*pair_fields), WordCounts(Filter(*word_fields))
         terms = np.log10((np.append(head_counts, 0.0) + 1) / (n + v + 1))
         for whole in batches:
-            for part in spans.slices(whole, "text"):
-                tokens = Tokens(part.column("text"))
+            for part in spans.slices(whole, "text", SLICE_BYTES):
+                tokens, part = Tokens(part.column("text")), part.select(["row", "doc_id", "held_out"])
                 keys, rows = tokens.keys(), part.num_rows
-                count = words_held.count(keys, COUNT, prefix(keys))
-                followers = np.minimum(words_held.count(prefix(keys), FOLLOWERS, prefix(keys)), count)
+                count, followers = word_counts_of(keys).T
                 plain = (count + 1) / (n + v + 1)
                 pairs, at = tokens.pairs(inverse=True)
                 before, after = np.divmod(pairs, tokens.end + 1)
                 joint = pair_keys(keys[before], keys[after])
-                mine = here[part_of(joint, here.size)]
+                home = pair_part(joint, here.size, hot)
+                mine = here[home]
                 seen = np.zeros(pairs.size)
-                seen[mine] = pairs_held.count(joint[mine], PAIR, joint[mine])
+                seen[mine] = pairs_held.count(joint[mine], PAIR, home[mine])
                 seen = np.minimum(seen, np.minimum(count[before], count[after]))
                 total = np.maximum(count[before], 1)
                 mass = np.where(count[before] > 0, discount * np.maximum(followers[before], 1) / total, 1.0)
@@ -354,7 +406,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     words, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     n, v = total + ends, words + (ends > 0)
     parts, word_parts = max(1, -(-n // PART_TOKENS)), max(1, -(-v // PART_WORDS))
-    pairs = materialize(pair_segments(train, parts, word_parts), "pair_segments")
+    hot = hot_prefixes(counts)
+    pairs = materialize(pair_segments(train, parts, word_parts, hot), "pair_segments")
     end_row = spark.createDataFrame([(None, ends)] if ends else [], "word string, n long")
     by_word = materialize(word_segments(counts.union(end_row), pairs, word_parts), "word_segments")
     once, twice = pairs.agg(F.coalesce(F.sum("n1"), F.lit(0)), F.coalesce(F.sum("n2"), F.lit(0))).first()
@@ -367,8 +420,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     found = []
     for turn, here in enumerate(plan):
         shared = spark.sparkContext.broadcast((
-            [r["word"].encode() for r in head], np.array([r["n"] for r in head], float), n, v, ends, once / (once + 2 * twice) if once else 0.0,
-            Filter.fields(segments_of(pairs, parts, here)), here, word_fields, turn == 0))
+            head["word"].cast(pa.binary()).to_pylist(), head["n"].to_numpy().astype(float), n, v, ends, once / (once + 2 * twice) if once else 0.0,
+            Filter.fields(segments_of(pairs, parts, here)), here, hot, word_fields, turn == 0))
         found.append(materialize(score_texts(texts, shared), "scores"))
         shared.destroy()
     rows = found[0].where("word IS NULL")

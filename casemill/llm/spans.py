@@ -27,6 +27,13 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pieces(column: pa.Array) -> Iterator[bytes]:
+    """The values of a string or binary column as bytes."""
+    data, offsets = bytes_of(column)
+    raw, at = data.tobytes(), offsets.tolist()
+    return (raw[a:b] for a, b in zip(at, at[1:]))
+
+
 def slices(part: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about ``limit`` bytes of text; a longer text makes a slice by itself."""
     _, offsets = bytes_of(part.column(text))

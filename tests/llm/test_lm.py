@@ -110,9 +110,8 @@ def test_random_texts(spark, monkeypatch):
     held_rows = [r for r in want if r[1]]
     assert held_rows and sum(r[6] for r in held_rows) > sum(r[5] for r in held_rows)
     # Several segments, small slices, a short head, and a filter that goes out in turns.
-    for name, value in (("PART_TOKENS", 1500), ("PART_WORDS", 60), ("PENDING_TOKENS", 500), ("HEAD_WORDS", 20), ("FILTER_BYTES", 2000)):
+    for name, value in (("PART_TOKENS", 1500), ("PART_WORDS", 60), ("PENDING_TOKENS", 500), ("HEAD_WORDS", 20), ("FILTER_BYTES", 2000), ("SLICE_BYTES", 700), ("HOT_SHARE", 30), ("KNOWN_WORDS", 50)):
         monkeypatch.setattr(lm, name, value)
-    monkeypatch.setattr(lm.spans, "SLICE_BYTES", 700)
     close(rows_of(lm.score(frame(spark, docs))), want, 0.02)
 
 
