@@ -28,6 +28,14 @@ def with_columns(part: pa.RecordBatch, columns: dict[str, pa.Array], keep: list[
     return pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *columns.values()], names=[*keep, *columns])
 
 
+def unused(columns: list[str], stem: str) -> str:
+    """A column name that is not among ``columns`` (names are told apart without case)."""
+    taken, k = {c.lower() for c in columns}, 0
+    while f"{stem}{k}" in taken:
+        k += 1
+    return f"{stem}{k}"
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of a string column; null is the empty text."""
     return ["" if t is None else t for t in column.to_pylist()]

@@ -57,7 +57,7 @@ class WordTable:
     def __init__(self, vocabulary: str):
         self.encode = encoding(vocabulary)
         self.special = list(self.encode.special_tokens_set)
-        self.hash, self.classes = words.Hasher(), words.class_table()
+        self.classes = words.class_table()
         self.clear()
 
     def clear(self) -> None:
@@ -82,8 +82,8 @@ class WordTable:
         starts, ends = words.spaced_words(batch)
         if not starts.size:
             return np.zeros(0, np.int32), np.zeros(batch.count, np.int64)
-        _, first, at = np.unique(self.hash(batch.points, starts, ends), return_index=True, return_inverse=True)
-        rows = self.rows_of(batch.slices(starts[first], ends[first]))[at]
+        found, at = batch.distinct(starts, ends)
+        rows = self.rows_of(found.cast(pa.string()).to_pylist())[at]
         lengths = self.offsets[rows + 1] - self.offsets[rows]
         counts = np.bincount(batch.text_of(starts), lengths, batch.count).astype(np.int64)
         return self.flat[gather(self.offsets[rows], lengths)], counts

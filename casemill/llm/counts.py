@@ -112,11 +112,19 @@ class Merger:
         return hit & (position % 2 == 0)
 
 
-def normal(text: str) -> str:
-    """Composed form and lower case, character by character (a final sigma keeps its common form)."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return text.lower()
+class Normal:
+    """Composed form and lower case, character by character (a final sigma keeps its common form); ``newer`` adds characters that Python does not know."""
+
+    def __init__(self, newer: dict[int, str]):
+        self.newer = newer
+        self.some = re.compile("[" + "".join(map(chr, newer)) + "]") if newer else None
+
+    def __call__(self, text: str) -> str:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if self.some and self.some.search(text):
+                text = text.translate(self.newer)
+        return text.lower()
 
 
 def pretoken_spans(b: words.Batch) -> tuple[np.ndarray, np.ndarray]:
@@ -140,9 +148,9 @@ def pretoken_spans(b: words.Batch) -> tuple[np.ndarray, np.ndarray]:
 class Counter:
     """Token counts of texts; counts of distinct pre-tokens are kept between batches of a task, up to ``TABLE_WORDS``."""
 
-    def __init__(self, vocabulary: str):
-        self.merger = Merger(vocabulary)
-        self.classes, self.hash = words.class_table(), words.Hasher()
+    def __init__(self, vocabulary: str, newer: tuple[dict[int, int], dict[int, str]]):
+        self.merger, self.normal = Merger(vocabulary), Normal(newer[1])
+        self.classes = words.with_newer(words.class_table(), newer[0])
         special = [t["content"] for t in json.loads(vocabulary)["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.known = {}
@@ -160,25 +168,25 @@ class Counter:
         for i, text in enumerate(texts):
             cut = self.special.split(text) if self.special else [text]
             extra[i] = len(cut) - 1
-            parts += map(normal, cut)
+            parts += map(self.normal, cut)
             owner += [i] * len(cut)
         found = np.zeros(len(parts), np.int64)
         for first, b in words.batches(parts, self.classes, BATCH_CHARS):
             starts, ends = pretoken_spans(b)
             if starts.size:
-                _, one, at = np.unique(self.hash(b.points, starts, ends), return_index=True, return_inverse=True)
-                n = self.pretokens(b.slices(starts[one], ends[one]))[at]
+                distinct, at = b.distinct(starts, ends)
+                n = self.pretokens(distinct.cast(pa.string()).to_pylist())[at]
                 found[first : first + b.count] = np.bincount(b.text_of(starts), n, b.count)
         return extra + np.bincount(np.array(owner, np.int64), found, len(texts)).astype(np.int64)
 
 
 def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens") -> DataFrame:
     """``df`` without its text, with the bytes and tokens of every whole text."""
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = df.sparkSession.sparkContext.broadcast((vocabulary, words.newer_characters()))
     keep = [c for c in df.columns if c not in (text, n_bytes, n_tokens)]
 
     def make():
-        counter = Counter(shared.value)
+        counter = Counter(*shared.value)
 
         def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             texts = texts_of(part.column(text))

@@ -6,9 +6,16 @@ the start and end of each word; separators never belong to a word.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+from tokenizers import Regex, normalizers, pre_tokenizers
+
+from casemill.llm.arrow import gather, ragged
+from casemill.llm.spans import binary_array, pieces
 
 LETTER, NUMBER, SPACE, OTHER, END = 0, 1, 2, 3, 4
 # White_Space of Unicode (fixed values).
@@ -28,6 +35,29 @@ def class_table() -> np.ndarray:
     return np.fromiter((class_of(c) for c in range(0x10000)), np.uint8, 0x10000)
 
 
+@functools.cache
+def newer_characters() -> tuple[dict[int, int], dict[int, str]]:
+    """Classes and lower case of characters that the tokenizers' Unicode tables know and Python's do not. Called on the driver; a few thousand entries."""
+    unknown = "".join(chr(c) for c in range(0x40000) if unicodedata.category(chr(c)) == "Cn")  # the planes beyond hold no characters
+    classes = {}
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
+        at = 0
+        for _, (start, end) in [*pre_tokenizers.Split(Regex(pattern), "removed").pre_tokenize_str(unknown), ("", (len(unknown), len(unknown)))]:
+            classes |= {ord(c): kind for c in unknown[at:start]}
+            at = end
+    lower = normalizers.Lowercase()
+    return classes, {c: x for c in classes if (x := lower.normalize_str(chr(c))) != chr(c)}
+
+
+def with_newer(table: np.ndarray, newer: dict[int, int]) -> np.ndarray:
+    """A class table with these characters in it."""
+    size = max([table.size, *(c + 1 for c in newer)])
+    out = np.fromiter((class_of(c) for c in range(table.size, size)), np.uint8, size - table.size)
+    out = np.concatenate([table, out])
+    out[list(newer)] = list(newer.values())
+    return out
+
+
 class Batch:
     """Some texts joined into one string."""
 
@@ -38,8 +68,8 @@ class Batch:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.ends = np.cumsum(lengths) - 1
         self.starts = self.ends - lengths + 1
-        self.classes = table[np.minimum(self.points, 0xFFFF)]
-        far = np.flatnonzero(self.points > 0xFFFF)
+        self.classes = table[np.minimum(self.points, table.size - 1)]
+        far = np.flatnonzero(self.points >= table.size)
         if far.size:
             chars, at = np.unique(self.points[far], return_inverse=True)
             self.classes[far] = np.fromiter((class_of(int(c)) for c in chars), np.uint8, chars.size)[at]
@@ -53,6 +83,15 @@ class Batch:
         text = self.text
         return [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
+    def distinct(self, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The distinct spans in order of their first occurrence, as UTF-8 bytes, and the number of each span's. Spans are compared by content."""
+        points = self.points
+        at = np.zeros(points.size + 1, np.int64)
+        np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000).astype(np.int64), out=at[1:])
+        data = np.frombuffer(self.text.encode("utf-8", "surrogatepass"), np.uint8)
+        coded = binary_array(data[gather(at[starts], at[ends] - at[starts])], ragged(at[ends] - at[starts])).dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
 
 def batches(texts: list[str], table: np.ndarray, limit: int = BATCH_CHARS):
     """(first index, Batch) of consecutive texts with about ``limit`` characters; a longer text makes a batch by itself."""
@@ -135,7 +174,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """64-bit hashes of spans: a polynomial of mixed characters, taken from differences of one prefix sum per batch."""
+    """64-bit hashes of spans: a polynomial of mixed characters, taken from differences of one prefix sum per batch.
+
+    They only deal words to buckets: different texts can be built that share a hash, so it never stands for the text.
+    """
 
     def __init__(self) -> None:
         self.mix = mixed(np.arange(1, 0x10001, dtype=np.uint64))
@@ -161,6 +203,12 @@ class Hasher:
         return mixed((total[ends] - total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def digests(spans: pa.Array, size: int = 8) -> np.ndarray:
+    """Cryptographic digests of byte strings, as rows of 64-bit numbers: no structure of texts makes two of them meet."""
+    data = b"".join(hashlib.blake2b(x, digest_size=size).digest() for x in pieces(spans))
+    return np.frombuffer(data, np.uint64).reshape(-1, size // 8)
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every window of ``size`` consecutive word hashes."""
     n = words.size - size + 1
