@@ -5,12 +5,15 @@ is a matrix of neighbour numbers for each layer (-1 where there is none), writte
 searches read. Points enter a graph in small batches: each batch is searched in the graph so far, its points are compared with each other, neighbours are
 chosen for diversity and filled up, and full lists of their neighbours are pruned by the same rule. Searches walk many queries in step.
 
+Each graph is tried when it is built: the beam of its searches is the smallest of ``BEAMS`` that finds ``LEAST_RECALL`` of the true neighbours of some of its own
+points, compared with exact scores. If none does, which is so for vectors without any structure and many components, the shard is scored exactly.
+
 Equal vectors are one node, so copies do not fill each other's lists or a beam. A node carries the ids of its rows, of many copies the ``k`` + 1 smallest,
 which is exact for the best ``k`` without the query. Every valid row has its node and every query meets every shard, in blocks; the beam's vectors are scored
 again in double precision. Should a query reach fewer rows than wanted in a shard, that shard's other nodes are scored too, so short tables give all their rows.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do rows without id. Rows with the same
-id are neighbours of their own, but never of a query with that id.
+Vectors are compared with those of their own length. Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without id.
+Rows with the same id are neighbours of their own, but never of a query with that id.
 """
 
 from __future__ import annotations
@@ -28,12 +31,14 @@ from casemill.session import materialize
 
 LINKS = 16
 BUILD_BEAM = 64
-SEARCH_BEAM = 128
+BEAMS = (128, 256, 512, 1_024)
+LEAST_RECALL, TRIED, TRIED_NEAREST = 0.95, 96, 20
+EXACT = 0  # the beam of a shard that is scored exactly
 SHARD_ROWS = 8_192
-QUERY_ROWS = 2_048
+QUERY_ROWS = 16_384
 BATCH = 128
 STEP = 4
-INDEX_SCHEMA = "shard int, size int, ids binary, counts binary, vectors binary, entry int, layers array<binary>"
+INDEX_SCHEMA = "dims int, shard int, size int, ids binary, counts binary, vectors binary, entry int, layers array<binary>, beam int"
 
 
 def beam_search(points: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,10 +184,36 @@ def nearest(ids: np.ndarray, near: np.ndarray, most: int) -> tuple[np.ndarray, n
     return np.take_along_axis(ids, top, axis=1), np.take_along_axis(near, top, axis=1)
 
 
-def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors with the coordinate that brings them to norm ``longest``, scaled by it."""
-    rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(axis=1), 0))
-    return (np.column_stack([vectors, rest]) / longest).astype(np.float32)
+def lifted(vectors: np.ndarray) -> np.ndarray:
+    """Vectors with the coordinate that brings them to the largest norm, scaled by it; the largest component is taken out first, so that no square gets lost."""
+    scaled = vectors / max(np.abs(vectors).max(initial=0), np.finfo(float).tiny)
+    squares = (scaled**2).sum(axis=1)
+    longest = squares.max(initial=0)
+    return (np.column_stack([scaled, np.sqrt(np.maximum(longest - squares, 0))]) / np.sqrt(longest)).astype(np.float32)
+
+
+def directions(queries: np.ndarray) -> np.ndarray:
+    """Queries of norm 1 with a zero for the extra coordinate."""
+    scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
+    return np.column_stack([scaled / np.linalg.norm(scaled, axis=1, keepdims=True), np.zeros(len(queries))]).astype(np.float32)
+
+
+def tried_beam(graph: Graph, vectors: np.ndarray) -> int:
+    """The smallest beam that finds enough of the nearest points of evenly picked ones; ``EXACT`` if none does."""
+    n = len(vectors)
+    if n <= TRIED_NEAREST:
+        return EXACT
+    own = np.unique(np.linspace(0, n - 1, TRIED).astype(int))
+    queries = directions(vectors[own])
+    sims = queries @ graph.points.T
+    sims[np.arange(own.size), own] = -np.inf
+    border = np.partition(sims, n - TRIED_NEAREST, axis=1)[:, n - TRIED_NEAREST, None]
+    for beam in BEAMS:
+        found = graph.search(queries, beam)
+        hit = (np.where(found >= 0, np.take_along_axis(sims, np.maximum(found, 0), axis=1), -np.inf) >= border).sum(axis=1)
+        if np.minimum(hit, TRIED_NEAREST).mean() >= LEAST_RECALL * TRIED_NEAREST:
+            return beam
+    return EXACT
 
 
 def nodes_of(valid: DataFrame, k: int) -> DataFrame:
@@ -195,7 +226,7 @@ def nodes_of(valid: DataFrame, k: int) -> DataFrame:
     return keyed.groupBy("one", "two").agg(F.first("vector").alias("vector")).join(members, ["one", "two"]).select(F.col("members")[0].alias("vec_id"), "vector", "members")
 
 
-def index(nodes: DataFrame, shards: int, longest: float) -> DataFrame:
+def index(nodes: DataFrame, shard_rows: int) -> DataFrame:
     """One row per shard with its graph; ``nodes`` has vec_id, vector (array of double) and members (the ids of the rows with that vector)."""
 
     def make(rows: pa.Table) -> pa.Table:
@@ -205,31 +236,36 @@ def index(nodes: DataFrame, shards: int, longest: float) -> DataFrame:
         counts = np.diff(members.offsets.to_numpy())
         starts = ragged(counts)[:-1]
         flat = rows["vector"].combine_chunks().flatten().to_numpy().reshape(ids.size, -1)[order]
-        graph = build(lifted(flat, longest))
+        graph = build(lifted(flat))
         return pa.table({
-            "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "size": pa.array([ids.size], pa.int32()),
+            "dims": pa.array([rows["dims"][0].as_py()], pa.int32()), "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "size": pa.array([ids.size], pa.int32()),
             "ids": pa.array([members.flatten().to_numpy()[gather(starts[order], counts[order])].astype(np.int64).tobytes()]),
             "counts": pa.array([counts[order].astype(np.int64).tobytes()]),
             "vectors": pa.array([flat.tobytes()]), "entry": pa.array([graph.entry], pa.int32()),
-            "layers": pa.array([[x.astype(np.int32).tobytes() for x in graph.layers]], pa.list_(pa.binary()))})
+            "layers": pa.array([[x.astype(np.int32).tobytes() for x in graph.layers]], pa.list_(pa.binary())), "beam": pa.array([tried_beam(graph, flat)], pa.int32())})
 
-    return nodes.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).groupBy("shard").applyInArrow(make, INDEX_SCHEMA)
+    sized = nodes.withColumn("dims", F.size("vector"))
+    shards = materialize(sized.groupBy("dims").agg(F.floor(F.count("*") / shard_rows + 1).cast("int").alias("shards")), "sizes")
+    return sized.join(shards, "dims").withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.col("shards")).cast("int")).groupBy("dims", "shard").applyInArrow(make, INDEX_SCHEMA)
 
 
 def best_of_shard(ids: np.ndarray, counts: np.ndarray, flat: np.ndarray, graph: Graph, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, ...]:
     """(query number, vec_id, score) of the best ``k`` rows of a shard for each query; ``ids`` has the rows of the nodes one after the other."""
     rows, found, scores = [], [], []
-    norm = np.linalg.norm(queries, axis=1, keepdims=True)
-    unit = np.column_stack([queries / norm, np.zeros(len(queries))]).astype(np.float32)
-    starts = ragged(counts)[:-1]
+    unit, starts = directions(queries), ragged(counts)[:-1]
 
     def rows_of(at: np.ndarray, score: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
         of, score = ids[gather(starts[at], counts[at])], np.repeat(score, counts[at])
         return of[of != own], score[of != own]
 
     for first in range(0, len(queries), BATCH):
-        nodes = graph.search(unit[first : first + BATCH], max(beam, k + 1))
         q = queries[first : first + BATCH]
+        if beam == EXACT:  # rounding may swap the last few, so some more are scored again
+            sims = unit[first : first + BATCH] @ graph.points.T
+            most = min(2 * k + 8, counts.size)
+            nodes = np.argpartition(-sims, most - 1, axis=1)[:, :most]
+        else:
+            nodes = graph.search(unit[first : first + BATCH], max(beam, k + 1))
         dots = exact(flat[nodes], q[:, None, :])
         for i in range(len(q)):
             real = nodes[i] >= 0
@@ -247,24 +283,24 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=-1)
 
 
-def search(graphs: DataFrame, queries: DataFrame, shards: int, k: int, dims: int, beam: int = SEARCH_BEAM) -> DataFrame:
+def search(graphs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, vec_id, score) of the best ``k`` of every shard; ``queries`` has vec_id and vector."""
-    n = queries.count()
-    blocks = n // QUERY_ROWS + 1
-    packed = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int"))
-              .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("vec_id", "vector"))).alias("q")))  # about QUERY_ROWS rows each
-    cells = (graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-             .join(packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))), ["shard", "block"]))
+    sized = queries.withColumn("dims", F.size("vector"))
+    blocks = sized.groupBy("dims").agg(F.floor(F.count("*") / QUERY_ROWS + 1).cast("int").alias("blocks"))
+    packed = (sized.join(materialize(blocks, "blocks"), "dims").withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).cast("int"))
+              .groupBy("dims", "block").agg(F.sort_array(F.collect_list(F.struct("vec_id", "vector"))).alias("q")))  # about QUERY_ROWS rows each
+    # Every block meets every shard of its length; cells are dealt out one by one, as each is minutes of work at most.
+    cells = graphs.join(materialize(packed, "queries"), "dims").repartition(F.col("dims"), F.col("shard"), F.col("block"))
 
     def make():
         def step(part: pa.RecordBatch):
             for row in range(part.num_rows):
                 cell = {name: part.column(i)[row] for i, name in enumerate(part.schema.names)}
                 ids, counts = (np.frombuffer(cell[name].as_buffer(), np.int64) for name in ("ids", "counts"))
+                dims, beam = cell["dims"].as_py(), cell["beam"].as_py()
                 flat = np.frombuffer(cell["vectors"].as_buffer(), np.float64).reshape(counts.size, dims)
                 layers = [np.frombuffer(x.as_buffer(), np.int32).reshape(counts.size, -1).astype(np.int64) for x in cell["layers"]]
-                longest = np.sqrt((flat**2).sum(axis=1).max())
-                graph = Graph(lifted(flat, longest), cell["entry"].as_py(), layers)
+                graph = Graph(lifted(flat), cell["entry"].as_py(), layers)
                 asked = cell["q"].values
                 query_ids = asked.field("vec_id").to_numpy()
                 vectors = asked.field("vector").flatten().to_numpy().reshape(query_ids.size, dims)
@@ -273,22 +309,15 @@ def search(graphs: DataFrame, queries: DataFrame, shards: int, k: int, dims: int
 
         return step
 
-    names = ["ids", "counts", "vectors", "entry", "layers", "q"]
+    names = ["dims", "beam", "ids", "counts", "vectors", "entry", "layers", "q"]
     return map_batches(cells.select(*names), make, "query_id bigint, vec_id bigint, score double")
 
 
-def nearest_neighbours(rows: DataFrame, is_query: F.Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", shard_rows: int = SHARD_ROWS, beam: int = SEARCH_BEAM) -> DataFrame:
+def nearest_neighbours(rows: DataFrame, is_query: F.Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows of every query row; ``is_query`` is a condition on vec_id."""
     valid = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector")).where(f"vec_id IS NOT NULL AND {usable('vector')}")
     valid = materialize(valid, "vectors")
-    length = valid.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    dims = length["size"] if length else 0
-    valid = valid.where(F.size("vector") == dims)
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    nodes = materialize(nodes_of(valid, k), "nodes")
-    n, longest = nodes.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(1.0))).first()
-    shards = n // shard_rows + 1
-    graphs = materialize(index(nodes, shards, longest), "graphs")
-    found = search(graphs, valid.where(is_query), shards, k, dims, beam)
+    graphs = materialize(index(materialize(nodes_of(valid, k), "nodes"), shard_rows), "graphs")
+    found = search(graphs, valid.where(is_query), k)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,18 +6,19 @@ the number of collisions of a pair is binomial; :func:`calibrated` gives the lar
 it are verified by their cosine in double precision. The projection that deals the vectors into blocks has a wider window of its own (:func:`reach`), as a
 pair outside it is never compared. Each of the two may miss half of what the wanted recall allows.
 
-Only vectors of the same label are compared. Vectors with equal components are one class of copies. A label's vectors are sorted by
+Only vectors of the same label and length are compared. Vectors with equal components are one class of copies. A label's vectors are sorted by
 the first projection into blocks; blocks whose ranges come within the reach of each other form a cell. Cells count collisions in tiles and return, per
 vector, the weight of its links and the smallest vector linked with it: no pair leaves a cell. The number of pairs that are looked at still grows
 with the square of a label's vectors.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite components, and rows with a null label link with nothing. Rows
-without id are left out of the result; rows with the same id count as one vector, the one with the smallest components.
+Vectors that are null, zero, or hold null or non-finite components, and rows with a null label link with nothing. Rows without id are left out of the
+result; rows that share an id are vectors of their own, each with a row in the result. Norms are taken after division by the largest component.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casemill.llm.arrow import gather, list_array, map_batches, ragged, with_columns
 from casemill.llm.components import components, local_leads
 from casemill.session import materialize
 
@@ -32,6 +34,7 @@ PROJECTIONS = 32
 WIDTH = 2.5
 RECALL = 0.999999
 BLOCK = 512
+CUTS = 64
 DENSE = 8
 
 
@@ -61,31 +64,67 @@ def usable(embedding: str) -> str:
             f" AND exists({embedding}, x -> x <> 0)")
 
 
-def projected(rows: DataFrame, dims: int) -> DataFrame:
-    """``rows`` with the projection of the unit vector that orders its label."""
-    direction = directions(dims, PROJECTIONS)[:, 0].tolist()
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    dot = F.aggregate(F.zip_with("vector", F.array(*map(F.lit, direction)), lambda x, d: x * d), F.lit(0.0), lambda a, x: a + x)
-    return rows.withColumn("at", dot / norm)
+def direction(size: int) -> np.ndarray:
+    """The direction that orders the vectors of a length, as long as directions are on average."""
+    first = directions(size, PROJECTIONS)[:, 0]
+    return first * (math.sqrt(size) / np.linalg.norm(first))
+
+
+def units(vectors: np.ndarray) -> np.ndarray:
+    """Rows of norm 1; the largest component is taken out first, so that no square gets lost."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+def projected(rows: DataFrame) -> DataFrame:
+    """``rows`` with the unit vector instead of the vector, and its projection on the direction of its length."""
+    keep = [c for c in rows.columns if c != "vector"]
+
+    def make():
+        through: dict[int, np.ndarray] = {}
+
+        def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            column = part.column(part.schema.get_field_index("vector"))
+            sizes = column.value_lengths().to_numpy()
+            starts, flat = ragged(sizes)[:-1], column.flatten().to_numpy(zero_copy_only=False)
+            at, unit = np.zeros(sizes.size), np.zeros(flat.size)
+            for size in np.unique(sizes).tolist():
+                of = np.flatnonzero(sizes == size)
+                places = gather(starts[of], sizes[of])
+                found = units(flat[places].reshape(of.size, size))
+                at[of] = found @ through.setdefault(size, direction(size))
+                unit[places] = found.ravel()
+            yield with_columns(part, {"at": pa.array(at), "vector": list_array(unit, ragged(sizes), pa.float64())}, keep)
+
+        return step
+
+    kept = rows.select(*keep, "vector")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "vector"]
+    return map_batches(kept, make, ", ".join([*fields, "at double", "vector array<double>"]))
 
 
 def cells_of(rows: DataFrame, span: float, block: int) -> DataFrame:
-    """``rows`` once per cell, with columns cell, part (the row's block) and across (whether the cell pairs two blocks)."""
-    sizes = rows.groupBy("label").agg(F.count("*").alias("size"))
-    most = sizes.agg(F.max("size")).first()[0] or 1
-    parts = -(-most // block)
-    cuts = rows.groupBy("label").agg(F.percentile_approx("at", [i / parts for i in range(1, parts)] or [0.5], 10_000).alias("cuts"), F.count("*").alias("size"))
+    """``rows`` once per cell, with columns cell, part (the row's block) and across (whether the cell pairs two blocks).
+
+    A label is cut into ranges of about equal size along the projection, as many as it fills blocks but ``CUTS`` at most, and a range into as many blocks as
+    its rows need, dealt by a hash: the array of borders has a fixed length however large a label is, and blocks of one range meet anyway.
+    """
+    cuts = rows.groupBy("label").agg(F.percentile_approx("at", [i / CUTS for i in range(1, CUTS)], 100 * CUTS).alias("cuts"),
+                                     F.least(F.ceil(F.count("*") / block), F.lit(CUTS)).alias("ranges"))
     cuts = materialize(cuts, "cuts")  # written, so that Spark knows how small it is and leaves a hot label's rows where they are
-    # Of ``parts`` equal ranges of the largest label, a smaller one joins neighbours until its blocks are full too.
-    dealt = (rows.join(cuts, "label").withColumn("blocks", F.ceil(F.col("size") / block))
-             .withColumn("part", (F.expr("size(filter(cuts, c -> c < at))") * F.col("blocks") / F.lit(parts)).cast("int")).drop("cuts", "size", "blocks"))
-    dealt = materialize(dealt, "dealt")
-    spans = dealt.groupBy("label", "part").agg(F.min("at").alias("low"), F.max("at").alias("high"))
-    pairs = (spans.alias("a").join(spans.alias("b"), F.expr("a.label = b.label AND a.low <= b.high + {w} AND b.low <= a.high + {w}".format(w=span)))
-             .groupBy(F.col("a.label").alias("label"), F.col("a.part").alias("part")).agg(F.collect_list("b.part").alias("others")))
-    return (dealt.join(pairs, ["label", "part"]).withColumn("other", F.explode("others"))
-            .withColumn("cell", F.xxhash64("label", F.least("part", "other"), F.greatest("part", "other")))
-            .withColumn("across", F.col("part") != F.col("other")).drop("others", "other", "at"))
+    # Of ``CUTS`` equal ranges a small label joins neighbours until its blocks are full.
+    ranged = rows.join(cuts, "label").withColumn("range", (F.expr("size(filter(cuts, c -> c < at))") * F.col("ranges") / CUTS).cast("int")).drop("cuts", "ranges")
+    ranged = materialize(ranged, "ranged")
+    spans = materialize(ranged.groupBy("label", "range").agg(F.min("at").alias("low"), F.max("at").alias("high"), F.ceil(F.count("*") / block).cast("int").alias("blocks")), "ranges")
+    a, b = spans.alias("a"), spans.alias("b")
+    near = (a.join(b, F.expr(f"a.label = b.label AND a.low <= b.high + {span} AND b.low <= a.high + {span}"))
+            .groupBy(F.col("a.label").alias("label"), F.col("a.range").alias("range")).agg(
+                F.first("a.blocks").alias("blocks"), F.flatten(F.collect_list(F.expr("transform(sequence(0, b.blocks - 1), k -> struct(b.range as range, k as block))"))).alias("others")))
+    part = F.struct("range", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    return (ranged.join(materialize(near, "near"), ["label", "range"]).withColumn("own", part).withColumn("other", F.explode("others"))
+            .withColumn("cell", F.xxhash64("label", F.least("own", "other"), F.greatest("own", "other")))
+            .withColumn("across", F.col("own") != F.col("other")).withColumn("part", F.col("own") > F.col("other"))
+            .select("cell", "across", "part", "node", "copies", "vector"))
 
 
 def linked_pairs(left: np.ndarray, right: np.ndarray, same: bool, threshold: float, window: float, count: int, through: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +151,11 @@ def linked_pairs(left: np.ndarray, right: np.ndarray, same: bool, threshold: flo
     return one[ok], two[ok]
 
 
-def links_within(cell: pa.Table, threshold: float, window: float, count: int, through: np.ndarray) -> pa.Table:
-    ids, copies, parts = cell["vec_id"].to_numpy(), cell["copies"].to_numpy(), cell["part"].to_numpy()
-    vectors = np.vstack([np.array(v, np.float64) for v in cell["vector"].to_pylist()])
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    across = bool(cell["across"][0].as_py())
-    low = parts == parts.min()
-    sides = (np.flatnonzero(low), np.flatnonzero(~low)) if across else (np.arange(ids.size),) * 2
+def links_within(cell: pa.Table, threshold: float, window: float, count: int) -> pa.Table:
+    ids, copies, parts = cell["node"].to_numpy(), cell["copies"].to_numpy(), cell["part"].to_numpy(zero_copy_only=False)
+    vectors = cell["vector"].combine_chunks().flatten().to_numpy().reshape(ids.size, -1)  # a cell has one length
+    across, through = bool(cell["across"][0].as_py()), directions(vectors.shape[1], PROJECTIONS)
+    sides = (np.flatnonzero(~parts), np.flatnonzero(parts)) if across else (np.arange(ids.size),) * 2
     one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(0, sides[0].size, BLOCK):
         for j in range(i if not across else 0, sides[1].size, BLOCK):
@@ -132,39 +169,33 @@ def links_within(cell: pa.Table, threshold: float, window: float, count: int, th
     place = np.argsort(order)
     leads = ids[order][local_leads(ids.size, place[left], place[right])][place]
     keep = linked > 0
-    return pa.table({"vec_id": ids[keep], "linked": linked[keep].astype(np.int64), "lead": leads[keep]})
+    return pa.table({"node": ids[keep], "linked": linked[keep].astype(np.int64), "lead": leads[keep]})
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"), F.col(label).alias("label")).where("vec_id IS NOT NULL")
-    if rows.groupBy("vec_id").count().where("count > 1").limit(1).count():
-        rows = rows.groupBy("vec_id").agg(F.min(F.struct("vector", "label")).alias("s")).select("vec_id", "s.*")
-    valid = rows.where(f"label IS NOT NULL AND {usable('vector')}").withColumn("one", F.xxhash64("vector")).withColumn("two", F.xxhash64(F.reverse("vector")))
-    valid = materialize(valid, "vectors")
-    sizes = valid.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    base = rows.select("vec_id")
-    if sizes is None:
-        return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = sizes["size"]
-    valid = valid.where(F.size("vector") == dims)
-    classes = materialize(valid.groupBy("label", "one", "two").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "copies")
-    reps = projected(valid.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id").select("vec_id", "label", "vector", "copies"), dims)
+    usable_row = F.expr(f"label IS NOT NULL AND {usable('vector')}")
+    rows = materialize(rows.select("vec_id", F.when(usable_row, F.struct("label", F.size("vector").alias("size"))).alias("label"), F.when(usable_row, F.col("vector")).alias("vector"))
+                       .withColumn("one", F.xxhash64("vector")).withColumn("two", F.xxhash64(F.reverse("vector"))), "vectors")
+    # A class of copies is a node; rows may share an id, so nodes have numbers of their own.
+    classes = rows.where("label IS NOT NULL").groupBy("label", "one", "two").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"))
+    nodes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     deviation = math.sqrt(2 - 2 * threshold)
     each = 1 - (1 - RECALL) / 2
-    through, count = directions(dims, PROJECTIONS), calibrated(recall=each)
-    window = WIDTH * deviation
-    span = reach(each) * deviation * float(np.linalg.norm(through[:, 0])) / math.sqrt(dims)  # by the length that the one direction really has
+    count, window, span = calibrated(recall=each), WIDTH * deviation, reach(each) * deviation
 
     def verify(cell: pa.Table) -> pa.Table:
-        return links_within(cell, threshold, window, count, through)
-
-    found = materialize(cells_of(reps, span, block).groupBy("cell").applyInArrow(verify, "vec_id bigint, linked bigint, lead bigint"), "links")
-    joined = components(found, "vec_id", "lead").select(F.col("node").alias("rep"), "component")
-    counted = found.groupBy(F.col("vec_id").alias("rep")).agg(F.sum("linked").alias("linked"))
-    by_class = (classes.join(joined, "rep", "left").join(counted, "rep", "left")
-                .select("label", "one", "two", F.coalesce("component", "rep").alias("component"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    links = valid.select("vec_id", "label", "one", "two").join(by_class, ["label", "one", "two"]).select("vec_id", "component", "links")
-    return (base.join(links, "vec_id", "left")
-            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+        return links_within(cell, threshold, window, count)
+
+    dealt = cells_of(projected(nodes.select("node", "label", "vector", "copies")), span, block)
+    found = materialize(dealt.groupBy("cell").applyInArrow(verify, "node bigint, linked bigint, lead bigint"), "links")
+    joined = components(found, "node", "lead")
+    counted = found.groupBy("node").agg(F.sum("linked").alias("linked"))
+    known = nodes.drop("vector").join(joined, "node", "left").join(counted, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = materialize(known, "known")
+    lowest = known.groupBy("component").agg(F.min("low").alias("component_id"))
+    by_class = known.join(lowest, "component").select("label", "one", "two", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    return (rows.select("vec_id", "label", "one", "two").join(by_class, ["label", "one", "two"], "left")
+            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id") == F.col("component_id")))
