@@ -2,7 +2,7 @@
 
 Large stars point every larger neighbour of a node at the smallest of its neighbourhood, small stars point the smaller ones there; edges only ever get
 replaced by shorter ways to the component's smallest node. A node with very many edges is no bottleneck: minima are combined before
-they are shuffled, and the joins back are plain equi-joins that adaptive execution splits. Every round is a written table.
+they are shuffled, and the join back deals a node's edges over ``SALTS`` parts. Every round is a written table.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from casemill.session import materialize
 
 
+SALTS = 16
+
+
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(low, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:

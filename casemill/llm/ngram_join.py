@@ -48,12 +48,15 @@ class Shingles:
     """Sorted distinct n-gram hashes of texts."""
 
     def __init__(self, size: int):
-        self.size, self.hash, self.classes = size, words.Hasher(), words.class_table()
+        self.size, self.classes = size, words.class_table()
 
     def sets(self, texts: list[str]) -> Iterator[np.ndarray]:
         for _, b in words.batches([t.lower() for t in texts], self.classes, BATCH_CHARS):
             starts, ends = words.visible_words(b)
-            tokens = self.hash(b.points, starts, ends) if starts.size else np.zeros(0, np.uint64)
+            tokens = np.zeros(0, np.uint64)
+            if starts.size:
+                found, at = b.distinct(starts, ends)
+                tokens = words.digests(found)[at, 0]
             counts = np.bincount(b.text_of(starts), minlength=b.count)
             for n, at in zip(counts.tolist(), ragged(counts).tolist(), strict=False):
                 yield np.unique(words.shingle_hashes(tokens[at : at + n], min(n, self.size))) if n else np.zeros(0, np.uint64)
