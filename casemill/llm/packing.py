@@ -20,7 +20,7 @@ from casemill.llm.arrow import gather, list_array, map_batches, ragged
 from casemill.llm.token_file import file_ids
 from casemill.session import materialize
 
-CHUNKS = 64
+CHUNK_PIECES = 1_000_000
 
 
 def cut(n: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,16 +63,19 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, longest: int = 1024, d
 def pack(docs: DataFrame, vocabulary: str, end_id: int, longest: int = 1024, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces with their sequence: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
-    A bucket of equal lengths is split into chunks by a hash of the piece, so that numbering never gathers a bucket in one task: pieces are numbered
-    within (bucket, chunk) and moved up by the sizes of the buckets and chunks before, a table of at most 64 rows for each power of two.
+    A bucket of equal lengths is split into chunks of about ``CHUNK_PIECES`` pieces, so that numbering never gathers a bucket in one task: pieces are numbered
+    within (bucket, chunk) and moved up by the sizes of the buckets and chunks before, a table of one row for each million pieces and power of two. A
+    chunk is drawn by the written row, so equal rows of a repeated id are spread like any others.
     """
-    found = materialize(pieces(docs, vocabulary, end_id, longest, doc_id, text, with_ids).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(CHUNKS)).cast("int")), "pieces")
+    found = materialize(pieces(docs, vocabulary, end_id, longest, doc_id, text, with_ids).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    chunks = found.count() // CHUNK_PIECES + 1
+    found = found.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int"))
     sizes = found.groupBy("length", "chunk").agg(F.count("*").alias("n"))
     before = Window.orderBy(F.col("length").desc(), "chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("length", "chunk", "base")
-    inside = Window.partitionBy("length", "chunk").orderBy("doc_id", "start", "ids_crc32")
+    sizes = materialize(sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select("length", "chunk", "base"), "chunks")
+    inside = Window.partitionBy("length", "chunk").orderBy("doc_id", "start", "row")
     return (found.withColumn("place", F.row_number().over(inside))
-            .join(F.broadcast(sizes), ["length", "chunk"])
+            .join(sizes, ["length", "chunk"])
             .withColumn("sequence_id", F.col("base") + F.col("place") - 1)
             .withColumn("offset", F.lit(0).cast("long"))
-            .drop("base", "place", "chunk"))
+            .drop("base", "place", "chunk", "row"))

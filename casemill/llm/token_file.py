@@ -3,10 +3,10 @@
 ORC keeps integers in run-length encoded streams, and per stripe and row group the smallest and largest document id and a Bloom filter of the ids: a
 reader that wants some documents skips the stripes and row groups without them, and one that wants all reads stripes in parallel.
 Each file holds a range of document ids; a manifest table has, per file, its documents, its tokens and the position of its first token.
-Positions of single documents follow from the manifest and a running sum inside each file.
+A document's row says how many tokens its writer wrote before it, so its position follows from its own row and the manifest.
 
-Null texts count as empty; every document gets the end id. Repeated ids are separate documents in an order of their own
-(ties are broken by the ids' content). A null document id sorts first.
+Null texts count as empty; every document gets the end id. Repeated ids are separate documents, in the order in which they were written. A null
+document id sorts first.
 """
 
 from __future__ import annotations
@@ -29,13 +29,14 @@ READ_ROWS = 512
 
 
 def file_ids(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids) of every whole text with the end id."""
+    """(doc_id, n_tokens, ids, before) of every whole text with the end id; ``before`` counts the tokens of the task's earlier texts."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
-        library = encoding(shared.value)
+        library, written = encoding(shared.value), 0
 
         def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            nonlocal written
             texts = texts_of(part.column(1))
             first = 0
             while first < len(texts):  # a few million characters at a time
@@ -46,13 +47,15 @@ def file_ids(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_i
                 ids = [np.append(library.encode_to_numpy(t, allowed_special="all").astype(np.int32), np.int32(end_id)) for t in texts[first:last]]
                 counts = np.fromiter(map(len, ids), np.int64, len(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(first, last - first), pa.array(counts), list_array(np.concatenate(ids), ragged(counts), pa.int32())],
-                    names=["doc_id", "n_tokens", "ids"])
+                    [part.column(0).slice(first, last - first), pa.array(counts), list_array(np.concatenate(ids), ragged(counts), pa.int32()),
+                     pa.array(written + ragged(counts)[:-1])],
+                    names=["doc_id", "n_tokens", "ids", "before"])
+                written += int(counts.sum())
                 first = last
 
         return step
 
-    return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), make, "doc_id bigint, n_tokens bigint, ids array<int>")
+    return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), make, "doc_id bigint, n_tokens bigint, ids array<int>, before bigint")
 
 
 def write(docs: DataFrame, vocabulary: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
@@ -65,10 +68,11 @@ def write(docs: DataFrame, vocabulary: str, path: str, end_id: int, doc_id: str
     (file_ids(dealt, vocabulary, end_id)
      .write.option("orc.compress", "ZSTD").option("orc.stripe.size", STRIPE_BYTES).option("orc.row.index.stride", INDEX_STRIDE)
      .option("orc.bloom.filter.columns", "doc_id").orc(f"{path}/tokens"))
-    files = (spark.read.orc(f"{path}/tokens").select("doc_id", "n_tokens", F.col("_metadata.file_path").alias("file"))
-             .groupBy("file").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")))
-    # One row per file: files, not documents, pass this window.
-    order = Window.orderBy(F.col("first_doc").asc_nulls_first(), "last_doc", "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = (spark.read.orc(f"{path}/tokens").select("doc_id", "n_tokens", "before", F.col("_metadata.file_path").alias("file"))
+             .groupBy("file").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"), F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"),
+                                  F.min("before").alias("first_before"), F.count("doc_id").alias("with_id")))
+    # One row per file: files, not documents, pass this window. Documents without id lie in the first file, or in files before all others.
+    order = Window.orderBy(F.col("with_id") == F.col("docs"), F.col("first_doc").asc_nulls_first(), "last_doc", "first_before", "file").rowsBetween(Window.unboundedPreceding, -1)
     files.withColumn("start", F.coalesce(F.sum("tokens").over(order), F.lit(0))).write.parquet(f"{path}/manifest")
 
 
@@ -80,21 +84,18 @@ def read(spark: SparkSession, path: str, documents: list[int] | None = None) ->
 
 def layout(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the written files: where each document's tokens lie in the whole, and their checksum."""
-    rows = read(spark, path).select("doc_id", "n_tokens", "ids", F.col("_metadata.file_path").alias("file"))
+    rows = read(spark, path).select("doc_id", "n_tokens", "before", "ids", F.col("_metadata.file_path").alias("file"))
 
     def make():
         def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            column = part.column(2)
+            column = part.column(3)
             ends = np.cumsum(np.fromiter(column.value_lengths(), np.int64, part.num_rows)).tolist()
             data = memoryview(column.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes())
             sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip([0, *ends], ends, strict=False)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(sums, pa.int64())], names=["doc_id", "n_tokens", "file", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in (0, 1, 2, 4)), pa.array(sums, pa.int64())], names=["doc_id", "n_tokens", "before", "file", "ids_crc32"])
 
         return step
 
-    sums = map_batches(rows, make, "doc_id bigint, n_tokens bigint, file string, ids_crc32 bigint")
-    manifest = spark.read.parquet(f"{path}/manifest").select("file", F.col("start").alias("file_start"))
-    inside = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    return (sums.join(manifest, "file")
-            .withColumn("start", F.col("file_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-            .select("doc_id", "start", "n_tokens", "ids_crc32"))
+    sums = map_batches(rows, make, "doc_id bigint, n_tokens bigint, before bigint, file string, ids_crc32 bigint")
+    manifest = spark.read.parquet(f"{path}/manifest").select("file", (F.col("start") - F.col("first_before")).alias("shift"))
+    return sums.join(manifest, "file").select("doc_id", (F.col("before") + F.col("shift")).alias("start"), "n_tokens", "ids_crc32")
