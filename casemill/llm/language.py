@@ -92,7 +92,7 @@ def fit(rows: DataFrame, row_id: str, text: str, lang: str) -> TextModel:
     sums = labelled.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = sums["lang"].combine_chunks().dictionary_encode()
     found = names.dictionary.to_pylist()
-    languages = sorted(found) or ["en"]
+    languages = sorted(found)
     place = np.array([languages.index(x) for x in found], np.int64)[names.indices.to_numpy()]
     counts = np.ones((BUCKETS, len(languages)))
     counts[sums["bucket"].to_numpy(), place] += sums["n"].to_numpy()

@@ -2,7 +2,7 @@
 
 Every word is hashed to a bucket with a fixed sparse random vector of +1 and -1. The vector of a word is the normalised sum of the random vectors of the words
 around it in all documents, labelled or not, summed in a pass over them. A document is the mean vector of its words with a few shares of its form (distinct words, capitals, signs, repeats).
-The network is fitted on at most ``TRAIN_ROWS`` labelled rows, the ones with the smallest hash of their id; a further ``CALIBRATE_ROWS`` at most
+The network is fitted on at most ``TRAIN_ROWS`` labelled rows of known documents, the ones with the smallest hash of their id; a further ``CALIBRATE_ROWS`` at most
 set the temperature that makes its probabilities fit the labels. Only texts enter a score. All documents are scored, whole.
 
 Null and empty texts are documents without words and get the network's score of such. Rows keep all their columns; nulls elsewhere play no
@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm import words
-from casemill.llm.arrow import ROWS, map_batches, texts_of, with_columns
+from casemill.llm.arrow import ROWS, list_array, map_batches, ragged, texts_of, with_columns
 from casemill.llm.counts import pretoken_spans
+from casemill.session import materialize
 
 TRAIN_ROWS = 6_000
 CALIBRATE_ROWS = 2_000
@@ -145,9 +146,12 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     sums = (docs.select(text).mapInArrow(partial, ", ".join(f"{n} bigint" for n in ["bucket", *names]))
             .groupBy("bucket").agg(*(F.sum(n).alias(n) for n in names))).toArrow()
-    total = np.zeros((BUCKETS, WIDTH))
-    total[sums["bucket"].to_numpy()] = np.column_stack([sums[n].to_numpy() for n in names])
-    return (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    total = np.zeros((BUCKETS, WIDTH), np.float32)
+    at = sums["bucket"].to_numpy()
+    for k, name in enumerate(names):
+        total[at, k] = sums[name].to_numpy()
+    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    return total
 
 
 def fit_network(x: np.ndarray, y: np.ndarray, steps: int = 1500, seed: int = 5, rate: float = 0.01, decay: float = 1e-4) -> list[np.ndarray]:
@@ -178,37 +182,55 @@ def fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(losses))])
 
 
-def fit_texts(vectors: np.ndarray, texts: list[str], y: np.ndarray, calibrate: list[str], y_calibrate: np.ndarray) -> Model:
-    tokens = Tokens()
-    x = features(tokens, vectors, texts).astype(np.float64)
+def fit_features(vectors: np.ndarray, x: np.ndarray, y: np.ndarray, calibrate: np.ndarray, y_calibrate: np.ndarray) -> Model:
     mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     model = Model(vectors, mean, spread, fit_network((x - mean) / spread, y))
     if len(calibrate):
-        model.temperature = fit_temperature(model.logits(features(tokens, vectors, calibrate)), y_calibrate)
+        model.temperature = fit_temperature(model.logits(calibrate), y_calibrate)
     return model
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
-    """The fold that is never learned from."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    """The fold that is never learned from; a null id reads as empty."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
-    """A model of at most ``TRAIN_ROWS`` labelled rows with word vectors of all documents; None without labelled rows of both kinds."""
-    ids = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL").where(~held_out())
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS + CALIBRATE_ROWS))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(ids), "doc_id").toArrow()  # the limit bounds both
-    order = np.argsort(np.array([hash_order(i) for i in rows["doc_id"].to_pylist()], np.uint64), kind="stable")
-    texts, y = texts_of(rows["text"]), rows["y"].to_numpy().astype(np.float64)
-    texts, y = [texts[i] for i in order], y[order]
-    if len(set(y.tolist())) < 2:
+    """A model of at most ``TRAIN_ROWS`` labelled rows with word vectors of all documents; None without labelled rows of both kinds.
+
+    Labels of absent documents are left out before the sample is taken. Of rows that share a labelled id the text with the smallest digest is learned from.
+    The sampled texts are turned into features where they lie, so the driver gets a row of numbers for each.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("y")).where("y IN (0, 1) AND doc_id IS NOT NULL").where(~held_out())
+    ids = materialize(known.join(rows.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS + CALIBRATE_ROWS), "sample")
+    kinds = ids.groupBy("doc_id").agg(F.sum("y").cast("long").alias("ones"), F.count("y").alias("n"))  # at most as many rows as the limit
+    if len(ids.select("y").distinct().take(2)) < 2:
         return None
-    cut = len(y) * TRAIN_ROWS // (TRAIN_ROWS + CALIBRATE_ROWS)
-    return fit_texts(word_vectors(docs, text), texts[:cut], y[:cut], texts[cut:], y[cut:])
+    vectors = word_vectors(docs, text)
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+
+    def make():
+        tokens = Tokens()
 
+        def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            x = features(tokens, shared.value, texts_of(part.column(1))).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), list_array(x.ravel(), ragged(np.full(len(x), WIDTH + FORM)), pa.float64())],
+                                             names=["doc_id", "ones", "n", "x"])
 
-def hash_order(i: int) -> int:
-    return int(words.mixed(np.array([i & (1 << 64) - 1], np.uint64))[0])
+        return step
+
+    one_text = rows.join(F.broadcast(kinds), "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text"), F.first("ones").alias("ones"), F.first("n").alias("n"))
+    kind = docs.schema[doc_id].dataType.simpleString()
+    found = map_batches(one_text, make, f"doc_id {kind}, ones bigint, n bigint, x array<double>").orderBy(F.xxhash64(F.lit("fit"), "doc_id")).toArrow()
+    shared.destroy()
+    # A label counts as often as it comes.
+    n, ones = found["n"].to_numpy(), found["ones"].to_numpy()
+    x = np.repeat(np.array(found["x"].to_pylist()).reshape(n.size, WIDTH + FORM), n, axis=0)
+    y = np.concatenate([np.repeat([1.0, 0.0], [a, b]) for a, b in zip(ones.tolist(), (n - ones).tolist(), strict=True)])
+    cut = len(y) * TRAIN_ROWS // (TRAIN_ROWS + CALIBRATE_ROWS)
+    return fit_features(vectors, x[:cut], y[:cut], x[cut:], y[cut:])
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", name: str = "score", keep_text: bool = False) -> DataFrame:
