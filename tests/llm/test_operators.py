@@ -58,6 +58,37 @@ def test_spaced_words_match_the_pattern():
     assert got == [w for t in texts for w in pattern.findall(t)]
 
 
+def thue_morse(levels):
+    """Two different words whose polynomial hashes modulo 2^64 are equal."""
+    one, two = "a", "b"
+    for _ in range(levels):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_distinct_spans_are_told_apart_by_content():
+    texts = [" ".join(thue_morse(k)) for k in (10, 11, 12)] + ["é中 😀 é中", "", "ab a b ab"]
+    for _, b in words.batches(texts, words.class_table(), 3000):
+        starts, ends = words.visible_words(b)
+        if starts.size:
+            found, at = b.distinct(starts, ends)
+            assert len(set(found.to_pylist())) == len(found)
+            assert [found[i].as_py().decode() for i in at.tolist()] == b.slices(starts, ends)
+
+
+def test_words_with_equal_polynomial_hashes(spark):
+    pairs = [thue_morse(k) for k in (10, 11, 12)]
+    texts = [t for p in pairs for t in (*p, " ".join(p), " ".join([p[0]] * 40), " ".join([p[1]] * 40), f"{p[0]}\n{p[1]}")]
+    vocabulary = bpe.read_vocabulary(BYTE)
+    rows = bpe.decode(bpe.encode(documents(spark, texts), vocabulary), vocabulary).orderBy("doc_id").collect()
+    assert [r.ids for r in rows] == library(BYTE, texts) and [r.decoded for r in rows] == texts
+    counted = counts.count_tokens(documents(spark, texts), bpe.read_vocabulary(WORD)).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in counted] == list(map(len, library(WORD, texts)))
+    check_links(ngram_join.similar(documents(spark, texts)).collect(), brute_links([shingles(t, 5) for t in texts], 0.8), "doc_id", "class_id")
+    lines = ["\n".join([p[0], "x y"]) for p in pairs] + ["\n".join([p[1], "x y"]) for p in pairs]
+    assert [r.n_deleted for r in line_dedup.dedup(documents(spark, lines), 3).collect()] == [0] * 6
+
+
 def test_hashes_tell_spans_apart():
     texts = ["ab ba ab abab baba abc", "ab"]
     b = words.Batch(texts, words.class_table())
@@ -94,7 +125,7 @@ def test_word_table_starts_anew(monkeypatch):
     monkeypatch.setattr(bpe, "TABLE_WORDS", 50)
     monkeypatch.setattr(counts, "TABLE_WORDS", 50)
     texts = random_texts(3, 300)
-    table, counter = bpe.WordTable(bpe.read_vocabulary(BYTE)), counts.Counter(bpe.read_vocabulary(WORD))
+    table, counter = bpe.WordTable(bpe.read_vocabulary(BYTE)), counts.Counter(bpe.read_vocabulary(WORD), words.newer_characters())
     for first in range(0, 300, 40):
         part = texts[first : first + 40]
         flat, n = table.ids(part)
@@ -110,6 +141,14 @@ def test_counts_match_the_library(spark):
     assert counts.count_tokens(empty(spark), bpe.read_vocabulary(WORD)).count() == 0
 
 
+def test_counts_of_characters_that_python_does_not_know():
+    newer = words.newer_characters()
+    counter = counts.Counter(bpe.read_vocabulary(WORD), newer)
+    chars = [chr(c) for c in (0xA7CB, 0xA7DC, 0x13808, 0x1385C, 0x13988, *list(newer[0])[::9], *newer[1], *range(0xA0, 0x3000, 7))]
+    texts = [t for c in chars for t in (f"a{c}b", f"{c}{c} {c}1")]
+    assert counter.counts(texts).tolist() == list(map(len, library(WORD, texts)))
+
+
 @pytest.mark.parametrize("name", ["op5_bpe", "op9_token_counts"])
 def test_digest_queries(spark, name):
     texts = table_texts(spark)
@@ -164,6 +203,17 @@ def test_token_files_of_repeated_and_null_ids(spark):
     assert [r.start for r in rows] == list(np.cumsum([0, *(r.n_tokens for r in rows)])[:-1])
 
 
+def test_many_documents_of_one_id_lie_as_reported(spark):
+    path = scratch_path(spark, "files")
+    texts = [" ".join(["w"] * (1 + 7 * i % 23)) for i in range(40)]
+    token_file.write(spark.createDataFrame([(7, t) for t in texts], "doc_id bigint, text string").repartition(4), bpe.read_vocabulary(BYTE), path, end_id=2)
+    start = 0
+    reported = sorted(((r.start, r.n_tokens, r.ids_crc32) for r in token_file.layout(spark, path).collect()))
+    for r, (at, n, check) in zip(token_file.read(spark, path).coalesce(1).collect(), reported, strict=True):
+        assert (at, n, check) == (start, len(r.ids), crc(r.ids))
+        start += n
+
+
 # 10: packing
 
 
@@ -180,13 +230,15 @@ def check_pieces(rows, texts, end_id, longest):
     assert lengths == sorted(lengths, reverse=True)
 
 
-def test_packing(spark):
+def test_packing(spark, monkeypatch):
     texts = ODD + random_texts(6, 100)
     packed = packing.pack(documents(spark, texts).repartition(4), bpe.read_vocabulary(BYTE), end_id=0, longest=64, with_ids=True)
     rows = packed.collect()
     check_pieces(rows, texts, 0, 64)
     assert all(crc(r.ids) == r.ids_crc32 and len(r.ids) == r.length for r in rows)
     assert packing.pack(empty(spark), bpe.read_vocabulary(BYTE), end_id=0).count() == 0
+    monkeypatch.setattr(packing, "CHUNK_PIECES", 10)
+    check_pieces(packing.pack(documents(spark, texts).repartition(4), bpe.read_vocabulary(BYTE), end_id=0, longest=64).collect(), texts, 0, 64)
     with pytest.raises(ValueError):
         packing.pieces(empty(spark), "", 0, longest=1000)
 
@@ -302,6 +354,16 @@ def test_embedding_dedup(spark):
     assert embed_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_embeddings_of_any_length_norm_and_id(spark):
+    rows = [(0, [1.0, 0.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1e-200, 1e-200], 1), (4, [3e-200, 3e-200], 1), (5, [1e200, 1e200], 1),
+            (6, [5e-324, 5e-324], 1), (7, [0.0, 1.0, 0.0], 1), (8, [0.0, 1.0, 0.0], 1), (9, [1.0], 2), (10, [-1.0], 2), (11, [4.0], 2),
+            (20, [0.0, 0.0, 1.0], 3), (20, [0.0, 1.0, 0.0], 3), (20, [0.0, 0.0, 2.0], 3), (21, [0.0, 1.0, 0.01], 3), (None, [0.0, 1.0, 0.0], 3)]
+    found = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in found)
+    assert got == [(0, 0, 0), (1, 1, 1), (2, 1, 1), (3, 3, 3), (4, 3, 3), (5, 3, 3), (6, 3, 3), (7, 1, 7), (8, 1, 7), (9, 1, 9), (10, 0, 10), (11, 1, 9),
+                   (20, 1, 20), (20, 1, 20), (20, 1, 20), (21, 1, 20)]
+
+
 def test_embedding_query(spark):
     rows = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
     unit = {r.vec_id: np.array(r.embedding) / np.linalg.norm(r.embedding) for r in rows}
@@ -404,6 +466,26 @@ def test_neighbours_of_few_rows(spark):
     assert ann.nearest_neighbours(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("dims, spread", [(64, 0.0), (64, 1.0), (384, 0.0)])
+def test_recall_on_a_full_shard_without_structure(spark, dims, spread):
+    draw = np.random.default_rng(dims)
+    n = ann.SHARD_ROWS if dims < 100 else 2_000
+    vectors = draw.standard_normal((n, dims)) * np.exp(spread * draw.uniform(-1, 1, (n, 1)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(table, F.col("vec_id") % 40 == 0, 20, shard_rows=2 * n).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = [len(got[q] & {i for i, _ in exact_neighbours(np.arange(n), vectors, q, 20)}) / 20 for q in range(0, n, 40)]
+    print("recall", dims, spread, np.mean(hit))
+    assert np.mean(hit) >= 0.9
+
+
+def test_neighbours_of_any_length_and_norm(spark):
+    rows = [(20, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 1.0, 1.0]), (40, [0.0, 0.0, 3.0]), (60, [1e-200, 0.0]), (80, [7.0])]
+    found = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in found] == [(20, 1, 1, 2.0), (20, 2, 60, 1e-200), (40, 1, 2, 3.0), (60, 1, 1, 2e-200), (60, 2, 20, 1e-200)]
+
+
 def test_neighbour_query(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").orderBy("vec_id").collect()
     ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
@@ -416,9 +498,9 @@ def test_neighbour_query(spark):
 
 
 def brute_dedup(texts, min_words):
-    """The union of all runs with enough words that occurred at an earlier place."""
+    """The union of all runs with enough words, from a line with words to one, that occurred at an earlier place, without what the first copy covers."""
     lines = [None if t is None else t.split("\n") for t in texts]
-    weight = [[max(1, len(x.split())) for x in d] if d is not None else [] for d in lines]
+    weight = [[len(x.split()) for x in d] if d is not None else [] for d in lines]
     seen, gone = {}, [set() for _ in texts]
     places = [(i, p) for i, d in enumerate(lines) if d is not None for p in range(len(d))]
     for i, p in places:
@@ -426,8 +508,10 @@ def brute_dedup(texts, min_words):
             seen.setdefault(tuple(lines[i][p : p + m]), (i, p))
     for i, p in places:
         for m in range(1, len(lines[i]) - p + 1):
-            if sum(weight[i][p : p + m]) >= min_words and seen[tuple(lines[i][p : p + m])] < (i, p):
-                gone[i].update(range(p, p + m))
+            if weight[i][p] and weight[i][p + m - 1] and sum(weight[i][p : p + m]) >= min_words:
+                doc, at = seen[tuple(lines[i][p : p + m])]
+                if (doc, at) < (i, p):
+                    gone[i].update(range(max(p, at + m) if doc == i else p, p + m))
     return [None if d is None else "\n".join(x for k, x in enumerate(d) if k not in gone[i]) for i, d in enumerate(lines)], [len(g) for g in gone]
 
 
@@ -452,11 +536,68 @@ def test_line_dedup_rows(spark):
 
 
 def test_line_query(spark):
+    """The whole table against all its runs."""
     texts = table_texts(spark)
-    small = sorted(range(len(texts)), key=lambda i: len(texts[i]))[:60]
-    docs = spark.createDataFrame([(k, texts[i]) for k, i in enumerate(small)], "doc_id bigint, text string")
-    assert [r.text for r in line_dedup.dedup(docs).orderBy("doc_id").collect()] == brute_dedup([texts[i] for i in small], line_dedup.MIN_WORDS)[0]
-    assert queries.op7_line_dedup(spark, SF_DIR).count() == len(texts)
+    want, gone = window_dedup(texts, line_dedup.MIN_WORDS)
+    rows = queries.op7_line_dedup(spark, SF_DIR).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == want and [r.n_deleted for r in rows] == gone
+    assert [r.n_lines for r in rows] == [len(t.split("\n")) for t in texts]
+
+
+def window_dedup(texts, min_words):
+    """As ``brute_dedup``, with the shortest runs from and to every line, which make up all others."""
+    lines = [t.split("\n") for t in texts]
+    runs = []
+    for i, d in enumerate(lines):
+        weight = [len(x.split()) for x in d]
+        for p in range(len(d)):
+            for step in (1, -1):
+                total, q = 0, p
+                while 0 <= q < len(d) and total < min_words:
+                    total += weight[q]
+                    q += step
+                if weight[p] and total >= min_words:
+                    runs.append((i, p, q) if step == 1 else (i, q + 1, p + 1))
+        worded = [p for p in range(len(d)) if weight[p]]
+        runs += [(i, p, q + 1) for p, q in zip(worded, worded[1:]) if q > p + 1 and weight[p] + weight[q] >= min_words]
+    first = {}
+    for i, a, b in sorted(set(runs)):
+        first.setdefault(tuple(lines[i][a:b]), (i, a))
+    gone = [set() for _ in texts]
+    for i, a, b in set(runs):
+        doc, at = first[tuple(lines[i][a:b])]
+        if (doc, at) < (i, a):
+            gone[i].update(range(max(a, at + b - a) if doc == i else a, b))
+    return ["\n".join(x for k, x in enumerate(d) if k not in gone[i]) for i, d in enumerate(lines)], [len(g) for g in gone]
+
+
+def test_both_brute_forces_agree():
+    draw = random.Random(9)
+    texts = ["\n".join(draw.choice(["", "a", "b c", "d e f", "x"]) for _ in range(draw.randrange(1, 12))) for _ in range(60)]
+    for min_words in (1, 2, 4, 7):
+        assert window_dedup(texts, min_words) == brute_dedup(texts, min_words)
+
+
+def test_first_copies_stay(spark):
+    texts = ["\n".join(["w"] * 60), "\n" * 200, "\n".join(["w"] * 60), "a b c\n" + "\n" * 50 + "d e f", "x\na b c\n" + "\n" * 50 + "d e f\ny"]
+    rows = line_dedup.dedup(documents(spark, texts), 30).orderBy("doc_id").collect()
+    assert [r.n_deleted for r in rows] == [30, 0, 60, 0, 0]
+    rows = line_dedup.dedup(documents(spark, texts[3:]), 6).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == [texts[3], "x\ny"]
+
+
+def test_columns_named_like_helpers(spark):
+    docs = spark.createDataFrame([(i, "a b\nc", 1, 2, 3, 4, 5) for i in range(2)], "doc_id bigint, text string, _d int, _h int, _runs int, line_d0 int, LINE_RUNS0 int")
+    rows = line_dedup.dedup(docs, 3).orderBy("doc_id").collect()
+    assert [(r.text, r.n_deleted, r._d, r._h, r._runs, r.line_d0, r.LINE_RUNS0) for r in rows] == [("a b\nc", 0, 1, 2, 3, 4, 5), ("", 2, 1, 2, 3, 4, 5)]
+
+
+def test_maximal_runs(spark):
+    body = [f"line number {k}" for k in range(9)]
+    texts = ["\n".join(["own a", *body, "end a"]), "\n".join(["own b", *body[2:8], "mid b", *body[:4]]), None, "short"]
+    rows = line_dedup.repeated_runs(documents(spark, texts), 6).orderBy("doc_id", "start").collect()
+    assert [tuple(r) for r in rows] == [(1, 1, 6, 0, 3), (1, 8, 4, 0, 1)]
+    assert line_dedup.repeated_runs(empty(spark)).count() == 0
 
 
 # 1 and 3: language and quality
@@ -482,7 +623,7 @@ def test_rare_languages_are_languages(spark):
         codes, _ = trigrams(pa.array([t for _, t, of in rows if of == name], pa.string()))
         counts = 1 + np.bincount(codes, minlength=language.BUCKETS)
         assert np.allclose(model.logs[:, k], np.log(counts / counts.sum()), atol=1e-4)
-    assert language.fit(spark.createDataFrame([], "doc_id bigint, text string, lang string"), "doc_id", "text", "lang").languages == ["en"]
+    assert language.fit(spark.createDataFrame([], "doc_id bigint, text string, lang string"), "doc_id", "text", "lang").languages == []
 
 
 def test_language_evidence_and_nulls(spark):
@@ -497,6 +638,13 @@ def test_language_evidence_and_nulls(spark):
     assert language.identify(df.drop("language").limit(0), model).count() == 0
 
 
+def test_no_language_is_known(spark):
+    docs = spark.createDataFrame([(1, "some text", None, "h"), (2, None, None, None)], "doc_id bigint, text string, lang string, source string")
+    rows = language.of_document(docs).select("doc_id", "text", "declared", "host", "suffix")
+    found = language.identify(rows, language.fit(docs, "doc_id", "text", "lang")).collect()
+    assert {(r.language, r.accepted) for r in found} == {("und", False)}
+
+
 def test_page_evidence(spark):
     page = ("<html class=x LANG='DE-at'><script>var a='<p>';</script><p>Hallo <b>Welt</b></p></html>", "HTTPS://www.Example.de:80/x?y")
     r = language.of_page(spark.createDataFrame([page, (None, None)], "html string, url string")).collect()
@@ -522,6 +670,24 @@ def test_quality_edges(spark):
     assert quality.score(empty(spark), quality.fit(docs, labels)).count() == 0
 
 
+def test_sample_of_labels(spark, monkeypatch):
+    """Labels of absent documents take no place in the sample, and a repeated id gives one text."""
+    docs = documents(spark, [f"good words here {i}" if i % 2 else f"BAD 111 {i}" for i in range(60)])
+    docs = docs.union(docs.where("doc_id < 9").withColumn("text", F.lit("zzz other")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1000 + i, i % 2) for i in range(5000)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 60)
+    monkeypatch.setattr(quality, "CALIBRATE_ROWS", 0)
+    seen = []
+    fit = quality.fit_features
+    monkeypatch.setattr(quality, "fit_features", lambda v, x, y, *rest: seen.append((x, y)) or fit(v, x, y, *rest))
+    model = quality.fit(docs, labels)
+    known = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    assert len(seen[0][1]) == len(known) and seen[0][1].sum() == sum(i % 2 for i in known)
+    texts = {i: min((f"good words here {i}" if i % 2 else f"BAD 111 {i}", *(["zzz other"] if i < 9 else [])), key=lambda t: hashlib.sha256(t.encode()).hexdigest()) for i in known}
+    want = quality.features(quality.Tokens(), model.vectors, list(texts.values()))
+    assert np.allclose(sorted(map(tuple, want.astype(float))), sorted(map(tuple, seen[0][0])))
+
+
 def test_word_vectors_of_all_documents(spark):
     texts = [f"labelled words of kind {i % 2} here" for i in range(20)] + [f"rare{i} vocabulary{i} only{i} there" for i in range(40)] + ODD[:9]
     docs = documents(spark, texts).repartition(5)

@@ -34,7 +34,27 @@ def test_language_keeps_documents_and_drops_those_without(spark, docs):
     assert kept.count() >= 0.99 * docs.count()
     odd = docs.union(corpus(spark, ["", None, "123 456 !!", "***"], [9001, 9002, 9003, None]))
     left = STAGES["language"](spark, odd, SF_DIR)
-    assert left.where("doc_id > 9000").count() == 0 and left.count() == kept.count() + 1  # a row without id can only go for an empty text
+    assert left.where("doc_id > 9000").count() == 0 and left.count() == kept.count()
+
+
+def test_rows_are_judged_by_themselves(spark, docs):
+    """Null and repeated ids: each row's fate is its own."""
+    text = docs.where("lang = 'en'").first().text
+    odd = docs.union(corpus(spark, [text, "123 !!", text, "123 !!"], [9001, 9001, None, None]))
+    left = STAGES["language"](spark, odd, SF_DIR)
+    assert left.where("text = '123 !!'").count() == 0 and left.where("doc_id = 9001").count() == 1 and left.where("doc_id IS NULL").count() == 1
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = corpus(spark, [words, words + " x", "all other words stand in this text " * 3, words, words, "", None], [5, 4, 4, None, None, 4, None])
+    got = STAGES["ngram_join"](spark, rows, SF_DIR)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(4, words + " x"), (4, "all other words stand in this text " * 3), (4, ""), (None, None)], key=repr)
+
+
+def test_columns_named_like_helpers(spark, docs):
+    extra = docs.limit(30).selectExpr("*", "'mine' AS score0", "'mine' AS _score", "'mine' AS row0", "'mine' AS lines0", "'mine' AS gone0", "'mine' AS digest", "'mine' AS host")
+    for name in list(STAGES)[:-1]:
+        kept = STAGES[name](spark, extra, SF_DIR)
+        assert kept.dtypes == extra.dtypes and {r.score0 for r in kept.collect()} <= {"mine"}
 
 
 def test_quality_decides_by_the_text(spark, docs):
