@@ -23,17 +23,18 @@ def clean_text(col: Column) -> Column:
     return F.when(has_wide_space(text), wide).otherwise(narrow)
 
 
-def narratives(df: DataFrame, min_chars: int = 80, text: str = "consumer_complaint_narrative", by: str | None = None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its source comes in few parts, such as a single small file; else as it is, so that texts are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
+def narratives(df: DataFrame, min_chars: int = 80, text: str = "consumer_complaint_narrative") -> DataFrame:
     """Add ``clean_narrative`` and keep rows whose cleaned text is long enough.
 
-    ``by`` names the document key to spread the rows by first. Cleaning and splitting text is processor work, so it
-    gets the session's full partition count, not one merged by data size, and later steps per document need no other
-    shuffle. The text goes through a one-element explode, which keeps the optimiser from pushing the length filter
-    below it and cleaning every text twice.
+    The text goes through a one-element explode, which keeps the optimiser from pushing the length filter below it and cleaning every text twice.
     """
-    if by is not None:
-        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
-    cleaned = df.select("*", F.explode(F.array(clean_text(F.col(text)))).alias("clean_narrative"))
+    cleaned = spread(df).select("*", F.explode(F.array(clean_text(F.col(text)))).alias("clean_narrative"))
     return cleaned.filter(F.length("clean_narrative") >= min_chars)
 
 

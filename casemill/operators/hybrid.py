@@ -1,9 +1,9 @@
-"""Hybrid retrieval: filtered lexical and dense scores, min-max scaled per question and fused.
+"""Hybrid retrieval: filtered lexical and dense scores, min-max scaled per question and fused, in one pass over the documents.
 
-Documents are scored where they lie. A batch of questions (a few hundred at most, larger sets are split) is broadcast;
-each task scores its documents as matrix products and returns per question first the score ranges, then its k best.
-So no (question, document) pair leaves a task unless it is among the best, and a question that matches every document
-costs no more to shuffle than any other.
+Documents are scored where they lie, as matrix products with the questions at hand. The scale of a question's scores is known only when all its candidates
+have been seen, but whatever it is, a document that k others equal or beat in both scores is not among the k best. So each task returns, per question, the
+score ranges and the documents that fewer than k others beat: a band of about k log n rows. Ranges and bands meet in a join of small tables. No
+(question, document) pair leaves a task unless it can be among the best, and a question that matches every document costs no more to shuffle than any other.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from casemill.fixed import DENSE_WEIGHT, LEXICAL_WEIGHT
 from casemill.functions.filters import EQUALITY_FIELDS
@@ -26,19 +27,12 @@ from casemill.operators.search import SCORE_DIGITS, top_k
 from casemill.operators.tfidf import INDEX, TfidfSpec
 from casemill.session import materialize, scratch_path
 
-BATCH = 256
+BATCH = 256  # questions that are scored together in a task
+PASS = 1_024  # questions of a pass: they are broadcast, so their number is bounded
 FILTER_COLUMNS = [*EQUALITY_FIELDS, "date_received"]
 QUESTION_FIELDS = [*EQUALITY_FIELDS, "date_start", "date_end"]
 
 
-def min_max(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Values scaled to 0..1; unknown values and constant columns become 0."""
-    span = high - low
-    usable = np.isfinite(span) & (span > 0)
-    scaled = np.divide(values - low, span, out=np.zeros_like(values), where=usable)
-    return np.where(np.isfinite(scaled), scaled, 0.0)
-
-
 @dataclass
 class Questions:
     """A batch of questions as arrays: term columns, lexical and dense matrix, and for each question the number of its filters."""
@@ -63,6 +57,12 @@ class Questions:
         group = np.array([filters.index(w) for w in wanted], dtype=np.int64)
         return Questions([r["question"] for r in rows], terms, lexical, dense, group), filters
 
+    def parts(self) -> Iterator[tuple[int, Questions]]:
+        """(first position, questions) in batches."""
+        for first in range(0, len(self.ids), BATCH):
+            some = slice(first, first + BATCH)
+            yield first, Questions(self.ids[some], self.terms, self.lexical[:, some], self.dense[:, some], self.group[some])
+
     def candidates(self, batch: pa.RecordBatch) -> np.ndarray:
         """Rows x questions: whether the document passes the question's filters."""
         groups = batch.column("passes").flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(batch.num_rows, -1)
@@ -91,54 +91,83 @@ class Questions:
         return lexical, dense
 
 
-def _ranges(shared):
-    """Task body: candidates and score ranges per question."""
-
-    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = Questions(**shared.value)
-        n = len(asked.ids)
-        count, low, high = np.zeros(n, dtype=np.int64), np.full((2, n), np.inf), np.full((2, n), -np.inf)
-        for batch in batches:
-            mask = asked.candidates(batch)
-            count += mask.sum(axis=0)
-            for i, values in enumerate(asked.scores(batch)):
-                known = mask & np.isfinite(values)
-                low[i] = np.minimum(low[i], np.where(known, values, np.inf).min(axis=0, initial=np.inf))
-                high[i] = np.maximum(high[i], np.where(known, values, -np.inf).max(axis=0, initial=-np.inf))
-        arrays = [pa.array(np.arange(n, dtype=np.int32)), pa.array(count), *[pa.array(v) for v in (low[0], high[0], low[1], high[1])]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["position", "n", "lexical_low", "lexical_high", "dense_low", "dense_high"])
-
-    return body
+class Band:
+    """Per question the candidates seen so far that fewer than k others beat in both scores, and the score ranges.
 
+    Another candidate beats a document if neither score is lower and it goes first whatever the scale: its key is smaller, or a score is higher by more than
+    ``margin``, so that it shows in the rounded sum. Unknown dense scores are below all others.
+    """
 
-def _best(shared, key: str, k: int):
-    """Task body: the k best candidates per question of this task."""
+    def __init__(self, n: int, k: int, lexical_weight: float, dense_weight: float):
+        self.k, self.lexical_weight, self.dense_weight = k, lexical_weight, dense_weight
+        # Scores of unit vectors span 2 at most, so a step of the margin moves the sum by more than its last rounded digit.
+        self.margin = 4 * 10.0 ** -SCORE_DIGITS / (dense_weight or lexical_weight or 1.0)
+        self.count = np.zeros(n, np.int64)
+        self.low, self.high = np.full((2, n), np.inf), np.full((2, n), -np.inf)
+        self.rows: list[tuple] = [(np.zeros(0), np.zeros(0), None)] * n
+
+    def add(self, first: int, mask: np.ndarray, lexical: np.ndarray, dense: np.ndarray, keys: pa.Array) -> None:
+        some = slice(first, first + mask.shape[1])
+        self.count[some] += mask.sum(axis=0)
+        for i, values in enumerate((lexical, dense)):
+            known = mask & np.isfinite(values)
+            self.low[i, some] = np.minimum(self.low[i, some], np.where(known, values, np.inf).min(axis=0, initial=np.inf))
+            self.high[i, some] = np.maximum(self.high[i, some], np.where(known, values, -np.inf).max(axis=0, initial=-np.inf))
+        for j in range(mask.shape[1]):
+            at = np.flatnonzero(mask[:, j])
+            if not at.size:
+                continue
+            old_lexical, old_dense, old_keys = self.rows[first + j]
+            new = (np.concatenate([old_lexical, lexical[at, j]]), np.concatenate([old_dense, dense[at, j]]))
+            of = keys.take(pa.array(at)) if old_keys is None else pa.concat_arrays([old_keys, keys.take(pa.array(at))])
+            keep = self.open(*new, of)
+            self.rows[first + j] = (new[0][keep], new[1][keep], of.take(pa.array(keep)))
+
+    def open(self, lexical: np.ndarray, dense: np.ndarray, keys: pa.Array) -> np.ndarray:
+        """Positions of the band. In order of falling lexical score, a document is out if k before it have a dense score that is higher by the margin; of equal pairs
+        of scores the k smallest keys stay."""
+        lexical = lexical if self.lexical_weight else np.zeros_like(lexical)
+        dense = np.where(np.isfinite(dense), dense, -np.inf) if self.dense_weight else np.zeros_like(dense)
+        if not self.dense_weight:
+            lexical, dense = dense, lexical
+        rank = pc.rank(keys, sort_keys="ascending", tiebreaker="first").to_numpy().astype(np.int64)
+        order = np.lexsort((rank, -dense, -lexical))
+        lexical, dense = lexical[order], dense[order]
+        fresh = np.concatenate([[True], (lexical[1:] != lexical[:-1]) | (dense[1:] != dense[:-1])])
+        starts = np.flatnonzero(fresh)
+        twin = np.arange(order.size) - np.repeat(starts, np.diff(np.append(starts, order.size)))
+        stay = twin < self.k
+        border, best, first, step = -np.inf, np.zeros(0), 0, max(16, self.k)
+        while first < order.size:
+            part = slice(first, first + step)
+            stay[part] &= ~(dense[part] < border - self.margin)
+            best = np.concatenate([best, dense[part][stay[part]]])
+            if best.size > self.k:
+                best = np.partition(best, best.size - self.k)[best.size - self.k:]
+            if best.size == self.k:
+                border = best.min()
+            first, step = first + step, 2 * step
+        return order[stay]
+
+
+def _band(shared, key: str, kind: pa.DataType):
+    """Task body: ranges and bands of all questions."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fields, ranges, lexical_weight, dense_weight = shared.value
+        fields, k, lexical_weight, dense_weight = shared.value
         asked = Questions(**fields)
-        heads: list[list[tuple]] = [[] for _ in asked.ids]
+        band = Band(len(asked.ids), k, lexical_weight, dense_weight)
         for batch in batches:
-            mask = asked.candidates(batch)
-            lexical, dense = asked.scores(batch)
-            fused = lexical_weight * min_max(lexical, *ranges[0]) + dense_weight * min_max(dense, *ranges[1])
-            rounded = np.where(mask, np.round(fused, SCORE_DIGITS), -np.inf)
-            keys = batch.column(key).to_numpy(zero_copy_only=False)
-            for j in range(len(asked.ids)):
-                at = np.flatnonzero(mask[:, j])
-                if len(at) > k:
-                    border = np.partition(rounded[at, j], len(at) - k)[len(at) - k]
-                    at = at[rounded[at, j] >= border]
-                    at = at[np.argsort(keys[at], kind="stable")]
-                    at = at[np.argsort(-rounded[at, j], kind="stable")][:k]
-                head = heads[j] + [(-rounded[i, j], keys[i], lexical[i, j], dense[i, j], fused[i, j]) for i in at]
-                heads[j] = sorted(head, key=lambda t: t[:2])[:k]
-        rows = [(j, t[1], t[2], None if np.isnan(t[3]) else t[3], t[4]) for j, head in enumerate(heads) for t in head]
-        columns = list(zip(*rows)) if rows else [[], [], [], [], []]
-        types = [pa.int32(), None, pa.float64(), pa.float64(), pa.float64()]
-        names = ["position", key, "lexical_score", "dense_score", "hybrid_score"]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=names)
+            for first, some in asked.parts():
+                band.add(first, some.candidates(batch), *some.scores(batch), batch.column(key))
+        n = len(asked.ids)
+        names = ["position", key, "lexical_score", "dense_score", "n", "lexical_low", "lexical_high", "dense_low", "dense_high"]
+        ranges = [pa.array(band.count), *(pa.array(v) for v in (band.low[0], band.high[0], band.low[1], band.high[1]))]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.nulls(n, kind), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), *ranges], names=names)
+        for j, (lexical, dense, keys) in enumerate(band.rows):
+            if keys is not None:
+                nothing = [pa.nulls(len(keys), c.type) for c in ranges]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), j, np.int32)), keys, pa.array(lexical), pa.array(dense, mask=~np.isfinite(dense)), *nothing], names=names)
 
     return body
 
@@ -152,32 +181,34 @@ def passing(wanted: dict) -> Column:
     return F.coalesce(reduce(operator.and_, tests, F.lit(True)), F.lit(False))
 
 
-def search_batch(vectors: DataFrame, asked: Sequence[Row], key: str, k: int, lexical_weight: float, dense_weight: float) -> tuple[DataFrame, DataFrame]:
-    """Evidence and trace of one batch of questions."""
+def scaled(column: str) -> Column:
+    """A score as a share of its range; unknown scores and constant ranges give 0."""
+    value, low, high = F.col(f"{column}_score"), F.col(f"{column}_low"), F.col(f"{column}_high")
+    return F.when((high > low) & (high - low < float("inf")), F.coalesce((value - low) / (high - low), F.lit(0.0))).otherwise(0.0)
+
+
+def search_pass(vectors: DataFrame, asked: Sequence[Row], kind: str, key: str, k: int, lexical_weight: float, dense_weight: float) -> tuple[DataFrame, DataFrame]:
+    """Evidence and trace of the questions of one pass."""
     spark = vectors.sparkSession
     questions, filters = Questions.of(asked)
-    sc = spark.sparkContext
     # Every distinct filter is evaluated where the scan is; documents that pass none never reach a Python worker.
     passes = [passing(f) for f in filters]
     lowered = vectors.where(reduce(lambda a, b: a | b, passes)).select(key, "idx", "x", "dense", F.array(*passes).alias("passes"))
-    schema = "position int, n bigint, lexical_low double, lexical_high double, dense_low double, dense_high double"
-    ranges = lowered.mapInArrow(_ranges(sc.broadcast(vars(questions))), schema).groupBy("position").agg(
-        F.sum("n").alias("n"), *[F.min(f"{c}_low").alias(f"{c}_low") for c in ("lexical", "dense")],
-        *[F.max(f"{c}_high").alias(f"{c}_high") for c in ("lexical", "dense")],
-    ).orderBy("position").collect()  # one row per question of the batch
-    limits = [tuple(np.array([r[f"{c}_{side}"] for r in ranges], dtype=float) for side in ("low", "high")) for c in ("lexical", "dense")]
-    shared = sc.broadcast((vars(questions), limits, lexical_weight, dense_weight))
-    kind = vectors.schema[key].dataType.simpleString()
-    best = lowered.mapInArrow(
-        _best(shared, key, k), f"position int, `{key}` {kind}, lexical_score double, dense_score double, hybrid_score double"
-    )
-    names = spark.createDataFrame(
-        [(j, q, int(r["n"])) for j, (q, r) in enumerate(zip(questions.ids, ranges))],
-        f"position int, question_id {'bigint' if isinstance(questions.ids[0], int) else 'string'}, candidate_count bigint",
-    )
-    ranked = top_k(best, "position", "hybrid_score", key, k).join(F.broadcast(names), "position")
-    evidence = ranked.select("question_id", key, "lexical_score", "dense_score", "hybrid_score", "rank")
-    trace = names.select(
+    shared = spark.sparkContext.broadcast((vars(questions), k, lexical_weight, dense_weight))
+    of_key = vectors.schema[key].dataType
+    schema = (f"position int, `{key}` {of_key.simpleString()}, lexical_score double, dense_score double, n bigint, "
+              "lexical_low double, lexical_high double, dense_low double, dense_high double")
+    found = materialize(lowered.mapInArrow(_band(shared, key, to_arrow_type(of_key)), schema), "bands")
+    shared.destroy()
+    ranges = found.where("n IS NOT NULL").groupBy("position").agg(
+        F.sum("n").alias("candidate_count"), *[F.min(f"{c}_low").alias(f"{c}_low") for c in ("lexical", "dense")], *[F.max(f"{c}_high").alias(f"{c}_high") for c in ("lexical", "dense")])
+    names = spark.createDataFrame(list(enumerate(questions.ids)), f"position int, question_id {kind}")
+    known = names.join(ranges, "position", "left").withColumn("candidate_count", F.coalesce("candidate_count", F.lit(0).cast("bigint")))
+    known = F.broadcast(known)  # a row per question of the pass
+    fused = F.lit(lexical_weight) * scaled("lexical") + F.lit(dense_weight) * scaled("dense")
+    best = found.where("n IS NULL").select("position", key, "lexical_score", "dense_score").join(known, "position").withColumn("hybrid_score", fused)
+    evidence = top_k(best, "question_id", "hybrid_score", key, k).select("question_id", key, "lexical_score", "dense_score", "hybrid_score", "rank")
+    trace = known.select(
         "question_id", "candidate_count", F.least("candidate_count", F.lit(k)).alias("returned_count"),
         F.lit(lexical_weight).alias("lexical_weight"), F.lit(dense_weight).alias("dense_weight"),
         F.when(F.col("candidate_count") == 0, "metadata_filter_returned_no_rows").alias("reason"),
@@ -189,19 +220,21 @@ def hybrid_search(vectors: DataFrame, asked: DataFrame, k: int = 8, lexical_weig
                   key: str = "complaint_id") -> tuple[DataFrame, DataFrame]:
     """``(evidence, trace)`` for all questions.
 
-    ``vectors``: one row per document with filter columns, sparse ``idx``/``x`` and ``dense``. ``asked``: one row per
-    question with ``question_id``, the filter fields and its own vectors. Question sets beyond one batch are cut by a
-    hash of their id into batches that are searched one after the other.
+    ``vectors``: one row per document with filter columns, sparse ``idx``/``x`` and ``dense``, both of unit length. ``asked``: one row per
+    question with ``question_id``, the filter fields and its own vectors. Question sets beyond one pass are cut by a
+    hash of their id into passes that follow each other. Weights are not negative.
     """
+    if lexical_weight < 0 or dense_weight < 0:
+        raise ValueError("weights must not be negative")
     columns = [F.col("question_id").alias("question"), "idx", "x", "dense", *QUESTION_FIELDS]
     asked = materialize(asked.select("question_id", "idx", "x", "dense", *QUESTION_FIELDS), "asked")
-    total = asked.count()
-    parts = max(1, -(-total // BATCH))
+    kind = asked.schema["question_id"].dataType.simpleString()
+    parts = max(1, -(-asked.count() // PASS))
     found = []
     for part in range(parts):
         rows = asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(parts)) == part).select(*columns).orderBy("question").collect()
         if rows:
-            found.append(search_batch(vectors, rows, key, k, lexical_weight, dense_weight))
+            found.append(search_pass(vectors, rows, kind, key, k, lexical_weight, dense_weight))
     if not found:
         raise ValueError("no questions given")
     return tuple(reduce(DataFrame.unionByName, side) for side in zip(*found))
@@ -230,7 +263,7 @@ class Index:
 
     def ask(self, questions: DataFrame) -> DataFrame:
         """Questions (``question_id``, ``question``, filters) with vectors in the space of the index."""
-        sparse = materialize(tfidf.doc_vectors(questions, self.terms, "question_id", "question", self.spec), "asked")
+        sparse = materialize(tfidf.doc_vectors(tfidf.count_terms(questions, "question_id", "question", self.spec), self.terms, "question_id", self.spec), "asked")
         dense = lowrank.project(sparse, "question_id", self.basis)
         return without_filters(questions).join(sparse, "question_id", "left").join(dense, "question_id", "left")
 
@@ -249,7 +282,7 @@ def build_index(complaints: DataFrame, path: str | None = None, min_chars: int =
     """
     spark = complaints.sparkSession
     path = path or scratch_path(spark, "index")
-    docs = narratives(complaints, min_chars, by=key)
+    docs = narratives(complaints, min_chars)
     kept = [c for c in complaints.columns if c != "consumer_complaint_narrative"]
     docs.select(*kept, "clean_narrative").write.mode("overwrite").parquet(f"{path}/docs")
     docs = spark.read.parquet(f"{path}/docs")
@@ -257,9 +290,10 @@ def build_index(complaints: DataFrame, path: str | None = None, min_chars: int =
     if not n_docs:
         raise ValueError("no narratives to index")
     text = "clean_narrative"
-    terms = materialize(tfidf.numbered(tfidf.vocabulary(docs, key, text, spec, F.lit(n_docs))), "index_terms")
+    counts = tfidf.count_terms(docs, key, text, spec)
+    terms = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec, F.lit(n_docs))), "index_terms")
     n_terms = terms.count()
-    sparse = materialize(tfidf.doc_vectors(docs, terms, key, text, spec), "index_sparse")
+    sparse = materialize(tfidf.doc_vectors(counts, terms, key, spec), "index_sparse")
     width = min(components, max(2, n_terms - 1), max(2, n_docs - 1))
     _, basis = lowrank.right_singular(sparse, n_terms, width, passes)
     rows = pa.table({"idx": pa.array(np.arange(n_terms, dtype=np.int32)), "basis": pa.array(list(basis))})

@@ -10,7 +10,7 @@ cut and a lost task is simply run again.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +52,8 @@ def chunks(batch: pa.RecordBatch, width: int) -> Iterator[tuple[slice, SparseRow
         begin = end
 
 
-def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[[SparseRows, np.ndarray], None]) -> np.ndarray:
-    """Sum of what ``add`` puts into a (n_rows x width) array over all documents.
+def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[..., None], columns: Sequence[str] = ()) -> np.ndarray:
+    """Sum of what ``add`` puts into a (n_rows x width) array over all documents; it gets the rows, the array, and further columns of the rows.
 
     Tasks hand on their partial sums as blocks of rows. The blocks are spread by number and added up as they stream
     in, so a reducer holds its own blocks only, whatever the number of tasks.
@@ -63,8 +63,8 @@ def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[[Spar
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n_rows, width))
         for batch in batches:
-            for _, rows in chunks(batch, width):
-                add(rows, total)
+            for part, rows in chunks(batch, width):
+                add(rows, total, *(batch.column(c).to_numpy(zero_copy_only=False)[part] for c in columns))
         for block in range(-(-n_rows // height)):
             part = total[block * height:(block + 1) * height]
             if part.any():
@@ -83,7 +83,7 @@ def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[[Spar
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])], names=["block", "data"])
 
     schema = "block int, data binary"
-    table = vectors.select("idx", "x").mapInArrow(partial, schema).repartition("block").mapInArrow(combine, schema).toArrow()
+    table = vectors.select("idx", "x", *columns).mapInArrow(partial, schema).repartition("block").mapInArrow(combine, schema).toArrow()
     result = np.zeros((n_rows, width))
     for block, data in zip(table.column("block").to_pylist(), table.column("data")):
         part = np.frombuffer(data.as_buffer()).reshape(-1, width)

@@ -1,22 +1,27 @@
-"""TF-IDF features over words and pairs of words, as long tables and as one row per document.
+"""TF-IDF features over words and pairs of words.
 
-Documents come in spread by their key (see ``narratives``). Term counts, norms and grouped vectors are keyed by
-document and reuse that partitioning; only (term, count) partial sums travel for the document frequencies. The
-vocabulary is limited to ``max_features`` rows, which is what makes broadcasting it safe at any corpus size. Features
-look terms up in it before they count, so the many rare pairs of words never reach an aggregation.
+Documents are counted once: a pass over the texts writes a row of distinct terms and counts per document, without a shuffle of texts or words. Document
+frequencies, weights and vectors start from that table. A vocabulary limited to ``max_features`` rows is broadcast to the tasks that read the counts, which
+look a batch's terms up in it at once and return whole vectors; an unlimited one is joined on the term.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casemill.fixed import (
     ENGLISH_STOP_WORDS, TFIDF_INDEX, TFIDF_ROUTER, TFIDF_SEARCH, TFIDF_TOPICS,
 )
 from casemill.functions.text import tokens, with_bigrams
+from casemill.session import materialize
 
 
 @dataclass(frozen=True)
@@ -38,28 +43,59 @@ def terms_of(text: Column, spec: TfidfSpec) -> Column:
     return with_bigrams(tokens(text, spec.stop_words))
 
 
-def exploded(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    """``(key, term)``: one row per occurrence."""
-    return docs.select(key, F.explode(terms_of(F.col(text), spec)).alias("term"))
+class TermCounter:
+    """Distinct terms of lower-case texts with their counts, as two lists per text."""
 
+    def __init__(self, stop_words: Sequence[str]):
+        self.stop, self.words = frozenset(stop_words), re.compile(r"\w\w+").findall  # letters, numbers and underscores, two or more
 
-def corpus_size(docs: DataFrame) -> Column:
-    return docs.select(F.count(F.lit(1))).scalar()
+    def __call__(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        counts = []
+        for text in texts.to_pylist():
+            kept = [w for w in self.words(text or "") if w not in self.stop]
+            counts.append(Counter(kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]))
+        offsets = pa.array(np.cumsum([0, *map(len, counts)], dtype=np.int32))
+        return (pa.ListArray.from_arrays(offsets, pa.array([t for c in counts for t in c], pa.string())),
+                pa.ListArray.from_arrays(offsets, pa.array([n for c in counts for n in c.values()], pa.int32())))
 
 
-def vocabulary(docs: DataFrame, key: str, text: str, spec: TfidfSpec, size: Column | None = None) -> DataFrame:
-    """``(term, df, cf, idf)``: the terms within the document-frequency bounds, or the ``max_features`` most frequent of them.
+def count_terms(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
+    """``(key, terms array<string>, tf array<int>)``: the distinct terms of every document with their counts, a document's in one row; written.
+
+    Lower case and words are those of :func:`~casemill.functions.text.tokens`; splitting and counting a text in one go moves no words.
+    """
+    stop = spec.stop_words
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = TermCounter(stop)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                yield pa.RecordBatch.from_arrays([part.column(0), *count(part.column(1))], names=[key, "terms", "tf"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    lowered = docs.select(key, F.lower(text).alias("text"))
+    return materialize(lowered.mapInArrow(body, f"`{key}` {kind}, terms array<string>, tf array<int>"), "term_counts")
+
+
+def occurrences(counts: DataFrame, *columns: str) -> DataFrame:
+    """``(*columns, term, tf)``: a row per document and term."""
+    return counts.select(*columns, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("tf"))))
+
+
+def vocabulary(counts: DataFrame, spec: TfidfSpec, size: Column | None = None) -> DataFrame:
+    """``(term, df, cf, idf)`` from counted documents: the terms within the document-frequency bounds, or the ``max_features`` most frequent of them.
 
     Terms below the count that cannot make the cut are dropped before the final ordering, so the single task that
     merges the ordered heads sees little more than ``max_features`` rows however many terms there are.
     """
-    size = corpus_size(docs) if size is None else size
-    counts = exploded(docs, key, text, spec).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    size = counts.select(F.count(F.lit(1))).scalar() if size is None else size
+    terms = occurrences(counts).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     terms = terms.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(spec.max_df) * size))
     idf = F.log((size + 1).cast("double") / (F.col("df") + 1)) + 1
     if spec.max_features is None:
         return terms.withColumn("idf", idf)
+    terms = materialize(terms, "terms")
     by_count = terms.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, 0))
     cut = by_count.withColumn("upto", upto).filter(F.col("upto") >= spec.max_features).select(F.max("cf")).scalar()
@@ -67,36 +103,75 @@ def vocabulary(docs: DataFrame, key: str, text: str, spec: TfidfSpec, size: Colu
     return kept.withColumn("idf", idf)
 
 
-def known_terms(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec, *names: str) -> DataFrame:
-    """``(key, *names, x)``: count of every known term of a document times its idf, before normalisation."""
-    terms = vocab.select("term", "idf", *[n for n in names if n != "term"])
-    # Only a vocabulary with a bound is sure to be small; any other is joined as its measured size allows.
-    found = exploded(docs, key, text, spec).join(terms if spec.max_features is None else F.broadcast(terms), "term")
-    counts = found.groupBy(key, *names, "idf").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    tf = F.log("tf") + 1 if spec.sublinear else F.col("tf")
-    return counts.select(key, *names, (tf * F.col("idf")).alias("x"))
+def raw_weight(tf, sublinear: bool):
+    """Term frequency as the settings count it, before idf and length; for columns."""
+    return F.log(tf.cast("double")) + 1 if sublinear else tf.cast("double")
+
+
+class Weigher:
+    """Unit-length TF-IDF of counted documents in a task, over a vocabulary in term order."""
 
+    def __init__(self, terms: list[str], idf: np.ndarray, sublinear: bool):
+        self.terms, self.idf, self.sublinear = pa.array(terms, pa.string()), idf, sublinear
 
-def weights(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
+    def __call__(self, terms: pa.Array, tf: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(offsets, term numbers, weights) of the documents' known terms."""
+        lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+        found = pc.fill_null(pc.index_in(terms.flatten(), self.terms), -1).to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(lengths.size), lengths)
+        known = np.flatnonzero(found >= 0)
+        idx, rows = found[known].astype(np.int32), rows[known]
+        x = tf.flatten().to_numpy(zero_copy_only=False)[known].astype(float)
+        x = (np.log(x) + 1 if self.sublinear else x) * self.idf[idx]
+        norm = np.sqrt(np.bincount(rows, x * x, lengths.size))
+        return np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=lengths.size))]), idx, x / norm[rows]
+
+
+def vectors_of(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec, names: bool) -> DataFrame:
+    """One unit-length sparse row per document with a known term: term numbers (``idx``), or the terms themselves, and weights."""
+    if spec.max_features is None:
+        raise ValueError("only a vocabulary with a bound can be sent to every task")
+    table = vocab.select("term", "idf", *(["idx"] if "idx" in vocab.columns else [])).orderBy("idx" if "idx" in vocab.columns else "term").toArrow()
+    shared = counts.sparkSession.sparkContext.broadcast((table["term"].to_pylist(), table["idf"].to_numpy()))
+    sublinear, column, kind = spec.sublinear, "terms" if names else "idx", "string" if names else "int"
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh = Weigher(*shared.value, sublinear)
+        for batch in batches:
+            offsets, idx, x = weigh(batch.column(1), batch.column(2))
+            at = pa.array(offsets.astype(np.int32))
+            first = pa.ListArray.from_arrays(at, weigh.terms.take(pa.array(idx)) if names else pa.array(idx))
+            rows = pa.RecordBatch.from_arrays([batch.column(0), first, pa.ListArray.from_arrays(at, pa.array(x))], names=[key, column, "x"])
+            yield rows.filter(pa.array(np.diff(offsets) > 0))
+
+    return counts.select(key, "terms", "tf").mapInArrow(body, f"`{key}` {counts.schema[key].dataType.simpleString()}, {column} array<{kind}>, x array<double>")
+
+
+def doc_vectors(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec) -> DataFrame:
+    """``(key, idx array<int>, x array<double>)``: one unit-length sparse row per document with a known term."""
+    return vectors_of(counts, vocab, key, spec, names=False)
+
+
+def weights(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec) -> DataFrame:
     """``(key, term, x)`` with unit length per document."""
+    if spec.max_features is not None:
+        return vectors_of(counts, vocab, key, spec, names=True).select(key, F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("x"))))
+    found = occurrences(counts, key).join(vocab.select("term", "idf"), "term")
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
-    return known_terms(docs, vocab, key, text, spec, "term").withColumn("x", F.col("x") / norm)
+    return found.select(key, "term", (raw_weight(F.col("tf"), spec.sublinear) * F.col("idf")).alias("x")).withColumn("x", F.col("x") / norm)
+
+
+def norms(counts: DataFrame, vocab: DataFrame, key: str, spec: TfidfSpec) -> DataFrame:
+    """``(key, norm)``: length of every document with a known term; the vocabulary may have any size. Sums are combined before they are shuffled by key."""
+    x = raw_weight(F.col("tf"), spec.sublinear) * F.col("idf")
+    return occurrences(counts, key).join(vocab.select("term", "idf"), "term").groupBy(key).agg(F.sqrt(F.sum(x * x)).alias("norm"))
 
 
 def tfidf(docs: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    return weights(docs, vocabulary(docs, key, text, spec), key, text, spec)
+    counts = count_terms(docs, key, text, spec)
+    return weights(counts, vocabulary(counts, spec), key, spec)
 
 
 def numbered(vocab: DataFrame) -> DataFrame:
     """Vocabulary with term numbers from 0 in term order; at most ``max_features`` rows."""
     return vocab.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-
-
-def doc_vectors(docs: DataFrame, vocab: DataFrame, key: str, text: str, spec: TfidfSpec) -> DataFrame:
-    """``(key, idx array<int>, x array<double>)``: one unit-length sparse row per document with a known term."""
-    # The two lists are filled in the same order; the norm is an aggregate, as inside the lambda it would be
-    # computed again for every element.
-    rows = known_terms(docs, vocab, key, text, spec, "idx").groupBy(key).agg(
-        F.collect_list("idx").alias("idx"), F.collect_list("x").alias("x"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm")
-    )
-    return rows.select(key, "idx", F.transform("x", lambda v: v / F.col("norm")).alias("x"))

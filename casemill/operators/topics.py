@@ -54,11 +54,12 @@ def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPIC
     spark = docs.sparkSession
     n_docs = docs.count()
     key, text = "complaint_id", "clean_narrative"
-    vocab = materialize(tfidf.numbered(tfidf.vocabulary(docs, key, text, spec, F.lit(n_docs))), "topic_terms")
+    counts = tfidf.count_terms(docs, key, text, spec)
+    vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec, F.lit(n_docs))), "topic_terms")
     terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
     if not terms:
         return spark.createDataFrame([], REGISTRY_SCHEMA), spark.createDataFrame([], ASSIGNMENT_SCHEMA)
-    vectors = materialize(tfidf.doc_vectors(docs, vocab, key, text, spec), "topic_vectors")
+    vectors = materialize(tfidf.doc_vectors(counts, vocab, key, spec), "topic_vectors")
     components, _ = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
     found = lowrank.assign_components(vectors, "complaint_id", components)
     # A document without any known term has weight 0 for every topic and falls to the first.

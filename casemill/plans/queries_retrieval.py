@@ -43,13 +43,14 @@ def filtered_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixed_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents and questions with TF-IDF weights and, as dense side, the embedding of the same id where there is one."""
     docs, spec, text = docs_of(spark, sf_dir), tfidf.INDEX, "clean_narrative"
-    vocab = materialize(tfidf.numbered(tfidf.vocabulary(docs, "complaint_id", text, spec)), "fixed_terms")
+    counts = tfidf.count_terms(docs, "complaint_id", text, spec)
+    vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec)), "fixed_terms")
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", hybrid.unit(F.col("embedding")).alias("dense"))
     vectors = docs.select("complaint_id", *hybrid.FILTER_COLUMNS) \
-        .join(tfidf.doc_vectors(docs, vocab, "complaint_id", text, spec), "complaint_id", "left") \
+        .join(tfidf.doc_vectors(counts, vocab, "complaint_id", spec), "complaint_id", "left") \
         .join(embeddings, F.col("complaint_id") == F.col("vec_id"), "left").drop("vec_id")
     asked = filtered_questions(spark, sf_dir)
-    asked = asked.join(tfidf.doc_vectors(asked, vocab, "question_id", "question", spec), "question_id", "left") \
+    asked = asked.join(tfidf.doc_vectors(tfidf.count_terms(asked, "question_id", "question", spec), vocab, "question_id", spec), "question_id", "left") \
         .join(embeddings, F.col("question_id") == F.col("vec_id"), "left").drop("vec_id")
     return materialize(vectors, "fixed_vectors"), asked
 

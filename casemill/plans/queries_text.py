@@ -13,7 +13,7 @@ from casemill.sources import complaints
 
 
 def docs_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return narratives(documents(spark, sf_dir), by="complaint_id")
+    return narratives(documents(spark, sf_dir))
 
 
 def clean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,7 @@ def unkeyed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of which every tenth has no id and every tenth shares its id with a neighbour."""
     number = F.col("complaint_id")
     ids = F.when(number % 10 == 3, None).when(number % 10 == 5, number - 1).otherwise(number)
-    return narratives(complaints.with_document_key(documents(spark, sf_dir).withColumn("complaint_id", ids)), by=complaints.DOCUMENT_KEY)
+    return narratives(complaints.with_document_key(documents(spark, sf_dir).withColumn("complaint_id", ids)))
 
 
 def unkeyed_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ QUERIES = {
     "clean_text": clean_all,
     "unkeyed_evidence": unkeyed_evidence,
     "narratives": lambda s, d: docs_of(s, d).select("complaint_id", F.length("clean_narrative").alias("n_chars")),
-    "vocabulary": lambda s, d: rounded(tfidf.vocabulary(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "idf"),
+    "vocabulary": lambda s, d: rounded(tfidf.vocabulary(tfidf.count_terms(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), tfidf.TOPICS), 6, "idf"),
     "tfidf_weights": lambda s, d: rounded(tfidf.tfidf(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.TOPICS), 6, "x"),
     "tfidf_weights_sublinear": lambda s, d: rounded(tfidf.tfidf(docs_of(s, d), "complaint_id", "clean_narrative", tfidf.INDEX), 6, "x"),
     "lexical_topk": lambda s, d: rounded(search.lexical_search(docs_of(s, d), questions(s, d)), 6, "score"),
