@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -57,38 +58,95 @@ def canonical_names(seed: DataFrame) -> DataFrame:
         .withColumn("normalized", normalize_company_name(F.col("canonical_company_name")))
 
 
-def best_ratio(query: str, names: list[str]) -> tuple[float, int]:
-    """Highest ``SequenceMatcher`` ratio of the query against the names, and the first position that reaches it.
+class NameIndex:
+    """Names of a batch with their letter counts and letters, which bound the similarity with a query from above.
 
-    The two quick upper bounds skip names that cannot beat the best so far; the result is the same without them.
+    The ratio is twice the matched letters over all letters. Matched letters stand in both names, so the common letter counts bound them; and they stand
+    in the same order, so the longest common subsequence bounds them more closely. Both bounds are taken for many names at once. Names are compared in order of
+    falling bound until no bound reaches the best ratio, so the result is that of comparing all.
     """
-    best, at = -1.0, -1
-    matcher = SequenceMatcher(None, autojunk=True)
-    matcher.set_seq1(query)
-    for i, name in enumerate(names):
-        matcher.set_seq2(name)
-        if matcher.real_quick_ratio() > best and matcher.quick_ratio() > best:
-            score = matcher.ratio()
-            if score > best:
-                best, at = score, i
-    return best, at
+
+    CHUNK = 256
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        self.lengths = np.array([len(n) for n in names], np.int64)
+        points = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), "<u4")
+        self.letters, self.codes = np.unique(points, return_inverse=True)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
+        self.counts = np.zeros((len(names), self.letters.size), np.int32)
+        np.add.at(self.counts, (np.repeat(np.arange(len(names)), self.lengths), self.codes), 1)
+        self.compared = 0
+
+    def ratios(self, matched: np.ndarray, length: int, lengths: np.ndarray) -> np.ndarray:
+        total = lengths + length
+        return np.where(total > 0, 2.0 * matched / np.maximum(total, 1), 1.0)
+
+    def letter_bounds(self, query: str) -> np.ndarray:
+        counts = np.zeros(self.letters.size, np.int32)
+        points, n = np.unique(np.frombuffer(query.encode("utf-32-le", "surrogatepass"), "<u4"), return_counts=True)
+        known = np.isin(points, self.letters)
+        counts[np.searchsorted(self.letters, points[known])] = n[known]
+        return self.ratios(np.minimum(self.counts, counts).sum(axis=1), len(query), self.lengths)
+
+    def order_bounds(self, query: str, rows: np.ndarray) -> np.ndarray:
+        """By the length of the longest common subsequence: one machine word holds the query's letters, one step takes a letter of every name. Longer
+        queries keep the bound by letters."""
+        if not 0 < len(query) <= 64:
+            return np.full(rows.size, np.inf)
+        places = np.zeros(self.letters.size + 1, np.uint64)  # the last entry stands for "no letter"
+        for k, letter in enumerate(query):
+            at = np.searchsorted(self.letters, ord(letter))
+            if at < self.letters.size and self.letters[at] == ord(letter):
+                places[at] |= np.uint64(1 << k)
+        open_ = np.full(rows.size, np.uint64(0xFFFFFFFFFFFFFFFF))
+        starts, lengths = self.starts[rows], self.lengths[rows]
+        for p in range(int(lengths.max(initial=0))):
+            letter = np.where(p < lengths, self.codes[np.minimum(starts + p, max(self.codes.size - 1, 0))] if self.codes.size else 0, self.letters.size)
+            hit = open_ & places[letter]
+            open_ = (open_ + hit) | (open_ - hit)
+        used = ~open_ & np.uint64((1 << len(query)) - 1)
+        return self.ratios(np.bitwise_count(used).astype(np.int64), len(query), lengths)
+
+    def best(self, query: str, floor: float = -1.0) -> tuple[float, int]:
+        """Highest ``SequenceMatcher`` ratio of the query against the names, and the first position that reaches it; (-1, -1) if none reaches ``floor``."""
+        score, at = -1.0, -1
+        bounds = self.letter_bounds(query)
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] >= floor]
+        matcher = SequenceMatcher(None, query, autojunk=True)
+        for first in range(0, order.size, self.CHUNK):
+            rows = order[first:first + self.CHUNK]
+            if bounds[rows[0]] < score:
+                break
+            closer = np.minimum(bounds[rows], self.order_bounds(query, rows))
+            for k in np.argsort(-closer, kind="stable"):
+                if closer[k] < max(score, floor):
+                    break
+                row = int(rows[k])
+                matcher.set_seq2(self.names[row])
+                found = matcher.ratio()
+                self.compared += 1
+                if found >= floor and (found > score or found == score and row < at):
+                    score, at = found, row
+        return score, at
 
 
 def _partial_best(queries: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per batch of canonical names: the best of the batch for every candidate, not every pair."""
+    """The best canonical name of a task for every candidate, not every pair."""
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[str, tuple] = {}
         for batch in batches:
             batch = batch.sort_values("tie", kind="stable")
-            names = batch["normalized"].tolist()
-            if not names:
-                continue
-            found = [best_ratio(q, names) for q in queries]
-            yield pd.DataFrame({
-                "query": queries, "match_score": [s for s, _ in found],
-                "tie": [batch["tie"].iloc[i] for _, i in found],
-                "canonical_company_name": [batch["canonical_company_name"].iloc[i] for _, i in found],
-            })
+            index = NameIndex(batch["normalized"].tolist())
+            for query in queries:
+                before = found.get(query, (-1.0, "", ""))
+                score, at = index.best(query, before[0])
+                if at >= 0 and (score > before[0] or batch["tie"].iloc[at] < before[1]):
+                    found[query] = (score, batch["tie"].iloc[at], batch["canonical_company_name"].iloc[at])
+        if found:
+            yield pd.DataFrame([(q, *f) for q, f in found.items()], columns=["query", "match_score", "tie", "canonical_company_name"])
 
     return best
 
@@ -97,13 +155,12 @@ def fuzzy_best(candidates: DataFrame, seed: DataFrame) -> DataFrame:
     """``(query, canonical_company_name, match_score)``: the most similar canonical name of each candidate.
 
     ``candidates`` is the review list, whose length is a parameter of the report: its names go to every task once, with the task's code. A task
-    compares its own canonical names and returns one row per candidate, so no pair is ever materialised and the final step
+    looks them up in an index of its own canonical names and returns one row per candidate, so no pair is ever materialised and the final step
     reduces (tasks x candidates) rows. The first canonical name in seed order wins ties.
     """
     queries = sorted(r["normalized"] for r in candidates.select("normalized").where("normalized IS NOT NULL").distinct().collect())
-    # A fixed partition count keeps the comparison spread over all cores however small the name table is.
-    cores = seed.sparkSession.sparkContext.defaultParallelism
-    names = canonical_names(seed).repartition(cores, "canonical_company_name")
+    # Few names come in few parts: they are spread over the cores. Many stay where the grouping by name has put them.
+    names = canonical_names(seed).repartition("canonical_company_name")
     partial = names.mapInPandas(
         _partial_best(queries), "query string, match_score double, tie string, canonical_company_name string"
     )

@@ -10,14 +10,10 @@ from casemill.fixed import (
 )
 from casemill.operators import anomaly, classification, governance, opportunities, value
 from casemill.plans.queries_core import rounded
-from casemill.plans.sql import CASES, scores
+from casemill.plans.sql import CASES, quoted, scores
 from casemill.plans.tables import cases, table
 
 
-def quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 # --- opportunities ------------------------------------------------------------------------------------
 def issue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complaints whose product and issue hold pattern keywords: part types and names get a phrase by their key."""

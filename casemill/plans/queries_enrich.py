@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import (
-    ALIAS_NOTE, LEGAL_SUFFIXES, MACRO_CAVEAT, MACRO_SOURCE, SCALE_NOTE, WAGE_NOTE, WAGE_OCCUPATIONS, WAGE_PERIOD, WAGE_SOURCE, WAGE_SOURCE_URL,
+    ALIAS_NOTE, FUZZY_NOTE, HIGH, LEGAL_SUFFIXES, LOW, MACRO_CAVEAT, MACRO_SOURCE, MEDIUM, SCALE_NOTE, WAGE_NOTE, WAGE_OCCUPATIONS, WAGE_PERIOD, WAGE_SOURCE, WAGE_SOURCE_URL,
 )
 from casemill.functions.text import normalize_company_name
 from casemill.operators import entities, macro_context, scale
 from casemill.plans.queries_core import rounded
-from casemill.plans.sql import CASES, MONTHLY
+from casemill.plans.sql import CASES, MONTHLY, quoted
 from casemill.plans.tables import cases, macro_observations, seed_map, table
 from casemill.session import scratch_path
 from casemill.sources import entity_seed, facts, macro, wages
@@ -226,7 +226,36 @@ MACRO_MONTHS = f"""{CASES}, {MONTHLY}, series AS (
   FROM lineitem WHERE l_returnflag IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1, 2
 ), joined AS (SELECT series_id, month, complaints, value FROM series JOIN monthly USING (month))"""
 
+
+
+def normalized_sql(name: str) -> str:
+    return (f"array_to_string(list_filter(string_split_regex(regexp_replace(replace(lower({name}), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +'), "
+            f"lambda w: w <> '' AND w NOT IN ({', '.join(quoted(w) for w in LEGAL_SUFFIXES)})), ' ')")
+
+
+# Matching blocks of two names: the longest common run, the first of equal ones, then the same to the left and to the right of it.
+REVIEW_SQL = f"""WITH RECURSIVE {CASES}, {COMPANIES_SQL}, {SEED_SQL},
+open AS (SELECT *, {normalized_sql("cfpb_company_name")} AS a FROM companies WHERE lower(cfpb_company_name) NOT IN (SELECT lower(cfpb_company_name) FROM seed)
+  ORDER BY complaints DESC, cfpb_company_name LIMIT 200),
+canon AS (SELECT canonical_company_name, min(seed_order) AS tie, {normalized_sql("canonical_company_name")} AS b FROM seed GROUP BY 1),
+pairs AS (SELECT DISTINCT a, b FROM open, canon),
+cells AS (SELECT a, b, i, j FROM pairs, range(1, 200) r(i), range(1, 200) s(j) WHERE i <= length(a) AND j <= length(b) AND a[i] = b[j]),
+runs AS (SELECT a, b, i, j, row_number() OVER (PARTITION BY a, b, j - i, island ORDER BY i DESC) AS n
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY a, b, j - i ORDER BY i) AS island FROM cells)),
+spans AS (SELECT a, b, CAST(1 AS BIGINT) AS i0, length(a) + 1 AS i1, CAST(1 AS BIGINT) AS j0, length(b) + 1 AS j1, CAST(0 AS BIGINT) AS matched FROM pairs
+  UNION ALL SELECT a, b, CASE side WHEN 0 THEN i0 ELSE best.i + best.n END, CASE side WHEN 0 THEN best.i ELSE i1 END,
+    CASE side WHEN 0 THEN j0 ELSE best.j + best.n END, CASE side WHEN 0 THEN best.j ELSE j1 END, CASE side WHEN 0 THEN best.n ELSE 0 END
+  FROM (SELECT a, b, i0, i1, j0, j1, arg_min({{'i': i, 'j': j, 'n': least(n, i1 - i, j1 - j)}}, {{'n': -least(n, i1 - i, j1 - j), 'i': i, 'j': j}}) AS best
+    FROM spans JOIN runs USING (a, b) WHERE i >= i0 AND i < i1 AND j >= j0 AND j < j1 GROUP BY ALL), (VALUES (0), (1)) v(side)),
+ratios AS (SELECT a, b, 2.0 * sum(matched) / (length(a) + length(b)) AS score FROM spans GROUP BY a, b),
+best AS (SELECT a, arg_min({{'name': canonical_company_name, 'score': score}}, {{'s': -score, 'tie': tie}}) AS best FROM ratios JOIN canon USING (b) GROUP BY 1)
+SELECT cfpb_company_name, complaints, best.name AS suggested_canonical_company_name, CAST(NULL AS VARCHAR) AS suggested_sec_cik, CAST(NULL AS VARCHAR) AS suggested_ticker,
+  'fuzzy_suggestion' AS match_method, CAST(round(best.score, 6) AS DOUBLE) AS match_score,
+  CASE WHEN best.score >= 0.96 THEN '{HIGH}' WHEN best.score >= 0.88 THEN '{MEDIUM}' ELSE '{LOW}' END AS confidence_tier, true AS manual_review_required, {quoted(FUZZY_NOTE)} AS notes
+FROM open JOIN best USING (a)"""
+
 ORACLE = {
+    "entity_review": REVIEW_SQL,
     "facts_scan": f"WITH {FACTS_SQL} SELECT * FROM facts",
     "facts_errors": "SELECT count(*) AS documents FROM orders WHERE o_orderkey % 20 = 0",
     "facts_annual": f"WITH {FACTS_SQL} SELECT * EXCLUDE (has_year) FROM annual",
