@@ -13,39 +13,54 @@ from casemill.functions.columns import is_yes, month, or_missing, ratio
 from casemill.functions.filters import EQUALITY_FIELDS
 from casemill.operators.hybrid import BATCH, QUESTION_FIELDS, without_filters
 from casemill.operators.search import citation
+from casemill.session import materialize
 
 EXCERPT = 700
 
 
 def passes(q: Column) -> Column:
-    """Whether the current complaint row passes the filters of question ``q``."""
+    """Whether the current row of :func:`day_counts` passes the filters of question ``q``."""
     equal = [q[c].isNull() | (q[c] == "") | F.coalesce(F.lower(c) == F.lower(q[c]), F.lit(False)) for c in EQUALITY_FIELDS]
-    received = F.col("date_received")
+    moment = F.col("moment")
     start, end = (q[c].try_cast("timestamp_ntz") for c in ("date_start", "date_end"))
-    bounds = [start.isNull() | F.coalesce(received >= start, F.lit(False)), end.isNull() | F.coalesce(received <= end, F.lit(False))]
+    bounds = [start.isNull() | F.coalesce(moment >= start, F.lit(False)), end.isNull() | F.coalesce(moment <= end, F.lit(False))]
     return reduce(lambda a, b: a & b, equal + bounds)
 
 
+def day_counts(complaints: DataFrame, questions: DataFrame) -> DataFrame:
+    """Complaints by filter columns, response, timeliness and day, counted once for all questions; written.
+
+    A row's ``moment`` stands for all its complaints: no bound of a question lies between them. Midnight, which bounds that are dates ask for, is told apart from
+    the rest of the day (its last microsecond); only on days on which a bound has a time of day the full timestamps stay.
+    """
+    received, day = F.col("date_received"), F.date_trunc("day", F.col("date_received").cast("timestamp_ntz"))
+    bounds = questions.select(F.explode(F.array(*(F.col(c).try_cast("timestamp_ntz") for c in ("date_start", "date_end")))).alias("bound"))
+    split = bounds.where(F.col("bound") != F.date_trunc("day", "bound")).select(F.collect_set(F.date_trunc("day", "bound"))).scalar()
+    moment = F.when(F.array_contains(F.coalesce(split, F.array().cast("array<timestamp_ntz>")), day), received) \
+        .otherwise(F.when(received == day, received).otherwise(day + F.expr("interval 1 day") - F.expr("interval 1 microsecond")))
+    return materialize(complaints.groupBy(
+        *EQUALITY_FIELDS, moment.cast("timestamp_ntz").alias("moment"), or_missing(F.col("company_response_to_consumer")).alias("response"),
+        is_yes(F.col("timely_response")).alias("timely"),
+    ).agg(F.count(F.lit(1)).alias("n")), "day_counts")
+
+
 def question_cube(complaints: DataFrame, questions: DataFrame) -> DataFrame:
     """Counts by (question, month, issue, response, timely) over the rows each question's filters leave.
 
-    Complaints are first counted by the filter columns. The questions of a batch travel as one array, every count row
-    keeps those it passes, and the result is summed while combining. Larger question sets go batch by batch.
+    The questions of a batch travel as one array, every row of the day counts keeps those it passes, and the result is summed while combining. Larger
+    question sets go batch by batch over the same counts.
     """
     questions = without_filters(questions)
-    counts = complaints.groupBy(
-        *EQUALITY_FIELDS, "date_received", or_missing(F.col("company_response_to_consumer")).alias("response"),
-        is_yes(F.col("timely_response")).alias("timely"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    counts = day_counts(complaints, questions)
     parts = max(1, -(-questions.count() // BATCH))
     cubes = []
     for part in range(parts):
         batch = questions.filter(F.pmod(F.xxhash64("question_id"), F.lit(parts)) == part)
         asked = batch.select(F.collect_list(F.struct("question_id", *QUESTION_FIELDS))).scalar()
         matched = counts.withColumn("asked", asked).withColumn("question_id", F.explode(F.transform(F.filter("asked", passes), lambda q: q["question_id"])))
-        cubes.append(matched.groupBy("question_id", month(F.col("date_received")).alias("month"), or_missing(F.col("issue")).alias("issue"), "response", "timely").agg(
-            F.sum("n").alias("n"), F.min("date_received").alias("first"), F.max("date_received").alias("last")))
-    return reduce(DataFrame.unionByName, cubes)
+        cubes.append(matched.groupBy("question_id", month(F.col("moment")).alias("month"), or_missing(F.col("issue")).alias("issue"), "response", "timely").agg(
+            F.sum("n").alias("n"), F.min("moment").alias("first"), F.max("moment").alias("last")))
+    return materialize(reduce(DataFrame.unionByName, cubes), "question_cube")
 
 
 def ranked_values(cube: DataFrame, column: str, n: int) -> DataFrame:

@@ -42,35 +42,53 @@ def validate_schema(df: DataFrame, now: Column | None = None) -> DataFrame:
     return df.agg(*aggregates).select(F.inline(F.array(*checks)))
 
 
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """``(position, n)``: exact distinct non-null values of every column that has some.
+
+    Every row gives one short pair of column and value for each column; equal pairs are combined within the tasks before their only exchange, and the counts of a
+    column follow from a second one of a few rows. Long texts are pairs with a digest, so no narrative travels.
+    """
+    def value(name: str, kind: T.DataType) -> Column:
+        c = F.col(f"`{name}`")
+        if isinstance(kind, T.StringType):
+            # The mark keeps a digest apart from a short text that spells it.
+            return F.when(F.length(c) > 40, F.concat(F.lit("\u0001"), F.sha2(c, 256))).otherwise(c)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            c = c + F.lit(0.0)  # both zeros are one value
+        if isinstance(kind, (T.ArrayType, T.StructType)):
+            c = F.to_json(F.struct(c))
+        return F.base64(c) if isinstance(kind, T.BinaryType) else c.cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.when(F.col(f"`{f.name}`").isNotNull(), value(f.name, f.dataType)).alias("value")) for i, f in enumerate(df.schema)])
+    return df.select(F.inline(pairs)).where("value IS NOT NULL").groupBy("position", "value").agg(F.lit(1).alias("one")).groupBy("position").agg(F.count("one").alias("n"))
+
+
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Per column: records, missing count and rate, distinct values, and the smallest value as an example.
 
-    All columns are profiled in one aggregate that is then turned into rows. Exact distinct counts shuffle the distinct values of every column, long
-    texts as a digest of fixed width, so no narrative travels; ``approximate`` replaces them by sketches for very wide or unique columns.
-    The smallest text starts with the smallest beginning, so only beginnings are compared for the example.
+    Counts and examples of all columns are one aggregate without distincts, :func:`distinct_counts` another; ``approximate`` replaces that by sketches
+    in the same aggregate. The smallest text starts with the smallest beginning, so only beginnings are compared for the example.
     """
     texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
-
-    def distinct(name: str) -> Column:
-        c = F.col(name)
-        if approximate:
-            return F.approx_count_distinct(c)
-        # The mark keeps a digest apart from a short text that spells it.
-        return F.count_distinct(F.when(F.length(c) > 40, F.concat(F.lit("\u0001"), F.sha2(c, 256))).otherwise(c) if name in texts else c)
-
     aggregates = [F.count(F.lit(1)).alias("records")]
     for i, c in enumerate(df.columns):
         aggregates += [
-            F.count(F.col(c)).alias(f"present_{i}"), distinct(c).alias(f"distinct_{i}"),
+            F.count(F.col(c)).alias(f"present_{i}"),
             (F.min(F.substring(c, 1, 160)) if c in texts else F.substring(F.min(c).cast("string"), 1, 160)).alias(f"example_{i}"),
         ]
+        if approximate:
+            aggregates.append(F.approx_count_distinct(F.col(c)).alias(f"distinct_{i}"))
     total = F.col("records")
+    summary = df.agg(*aggregates)
+    if not approximate:
+        summary = summary.withColumn("distinct", distinct_counts(df).select(F.map_from_entries(F.collect_list(F.struct("position", "n")))).scalar())
     rows = [F.struct(
         F.lit(c).alias("field"), total.alias("records"), (total - F.col(f"present_{i}")).alias("missing_count"),
         F.bround(F.coalesce(F.try_divide(total - F.col(f"present_{i}"), total), F.lit(0.0)), 4).alias("missing_rate"),
-        F.col(f"distinct_{i}").alias("unique_values"), F.col(f"example_{i}").alias("example_non_null"),
+        (F.col(f"distinct_{i}") if approximate else F.coalesce(F.col("distinct")[i], F.lit(0).cast("bigint"))).alias("unique_values"),
+        F.col(f"example_{i}").alias("example_non_null"),
     ) for i, c in enumerate(df.columns)]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return summary.select(F.inline(F.array(*rows)))
 
 
 def response_distribution(df: DataFrame) -> DataFrame:
