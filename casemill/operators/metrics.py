@@ -33,10 +33,27 @@ def kpi_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+PARTIAL = "partial_count"  # column of tables whose rows stand for several complaints
+
+
+def complaint_count(df: DataFrame) -> Column:
+    """Complaints of a group: its rows, or the sum of its partial counts."""
+    return F.sum(PARTIAL) if PARTIAL in df.columns else F.count(F.lit(1))
+
+
+def monthly_partials(df: DataFrame, *groups: str) -> DataFrame:
+    """``(date_received, *groups, partial_count)``: complaints by month and groups, dated by the month's first day.
+
+    Counts by month, year, group or pair give the same result from this table as from the complaints, and the partials of a month depend on that month only.
+    """
+    first = F.date_trunc("month", "date_received").cast("timestamp_ntz").alias("date_received")
+    return df.groupBy(first, *groups).agg(complaint_count(df).alias(PARTIAL))
+
+
 def monthly_counts(df: DataFrame, *groups: str) -> DataFrame:
-    """Complaints per observed month and group; undated rows dropped, null groups kept."""
+    """Complaints per observed month and group; undated rows dropped, null groups kept. Partial counts may stand for the rows."""
     dated = df.withColumn("month", month(F.col("date_received"))).filter(F.col("month").isNotNull())
-    return dated.groupBy("month", *groups).agg(F.count(F.lit(1)).alias("complaints"))
+    return dated.groupBy("month", *groups).agg(complaint_count(df).alias("complaints"))
 
 
 def volume_by_month(df: DataFrame, group: str | None = None) -> DataFrame:
@@ -51,7 +68,7 @@ def top_categories(df: DataFrame, column: str, n: int = 15) -> DataFrame:
     """The n largest categories with their share of all rows; an unknown column gives an empty frame."""
     if column not in df.columns:
         return df.sparkSession.createDataFrame([], f"`{column}` string, complaints bigint, share double")
-    counts = df.groupBy(or_missing(F.col(column)).alias(column)).agg(F.count(F.lit(1)).alias("complaints"))
+    counts = df.groupBy(or_missing(F.col(column)).alias(column)).agg(complaint_count(df).alias("complaints"))
     total = counts.select(F.sum("complaints")).scalar()
     return top_n(counts, "complaints", column, n=n).withColumn("share", ratio(F.col("complaints"), total))
 
@@ -64,7 +81,7 @@ def top_series(df: DataFrame, group: str, n: int = 5) -> DataFrame:
 
 def yoy_growth(df: DataFrame, group: str) -> DataFrame:
     """Yearly counts with growth against the previous observed year of the group."""
-    counts = df.groupBy(group, F.year("date_received").alias("year")).agg(F.count(F.lit(1)).alias("complaints"))
+    counts = df.groupBy(group, F.year("date_received").alias("year")).agg(complaint_count(df).alias("complaints"))
     prior = F.lag("complaints").over(Window.partitionBy(group).orderBy(F.asc_nulls_last("year")))
     return counts.withColumn("prior_year", F.when(F.col(group).isNotNull(), prior)).withColumn(
         "yoy_growth",

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.fixed import DEFAULT_OPPORTUNITY, OPPORTUNITY_PATTERNS, OPPORTUNITY_TEXT
 from casemill.functions.columns import or_missing
-from casemill.operators.metrics import top_n
+from casemill.operators.metrics import complaint_count, top_n
 
 
 def pair_counts(complaints: DataFrame, n: int = 30) -> DataFrame:
     """The n most frequent (product, issue) pairs; nulls are a value of their own."""
-    counts = complaints.groupBy("product", "issue").agg(F.count(F.lit(1)).alias("observed_complaints"))
+    counts = complaints.groupBy("product", "issue").agg(complaint_count(complaints).alias("observed_complaints"))
     return top_n(counts, "observed_complaints", "product", "issue", n=n)
 
 

@@ -10,10 +10,11 @@ from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
 from casemill.plans.queries_decide import CATALOG_SQL, ISSUES_SQL, OPPORTUNITIES_SQL, REPORT_SQL, SPLIT_SQL, SUMMARY_SQL, derived, quoted, value_sql
 from casemill.plans.queries_retrieval import filtered_questions, hybrid_fixed, hybrid_sql
-from casemill.plans.queries_text import DOCS_SQL, docs_of
+from casemill.plans.queries_text import DOCS_SQL, clean_sql, docs_of
 from casemill.plans.sql import CASES, scores
 from casemill.plans.tables import cases, documents, table
 from casemill.session import scratch_path
+from casemill.sources import complaints
 
 
 # --- topics and router --------------------------------------------------------------------------------
@@ -27,9 +28,9 @@ def topic_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def router_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records, classes and baseline of the router, and whether its quality reaches a floor."""
+    """Records, classes and baseline of the router, whether its fit converged, and whether its quality reaches a floor."""
     report = rounded(router.train_router(docs_of(spark, sf_dir), min_class=10).report, 4, "baseline_macro_f1")
-    return report.withColumn("model_reaches_floor", (F.col("model_macro_f1") >= 0.6) & (F.col("accuracy") >= 0.7)).drop("model_macro_f1", "accuracy")
+    return report.withColumn("model_reaches_floor", (F.col("model_macro_f1") >= 0.9) & (F.col("accuracy") >= 0.9)).drop("model_macro_f1", "accuracy")
 
 
 def given_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,19 +112,49 @@ def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(row, 4, "baseline_estimated_annual_capacity_value", "baseline_three_year_net_value")
 
 
+def narrative_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cases with the text of the document of the same number as narrative, and its language as product where there is one."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("complaint_id"), "text", "lang")
+    return cases(spark, sf_dir, *REQUIRED_COLUMNS).join(docs, "complaint_id", "left").withColumns({
+        "consumer_complaint_narrative": F.col("text"), "product": F.coalesce("lang", "product")}).select(REQUIRED_COLUMNS)
+
+
 def land_valid_csv(spark: SparkSession, sf_dir: str) -> str:
     """The cases as a valid bulk extract with all columns validation asks for."""
-    names = REQUIRED_COLUMNS
     header = {name: text for text, name in COMPLAINT_COLUMNS.items()}
-    rows = cases(spark, sf_dir, *names).withColumn("date_received", F.date_format("date_received", "yyyy-MM-dd"))
+    rows = narrative_cases(spark, sf_dir).withColumn("date_received", F.date_format("date_received", "yyyy-MM-dd"))
     path = scratch_path(spark, "valid_csv")
-    rows.select([F.col(c).alias(header[c]) for c in names]).write.option("header", True).option("escape", '"').csv(path)
+    rows.select([F.col(c).alias(header[c]) for c in REQUIRED_COLUMNS]).write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
 def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), scratch_path(spark, "nightly"), run_nlp=False)
-    return tables["opportunities"]
+    """The opportunities of a whole run with topics and router, and what must hold of these: all narratives have a topic, and the router learnt and converged."""
+    tables = nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), scratch_path(spark, "nightly"), min_class=10)
+    documents_in_topics = tables["topics"].select(F.sum("volume")).scalar()
+    report = tables["router_report"].select(F.struct("records", "classes", "converged", (F.col("model_macro_f1") > F.col("baseline_macro_f1")).alias("better"))).scalar()
+    return tables["opportunities"].withColumns({
+        "topic_documents": documents_in_topics, "router_records": report["records"], "router_classes": report["classes"],
+        "router_converged": report["converged"], "router_beats_baseline": report["better"]})
+
+
+def window_of(rows: DataFrame, part: int) -> DataFrame:
+    """A window of changed complaints: every seventh has another issue, half of these are two months older, and the window brings some that are new."""
+    key = F.col("complaint_id")
+    return rows.where(key % 7 == part).withColumns({
+        "issue": F.lit(f"changed {part}"), "date_received": F.when(key % 2 == 0, F.col("date_received") - F.expr("interval 2 months")).otherwise(F.col("date_received")),
+        "complaint_id": F.when(key % 3 == 0, key + 1_000_000_000).otherwise(key)})
+
+
+def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emerging issues after an ingest and two refreshes, from partials of which each refresh recounted its months."""
+    output = scratch_path(spark, "nightly")
+    nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), output, run_nlp=False)
+    for part in (1, 2):
+        rows = narrative_cases(spark, sf_dir).withColumn("date_received", F.date_trunc("day", "date_received").cast("timestamp_ntz"))
+        window = complaints.normalize_columns(window_of(rows, part))
+        tables = nightly.refresh_nightly(spark, window, output, run_nlp=False)
+    return rounded(tables["emerging_issues"], 6, "baseline_mean", "baseline_std", "z_score", "growth_component", "volume_component")
 
 
 QUERIES = {
@@ -134,8 +165,32 @@ QUERIES = {
     "answer_citations": lambda s, d: rounded(evaluation.answer_citation_rate(answer_table(s, d)), 6, "answer_citation_presence_rate"),
     "final_metrics": final_metrics,
     "nightly_run": nightly_run,
+    "nightly_refresh": nightly_refresh,
 }
 
+NARRATIVE_CASES = CASES.replace("cases AS (", "plain_cases AS (", 1) + """,
+cases AS (SELECT plain_cases.* REPLACE (text AS consumer_complaint_narrative, coalesce(lang, product) AS product, date_trunc('day', date_received) AS date_received)
+  FROM plain_cases LEFT JOIN documents ON complaint_id = doc_id)"""
+NIGHTLY_SQL = f"""WITH {scores("issue").replace(CASES, NARRATIVE_CASES, 1)}, {OPPORTUNITIES_SQL},
+texts AS (SELECT product, clean FROM (SELECT product, {clean_sql("consumer_complaint_narrative")} AS clean FROM cases WHERE consumer_complaint_narrative IS NOT NULL) WHERE length(clean) >= 80),
+classes AS (SELECT product, count(*) AS n FROM texts WHERE product IS NOT NULL GROUP BY 1 HAVING count(*) >= 10)
+SELECT opps.*, coalesce(emerging_issue_score, 0) AS emerging_issue_signal, (SELECT count(*) FROM texts) AS topic_documents,
+  (SELECT CAST(sum(n) AS BIGINT) FROM classes) AS router_records, (SELECT count(*) FROM classes) AS router_classes, true AS router_converged, true AS router_beats_baseline
+FROM opps LEFT JOIN scores ON affected_issues = scores.issue"""
+
+
+def merged_sql(name: str, before: str, part: int) -> str:
+    """CTEs of a window and of the complaints after it."""
+    return f"""win{part} AS (SELECT * REPLACE ('changed {part}' AS issue, CASE complaint_id % 2 WHEN 0 THEN date_received - INTERVAL 2 MONTH ELSE date_received END AS date_received,
+  CASE complaint_id % 3 WHEN 0 THEN complaint_id + 1000000000 ELSE complaint_id END AS complaint_id) FROM landed WHERE complaint_id % 7 = {part}),
+{name} AS (SELECT * FROM {before} WHERE complaint_id NOT IN (SELECT complaint_id FROM win{part}) UNION ALL SELECT * FROM win{part})"""
+
+
+REFRESHED_CASES = f"{NARRATIVE_CASES.replace('cases AS (SELECT plain_cases.*', 'landed AS (SELECT plain_cases.*', 1)}, {merged_sql('once', 'landed', 1)}, {merged_sql('cases', 'once', 2)}"
+NIGHTLY_REFRESH_SQL = f"""WITH {scores("issue").replace(CASES, REFRESHED_CASES, 1)}
+SELECT month, issue, complaints, round(baseline_mean, 6) AS baseline_mean, round(baseline_std, 6) AS baseline_std, round(z_score, 6) AS z_score,
+  coalesce(z_score >= 2, false) AS spike_flag, round(growth_component, 6) AS growth_component, round(volume_component, 6) AS volume_component, emerging_issue_score FROM scores"""
+
 ORACLE = {
     "given_topics": f"""WITH assigned AS (SELECT doc_id, CAST(CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % 7 AS INTEGER) AS topic_id, n_chars, lang, source FROM documents),
 volume AS (SELECT topic_id, count(*) AS volume FROM assigned GROUP BY 1), {top_list_sql("lang", "products")}, {top_list_sql("source", "companies")},
@@ -150,7 +205,7 @@ JOIN best USING (topic_id)""",
 {SPLIT_SQL.replace("o_orderkey AS doc_id, o_orderpriority AS label", "doc_id, label").replace("o_orderpriority", "label").replace("o_orderkey", "doc_id").replace("FROM orders", "FROM classed")},
 predictions AS (SELECT label, (SELECT label FROM split WHERE NOT is_test GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS prediction FROM split WHERE is_test), {REPORT_SQL}
 SELECT 'trained' AS status, 'product' AS target, (SELECT count(*) FROM split) AS records, (SELECT count(DISTINCT label) FROM split) AS classes,
-  round(macro_f1, 4) AS baseline_macro_f1, true AS model_reaches_floor FROM ({SUMMARY_SQL})""",
+  round(macro_f1, 4) AS baseline_macro_f1, true AS converged, true AS model_reaches_floor FROM ({SUMMARY_SQL})""",
     "topic_registry": f"""WITH {DOCS_SQL} SELECT CAST(12 AS BIGINT) AS topics, count(*) AS documents, CAST(144 AS BIGINT) AS terms, CAST(12 AS BIGINT) AS names,
   true AS products_fit_volumes FROM docs""",
     "final_metrics": f"""WITH {CASES}, {CATALOG_SQL.replace(ISSUES_SQL, ISSUES_SQL.replace("cases AS", "issue_cases AS", 1), 1).replace("FROM cases GROUP BY", "FROM issue_cases GROUP BY", 1)},
@@ -166,6 +221,6 @@ SELECT count(*) AS record_count, CAST(min(date_received) AS DATE) AS date_min, C
   (SELECT count(*) FROM documents) AS topic_narrative_volume,
   (SELECT round(estimated_annual_capacity_value, 4) FROM outputs) AS baseline_estimated_annual_capacity_value,
   (SELECT round(three_year_net_value, 4) FROM outputs) AS baseline_three_year_net_value FROM cases""",
-    "nightly_run": f"""WITH {scores("issue")}, {OPPORTUNITIES_SQL}
-SELECT opps.*, coalesce(emerging_issue_score, 0) AS emerging_issue_signal FROM opps LEFT JOIN scores ON affected_issues = scores.issue""",
+    "nightly_run": NIGHTLY_SQL,
+    "nightly_refresh": NIGHTLY_REFRESH_SQL,
 }

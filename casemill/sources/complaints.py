@@ -116,7 +116,7 @@ def write_store(df: DataFrame, path: str, limited: bool = False, check: Callable
             check(rows.drop(STORE_PARTITION))
         replace_folder(spark, staged, path)
     finally:
-        _delete_folder(spark, staged)
+        delete_folder(spark, staged)
     for key in ("date_min", "date_max"):
         metadata[key] = str(metadata[key]) if metadata[key] else None
     return {**metadata, "output_path": path}
@@ -182,9 +182,9 @@ def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> li
             replace_folder(spark, f"{staged}/{STORE_PARTITION}={m}", f"{store_path}/{STORE_PARTITION}={m}")
         # A month whose last row moved to another month has no new folder.
         for m in sorted(set(months) - kept):
-            _delete_folder(spark, f"{store_path}/{STORE_PARTITION}={m}")
+            delete_folder(spark, f"{store_path}/{STORE_PARTITION}={m}")
     finally:
-        _delete_folder(spark, staged)
+        delete_folder(spark, staged)
     return sorted(months)
 
 
@@ -197,7 +197,7 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
         if moved:
             _rename(spark, old, path)
         raise OSError(f"cannot move {new} to {path}")
-    _delete_folder(spark, old)
+    delete_folder(spark, old)
 
 
 def _rename(spark: SparkSession, path: str, to: str) -> bool:
@@ -206,7 +206,12 @@ def _rename(spark: SparkSession, path: str, to: str) -> bool:
     return files.exists(source) and files.rename(source, target)
 
 
-def _delete_folder(spark: SparkSession, path: str) -> None:
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 

@@ -5,6 +5,7 @@ import math
 from difflib import SequenceMatcher
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from casemill.functions.columns import clean_number, strip, to_long, to_timestam
 from casemill.functions.filters import CaseFilters, apply_filters
 from casemill.functions.text import clean_text, narratives, normalize_company_name
 from casemill.operators import (
-    anomaly, benchmark, classification, entities, evaluation, hybrid, lowrank, macro_context, metrics, opportunities, quality, quantiles,
+    anomaly, answers, benchmark, classification, entities, evaluation, hybrid, lowrank, macro_context, metrics, opportunities, quality, quantiles,
     router, scale, search, tfidf, topics, value,
 )
 from casemill.sources import artifacts, complaints, entity_seed, facts, macro, questions, wages
@@ -310,9 +311,10 @@ def dense_rows(vectors, n_terms):
 
 def test_low_rank_models_match_numpy(spark):
     docs, spec = small_docs(spark), tfidf.TfidfSpec(500, 1)
-    vocab = tfidf.numbered(tfidf.vocabulary(docs, "complaint_id", "clean_narrative", spec)).cache()
+    counts = tfidf.count_terms(docs, "complaint_id", "clean_narrative", spec)
+    vocab = tfidf.numbered(tfidf.vocabulary(counts, spec)).cache()
     n_terms = vocab.count()
-    vectors = tfidf.doc_vectors(docs, vocab, "complaint_id", "clean_narrative", spec).cache()
+    vectors = tfidf.doc_vectors(counts, vocab, "complaint_id", spec).cache()
     _, matrix = dense_rows(vectors, n_terms)
     assert np.allclose(np.linalg.norm(matrix, axis=1), 1)
     _, expected, rows = np.linalg.svd(matrix, full_matrices=False)
@@ -362,6 +364,77 @@ def test_hybrid_matches_brute_force(spark):
         assert [found[q][i + 1][1] for i in range(len(best))] == pytest.approx([-b[0] for b in best])
 
 
+def min_max(values, every):
+    known = every[np.isfinite(every)]
+    if not known.size or known.max() <= known.min():
+        return np.zeros_like(values)
+    return np.nan_to_num((values - known.min()) / (known.max() - known.min()))
+
+
+@pytest.mark.parametrize("weights", [(0.52, 0.48), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.3, 2.0)])
+def test_band_holds_the_best_for_its_scale(weights):
+    """Ties, unknown and constant scores; the band of parts that arrive one after the other is small and holds the k best of all."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n, k = int(rng.integers(1, 400)), int(rng.integers(1, 9))
+        lexical, dense = np.round(rng.random(n), rng.integers(0, 4)), np.round(rng.normal(size=n) / 4, rng.integers(1, 4))
+        dense[rng.random(n) < rng.choice([0, 0.2, 1])] = np.nan
+        keys = rng.permutation(n)
+        band = hybrid.Band(1, k, *weights)
+        for first in range(0, n, 97):
+            part = slice(first, first + 97)
+            band.add(0, np.ones((len(keys[part]), 1), bool), lexical[part, None], dense[part, None], pa.array(keys[part]))
+        found = [np.asarray(c) for c in band.rows[0]]
+        order = []
+        for some, ids in (((lexical, dense), keys), (found[:2], found[2])):
+            fused = np.round(weights[0] * min_max(some[0], lexical) + weights[1] * min_max(some[1], dense), 9)
+            order.append(ids[np.lexsort((ids, -fused))][:k].tolist())
+        assert order[0] == order[1]
+    rows = hybrid.Band(1, 8, *weights)
+    rows.add(0, np.ones((20_000, 1), bool), rng.random((20_000, 1)), rng.random((20_000, 1)), pa.array(np.arange(20_000)))
+    assert len(rows.rows[0][2]) < 500
+
+
+def test_more_questions_than_a_batch(spark, monkeypatch):
+    monkeypatch.setattr(hybrid, "BATCH", 3)
+    docs = spark.createDataFrame([(i, [i % 5], [1.0], [float(i % 7), 1.0]) for i in range(90)], "complaint_id long, idx array<int>, x array<double>, dense array<double>")
+    docs = docs.withColumns({c: F.lit("v") for c in ("product", "company", "issue", "state")} | {"date_received": F.lit("2024-01-01").cast("timestamp_ntz")}).repartition(4)
+    asked = hybrid.without_filters(spark.createDataFrame([(q, [q % 5], [1.0], [1.0, float(q)]) for q in range(10)], "question_id long, idx array<int>, x array<double>, dense array<double>"))
+    one = sorted(map(tuple, hybrid.hybrid_search(docs, asked, 4)[0].collect()))
+    monkeypatch.setattr(hybrid, "PASS", 4)
+    evidence, trace = hybrid.hybrid_search(docs, asked, 4)
+    assert sorted(map(tuple, evidence.collect())) == one and len(one) == 40 and trace.count() == 10
+
+
+def test_blocks_below_the_best_scores_are_skipped():
+    rng = np.random.default_rng(2)
+    n_docs, n_terms = 5_000, 40
+    matrix = np.where(rng.random((n_docs, n_terms)) < 0.1, rng.random((n_docs, n_terms)), 0.0)
+    matrix[700:720] = 5 * rng.random((20, n_terms))
+    docs, terms = np.nonzero(matrix)
+    index = search.Postings(terms, docs, matrix[docs, terms], n_terms, n_docs)
+    for _ in range(30):
+        numbers = rng.choice(n_terms, 4, replace=False)
+        weights = rng.random(4)
+        scores = matrix[:, numbers] @ weights
+        found, values = index.best(numbers, weights, 5, 0.0)
+        assert np.allclose(values, scores[found]) and set(np.argsort(-scores)[:5]) <= set(found.tolist())
+        assert len(set((found // search.BLOCK_DOCS).tolist())) < n_docs // search.BLOCK_DOCS // 4
+        beyond = index.best(numbers, weights, 5, float(scores.max()))[0]
+        assert scores.argmax() in beyond.tolist()
+
+
+def test_questions_in_batches_of_terms(spark, monkeypatch):
+    docs = small_docs(spark)
+    asked = spark.createDataFrame([(q, f"word{q} word{q + 1} word{q}") for q in range(12)] + [(50, "nowhere"), (51, None)], "question_id long, question string")
+    one = sorted(map(tuple, search.lexical_search(docs, asked, k=4).collect()))
+    monkeypatch.setattr(search, "BATCH_TERMS", 5)
+    monkeypatch.setattr(search, "BLOCK_DOCS", 3)
+    again = sorted(map(tuple, search.lexical_search(docs, asked, k=4).collect()))
+    assert [(r[0], r[1], r[3]) for r in one] == [(r[0], r[1], r[3]) for r in again] and len(one) == 14 * 4
+    assert [r[2] for r in one] == pytest.approx([r[2] for r in again])
+
+
 def test_index_round_trip(spark, tmp_path):
     docs = small_docs(spark).withColumn("consumer_complaint_narrative", F.col("clean_narrative")).drop("clean_narrative")
     index = hybrid.build_index(docs, str(tmp_path / "index"), components=6)
@@ -374,6 +447,105 @@ def test_index_round_trip(spark, tmp_path):
     assert search.evidence(again, index.docs).first().citation.startswith("[CFPB Complaint ")
 
 
+@pytest.mark.parametrize("kind", ["one bracket", "equal", "wide", "odd", "few", "none"])
+def test_quantiles_of_any_spread(spark, kind, monkeypatch):
+    rng = np.random.default_rng(6)
+    values = {
+        "one bracket": 1.0 + rng.random(30_000) * 1e-12, "equal": np.full(5_000, -3.5), "wide": rng.normal(size=20_000) * 10.0 ** rng.integers(-300, 300, 20_000),
+        "odd": np.array([0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324, 1.0]), "few": np.array([2.0, 1.0]), "none": np.zeros(0)}[kind]
+    monkeypatch.setattr(quantiles, "BRACKET", 50)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(5)
+    found = {r.probability: r.quantile for r in quantiles.exact_quantiles(df, "v", [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]).collect()}
+    if not values.size:
+        assert found == {}
+    for p, q in found.items():
+        spot = p * (len(values) - 1)
+        low, high = (np.sort(values)[i] for i in (math.floor(spot), math.ceil(spot)))
+        assert q == pytest.approx(low + (high - low) * (spot - math.floor(spot)), rel=1e-12, nan_ok=True)
+
+
+def test_profile_of_any_type(spark):
+    rows = [(1, 0.0, "x" * 50, b"a", [1], dt.date(2024, 1, 1), True), (1, -0.0, "x" * 50, b"a", [1], None, None), (None, 1.5, "x" * 49 + "y", b"b", None, dt.date(2024, 1, 2), False),
+            (2, float("nan"), None, None, [1, 2], None, None)]
+    df = spark.createDataFrame(rows, "a long, b double, c string, d binary, `e f` array<int>, g date, h boolean")
+    found = {r.field: (r.missing_count, r.unique_values) for r in quality.column_profile(df.drop("e f")).collect()}
+    assert found == {"a": (1, 2), "b": (0, 3), "c": (1, 2), "d": (1, 2), "g": (2, 2), "h": (2, 2)}
+    assert {r.position: r.n for r in quality.distinct_counts(df).collect()} == {0: 2, 1: 3, 2: 2, 3: 2, 4: 2, 5: 2, 6: 2}
+    assert {r.unique_values for r in quality.column_profile(df.select("a").limit(0)).collect()} == {0}
+
+
+def test_names_that_cannot_win_are_not_compared():
+    rng = np.random.default_rng(8)
+    names = [f"supplier {i:09d} financial" for i in rng.permutation(3000)] + ["", "é ü"]
+    index = entities.NameIndex(names)
+    for query in ("customer 000000123", "", "zzz", "é", "supplier 000000007 financial", "x" * 70 + " supplier"):
+        scores = [SequenceMatcher(None, query, n).ratio() for n in names]
+        assert index.best(query) == (max(scores), int(np.argmax(scores)))
+        assert index.best(query, 1.01) == (-1.0, -1)
+    index.compared = 0
+    for i in range(40):
+        index.best(f"customer {i * 37:09d}")
+    assert index.compared < 40 * len(names) / 10
+
+
+def test_days_and_bounds_with_a_time(spark):
+    moments = [dt.datetime(2024, 1, d, h, m) for d in (1, 2, 3) for h, m in ((0, 0), (0, 1), (9, 30), (23, 59))]
+    rows = spark.createDataFrame([("P", "C", "I", "S", t, "closed", "Yes") for t in moments] + [("P", "C", "I", "S", None, "closed", "No")],
+                                 "product string, company string, issue string, state string, date_received timestamp_ntz, company_response_to_consumer string, timely_response string")
+    bounds = [(None, None), ("2024-01-02", None), (None, "2024-01-02"), ("2024-01-02 09:30:00", None), (None, "2024-01-03 00:01:00"), ("2024-01-02", "2024-01-02"), ("x", None)]
+    asked = spark.createDataFrame([(i, "q", *b) for i, b in enumerate(bounds)], "question_id long, question string, date_start string, date_end string")
+    found = {r.question_id: r.complaints for r in answers.question_analytics(rows, asked).collect()}
+    for i, (start, end) in enumerate(bounds):
+        known = lambda b: b and b != "x"
+        inside = [t for t in moments if (not known(start) or t >= dt.datetime.fromisoformat(start)) and (not known(end) or t <= dt.datetime.fromisoformat(end))]
+        assert found.get(i, 0) == len(inside) + (not known(start) and not known(end))
+
+
+def test_router_goes_on_from_an_earlier_model(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    words = {c: [f"{c}{i}" for i in range(8)] + [f"common{i}" for i in range(30)] for c in "AB"}
+    rows = [(i, " ".join(rng.choice(words["AB"[i % 2]], size=12)) if i % 50 else "", "AB"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "complaint_id long, clean_narrative string, product string")
+    first = router.train_router(docs, tol=1e-6)
+    assert first.converged and first.gradient <= 1e-6 and first.report.first().converged
+    first.write(spark, str(tmp_path / "router"))
+    again = router.open_router(spark, str(tmp_path / "router"))
+    assert again.terms == first.terms and np.allclose(again.coefficients, first.coefficients) and again.classes == first.classes
+    steps = []
+    fit = router.minimise
+    router.minimise = lambda value, start, max_iter, tol: fit(lambda w: steps.append(1) or value(w), start, max_iter, tol)
+    try:
+        second = router.train_router(docs, tol=1e-6, start=again)
+    finally:
+        router.minimise = fit
+    assert len(steps) <= 3 and np.allclose(second.coefficients, first.coefficients, atol=1e-3)
+    assert [r.prediction for r in again.predict(docs.where("complaint_id < 3")).orderBy("complaint_id").collect()][1:] == ["B", "A"]
+    with pytest.warns(UserWarning, match="gradient"):
+        assert not router.train_router(docs, max_iter=1, tol=1e-9).converged
+
+
+def test_gradient_of_the_router_vanishes_at_the_minimum():
+    rng = np.random.default_rng(0)
+    a, y = rng.normal(size=(200, 30)), rng.integers(0, 2, 200)
+
+    def value(w):
+        z = a @ w
+        return float(np.mean(np.logaddexp(0, z) - y * z) + w @ w / 400), a.T @ (1 / (1 + np.exp(-z)) - y) / 200 + w / 200
+
+    found, gradient = router.minimise(value, np.zeros(30), 1000, 1e-7)
+    assert gradient <= 1e-7 and np.abs(value(found)[1]).max() <= 1e-7
+
+
+def test_partials_count_like_the_rows(spark):
+    rows = spark.createDataFrame([(dt.datetime(2022 + m // 12, m % 12 + 1, 1 + m % 5), f"P{m % 2}", None if m % 7 == 0 else f"I{k % 3}") for m in range(30) for k in range(1 + (m * m) % 11)]
+                                 + [(None, "P0", "I0")], "date_received timestamp_ntz, product string, issue string")
+    partials = metrics.monthly_partials(rows, "product", "issue")
+    assert partials.count() < rows.count()
+    for f in (lambda d: anomaly.emerging_scores(d, "issue"), lambda d: anomaly.detect_spikes(d, "product"), lambda d: metrics.volume_by_month(d, "issue"),
+              lambda d: metrics.yoy_growth(d, "product"), opportunities.pair_counts, lambda d: metrics.top_categories(d, "issue")):
+        assert sorted(map(str, f(partials).collect())) == sorted(map(str, f(rows).collect()))
+
+
 def test_topics(spark):
     registry, assigned = topics.discover_topics(small_docs(spark, 15).withColumn("clean_narrative", F.lit("of the")))
     assert registry.count() == 0 and assigned.count() == 0
