@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casemill.fixed import CITATION_MARKS, EVIDENCE_TEXT_COLUMNS
 from casemill.functions.columns import share
 from casemill.operators.search import lexical_search
 
-TEXT_COLUMNS = ["clean_narrative", "product", "issue", "company"]
-
 
 def term_recall_report(docs: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
     """Older evaluation: share of expected terms found in the text of the top-k documents of each question."""
@@ -40,7 +42,7 @@ def question_report(evidence: DataFrame, questions: DataFrame, traces: DataFrame
     """
     checked = evidence.join(questions.select(
         "question_id", "expected_terms", "expected_product", "expected_issue", "expected_company"), "question_id")
-    row_text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TEXT_COLUMNS]))
+    row_text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in EVIDENCE_TEXT_COLUMNS]))
     hits = {"term": _any_term(row_text)}
     for field in ("product", "company", "issue"):
         hits[field] = F.coalesce(F.lower(field) == F.lower(f"expected_{field}"), F.lit(False))
@@ -76,7 +78,7 @@ def question_report(evidence: DataFrame, questions: DataFrame, traces: DataFrame
 
 def answer_citation_rate(answers: DataFrame) -> DataFrame:
     """One row: share of answers that cite a complaint or a metric."""
-    cites = F.col("answer").contains("[CFPB Complaint") | F.col("answer").contains("[Analytics:")
+    cites = reduce(operator.or_, [F.col("answer").contains(mark) for mark in CITATION_MARKS])
     return answers.agg(F.avg(F.when(cites, 1.0).otherwise(0.0)).alias("answer_citation_presence_rate"))
 
 

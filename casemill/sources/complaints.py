@@ -101,22 +101,23 @@ def with_partition(df: DataFrame) -> DataFrame:
 def write_store(df: DataFrame, path: str, limited: bool = False, check: Callable[[DataFrame], None] | None = None) -> dict[str, Any]:
     """Write the store partitioned by month and return the metadata of what was written.
 
-    The new store is written beside the old one, counted and, with ``check``, validated; only then it takes the old one's place. An empty or
+    The new version is written beside the old one, counted and, with ``check``, validated; only then the list of current folders names it. An empty or
     invalid ingest leaves the old store as it was. The rebalance hint lets adaptive execution split a hot month and merge small ones.
     """
-    spark, staged = df.sparkSession, f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    spark, version = df.sparkSession, new_version()
     try:
         with_partition(df).hint("rebalance", STORE_PARTITION) \
-            .write.partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(staged)
-        rows = read_store(spark, staged)
+            .write.partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(f"{path}/{VERSION}={version}")
+        rows = read_version(spark, path, version)
         metadata = ingest_metadata(rows, limited).first().asDict()
         if not metadata["record_count"]:
             raise ValueError("no complaint rows were ingested")
         if check is not None:
             check(rows.drop(STORE_PARTITION))
-        replace_folder(spark, staged, path)
-    finally:
-        delete_folder(spark, staged)
+    except BaseException:
+        delete_folder(spark, f"{path}/{VERSION}={version}")
+        raise
+    commit(spark, path, {month: version for month in months_of(rows)})
     for key in ("date_min", "date_max"):
         metadata[key] = str(metadata[key]) if metadata[key] else None
     return {**metadata, "output_path": path}
@@ -136,15 +137,84 @@ def ingest_bulk(spark: SparkSession, csv_path: str, store_path: str, multi_line:
 STORE_SCHEMA = T.StructType([*COMPLAINT_SCHEMA.fields, T.StructField(STORE_PARTITION, T.StringType())])
 
 
+VERSION = "version"
+CURRENT = "_current"  # folder of the lists of current folders; readers of Parquet skip names with an underscore
+
+
+def new_version() -> str:
+    return f"v{uuid.uuid4().hex}"
+
+
+def read_version(spark: SparkSession, path: str, version: str) -> DataFrame:
+    return spark.read.schema(STORE_SCHEMA).parquet(f"{path}/{VERSION}={version}")
+
+
+def months_of(rows: DataFrame) -> list[str]:
+    return sorted(r[0] for r in rows.select(STORE_PARTITION).distinct().collect())
+
+
+def commits(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the lists of current folders, the newest last."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{CURRENT}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def current(spark: SparkSession, path: str, number: int | None = None) -> dict[str, str]:
+    """The version of each month, as of the newest commit or of a given one."""
+    numbers = commits(spark, path)
+    if not numbers:
+        return {}
+    rows = spark.read.text(f"{path}/{CURRENT}/{numbers[-1] if number is None else number}").collect()  # a line for each month
+    return dict(r["value"].split("\t") for r in rows)
+
+
+def commit(spark: SparkSession, path: str, months: dict[str, str]) -> None:
+    """Make these folders the store. One rename puts their list in place, so a reader sees the store before or after, never a mix.
+
+    Folders that neither this list nor the one before names are deleted; readers of the one before keep theirs until the next commit.
+    """
+    numbers = commits(spark, path)
+    number = numbers[-1] + 1 if numbers else 1
+    staged = f"{path}/{CURRENT}/.{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(hadoop, False)
+    out.write(bytearray("\n".join(f"{m}\t{v}" for m, v in sorted(months.items())).encode()))
+    out.close()
+    if not _rename(spark, staged, f"{path}/{CURRENT}/{number}"):
+        raise OSError(f"cannot commit to {path}")
+    kept = set(months.items()) | (set(current(spark, path, number - 1).items()) if numbers else set())
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    for folder in files.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith(f"{VERSION}="):
+            version = name.split("=", 1)[1]
+            parts = [f.getPath().getName() for f in files.listStatus(folder.getPath())]
+            stale = [p for p in parts if p.startswith(f"{STORE_PARTITION}=") and (p.split("=", 1)[1], version) not in kept]
+            if not any(v == version for _, v in kept):
+                delete_folder(spark, f"{path}/{name}")
+            else:
+                for part in stale:
+                    delete_folder(spark, f"{path}/{name}/{part}")
+    for old in numbers[:-1]:
+        delete_folder(spark, f"{path}/{CURRENT}/{old}")
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+    """The store as of its newest commit. The frame goes on reading that state when a refresh commits another; a plain Parquet folder is read as it is."""
+    folders = [f"{path}/{VERSION}={v}/{STORE_PARTITION}={m}" for m, v in sorted(current(spark, path).items())]
+    if not folders:
+        return spark.read.schema(STORE_SCHEMA).parquet(path)
+    return spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*folders).select(STORE_SCHEMA.fieldNames())
 
 
 def merge_window(base: DataFrame, window: DataFrame) -> DataFrame:
     """Upsert by complaint id: window rows replace base rows of the same id, all other rows stay.
 
-    When the window holds an id more than once, the row received last wins. Rows without an id are told apart by their content: a window row
-    equal to one that is there is not added again, so merging a window twice changes nothing.
+    When the window holds an id more than once, the row received last wins. Rows without an id are told apart by their content: equal ones in a
+    window are one row, and a window row equal to one that is there is not added again, so merging a window twice changes nothing.
     """
     ordered = F.struct(*[F.col(c) for c in ["date_received", *[c for c in window.columns if c != "date_received"]]])
     keyed = window.filter(F.col("complaint_id").isNotNull())
@@ -162,7 +232,7 @@ def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> li
     A month is touched when the window has rows in it or when it holds an older version of a window row. Finding
     the latter reads the id and partition columns only. Returns the rewritten months.
     """
-    base = read_store(spark, store_path)
+    base, before = read_store(spark, store_path), current(spark, store_path)
     columns = COMPLAINT_SCHEMA.fieldNames()
     ids = window.select("complaint_id").filter(F.col("complaint_id").isNotNull()).distinct()
     old_months = base.select("complaint_id", STORE_PARTITION).join(ids, "complaint_id", "left_semi") \
@@ -170,36 +240,17 @@ def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> li
     months = [r[0] for r in with_partition(window).select(STORE_PARTITION).union(old_months).distinct().collect()]
     if not months:
         return []
-    current = base.filter(F.col(STORE_PARTITION).isin(months)).select(columns)
-    merged = with_partition(merge_window(current, window.select(columns)))
-    # The touched months are computed once, beside the store; each then takes its old folder's place. Should the job end in between, running it again
-    # merges the same rows into whatever months were already replaced.
-    staged = f"{store_path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    try:
-        merged.hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(staged)
-        kept = {r[0] for r in read_store(spark, staged).select(STORE_PARTITION).distinct().collect()}
-        for m in sorted(kept):
-            replace_folder(spark, f"{staged}/{STORE_PARTITION}={m}", f"{store_path}/{STORE_PARTITION}={m}")
-        # A month whose last row moved to another month has no new folder.
-        for m in sorted(set(months) - kept):
-            delete_folder(spark, f"{store_path}/{STORE_PARTITION}={m}")
-    finally:
-        delete_folder(spark, staged)
+    # The touched months are computed once, as a version of their own, and one commit puts all of them in place. Should the job end before, the store is as it was, and
+    # running it again merges the same rows.
+    touched = base.filter(F.col(STORE_PARTITION).isin(months)).select(columns)
+    version = new_version()
+    with_partition(merge_window(touched, window.select(columns))).hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(f"{store_path}/{VERSION}={version}")
+    # A month whose last row moved to another month has no new folder.
+    written = {m: version for m in months_of(read_version(spark, store_path, version))}
+    commit(spark, store_path, {m: v for m, v in before.items() if m not in months} | written)
     return sorted(months)
 
 
-def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put a folder in the place of another by renaming; the old one goes last, and comes back if the new one cannot take its place."""
-    path = path.rstrip("/")
-    old = f"{path}.old-{uuid.uuid4().hex}"
-    moved = _rename(spark, path, old)
-    if not _rename(spark, new, path):
-        if moved:
-            _rename(spark, old, path)
-        raise OSError(f"cannot move {new} to {path}")
-    delete_folder(spark, old)
-
-
 def _rename(spark: SparkSession, path: str, to: str) -> bool:
     source, target = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
     files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
