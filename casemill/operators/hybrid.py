@@ -246,13 +246,17 @@ def without_filters(questions: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Index:
-    """Retrieval index as tables: terms with their basis row, document vectors with metadata, cleaned texts."""
+    """Retrieval index as tables: terms with their basis row, document vectors with metadata, cleaned texts.
+
+    ``residual`` is the share of the documents' squared length that the dense vectors leave out, measured when the index was built.
+    """
 
     terms: DataFrame
     vectors: DataFrame
     docs: DataFrame
     basis: np.ndarray
     spec: TfidfSpec
+    residual: float
 
     @property
     def model(self) -> str:
@@ -271,15 +275,15 @@ class Index:
 def open_index(spark: SparkSession, path: str, spec: TfidfSpec = INDEX) -> Index:
     """Index from its tables. The term table, basis included, is limited by ``max_features``."""
     terms = spark.read.parquet(f"{path}/terms")
-    basis = np.array([r["basis"] for r in terms.orderBy("idx").select("basis").collect()])
-    return Index(terms.drop("basis"), spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/docs"), basis, spec)
+    basis = terms.orderBy("idx").select("basis").toArrow()["basis"].combine_chunks()
+    basis = basis.flatten().to_numpy().reshape(len(basis), -1)
+    model = spark.read.parquet(f"{path}/model").first()
+    return Index(terms.drop("basis"), spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/docs"), basis, spec, model["residual"])
 
 
 def build_index(complaints: DataFrame, path: str | None = None, min_chars: int = 80,
-                components: int = 128, passes: int = 12, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
-    """Clean, weigh and project all narratives, and write the index tables below ``path``.
-
-    """
+                components: int = 128, passes: int = 2, spec: TfidfSpec = INDEX, key: str = "complaint_id") -> Index:
+    """Clean, weigh and project all narratives, and write the index tables below ``path``."""
     spark = complaints.sparkSession
     path = path or scratch_path(spark, "index")
     docs = narratives(complaints, min_chars)
@@ -295,7 +299,9 @@ def build_index(complaints: DataFrame, path: str | None = None, min_chars: int =
     n_terms = terms.count()
     sparse = materialize(tfidf.doc_vectors(counts, terms, key, spec), "index_sparse")
     width = min(components, max(2, n_terms - 1), max(2, n_docs - 1))
-    _, basis = lowrank.right_singular(sparse, n_terms, width, passes)
+    found = lowrank.right_singular(sparse, n_terms, width, passes)
+    basis = found.vectors
+    spark.createDataFrame([(found.residual,)], "residual double").write.mode("overwrite").parquet(f"{path}/model")
     rows = pa.table({"idx": pa.array(np.arange(n_terms, dtype=np.int32)), "basis": pa.array(list(basis))})
     terms.join(spark.createDataFrame(rows), "idx").write.mode("overwrite").parquet(f"{path}/terms")
     dense = lowrank.project(sparse, key, basis)
@@ -305,9 +311,9 @@ def build_index(complaints: DataFrame, path: str | None = None, min_chars: int =
     return open_index(spark, path, spec)
 
 
-def retrieve(index: Index, questions: DataFrame, k: int = 8) -> tuple[DataFrame, DataFrame]:
+def retrieve(index: Index, questions: DataFrame, k: int = 8, lexical_weight: float = LEXICAL_WEIGHT, dense_weight: float = DENSE_WEIGHT) -> tuple[DataFrame, DataFrame]:
     """Evidence and trace of questions asked to an index; the trace names the index's dense model."""
-    evidence, trace = hybrid_search(index.vectors, index.ask(questions), k)
+    evidence, trace = hybrid_search(index.vectors, index.ask(questions), k, lexical_weight, dense_weight)
     return evidence, trace.withColumn("embedding_model", F.lit(index.model))
 
 

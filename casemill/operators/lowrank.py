@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -91,34 +92,45 @@ def sum_by_term(vectors: DataFrame, n_rows: int, width: int, add: Callable[...,
     return result
 
 
-def right_singular(vectors: DataFrame, n_terms: int, k: int, passes: int = 12, oversample: int = 10,
-                   seed: int = 42, tol: float = 1e-2) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest singular values and right singular vectors (terms x k), by block power iteration.
+@dataclass(frozen=True)
+class Singular:
+    """Largest singular values, right singular vectors (terms x k), and the squared length of all documents that the vectors leave unexplained, as a share."""
 
-    Stops when a pass changes the sum of the squared values by less than ``tol`` of it; warns if ``passes`` did not get there.
+    values: np.ndarray
+    vectors: np.ndarray
+    residual: float
+
+
+def right_singular(vectors: DataFrame, n_terms: int, k: int, passes: int = 2, oversample: int = 10, seed: int = 42) -> Singular:
+    """The k largest singular values and right singular vectors by a random sketch.
+
+    Every pass multiplies the documents with a (terms x width) matrix and back; tasks add up their sums, which merge block by block. The first pass sketches the space
+    of the documents with random directions, each further one turns the sketch towards the largest singular vectors, and the last one also gives the small
+    (width x width) matrix of which the values follow. ``residual`` is measured, not estimated: documents have a total squared length, and what lies in
+    the space of the vectors is the sum of the squared values. The best k vectors leave at least what ``passes`` more would.
     """
     width = min(k + oversample, n_terms)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, width)))[0]
     sc = vectors.sparkSession.sparkContext
-    before = 0.0
     for step in range(passes + 1):
         shared = sc.broadcast(basis)
-        image = sum_by_term(vectors, n_terms, width, lambda rows, total: rows.add_transposed(rows.times(shared.value), total))
-        shared.unpersist()
-        now = np.sort(np.linalg.eigvalsh(basis.T @ image))[::-1][:k].sum()
-        if now - before <= tol * now:
-            break
-        before = now
+
+        def add(rows: SparseRows, total: np.ndarray) -> None:
+            rows.add_transposed(rows.times(shared.value), total[:n_terms])
+            total[n_terms, 0] += (rows.x ** 2).sum()
+
+        sums = sum_by_term(vectors, n_terms + 1, width, add)
+        shared.destroy()
+        image, length = sums[:n_terms], float(sums[n_terms, 0])
         if step < passes:
             basis = np.linalg.qr(image)[0]
-        else:
-            warnings.warn(f"singular values still moved after {passes} passes", stacklevel=2)
     squared, mix = np.linalg.eigh(basis.T @ image)
     largest = np.argsort(squared)[::-1][:k]
     directions = basis @ mix[:, largest]
     # Fix the sign, which the decomposition leaves open.
     directions *= np.where(directions[np.abs(directions).argmax(axis=0), range(directions.shape[1])] < 0, -1.0, 1.0)
-    return np.sqrt(np.clip(squared[largest], 0.0, None)), directions
+    explained = np.clip(squared[largest], 0.0, None)
+    return Singular(np.sqrt(explained), directions, max(0.0, 1.0 - float(explained.sum()) / length) if length else 0.0)
 
 
 def project(vectors: DataFrame, key: str, basis: np.ndarray) -> DataFrame:
@@ -162,7 +174,8 @@ def fit_weights(target: np.ndarray, gram: np.ndarray, start: np.ndarray | None =
 def initial_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, seed: int) -> np.ndarray:
     """Starting components (k x terms) from the singular vectors: per component the heavier of its positive and
     negative part, zeros replaced by the mean of the matrix."""
-    values, directions = right_singular(vectors, n_terms, k, seed=seed)
+    found = right_singular(vectors, n_terms, k, seed=seed)
+    values, directions = found.values, found.vectors
     shared = vectors.sparkSession.sparkContext.broadcast(directions)
 
     def add(rows: SparseRows, total: np.ndarray) -> None:
@@ -221,7 +234,7 @@ def nmf_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, max_it
             break
         if len(errors) == max_iter:
             warnings.warn(f"the factorisation still improved after {max_iter} passes", stacklevel=2)
-        components = fit_weights(sums[:n_terms], sums[n_terms:n_terms + k], components.T, sweeps=10).T
+        components = fit_weights(sums[:n_terms], sums[n_terms:n_terms + k], components.T).T
     return components, errors
 
 

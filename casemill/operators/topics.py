@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.operators import lowrank, tfidf
@@ -9,9 +10,6 @@ from casemill.operators.tfidf import TOPICS, TfidfSpec
 from casemill.session import materialize
 
 TERMS_PER_TOPIC, TERMS_PER_NAME, EXAMPLES = 12, 4, 3
-REGISTRY_SCHEMA = ("topic_id int, topic_name string, top_terms string, volume bigint, product_distribution map<string, bigint>, "
-                   "company_distribution map<string, bigint>, representatives array<bigint>")
-ASSIGNMENT_SCHEMA = "complaint_id bigint, topic_id int, topic_score double"
 
 
 def topic_terms(spark, terms: list[str], components) -> DataFrame:
@@ -50,7 +48,7 @@ def topic_registry(assigned: DataFrame, names: DataFrame) -> DataFrame:
 
 def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPICS, max_iter: int = 400,
                     tol: float = 1e-4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``(registry, assignments)`` of cleaned narratives; both empty when no term is left. All documents are used."""
+    """``(registry, assignments)`` of cleaned narratives; all documents are used. Without a term left all documents belong to the first of the topics, which have no terms."""
     spark = docs.sparkSession
     n_docs = docs.count()
     key, text = "complaint_id", "clean_narrative"
@@ -58,7 +56,8 @@ def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPIC
     vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec, F.lit(n_docs))), "topic_terms")
     terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
     if not terms:
-        return spark.createDataFrame([], REGISTRY_SCHEMA), spark.createDataFrame([], ASSIGNMENT_SCHEMA)
+        assigned = docs.select("complaint_id", "product", "company").withColumns({"topic_id": F.lit(0), "topic_score": F.lit(0.0)})
+        return topic_registry(assigned, topic_terms(spark, [], np.zeros((n_topics, 0)))), assigned
     vectors = materialize(tfidf.doc_vectors(counts, vocab, key, spec), "topic_vectors")
     components, _ = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
     found = lowrank.assign_components(vectors, "complaint_id", components)

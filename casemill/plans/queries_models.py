@@ -5,26 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT, REQUIRED_COLUMNS
-from casemill.operators import answers, evaluation, rollup, router, topics
+from casemill.operators import answers, evaluation, hybrid, rollup, router, topics
 from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
 from casemill.plans.queries_decide import CATALOG_SQL, ISSUES_SQL, OPPORTUNITIES_SQL, REPORT_SQL, SPLIT_SQL, SUMMARY_SQL, derived, quoted, value_sql
-from casemill.plans.queries_retrieval import filtered_questions, hybrid_fixed, hybrid_sql
+from casemill.plans.queries_retrieval import FLAGS, ROLL_UP_SQL, built_index, filtered_questions, hybrid_fixed, hybrid_sql, report_sql
 from casemill.plans.queries_text import DOCS_SQL, clean_sql, docs_of
 from casemill.plans.sql import CASES, scores
 from casemill.plans.tables import cases, documents, table
-from casemill.session import scratch_path
+from casemill.session import materialize, scratch_path
 from casemill.sources import complaints
 
 
 # --- topics and router --------------------------------------------------------------------------------
 def topic_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What must hold of the fitted topics: their number, all documents assigned once, twelve terms and a name each, language counts adding up."""
-    registry, _ = topics.discover_topics(docs_of(spark, sf_dir))
-    languages = F.aggregate(F.map_values("product_distribution"), F.lit(0).cast("bigint"), lambda a, n: a + n)
-    return registry.agg(
-        F.count("*").alias("topics"), F.sum("volume").alias("documents"), F.sum(F.size(F.split("top_terms", ", "))).alias("terms"),
-        F.count_distinct("topic_name").alias("names"), F.bool_and(F.coalesce(languages, F.lit(0)) == F.col("volume")).alias("products_fit_volumes"))
+    """Documents per language, added up over the registry of fitted topics, with what must hold of it: volumes are those of the written assignments, names and terms are
+    those of vocabulary words, the examples of a topic are assigned to it with its best scores."""
+    docs = docs_of(spark, sf_dir)
+    registry, assigned = topics.discover_topics(docs)
+    registry = materialize(registry, "registry")
+    volumes = assigned.groupBy("topic_id").agg(F.count(F.lit(1)).alias("n"), F.max("topic_score").alias("best"))
+    joined = registry.join(volumes, "topic_id", "left")
+    examples = joined.select("topic_id", "best", F.posexplode("representatives").alias("at", "complaint_id")).join(
+        assigned.select("complaint_id", F.col("topic_id").alias("own"), "topic_score"), "complaint_id")
+    fits = joined.select(F.struct(
+        F.bool_and(F.col("volume") == F.coalesce("n", F.lit(0))).alias("volumes"), F.count_distinct("topic_name").alias("names"),
+        F.bool_and((F.size(F.split("top_terms", ", ")) == topics.TERMS_PER_TOPIC) & F.startswith(F.replace("top_terms", F.lit(", "), F.lit("; ")), "topic_name")).alias("terms"))).scalar()
+    shown = examples.select(F.bool_and((F.col("own") == F.col("topic_id")) & ((F.col("at") > 0) | (F.col("topic_score") == F.col("best"))))).scalar()
+    languages = registry.select(F.explode("product_distribution").alias("lang", "n")).groupBy("lang").agg(F.sum("n").alias("documents"))
+    return languages.withColumns({"volumes_fit": fits["volumes"], "terms_fit": fits["terms"], "names": fits["names"], "examples_fit": shown})
 
 
 def router_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +117,14 @@ SELECT question_id, complaints, date_min, date_max, round(timely_response_rate,
 
 # --- roll-up and nightly refresh ----------------------------------------------------------------------
 def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = rollup.final_metrics(cases(spark, sf_dir), derived(spark, sf_dir), given_topics(spark, sf_dir), text="Build")
-    return rounded(row, 4, "baseline_estimated_annual_capacity_value", "baseline_three_year_net_value")
+    """The whole record: topics, evaluation on a built index, router and index beside the metrics. Of the router's fitted quality it says whether it beats the baseline."""
+    index = built_index(spark, sf_dir)
+    evidence, trace = hybrid.retrieve(index, filtered_questions(spark, sf_dir), 10, 1.0, 0.0)
+    checked = evaluation.roll_up(evaluation.question_report(evidence.join(index.docs, "complaint_id"), filtered_questions(spark, sf_dir), trace))
+    report = router.train_router(docs_of(spark, sf_dir), min_class=10).report
+    row = rollup.final_metrics(cases(spark, sf_dir), derived(spark, sf_dir), given_topics(spark, sf_dir), checked, report, index.summary(), text="Build")
+    row = row.withColumn("model_beats_baseline", F.col("model_macro_f1") > F.col("baseline_macro_f1")).drop("model_macro_f1")
+    return rounded(rounded(row, 4, "baseline_estimated_annual_capacity_value", "baseline_three_year_net_value", "baseline_macro_f1"), 6, *FLAGS.values())
 
 
 def narrative_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +183,11 @@ QUERIES = {
     "nightly_refresh": nightly_refresh,
 }
 
+ROUTER_SQL = f"""WITH {DOCS_SQL}, classed AS (SELECT doc_id, lang AS label FROM docs WHERE lang IN (SELECT lang FROM docs GROUP BY 1 HAVING count(*) >= 10)),
+{SPLIT_SQL.replace("o_orderkey AS doc_id, o_orderpriority AS label", "doc_id, label").replace("o_orderpriority", "label").replace("o_orderkey", "doc_id").replace("FROM orders", "FROM classed")},
+predictions AS (SELECT label, (SELECT label FROM split WHERE NOT is_test GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS prediction FROM split WHERE is_test), {REPORT_SQL}
+SELECT 'trained' AS status, 'product' AS target, (SELECT count(*) FROM split) AS records, (SELECT count(DISTINCT label) FROM split) AS classes,
+  round(macro_f1, 4) AS baseline_macro_f1, true AS converged, true AS model_reaches_floor FROM ({SUMMARY_SQL})"""
 NARRATIVE_CASES = CASES.replace("cases AS (", "plain_cases AS (", 1) + """,
 cases AS (SELECT plain_cases.* REPLACE (text AS consumer_complaint_narrative, coalesce(lang, product) AS product, date_trunc('day', date_received) AS date_received)
   FROM plain_cases LEFT JOIN documents ON complaint_id = doc_id)"""
@@ -201,14 +221,11 @@ JOIN best USING (topic_id)""",
     "answers": ANSWERS_SQL,
     "answer_citations": f"""SELECT round(avg(CASE WHEN contains(answer, '[CFPB Complaint') OR contains(answer, '[Analytics:') THEN 1.0 ELSE 0.0 END), 6)
   AS answer_citation_presence_rate FROM ({ANSWERS_SQL})""",
-    "router_report": f"""WITH {DOCS_SQL}, classed AS (SELECT doc_id, lang AS label FROM docs WHERE lang IN (SELECT lang FROM docs GROUP BY 1 HAVING count(*) >= 10)),
-{SPLIT_SQL.replace("o_orderkey AS doc_id, o_orderpriority AS label", "doc_id, label").replace("o_orderpriority", "label").replace("o_orderkey", "doc_id").replace("FROM orders", "FROM classed")},
-predictions AS (SELECT label, (SELECT label FROM split WHERE NOT is_test GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS prediction FROM split WHERE is_test), {REPORT_SQL}
-SELECT 'trained' AS status, 'product' AS target, (SELECT count(*) FROM split) AS records, (SELECT count(DISTINCT label) FROM split) AS classes,
-  round(macro_f1, 4) AS baseline_macro_f1, true AS converged, true AS model_reaches_floor FROM ({SUMMARY_SQL})""",
-    "topic_registry": f"""WITH {DOCS_SQL} SELECT CAST(12 AS BIGINT) AS topics, count(*) AS documents, CAST(144 AS BIGINT) AS terms, CAST(12 AS BIGINT) AS names,
-  true AS products_fit_volumes FROM docs""",
-    "final_metrics": f"""WITH {CASES}, {CATALOG_SQL.replace(ISSUES_SQL, ISSUES_SQL.replace("cases AS", "issue_cases AS", 1), 1).replace("FROM cases GROUP BY", "FROM issue_cases GROUP BY", 1)},
+    "router_report": ROUTER_SQL,
+    "topic_registry": f"""WITH {DOCS_SQL} SELECT lang, count(*) AS documents, true AS volumes_fit, true AS terms_fit, CAST(12 AS BIGINT) AS names, true AS examples_fit
+FROM docs GROUP BY 1""",
+    "final_metrics": f"""WITH evaluated AS (WITH {report_sql(1.0, 0.0)} {ROLL_UP_SQL}), routed AS ({ROUTER_SQL}), indexed AS (WITH {DOCS_SQL} SELECT count(*) AS n FROM docs),
+{CASES}, {CATALOG_SQL.replace(ISSUES_SQL, ISSUES_SQL.replace("cases AS", "issue_cases AS", 1), 1).replace("FROM cases GROUP BY", "FROM issue_cases GROUP BY", 1)},
 base AS (SELECT count(*) AS observed_complaints, CAST(24.0 AS DOUBLE) AS hourly_wage,
   {", ".join(f"CAST({v!r} AS DOUBLE) AS {c}" for c, v in ASSUMPTION_DEFAULTS.items())} FROM cases), {value_sql("base")}
 SELECT count(*) AS record_count, CAST(min(date_received) AS DATE) AS date_min, CAST(max(date_received) AS DATE) AS date_max,
@@ -220,7 +237,10 @@ SELECT count(*) AS record_count, CAST(min(date_received) AS DATE) AS date_min, C
   (SELECT count(*) FROM opps) AS opportunities, (SELECT count(DISTINCT CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) % 7) FROM documents) AS topics,
   (SELECT count(*) FROM documents) AS topic_narrative_volume,
   (SELECT round(estimated_annual_capacity_value, 4) FROM outputs) AS baseline_estimated_annual_capacity_value,
-  (SELECT round(three_year_net_value, 4) FROM outputs) AS baseline_three_year_net_value FROM cases""",
+  (SELECT round(three_year_net_value, 4) FROM outputs) AS baseline_three_year_net_value,
+  (SELECT question_count FROM evaluated) AS question_count, {", ".join(f"(SELECT {n} FROM evaluated) AS {n}" for n in FLAGS.values())},
+  (SELECT records FROM routed) AS routing_model_records, (SELECT classes FROM routed) AS routing_model_classes, (SELECT baseline_macro_f1 FROM routed) AS baseline_macro_f1,
+  true AS model_beats_baseline, (SELECT n FROM indexed) AS indexed_narratives FROM cases""",
     "nightly_run": NIGHTLY_SQL,
     "nightly_refresh": NIGHTLY_REFRESH_SQL,
 }

@@ -69,7 +69,7 @@ def question_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.question_report(evidence.join(docs_of(spark, sf_dir), "complaint_id"), filtered_questions(spark, sf_dir), trace)
 
 
-def hybrid_sql(k: int) -> str:
+def hybrid_sql(k: int, lexical: float = 0.52, dense: float = 0.48) -> str:
     """CTEs ending in ``top``: fused ranking over the filtered candidates of every question."""
     return f"""{DOCS_SQL}, {weights_sql(tfidf.INDEX)}, {asked_sql(tfidf.INDEX)},
 lex AS (SELECT item_id, doc_id, sum(x * qx) AS score FROM weights JOIN asked USING (term) GROUP BY 1, 2),
@@ -84,12 +84,13 @@ scored AS (SELECT pairs.item_id, pairs.doc_id, coalesce(score, 0) AS l, CASE WHE
 spread AS (SELECT *, min(l) OVER w AS ll, max(l) OVER w AS lh, min(d) OVER w AS dl, max(d) OVER w AS dh
   FROM scored WINDOW w AS (PARTITION BY item_id)),
 fused AS (SELECT item_id AS question_id, doc_id AS complaint_id, l, d,
-  0.52 * coalesce((l - ll) / nullif(lh - ll, 0), 0) + 0.48 * coalesce((d - dl) / nullif(dh - dl, 0), 0) AS h FROM spread),
+  {lexical} * coalesce((l - ll) / nullif(lh - ll, 0), 0) + {dense} * coalesce((d - dl) / nullif(dh - dl, 0), 0) AS h FROM spread),
 top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY question_id ORDER BY round(h, 9) DESC, complaint_id) AS INTEGER) AS rank
   FROM fused) WHERE rank <= {k})"""
 
 
-REPORT_SQL = rf"""{hybrid_sql(10)},
+def report_sql(lexical: float = 0.52, dense: float = 0.48) -> str:
+    return rf"""{hybrid_sql(10, lexical, dense)},
 expect AS (SELECT item_id AS question_id, CASE WHEN item_id % 3 = 0 THEN [] ELSE
     list_distinct(regexp_extract_all(lower(text), '\p{{L}}{{8,}}')) END AS terms,
   CASE WHEN item_id % 4 = 0 THEN 'en' END AS lang, CASE WHEN item_id % 16 = 2 THEN 'src2' END AS src,
@@ -110,13 +111,37 @@ report AS (SELECT question_id, behavior AS expected_behavior, coalesce(n, 0) AS
   FROM expect LEFT JOIN found USING (question_id))"""
 FLAGS = {"recall_at_5": "recall_at_5", "recall_at_10": "recall_at_10", "citation_valid": "citation_validity_rate",
          "expected_term_hit": "expected_term_hit_rate"}
+ROLL_UP_SQL = "SELECT count(*) AS question_count, " + ", ".join(f"round(avg(CASE WHEN {f} THEN 1.0 ELSE 0.0 END), 6) AS {n}" for f, n in FLAGS.items()) + " FROM report"
+
+
+def built_index(spark: SparkSession, sf_dir: str) -> hybrid.Index:
+    return hybrid.build_index(documents(spark, sf_dir))
 
 
 def index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full index with its own dense vectors, asked the benchmark questions."""
-    index = hybrid.build_index(documents(spark, sf_dir))
-    evidence, _ = hybrid.retrieve(index, questions(spark, sf_dir))
-    return rounded(evidence, 6, "lexical_score", "dense_score", "hybrid_score")
+    """A full index with its own dense vectors, asked by words alone, which ranks exactly; and what must hold of the dense side.
+
+    ``dense_fits``: all dense scores of the fused search are cosines, and its best documents are as good a fused sum as those of the search by words or better.
+    ``error_fits``: the dense vectors leave out less than a random space of their size would.
+    """
+    index, asked = built_index(spark, sf_dir), questions(spark, sf_dir)
+    exact, _ = hybrid.retrieve(index, asked, lexical_weight=1.0, dense_weight=0.0)
+    fused, _ = hybrid.retrieve(index, asked)
+    fits = fused.select((F.coalesce(F.max(F.abs("dense_score")) <= 1 + 1e-9, F.lit(True)) & (F.min("hybrid_score") >= 0) & (F.max("hybrid_score") <= 1 + 1e-9))).scalar()
+    random_share = 1 - index.basis.shape[1] / index.basis.shape[0]
+    return rounded(exact.select("question_id", "complaint_id", "lexical_score", "hybrid_score", "rank"), 6, "lexical_score", "hybrid_score").withColumns({
+        "dense_fits": fits, "error_fits": F.lit(index.residual <= random_share)})
+
+
+def index_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks per question on a built index, asked by words alone."""
+    index = built_index(spark, sf_dir)
+    evidence, trace = hybrid.retrieve(index, filtered_questions(spark, sf_dir), 10, 1.0, 0.0)
+    return evaluation.question_report(evidence.join(index.docs, "complaint_id"), filtered_questions(spark, sf_dir), trace)
+
+
+def index_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(evaluation.roll_up(index_report(spark, sf_dir)), 6, *FLAGS.values())
 
 
 def question_set_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +173,7 @@ QUERIES = {
     "retrieval_report": question_report,
     "retrieval_eval": lambda s, d: rounded(evaluation.roll_up(question_report(s, d)), 6, *FLAGS.values()),
     "index_search": index_search,
+    "index_eval": index_eval,
 }
 
 ORACLE = {
@@ -170,7 +196,10 @@ SELECT question_id, vec_id, round(score, 6) AS score, rank FROM (SELECT *, CAST(
   FROM benchmark LEFT JOIN pairs USING (item_id) GROUP BY 1)
 SELECT question_id, candidate_count, least(candidate_count, 8) AS returned_count, CAST(0.52 AS DOUBLE) AS lexical_weight,
   CAST(0.48 AS DOUBLE) AS dense_weight, CASE WHEN candidate_count = 0 THEN 'metadata_filter_returned_no_rows' END AS reason FROM counted""",
-    "retrieval_report": f"WITH {REPORT_SQL} SELECT * FROM report",
-    "retrieval_eval": f"WITH {REPORT_SQL} SELECT count(*) AS question_count, "
-                      + ", ".join(f"round(avg(CASE WHEN {f} THEN 1.0 ELSE 0.0 END), 6) AS {n}" for f, n in FLAGS.items()) + " FROM report",
+    "retrieval_report": f"WITH {report_sql()} SELECT * FROM report",
+    "retrieval_eval": f"WITH {report_sql()} {ROLL_UP_SQL}",
+    "index_search": f"""WITH {hybrid_sql(8, 1.0, 0.0).replace("CASE item_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' END AS lang", "NULL AS lang").replace(
+        "CASE item_id % 8 WHEN 2 THEN 'src' || (item_id % 20) WHEN 6 THEN 'nowhere' END AS source", "NULL AS source")}
+SELECT question_id, complaint_id, round(l, 6) AS lexical_score, round(h, 6) AS hybrid_score, rank, true AS dense_fits, true AS error_fits FROM top""",
+    "index_eval": f"WITH {report_sql(1.0, 0.0)} {ROLL_UP_SQL}",
 }
