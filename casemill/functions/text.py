@@ -24,8 +24,13 @@ def clean_text(col: Column) -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores if its source comes in few parts, such as a single small file; else as it is, so that texts are not shuffled."""
+    """``df`` over all cores if it is read from few parts, such as a single small file; else as it is, so that texts are not shuffled.
+
+    Only a plan without exchanges is asked for its parts, as others would run to answer.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().nodeName():
+        return df
     return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 

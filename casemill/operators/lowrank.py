@@ -15,7 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from casemill.session import scratch_path
 
 CELLS = 4_000_000  # floats a chunk may expand to inside a task
 BLOCK = 65_536  # floats per block of a partial sum
@@ -204,38 +206,74 @@ def initial_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, se
     return components
 
 
+@dataclass(frozen=True)
+class FactorSums:
+    """What components are updated from: weights times weights, documents times weights, and the documents' squared length. Sums of disjoint documents add up."""
+
+    gram: np.ndarray
+    products: np.ndarray
+    length: float
+
+    def __add__(self, other: FactorSums) -> FactorSums:
+        return FactorSums(self.gram + other.gram, self.products + other.products, self.length + other.length)
+
+    def __sub__(self, other: FactorSums) -> FactorSums:
+        return FactorSums(self.gram - other.gram, self.products - other.products, self.length - other.length)
+
+    def error(self, components: np.ndarray) -> float:
+        """Squared error of the documents, with the weights they had, under these components."""
+        return float(self.length - 2 * (self.products * components.T).sum() + (self.gram * (components @ components.T)).sum())
+
+    def updated(self, components: np.ndarray) -> np.ndarray:
+        """The components with the smallest error for these sums."""
+        return fit_weights(self.products, self.gram, components.T).T
+
+
+def factor_sums(vectors: DataFrame, components: np.ndarray) -> FactorSums:
+    """Sums of the documents, each with its best weights for the components: one pass, no stored state."""
+    k, n_terms = components.shape
+    shared = vectors.sparkSession.sparkContext.broadcast((np.ascontiguousarray(components.T), components @ components.T))
+
+    def add(rows: SparseRows, total: np.ndarray) -> None:
+        by_term, gram = shared.value
+        doc_weights = fit_weights(rows.times(by_term), gram)
+        rows.add_transposed(doc_weights, total[:n_terms])
+        total[n_terms:n_terms + k] += doc_weights.T @ doc_weights
+        total[n_terms + k, 0] += (rows.x ** 2).sum()
+
+    sums = sum_by_term(vectors, n_terms + k + 1, k, add)
+    shared.destroy()
+    return FactorSums(sums[n_terms:n_terms + k], sums[:n_terms], float(sums[n_terms + k, 0]))
+
+
 def nmf_components(vectors: DataFrame, n_terms: int, n_docs: int, k: int, max_iter: int = 400, tol: float = 1e-4,
-                   seed: int = 42) -> tuple[np.ndarray, list[float]]:
-    """Components (k x terms) of a non-negative factorisation and the squared error after every pass.
+                   seed: int = 42, batches: int = 4) -> tuple[np.ndarray, list[float], FactorSums]:
+    """Components (k x terms) of a non-negative factorisation, the squared error after every round, and the sums they follow from.
 
-    A pass solves the weights of every document exactly for the current components, which needs no stored state,
-    and returns the two sums the components are updated from. Stops when a pass improves the error by less than
-    ``tol`` of the first error.
+    Documents are dealt into batches by their content. A round visits the batches one after the other: a batch's sums for the current components take the place of
+    its earlier ones, and the components are updated at once, so a round moves them ``batches`` times for one reading of the documents. Neither step can raise the
+    error. Stops when a round improves it by less than ``tol`` of the first error.
     """
+    spark = vectors.sparkSession
+    path = scratch_path(spark, "factor_batches")
+    vectors.select("idx", "x", F.pmod(F.xxhash64("idx", "x"), F.lit(batches)).cast("int").alias("batch")).write.partitionBy("batch").parquet(path)
+    dealt = spark.read.parquet(path)
     components = initial_components(vectors, n_terms, n_docs, k, seed)
-    sc = vectors.sparkSession.sparkContext
+    known: dict[int, FactorSums] = {}
+    total = FactorSums(np.zeros((k, k)), np.zeros((n_terms, k)), 0.0)
     errors: list[float] = []
     for _ in range(max_iter):
-        gram = components @ components.T
-        shared = sc.broadcast((np.ascontiguousarray(components.T), gram))
-
-        def add(rows: SparseRows, total: np.ndarray) -> None:
-            by_term, products = shared.value
-            target = rows.times(by_term)
-            doc_weights = fit_weights(target, products)
-            rows.add_transposed(doc_weights, total[:n_terms])
-            total[n_terms:n_terms + k] += doc_weights.T @ doc_weights
-            total[n_terms + k, 0] += (rows.x ** 2).sum() - 2 * (doc_weights * target).sum() + ((doc_weights @ products) * doc_weights).sum()
-
-        sums = sum_by_term(vectors, n_terms + k + 1, k, add)
-        shared.unpersist()
-        errors.append(float(sums[n_terms + k, 0]))
+        for batch in range(batches):
+            new = factor_sums(dealt.where(F.col("batch") == batch), components)
+            total = total + new - known[batch] if batch in known else total + new
+            known[batch] = new
+            components = total.updated(components)
+        errors.append(total.error(components))
         if len(errors) > 1 and errors[-2] - errors[-1] < tol * errors[0]:
             break
         if len(errors) == max_iter:
-            warnings.warn(f"the factorisation still improved after {max_iter} passes", stacklevel=2)
-        components = fit_weights(sums[:n_terms], sums[n_terms:n_terms + k], components.T).T
-    return components, errors
+            warnings.warn(f"the factorisation still improved after {max_iter} rounds", stacklevel=2)
+    return components, errors, total
 
 
 def assign_components(vectors: DataFrame, key: str, components: np.ndarray) -> DataFrame:

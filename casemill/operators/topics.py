@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.operators import lowrank, tfidf
@@ -47,8 +50,11 @@ def topic_registry(assigned: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPICS, max_iter: int = 400,
-                    tol: float = 1e-4, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``(registry, assignments)`` of cleaned narratives; all documents are used. Without a term left all documents belong to the first of the topics, which have no terms."""
+                    tol: float = 1e-4, seed: int = 42, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(registry, assignments)`` of cleaned narratives; all documents are used. Without a term left all documents belong to the first of the topics, which have no terms.
+
+    With ``path`` the model is written there; :func:`open_topics` reads it, and :meth:`TopicModel.extended` adds documents to it.
+    """
     spark = docs.sparkSession
     n_docs = docs.count()
     key, text = "complaint_id", "clean_narrative"
@@ -59,10 +65,54 @@ def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPIC
         assigned = docs.select("complaint_id", "product", "company").withColumns({"topic_id": F.lit(0), "topic_score": F.lit(0.0)})
         return topic_registry(assigned, topic_terms(spark, [], np.zeros((n_topics, 0)))), assigned
     vectors = materialize(tfidf.doc_vectors(counts, vocab, key, spec), "topic_vectors")
-    components, _ = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
+    components, _, sums = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
+    assigned = assign(docs, vectors, components)
+    model = TopicModel(vocab, components, sums, spec)
+    if path is not None:
+        model.write(path)
+    return topic_registry(assigned, topic_terms(spark, terms, components)), assigned
+
+
+def assign(docs: DataFrame, vectors: DataFrame, components: np.ndarray) -> DataFrame:
+    """Documents with topic and score; one without any known term has weight 0 for every topic and falls to the first."""
     found = lowrank.assign_components(vectors, "complaint_id", components)
-    # A document without any known term has weight 0 for every topic and falls to the first.
-    assigned = materialize(docs.select("complaint_id", "product", "company").join(found, "complaint_id", "left").withColumns({
+    return materialize(docs.select("complaint_id", "product", "company").join(found, "complaint_id", "left").withColumns({
         "topic_id": F.coalesce("topic_id", F.lit(0)), "topic_score": F.coalesce("topic_score", F.lit(0.0)),
     }), "topic_assignments")
-    return topic_registry(assigned, topic_terms(spark, terms, components)), assigned
+
+
+@dataclass(frozen=True)
+class TopicModel:
+    """Vocabulary, components, and the sums that the components follow from, to which those of new documents can be added."""
+
+    vocab: DataFrame
+    components: np.ndarray
+    sums: lowrank.FactorSums
+    spec: TfidfSpec
+
+    def extended(self, docs: DataFrame, rounds: int = 3) -> tuple[TopicModel, DataFrame]:
+        """The model after new documents, and their assignments. The documents of before are not read: their sums stay as they were."""
+        key, text = "complaint_id", "clean_narrative"
+        vectors = materialize(tfidf.doc_vectors(tfidf.count_terms(docs, key, text, self.spec), self.vocab, key, self.spec), "topic_vectors")
+        components, total = self.components, self.sums
+        for _ in range(rounds):
+            total = self.sums + lowrank.factor_sums(vectors, components)
+            components = total.updated(components)
+        return TopicModel(self.vocab, components, total, self.spec), assign(docs, vectors, components)
+
+    def write(self, path: str) -> None:
+        """A row per term, and one with the small sums."""
+        spark = self.vocab.sparkSession
+        rows = pa.table({"idx": pa.array(np.arange(self.components.shape[1], dtype=np.int32)), "weights": pa.array(list(self.components.T)), "products": pa.array(list(self.sums.products))})
+        self.vocab.join(spark.createDataFrame(rows), "idx").write.mode("overwrite").parquet(f"{path}/terms")
+        spark.createDataFrame([(self.sums.gram.ravel().tolist(), self.sums.length)], "gram array<double>, length double").write.mode("overwrite").parquet(f"{path}/sums")
+
+
+def open_topics(spark, path: str, spec: TfidfSpec = TOPICS) -> TopicModel:
+    """Model from its tables; terms are limited by ``max_features``."""
+    terms = spark.read.parquet(f"{path}/terms")
+    rows = terms.orderBy("idx").select("weights", "products").toArrow()
+    weights, products = (c.combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1) for c in rows.columns)
+    sums = spark.read.parquet(f"{path}/sums").first()
+    k = weights.shape[1]
+    return TopicModel(terms.drop("weights", "products"), weights.T.copy(), lowrank.FactorSums(np.array(sums["gram"]).reshape(k, k), products, sums["length"]), spec)

@@ -361,7 +361,10 @@ def test_low_rank_models_match_numpy(spark):
     exact = lowrank.right_singular(vectors, n_terms, 5, passes=25)
     assert np.allclose(exact.values, expected[:5], rtol=1e-4) and exact.residual <= shipped.residual + 1e-12
     assert np.allclose(np.abs((rows[:2] * exact.vectors.T[:2]).sum(axis=1)), 1, atol=1e-3)
-    components, errors = lowrank.nmf_components(vectors, n_terms, 40, 4, max_iter=6, tol=0)
+    components, errors, sums = lowrank.nmf_components(vectors, n_terms, 40, 4, max_iter=6, tol=0)
+    assert sums.error(components) == pytest.approx(errors[-1]) and sums.length == pytest.approx((matrix ** 2).sum())
+    best = lowrank.fit_weights(matrix @ components.T, components @ components.T)
+    assert ((matrix - best @ components) ** 2).sum() <= errors[-1] + 1e-9  # weights of the last components can only be better
     assert (components >= 0).all() and all(b <= a + 1e-9 for a, b in zip(errors, errors[1:]))
     # No factorisation of the rank beats the singular values.
     assert errors[-1] >= (expected[4:] ** 2).sum() - 1e-9
@@ -591,6 +594,21 @@ def test_topics(spark):
     assert assigned.count() == 40 and sum(column(registry, "volume")) == 40 and len(registry.first().top_terms.split(", ")) == 12
 
 
+def test_topics_go_on_with_new_documents(spark, tmp_path):
+    spec = tfidf.TfidfSpec(500, 1)
+    rng = np.random.default_rng(9)
+    groups = [[f"g{g}w{i}" for i in range(6)] for g in range(3)]
+    rows = [(i, " ".join(rng.choice(groups[i % 3], size=10)), "A", "c") for i in range(120)]
+    docs = spark.createDataFrame(rows, "complaint_id long, clean_narrative string, product string, company string")
+    _, assigned = topics.discover_topics(docs.where("complaint_id < 90"), n_topics=3, spec=spec, path=str(tmp_path / "topics"))
+    of = {r.complaint_id: r.topic_id for r in assigned.collect()}
+    assert len({of[g] for g in range(3)}) == 3 and all(of[i] == of[i % 3] for i in of)
+    model = topics.open_topics(spark, str(tmp_path / "topics"), spec)
+    more, found = model.extended(docs.where("complaint_id >= 90"))
+    assert {r.complaint_id: r.topic_id for r in found.collect()} == {i: of[i % 3] for i in range(90, 120)}
+    assert more.sums.length == pytest.approx(120) and more.sums.error(more.components) <= more.sums.error(model.components) + 1e-9
+
+
 def test_abstain_and_roll_up(spark):
     asked = spark.createDataFrame([(1, [], "abstain"), (2, ["t"], "retrieve"), (3, [], "abstain")], "question_id long, expected_terms array<string>, expected_behavior string") \
         .withColumns({f"expected_{f}": F.lit(None).cast("string") for f in ("product", "issue", "company")})
