@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import strip, to_long, to_timestamp
 from casemill.session import materialize
+from casemill.sources import records
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
 STORE_PARTITION = "received_month"
@@ -49,14 +50,12 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 def read_bulk_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Normalised rows of the extracted bulk CSV.
 
-    Narratives may contain line breaks, so a file is one split by default; land the extract as many files. With
-    ``multi_line=False`` Spark also splits inside a file.
+    Narratives may contain line breaks; :func:`~casemill.sources.records.read_csv` still reads one large file in many tasks. With
+    ``multi_line=False`` every line is a record, which saves the count of quotes.
     """
-    raw = (
-        spark.read.option("header", True).option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"').csv(path)
-    )
-    return normalize_columns(raw)
+    if multi_line:
+        return normalize_columns(records.read_csv(spark, path))
+    return normalize_columns(spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path))
 
 
 _API_FIELDS = {name: API_FIELD_RENAMES.get(name, name) for name in COMPLAINT_COLUMNS.values()}

@@ -1,5 +1,6 @@
 """Small fixtures: nulls, ties, gaps, hot keys, and results checked against brute force."""
 
+import csv
 import datetime as dt
 import math
 from difflib import SequenceMatcher
@@ -16,7 +17,7 @@ from casemill.operators import (
     anomaly, answers, benchmark, classification, entities, evaluation, hybrid, lowrank, macro_context, metrics, opportunities, quality, quantiles,
     router, scale, search, tfidf, topics, value,
 )
-from casemill.sources import artifacts, complaints, entity_seed, facts, macro, questions, wages
+from casemill.sources import artifacts, complaints, entity_seed, facts, macro, questions, records, wages
 
 
 def column(df, name):
@@ -44,6 +45,32 @@ def test_coercion(spark):
     assert list(row) == [12, None, 12, None, None, dt.datetime(2024, 1, 31), "a b", 48880.0, None, None]
 
 
+@pytest.mark.parametrize("split, batch", [("64m", 10_000), ("300b", 10_000), ("97b", 3), ("2k", 2)])
+def test_records_over_splits(spark, tmp_path, split, batch):
+    """Line breaks, quotes and separators inside quotes, whatever the splits and batches; two files with different line ends."""
+    draw = np.random.default_rng(5)
+    want = []
+    for name, ending in (("a", "\n"), ("b", "\r\n")):
+        with open(tmp_path / f"{name}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator=ending)
+            writer.writerow(["a", "b c", "d"])
+            for i in range(40):
+                row = [f"{name}{i}", "".join(draw.choice(list('xy",\n é'), draw.integers(60))), str(draw.choice(["", "z", '"', "q\n\n\nr" * 12]))]
+                writer.writerow(row)
+                want.append(tuple(x or None for x in row))
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1b", "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = records.read_csv(spark, str(tmp_path))
+        assert found.columns == ["a", "b c", "d"]
+        assert sorted((tuple(x or None for x in r) for r in found.collect()), key=repr) == sorted(want, key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_normalize_partial_columns(spark):
     raw = spark.createDataFrame([("2024-01-05", "\tMortgage ", "abc")], "`Date received` string, Product string, `Complaint ID` string")
     out = complaints.normalize_columns(raw)
