@@ -11,7 +11,7 @@ from __future__ import annotations
 import operator
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,33 +35,41 @@ QUESTION_FIELDS = [*EQUALITY_FIELDS, "date_start", "date_end"]
 
 @dataclass
 class Questions:
-    """A batch of questions as arrays: term columns, lexical and dense matrix, and for each question the number of its filters."""
+    """Questions as arrays: term numbers and weights of each, the dense matrix, and for each question the number of its filters."""
 
     ids: list
-    terms: np.ndarray
-    lexical: np.ndarray
+    numbers: list[np.ndarray]
+    weights: list[np.ndarray]
     dense: np.ndarray
     group: np.ndarray
 
     @staticmethod
     def of(rows: Sequence[Row]) -> tuple[Questions, list[dict]]:
-        terms = np.unique(np.concatenate([np.asarray(r["idx"] or [], dtype=np.int64) for r in rows]))
         width = max((len(r["dense"]) for r in rows if r["dense"]), default=0)
-        lexical, dense = np.zeros((len(terms), len(rows))), np.zeros((width, len(rows)))
+        dense = np.zeros((width, len(rows)))
         for j, r in enumerate(rows):
-            lexical[np.searchsorted(terms, r["idx"] or []), j] = r["x"] or []
             if r["dense"]:
                 dense[:, j] = r["dense"]
         wanted = [{f: r[f] for f in QUESTION_FIELDS if r[f]} for r in rows]
         filters = [dict(items) for items in sorted({tuple(sorted(w.items())) for w in wanted})]
         group = np.array([filters.index(w) for w in wanted], dtype=np.int64)
-        return Questions([r["question"] for r in rows], terms, lexical, dense, group), filters
+        lists = ([np.asarray(r[c] or [], dtype=kind) for r in rows] for c, kind in (("idx", np.int64), ("x", float)))
+        return Questions([r["question"] for r in rows], *lists, dense, group), filters
+
+    @cached_property
+    def matrix(self) -> tuple[np.ndarray, np.ndarray]:
+        """The terms in use, and their weights as a (terms x questions) matrix; made for a batch of questions in a task."""
+        terms = np.unique(np.concatenate([np.zeros(0, np.int64), *self.numbers]))
+        lexical = np.zeros((len(terms), len(self.ids)))
+        for j, (numbers, weights) in enumerate(zip(self.numbers, self.weights)):
+            lexical[np.searchsorted(terms, numbers), j] = weights
+        return terms, lexical
 
     def parts(self) -> Iterator[tuple[int, Questions]]:
         """(first position, questions) in batches."""
         for first in range(0, len(self.ids), BATCH):
             some = slice(first, first + BATCH)
-            yield first, Questions(self.ids[some], self.terms, self.lexical[:, some], self.dense[:, some], self.group[some])
+            yield first, Questions(self.ids[some], self.numbers[some], self.weights[some], self.dense[:, some], self.group[some])
 
     def candidates(self, batch: pa.RecordBatch) -> np.ndarray:
         """Rows x questions: whether the document passes the question's filters."""
@@ -75,14 +83,15 @@ class Questions:
         idx, x = column.flatten().to_numpy(), batch.column("x").flatten().to_numpy()
         row = np.repeat(np.arange(batch.num_rows), lengths)
         lexical = np.zeros((batch.num_rows, len(self.ids)))
-        if len(self.terms):
-            at = np.minimum(np.searchsorted(self.terms, idx), len(self.terms) - 1)
-            known = np.flatnonzero(self.terms[at] == idx)
+        terms, weights = self.matrix
+        if len(terms):
+            at = np.minimum(np.searchsorted(terms, idx), len(terms) - 1)
+            known = np.flatnonzero(terms[at] == idx)
             step = max(lowrank.CELLS // len(self.ids), 1)
             for begin in range(0, len(known), step):
                 use = known[begin:begin + step]
                 rows, first = np.unique(row[use], return_index=True)
-                lexical[rows] += np.add.reduceat(self.lexical[at[use]] * x[use][:, None], first, axis=0)
+                lexical[rows] += np.add.reduceat(weights[at[use]] * x[use][:, None], first, axis=0)
         dense = np.full((batch.num_rows, len(self.ids)), np.nan)
         column = batch.column("dense")
         valid = pc.is_valid(column).to_numpy(zero_copy_only=False)
@@ -156,9 +165,9 @@ def _band(shared, key: str, kind: pa.DataType):
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields, k, lexical_weight, dense_weight = shared.value
         asked = Questions(**fields)
-        band = Band(len(asked.ids), k, lexical_weight, dense_weight)
+        band, parts = Band(len(asked.ids), k, lexical_weight, dense_weight), list(asked.parts())
         for batch in batches:
-            for first, some in asked.parts():
+            for first, some in parts:
                 band.add(first, some.candidates(batch), *some.scores(batch), batch.column(key))
         n = len(asked.ids)
         names = ["position", key, "lexical_score", "dense_score", "n", "lexical_low", "lexical_high", "dense_low", "dense_high"]
