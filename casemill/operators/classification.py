@@ -47,7 +47,7 @@ def summary_report(predictions: DataFrame, label: str = "label", prediction: str
 def eligible_classes(df: DataFrame, label: str, min_class: int = 50) -> DataFrame:
     """Rows whose class has at least ``min_class`` rows."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return df.join(counts.filter(F.col("n") >= min_class).select(label), label, "left_semi")
+    return df.join(F.broadcast(counts.filter(F.col("n") >= min_class).select(label)), label, "left_semi")  # a row per class; the rows stay where they are
 
 
 def majority_class(train: DataFrame, label: str = "label") -> DataFrame:
@@ -85,5 +85,6 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     last = hashed.join(cut, [label, "bucket"]).withColumn("place", place).filter(F.col("place") == F.col("from_bucket")) \
         .select(label, F.col("h").alias("last_h"), F.col(key).alias("last_key"))
     inside = F.struct(F.col("h"), F.col(key)) <= F.struct(F.col("last_h"), F.col("last_key"))
-    flagged = with_hash(df).join(last, label, "left").withColumn("is_test", F.col("last_h").isNotNull() & inside)
+    # A threshold per class is broadcast: a join on the class would send all rows of a class to one task.
+    flagged = with_hash(df).join(F.broadcast(last), label, "left").withColumn("is_test", F.col("last_h").isNotNull() & inside)
     return flagged.select(*df.columns, "is_test")
