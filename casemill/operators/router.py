@@ -45,16 +45,15 @@ class Router:
         def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms, idf, coefficients, classes = shared.value
             count, weigh, names = tfidf.TermCounter(stop_words), tfidf.Weigher(terms, idf, sublinear), pa.array(classes, pa.string())
-            for batch in batches:
-                for first in range(0, batch.num_rows, 500):
-                    part = batch.slice(first, 500)
-                    offsets, idx, x = weigh(*count(part.column(part.num_columns - 1)))
-                    scores = np.tile(coefficients[-1], (part.num_rows, 1))
-                    full = np.flatnonzero(np.diff(offsets))
-                    if full.size:
-                        scores[full] += np.add.reduceat(coefficients[idx] * x[:, None], offsets[full], axis=0)
-                    best = names.take(pa.array(scores.argmax(axis=1)))
-                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], best], names=[*kept, "prediction"])
+            for part in tfidf.sliced(batches):
+                counts = pa.RecordBatch.from_arrays([*count(part.column(part.num_columns - 1))], names=["terms", "tf"])
+                offsets, idx, x = weigh(*tfidf.counted(counts))
+                scores = np.tile(coefficients[-1], (part.num_rows, 1))
+                full = np.flatnonzero(np.diff(offsets))
+                if full.size:
+                    scores[full] += np.add.reduceat(coefficients[idx] * x[:, None], offsets[full], axis=0)
+                best = names.take(pa.array(scores.argmax(axis=1)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], best], names=[*kept, "prediction"])
 
         rows = docs.select(*kept, F.lower(text).alias("lowered"))
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "lowered")

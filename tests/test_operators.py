@@ -692,3 +692,48 @@ def test_opportunities(spark):
     rows = opportunities.derive_opportunities(spark.createDataFrame(pairs, "product string, issue string")).orderBy(F.desc("supporting_data")).collect()
     assert [(r.opportunity_name, r.supporting_data) for r in rows] == [
         ("Root-cause detection", 6), ("Operational intelligence workbench", 4), ("Agent-assist retrieval", 2)]
+
+
+def test_terms_travel_as_one_value_per_document(spark, monkeypatch):
+    import re
+    from collections import Counter, defaultdict
+
+    import numpy as np
+
+    monkeypatch.setattr(tfidf, "PART_TERMS", 50)
+    monkeypatch.setattr(tfidf, "HELD_TERMS", 40)
+    monkeypatch.setattr(tfidf, "HEAD_TERMS", 6)
+    draw = np.random.default_rng(4)
+    names = [f"w{i}é" for i in range(40)] + ["the", "of"]
+    texts = [" ".join(names[i] for i in (42 * draw.random(n) ** 2).astype(int)) for n in draw.integers(0, 30, 80)] + [None, "", "x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").repartition(3)
+    spec = tfidf.TfidfSpec(max_features=None, min_df=2, stop_words=("the", "of"))
+    counts = tfidf.count_terms(docs, "id", "text", spec)
+    assert [f.dataType.simpleString() for f in counts.schema] == ["bigint", "string", "binary"]
+    df, cf, want = Counter(), Counter(), {}
+    for i, text in enumerate(texts):
+        words = [w for w in re.findall(r"\w\w+", text or "") if w not in spec.stop_words]
+        want[i] = Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+        df.update(want[i].keys())
+        cf.update(want[i])
+    have = defaultdict(Counter)
+    for r in tfidf.occurrences(counts, "id").collect():
+        have[r["id"]][r["term"]] += r["tf"]
+    assert have == {i: c for i, c in want.items() if c}
+    assert tfidf.parts_of(counts) > 3
+    vocab = tfidf.vocabulary(counts, spec).cache()
+    known = {r["term"]: (r["df"], r["cf"], r["idf"]) for r in vocab.collect()}
+    assert {t: v[:2] for t, v in known.items()} == {t: (n, cf[t]) for t, n in df.items() if n >= 2}
+    lengths = {r["id"]: r["norm"] for r in tfidf.norms(counts, vocab, "id", spec).collect()}
+    squares = {i: sum((n * known[t][2]) ** 2 for t, n in c.items() if t in known) for i, c in want.items()}
+    assert lengths == pytest.approx({i: s ** 0.5 for i, s in squares.items() if s})
+
+
+def test_split_leaves_rows_where_they_are(spark):
+    from casemill.operators import classification
+
+    rows = spark.range(400).selectExpr("id AS key", "concat('c', id % 2) AS label", "repeat('x', 5) AS text").repartition(4)
+    split = classification.stratified_split(classification.eligible_classes(rows, "label", 10), "label", "key")
+    assert split.where("is_test").count() == 100
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan.split("Join LeftOuter", 1)[1].split("\n", 1)[0]
