@@ -31,7 +31,9 @@ WIDTH = 64
 WINDOW = 2
 HIDDEN = 32
 FORM = 9
-BATCH_CHARS = 500_000
+BATCH_CHARS = 250_000
+REDUCE = np.int32  # sums of a few thousand small numbers
+CONTEXT_WORDS = 8_192  # words whose contexts are held at a time
 
 
 class Tokens:
@@ -45,11 +47,15 @@ class Tokens:
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first text, number of texts, word hashes, their texts, form) of consecutive texts."""
+        for first, b, hashes, of, lengths in self.hashed(texts):
+            yield first, b.count, hashes, of, self.form(b, hashes, of, lengths)
+
+    def hashed(self, texts: list[str]) -> Iterator[tuple[int, words.Batch, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first text, batch, word hashes, their texts, word lengths) of consecutive texts, without their form."""
         for first, b in words.batches(texts, self.classes, BATCH_CHARS):
             starts, ends = pretoken_spans(b)
             hashes = self.hash(b.points, starts, ends) if starts.size else np.zeros(0, np.uint64)
-            of = b.text_of(starts)
-            yield first, b.count, hashes, of, self.form(b, hashes, of, ends - starts)
+            yield first, b, hashes, b.text_of(starts), ends - starts
 
     def form(self, b: words.Batch, hashes: np.ndarray, of: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         n = np.bincount(of, minlength=b.count)
@@ -108,25 +114,35 @@ def features(tokens: Tokens, vectors: np.ndarray, texts: list[str]) -> np.ndarra
         pooled = np.zeros((n, WIDTH), np.float32)
         if of.size:
             heads = np.flatnonzero(np.diff(of, prepend=-1))
-            pooled[of[heads]] = np.add.reduceat(vectors[buckets(hashes)], heads, axis=0) / np.diff(np.append(heads, of.size))[:, None]
+            ends, at, first = np.append(heads[1:], of.size), buckets(hashes), 0
+            while first < heads.size:  # texts of a few thousand words at a time
+                last = max(first + 1, int(np.searchsorted(ends, heads[first] + CONTEXT_WORDS, side="right")))
+                some, begin = slice(first, last), heads[first]
+                pooled[of[heads[some]]] = np.add.reduceat(vectors[at[begin : ends[last - 1]]], heads[some] - begin, axis=0) / (ends[some] - heads[some])[:, None]
+                first = last
         parts.append(np.hstack([pooled, form]))
     return np.concatenate(parts)
 
 
 def add_contexts(total: np.ndarray, index: np.ndarray, tokens: Tokens, texts: list[str]) -> None:
     """Add the random vectors around every word of the texts to its bucket's row. All numbers are whole, so sums are exact in any order."""
-    for _, _, hashes, of, _ in tokens(texts):
+    for _, _, hashes, of, _ in tokens.hashed(texts):
         if not of.size:
             continue
-        at = buckets(hashes)
-        around = np.zeros((at.size, WIDTH), np.float32)
-        for step in range(1, WINDOW + 1):
-            near = of[step:] == of[:-step]
-            around[:-step] += index[np.where(near, at[step:], BUCKETS)]
-            around[step:] += index[np.where(near, at[:-step], BUCKETS)]
-        order = np.argsort(at, kind="stable")
-        heads = np.flatnonzero(np.diff(at[order], prepend=-1))
-        total[at[order[heads]]] += np.add.reduceat(around[order], heads, axis=0).astype(np.int64)
+        # Texts lie one after the other with places without a word around them, so windows need no other care.
+        own = np.arange(of.size) + WINDOW * (1 + np.cumsum(np.diff(of, prepend=of[0]) > 0))
+        at = np.full(own[-1] + 1 + WINDOW, BUCKETS)
+        at[own] = buckets(hashes)
+        for first in range(0, of.size, CONTEXT_WORDS):
+            here = own[first : first + CONTEXT_WORDS]
+            begin = here[0] - WINDOW
+            rows = index[at[begin : here[-1] + WINDOW + 1]]
+            n = len(rows) - 2 * WINDOW
+            around = sum((rows[k : k + n] for k in range(2 * WINDOW + 1) if k not in (0, WINDOW)), rows[:n])
+            word = at[here]
+            order = np.argsort(word.astype(np.uint16), kind="stable")
+            heads = np.flatnonzero(np.diff(word[order], prepend=-1))
+            total[word[order[heads]]] += np.add.reduceat(around[(here - here[0])[order]], heads, axis=0, dtype=REDUCE)
 
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -134,7 +150,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     names = [f"c{k}" for k in range(WIDTH)]
 
     def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = np.vstack([index_vectors(), np.zeros((1, WIDTH), np.float32)])  # the last row stands for "no word"
+        index = np.vstack([index_vectors(), np.zeros((1, WIDTH), np.float32)]).astype(np.int8)  # a window's sum has at most 16; the last row stands for "no word"
         tokens, total = Tokens(), np.zeros((BUCKETS, WIDTH), np.int64)
         for part in parts:
             for first in range(0, part.num_rows, ROWS):

@@ -701,3 +701,25 @@ def test_word_vectors_of_all_documents(spark):
                     want[at[i]] += index[at[j]]
     want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
     assert np.allclose(got, want, atol=1e-6)
+
+
+def test_contexts_are_whole_numbers_around_every_word():
+    from casemill.llm import quality
+
+    rng = np.random.default_rng(6)
+    names = [f"word{i}" for i in range(50)]
+    texts = [" ".join(names[i] for i in rng.integers(0, 50, n)) for n in (0, 1, 2, 3, 30, 0, 400, 1)]
+    index = np.vstack([quality.index_vectors(), np.zeros((1, quality.WIDTH), np.float32)]).astype(np.int8)
+    tokens, total, want = quality.Tokens(), np.zeros((2, quality.BUCKETS, quality.WIDTH), np.int64), np.zeros((quality.BUCKETS, quality.WIDTH), np.int64)
+    for text in texts:
+        at = np.concatenate([quality.buckets(h) for _, _, h, _, _ in tokens([text])])
+        for i, word in enumerate(at):
+            for j in range(max(0, i - quality.WINDOW), min(len(at), i + quality.WINDOW + 1)):
+                want[word] += index[at[j]] if j != i else 0
+    quality.add_contexts(total[0], index, tokens, texts)
+    size, quality.CONTEXT_WORDS = quality.CONTEXT_WORDS, 7
+    try:
+        quality.add_contexts(total[1], index, tokens, texts)
+    finally:
+        quality.CONTEXT_WORDS = size
+    assert want.any() and (total == want).all()
