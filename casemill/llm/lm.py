@@ -38,7 +38,7 @@ HEAD_WORDS, HEAD_BYTES = 65_536, 64  # words that are broadcast with their count
 PROBES, BITS_PER_ENTRY = 6, 10.0  # an entry's six bits lie in one word of 64; a probe of an absent entry succeeds about once in 60 times
 PART_TOKENS, PART_WORDS = 1_000_000, 500_000  # tokens and words behind a segment
 HOT_WORDS, HOT_SHARE = 1 << 20, 8  # most words whose pairs are spread over all segments, and the share of a segment from which they are
-PENDING_TOKENS, SLICE_BYTES = 1_000_000, 1_000_000
+PENDING_TOKENS, SLICE_BYTES = 400_000, 400_000
 KNOWN_WORDS = 400_000  # words whose counts a task remembers
 FILTER_BYTES = 256 << 20
 END = np.uint64(0x6A09E667F3BCC908)  # the end token's key
@@ -202,7 +202,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
                 pending.append(pa.table({"word": coded.dictionary, "n": n.astype(np.int64)}))
                 size += n.size
-                if size > PENDING_TOKENS // 4:
+                if size > PENDING_TOKENS // 2:
                     yield from merged()
                     pending, size = [], 0
         if pending:
@@ -246,7 +246,9 @@ def pair_segments(docs: DataFrame, parts: int, word_parts: int, hot: np.ndarray)
         pending, size = [], 0
 
         def merged() -> Iterator[pa.RecordBatch]:
-            keys, counts = summed(*(np.concatenate([p[i] for p in pending]) for i in (0, 1)))
+            keys, counts = (np.concatenate([p[i] for p in pending]) for i in (0, 1))
+            pending.clear()
+            keys, counts = summed(keys, counts)
             yield from dealt(keys, counts, pair_part(keys, parts, hot), parts)
 
         for whole in batches:
@@ -361,6 +363,7 @@ def score_texts(docs: DataFrame, shared) -> DataFrame:
                         some = slice(first, first + 20_000)
                         yield table_of(part.take(pa.array(row[some])), {}, tokens.words.take(pa.array(code[some])).cast(pa.string()), tf[some])
                 yield table_of(part, columns, pa.nulls(rows, pa.string()), np.zeros(rows, np.int64))
+            pa.default_memory_pool().release_unused()
 
     def table_of(part: pa.RecordBatch, columns: dict, word: pa.Array, tf: np.ndarray) -> pa.RecordBatch:
         kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
