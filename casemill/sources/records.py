@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from casemill.session import materialize
 
-PLACE = "file string, block long, part int"
+FRAGMENT = "split bigint, part int, begins boolean, ends boolean, header boolean, value string"
 
 
 def lines_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -27,28 +27,29 @@ def lines_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def splits(lines: DataFrame) -> DataFrame:
-    """``(file, block, inside)``: whether a split begins inside quotes."""
+    """``(split, file, block, inside, cut)``: a number for every split, whether it begins inside quotes, and whether a record of it goes on in another split."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     counted = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
-    return counted.select("file", "block", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
+    upto = F.coalesce(F.sum("quotes").over(Window.partitionBy("file").orderBy("block")), F.lit(0))  # one row per split
+    inside = (upto - F.col("quotes")) % 2 == 1
+    return counted.select(F.monotonically_increasing_id().alias("split"), "file", "block", inside.alias("inside"), (inside | (upto % 2 == 1)).alias("cut"))
 
 
-def fragments(lines: DataFrame, inside: DataFrame) -> DataFrame:
-    """``(file, block, part, begins, ends, value)``: records of every split in order, whole or the parts of one that lie in the split."""
-    def assembled(file: str, block: int, open_: bool, values: pa.Array) -> pa.RecordBatch:
+def fragments(lines: DataFrame, places: DataFrame, heads: bool = False) -> DataFrame:
+    """``(split, part, begins, ends, header, value)``: records of the given splits in order, whole or the parts of one that lie in the split; with ``heads`` the first of
+    each split only. Of a line only the number of its split goes along, and records are joined a batch at a time."""
+    def assembled(split: int, open_: bool, first: bool, part: int, values: pa.Array) -> pa.RecordBatch:
         odd = pc.count_substring(values, '"').to_numpy(zero_copy_only=False) % 2
         after = (np.cumsum(odd) + open_) % 2  # whether quotes are open behind each line
         last = np.flatnonzero(after == 0)
         ends = np.append(last, len(values) - 1) if not last.size or last[-1] != len(values) - 1 else last
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        texts = values.to_pylist()
         n = ends.size
-        begins = np.ones(n, bool)
-        begins[0] = not open_
+        begins, header = np.ones(n, bool), np.zeros(n, bool)
+        begins[0], header[0] = not open_, first and not part
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, ends + 1).astype(np.int32)), values), "\n")
         return pa.RecordBatch.from_arrays(
-            [pa.array([file] * n), pa.array([block] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array(begins), pa.array(after[ends] == 0),
-             pa.array(["\n".join(texts[a:b + 1]) for a, b in zip(starts.tolist(), ends.tolist())])], names=["file", "block", "part", "begins", "ends", "value"])
+            [pa.array(np.full(n, split)), pa.array(np.arange(part, part + n, dtype=np.int32)), pa.array(begins), pa.array(after[ends] == 0), pa.array(header), joined],
+            names=["split", "part", "begins", "ends", "header", "value"])
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, held, part = None, [], 0
@@ -56,60 +57,80 @@ def fragments(lines: DataFrame, inside: DataFrame) -> DataFrame:
         def flush(last: bool) -> Iterator[pa.RecordBatch]:
             """Records of the split so far; the one that is still open waits for its next lines."""
             nonlocal held, part, place
-            file, block, open_ = place
+            split, open_, first = place
             values = pa.concat_arrays(held)
-            found = assembled(file, block, open_, values)
-            keep = found.num_rows if last or found.column(4)[found.num_rows - 1].as_py() else found.num_rows - 1
+            found = assembled(split, open_, first, part, values)
+            keep = found.num_rows if last or found.column(3)[found.num_rows - 1].as_py() else found.num_rows - 1
             if keep:
-                out = found.slice(0, keep)
-                numbers = pa.array(np.arange(part, part + keep, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([*out.columns[:2], numbers, *out.columns[3:]], names=out.schema.names)
+                yield found.slice(0, min(keep, 1) if heads else keep)
                 part += keep
-                place = (file, block, False)
+                place = (split, False, first)
             used = len(values) if keep == found.num_rows else len(values) - found.column(5)[keep].as_py().count("\n") - 1
             held = [values.slice(used)] if used < len(values) else []
 
         for batch in batches:
-            first = 0
-            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
-            while first < batch.num_rows:
-                end = first
-                while end < batch.num_rows and keys[end] == keys[first]:
-                    end += 1
-                if place is not None and place[:2] != keys[first]:
+            numbers = batch.column(1).to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(numbers)) + 1, [batch.num_rows]]).tolist() if batch.num_rows else [0]
+            for first, end in zip(cuts, cuts[1:]):
+                if place is not None and place[0] != numbers[first]:
                     if held:
                         yield from flush(True)
                     place = None
                 if place is None:
-                    place, held, part = (*keys[first], batch.column(3)[first].as_py()), [], 0
+                    place, held, part = (int(numbers[first]), batch.column(2)[first].as_py(), batch.column(3)[first].as_py()), [], 0
+                if heads and part:
+                    continue
                 held.append(batch.column(0).slice(first, end - first))
                 yield from flush(False)
-                first = end
+                if heads and part:
+                    held = []
         if place is not None and held:
             yield from flush(True)
 
-    # One row per split: Spark broadcasts it as long as it is small.
-    marked = lines.join(inside, ["file", "block"]).select("value", "file", "block", "inside")
-    return marked.mapInArrow(body, f"{PLACE}, begins boolean, ends boolean, value string")
+    # One row per split.
+    marked = lines.join(F.broadcast(places), ["file", "block"]).select("value", "split", "inside", (F.col("block") == 0).alias("first"))
+    return marked.mapInArrow(body, FRAGMENT)
 
 
-def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(value, header)``: one row per record, without its line end; ``header`` marks the first one of a file. Blank records are left out."""
-    lines = lines_of(spark, path)
-    found = fragments(lines, F.broadcast(materialize(splits(lines), "splits")))
-    whole = found.where("begins AND ends").select("value", ((F.col("block") == 0) & (F.col("part") == 0)).alias("header"))
-    pieces = found.where("NOT (begins AND ends)")
+def cleaned(rows: DataFrame) -> DataFrame:
+    """Records without their line end; blank ones are left out. The pattern runs only where a carriage return is near the end."""
+    ended = F.when(F.right("value", F.lit(2)).contains("\r"), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
+    return rows.withColumn("value", ended).where("value <> ''")
+
+
+def joined_pieces(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """``(value, header)`` of the records that lie in several splits, or that nothing ends."""
+    pieces = fragments(lines, places.where("cut")).where("NOT (begins AND ends)").join(F.broadcast(places.select("split", "file", "block")), "split")
     number = F.sum(F.col("begins").cast("int")).over(Window.partitionBy("file").orderBy("block", "part"))  # at most two rows per split
-    joined = pieces.withColumn("record", number).groupBy("file", "record").agg(
+    return pieces.withColumn("record", number).groupBy("file", "record").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "part", "value"))), lambda p: p["value"]), "\n").alias("value"),
-        F.min(F.struct("block", "part")).alias("first")).select("value", ((F.col("first.block") == 0) & (F.col("first.part") == 0)).alias("header"))
-    return whole.unionByName(joined).withColumn("value", F.regexp_replace("value", "\r$", "")).where("value <> ''")
+        F.bool_or("header").alias("header")).select("value", "header")
+
+
+def of_places(lines: DataFrame, places: DataFrame) -> DataFrame:
+    whole = fragments(lines, places).where("begins AND ends").select("value", "header")
+    cut = places.where("cut").limit(1).count()
+    return cleaned(whole.unionByName(joined_pieces(lines, places)) if cut else whole)
+
+
+def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(value, header)``: one row per record, without its line end; ``header`` marks the first one of a file. Blank records are left out.
+
+    Tasks read every line once more for the records that lie in several splits, and only in splits that have some.
+    """
+    lines = lines_of(spark, path)
+    return of_places(lines, materialize(splits(lines), "splits"))
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text, named by the header of the first file; other files' headers are skipped."""
-    rows = records(spark, path)
-    header = rows.where("header").select(F.min("value")).first()[0]
+    lines = lines_of(spark, path)
+    places = materialize(splits(lines), "splits")
+    rows = of_places(lines, places)
+    heads = materialize(fragments(lines.where("block = 0"), places.where("block = 0"), heads=True), "headers")  # one row per file
+    # A header that lies in several splits is found among all records.
+    found = rows.where("header") if heads.where("NOT ends").limit(1).count() else cleaned(heads.where("header"))
+    header = found.select(F.min("value")).first()[0]
     if header is None:
         return spark.createDataFrame([], "value string").drop("value")
     names = next(csv.reader([header.lstrip("\ufeff")]))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.functions.columns import clean_number, strip, to_long, to_timestamp
+from casemill.functions.columns import SPACES, WIDE_SPACES, clean_number, strip, to_long, to_timestamp
 from casemill.functions.filters import CaseFilters, apply_filters
 from casemill.functions.text import clean_text, narratives, normalize_company_name
 from casemill.operators import (
@@ -71,6 +71,20 @@ def test_records_over_splits(spark, tmp_path, split, batch):
             spark.conf.set(k, v)
 
 
+def test_records_are_put_together_once(spark, tmp_path):
+    """Without a record in two splits the lines pass one Python step; text ends are trimmed without patterns, with the same result."""
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\r\n\n2,z\r\r\n', newline="")
+    rows = records.read_csv(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert [tuple(r) for r in rows.collect()] == [("1", "x\ny"), ("2", "z")]
+    spaces = SPACES + WIDE_SPACES
+    texts = [f"{a}{t}{b}" for t in ("", "a", f"a{spaces}é", "\u200b") for a in ("", *spaces, "\n\r", spaces) for b in ("", *spaces, "\r\n", spaces)]
+    trimmed = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s"))
+    assert "regexp" not in trimmed._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.s == r.t.strip(spaces) for r in trimmed.collect())
+
+
 def test_normalize_partial_columns(spark):
     raw = spark.createDataFrame([("2024-01-05", "\tMortgage ", "abc")], "`Date received` string, Product string, `Complaint ID` string")
     out = complaints.normalize_columns(raw)
