@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,10 @@ ROWS = 500
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
-    """``mapInArrow`` with per-task state: ``make`` runs once in a task, its result on slices of at most ``ROWS`` rows."""
+    """``mapInArrow`` with per-task state: ``make`` runs once in a task, its result on slices of at most ``ROWS`` rows.
+
+    Workers go from task to task, so a task gives free memory back when it ends; else an executor holds the most that each of its workers ever had.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = None
@@ -20,10 +24,20 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
             step = step or make()
             for first in range(0, part.num_rows, ROWS):
                 yield from step(part.slice(first, ROWS))
+        step = part = None
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def release_memory() -> None:
+    """Give free memory back to the system, as far as the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def with_columns(part: pa.RecordBatch, columns: dict[str, pa.Array], keep: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(part.column(n) for n in keep), *columns.values()], names=[*keep, *columns])
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemill.llm.arrow import gather, list_array, map_batches, ragged
-from casemill.llm.token_file import file_ids
+from casemill.llm.token_file import id_and_text, id_rows
 from casemill.session import materialize
 
 CHUNK_PIECES = 1_000_000
@@ -32,13 +32,15 @@ def cut(n: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int, longest: int = 1024, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens, and the ids if wanted) of every piece."""
+    """(doc_id, start, length, ids_crc32, doc_tokens, and the ids if wanted) of every piece. Texts are encoded and cut in one step, so a task has one worker."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
-    ids = file_ids(docs, vocabulary, end_id, doc_id, text)
+    encoder = id_rows(docs, vocabulary, end_id)
 
     def make():
-        def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        encode = encoder()
+
+        def cut_up(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             column = part.column(2)
             counts = np.fromiter(column.value_lengths(), np.int64, part.num_rows)
             flat = column.flatten().to_numpy(zero_copy_only=False).astype("<u4")
@@ -55,9 +57,13 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, longest: int = 1024, d
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
+        def step(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for ids in encode(part):
+                yield from cut_up(ids)
+
         return step
 
-    return map_batches(ids, make, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids)
+    return map_batches(id_and_text(docs, doc_id, text), make, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int, longest: int = 1024, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:

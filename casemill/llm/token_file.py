@@ -12,7 +12,7 @@ document id sorts first.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,11 @@ INDEX_STRIDE = 1_000
 READ_ROWS = 512
 
 
-def file_ids(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids, before) of every whole text with the end id; ``before`` counts the tokens of the task's earlier texts."""
+IDS = "doc_id bigint, n_tokens bigint, ids array<int>, before bigint"
+
+
+def id_rows(docs: DataFrame, vocabulary: str, end_id: int) -> Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]]:
+    """The step of a task that turns ``(doc_id, text)`` into rows of ``IDS``."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
@@ -55,7 +58,16 @@ def file_ids(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_i
 
         return step
 
-    return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), make, "doc_id bigint, n_tokens bigint, ids array<int>, before bigint")
+    return make
+
+
+def id_and_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
+def file_ids(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, before) of every whole text with the end id; ``before`` counts the tokens of the task's earlier texts."""
+    return map_batches(id_and_text(docs, doc_id, text), id_rows(docs, vocabulary, end_id), IDS)
 
 
 def write(docs: DataFrame, vocabulary: str, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:

@@ -243,6 +243,12 @@ def test_packing(spark, monkeypatch):
         packing.pieces(empty(spark), "", 0, longest=1000)
 
 
+def test_packing_takes_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    plan = packing.pieces(docs, queries.vocabulary(queries.BYTE_VOCABULARY), 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_packing_query(spark):
     check_pieces(queries.op10_packing(spark, SF_DIR).collect(), table_texts(spark), 0, 1024)
 
