@@ -93,7 +93,8 @@ def question_analytics(complaints: DataFrame, questions: DataFrame, months: int
 def answer_questions(questions: DataFrame, complaints: DataFrame, evidence: DataFrame, docs: DataFrame, months: int = 6) -> DataFrame:
     """One row per question: metrics, evidence list, citations, deterministic answer and mode.
 
-    ``evidence`` holds the ranked documents of each question (a few per question), ``docs`` their text and metadata.
+    ``evidence`` holds the ranked documents of each question (a few per question), ``docs`` their text and metadata. A written ``evidence`` has a known size, so that Spark
+    broadcasts it; else the excerpts of all ``docs`` are shuffled to meet it.
     """
     rows = evidence.join(docs.select("complaint_id", "company", "product", "issue", F.substring("clean_narrative", 1, EXCERPT).alias("excerpt")), "complaint_id")
     record = F.struct("rank", citation(F.col("complaint_id")).alias("citation"), "complaint_id", "company", "product", "issue", "hybrid_score", "excerpt")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT, REQUIRED_COLUMNS
+from casemill.functions.text import narratives
 from casemill.operators import answers, evaluation, hybrid, rollup, router, topics
 from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
@@ -76,8 +77,10 @@ def document_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    evidence, _ = hybrid_fixed(spark, sf_dir, 8)
-    answered = answers.answer_questions(filtered_questions(spark, sf_dir), document_cases(spark, sf_dir), evidence, docs_of(spark, sf_dir))
+    # The evidence is a few written rows per question; only the documents in it are cleaned again, for their excerpts.
+    evidence = materialize(hybrid_fixed(spark, sf_dir, 8)[0], "evidence")
+    cited = narratives(documents(spark, sf_dir).join(evidence.select("complaint_id"), "complaint_id", "left_semi"))
+    answered = answers.answer_questions(filtered_questions(spark, sf_dir), document_cases(spark, sf_dir), evidence, cited)
     return rounded(answered, 6, "timely_response_rate", "growth_rate").select(
         "question_id", "complaints", "date_min", "date_max", "timely_response_rate", "growth_rate", "answer", "mode",
         F.array_join("citations", " ").alias("citations"), F.coalesce(F.array_size("evidence"), F.lit(0)).alias("n_evidence"))

@@ -85,6 +85,14 @@ def test_records_are_put_together_once(spark, tmp_path):
     assert all(r.s == r.t.strip(spaces) for r in trimmed.collect())
 
 
+def test_term_counts_keep_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "late fee fee"), (1, None, "late"), (None, "c", None)], "complaint_id long, product string, text string")
+    spec = tfidf.TfidfSpec(None, stop_words=())
+    rows = tfidf.count_terms(docs, "complaint_id", "text", spec, ["product"]).collect()
+    found = {(r.complaint_id, r.product): dict(zip(r.terms.split("\n"), np.frombuffer(r.tf, np.int32))) if r.terms else {} for r in rows}
+    assert found == {(1, "a"): {"late": 1, "fee": 2, "late fee": 1, "fee fee": 1}, (1, None): {"late": 1}, (None, "c"): {}}
+
+
 def test_normalize_partial_columns(spark):
     raw = spark.createDataFrame([("2024-01-05", "\tMortgage ", "abc")], "`Date received` string, Product string, `Complaint ID` string")
     out = complaints.normalize_columns(raw)
