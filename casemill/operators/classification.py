@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.functions.columns import ratio
+from casemill.session import materialize
 
 
 def confusion(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -85,6 +86,6 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     last = hashed.join(cut, [label, "bucket"]).withColumn("place", place).filter(F.col("place") == F.col("from_bucket")) \
         .select(label, F.col("h").alias("last_h"), F.col(key).alias("last_key"))
     inside = F.struct(F.col("h"), F.col(key)) <= F.struct(F.col("last_h"), F.col("last_key"))
-    # A threshold per class is broadcast: a join on the class would send all rows of a class to one task.
-    flagged = with_hash(df).join(F.broadcast(last), label, "left").withColumn("is_test", F.col("last_h").isNotNull() & inside)
+    # Written, as the flagged rows may be read several times, and broadcast, a threshold per class: a join on the class would send all rows of a class to one task.
+    flagged = with_hash(df).join(F.broadcast(materialize(last, "thresholds")), label, "left").withColumn("is_test", F.col("last_h").isNotNull() & inside)
     return flagged.select(*df.columns, "is_test")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill.operators import classification, lowrank, tfidf
 from casemill.operators.tfidf import ROUTER, TfidfSpec
-from casemill.session import materialize
+from casemill.session import discard, materialize
 
 MEMORY = 10  # steps the optimiser remembers
 TRIES = 20  # shortenings of a step
@@ -39,24 +39,36 @@ class Router:
     def predict(self, docs: DataFrame, text: str = "clean_narrative") -> DataFrame:
         """``docs`` with the predicted class as ``prediction``; texts are split and scored where they lie."""
         kept = [c for c in docs.columns if c != "prediction"]
-        shared = docs.sparkSession.sparkContext.broadcast((self.terms, self.idf, self.coefficients, self.classes))
-        sublinear, stop_words = self.spec.sublinear, self.spec.stop_words
+        stop_words = self.spec.stop_words
+
+        def counting() -> Callable[[pa.RecordBatch], tuple]:
+            count = tfidf.TermCounter(stop_words)
+            return lambda part: tfidf.counted(pa.RecordBatch.from_arrays([*count(part.column(part.num_columns - 1))], names=["terms", "tf"]))
+
+        return self.classified(docs.select(*kept, F.lower(text).alias("lowered")), kept, counting)
+
+    def predict_counted(self, counts: DataFrame) -> DataFrame:
+        """:meth:`predict` for documents whose terms are counted: their other columns and the prediction."""
+        return self.classified(counts, counts.columns[:-2], lambda: tfidf.counted)
+
+    def classified(self, rows: DataFrame, kept: list[str], counting: Callable[[], Callable[[pa.RecordBatch], tuple]]) -> DataFrame:
+        """The first columns of the rows with their class; a task makes its own counter of the others."""
+        shared = rows.sparkSession.sparkContext.broadcast((self.terms, self.idf, self.coefficients, self.classes))
+        sublinear = self.spec.sublinear
 
         def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms, idf, coefficients, classes = shared.value
-            count, weigh, names = tfidf.TermCounter(stop_words), tfidf.Weigher(terms, idf, sublinear), pa.array(classes, pa.string())
+            counted, weigh, names = counting(), tfidf.Weigher(terms, idf, sublinear), pa.array(classes, pa.string())
             for part in tfidf.sliced(batches):
-                counts = pa.RecordBatch.from_arrays([*count(part.column(part.num_columns - 1))], names=["terms", "tf"])
-                offsets, idx, x = weigh(*tfidf.counted(counts))
+                offsets, idx, x = weigh(*counted(part))
                 scores = np.tile(coefficients[-1], (part.num_rows, 1))
                 full = np.flatnonzero(np.diff(offsets))
                 if full.size:
                     scores[full] += np.add.reduceat(coefficients[idx] * x[:, None], offsets[full], axis=0)
                 best = names.take(pa.array(scores.argmax(axis=1)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], best], names=[*kept, "prediction"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(kept)], best], names=[*kept, "prediction"])
 
-        rows = docs.select(*kept, F.lower(text).alias("lowered"))
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "lowered")
+        fields = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in kept)
         return rows.mapInArrow(body, f"{fields}, prediction string")
 
     def write(self, spark: SparkSession, path: str) -> None:
@@ -167,34 +179,36 @@ def train_router(docs: DataFrame, target: str = "product", key: str = "complaint
     A class needs a few documents on both sides of the split; fewer than two such classes are an error. ``start``: an earlier model to go on from, such as that of
     the night before; the result does not depend on it, the number of passes does.
     """
-    spark = docs.sparkSession
-    rows = docs.filter(F.col(target).isNotNull()).select(key, "clean_narrative", F.col(target).cast("string").alias("label"))
-    # Written cleaned, then again with the split: the thresholds read the key and label columns only, and the later
-    # passes over the text start from a plain scan.
-    eligible = classification.eligible_classes(materialize(rows, "router_docs"), "label", min_class)
-    split = materialize(classification.stratified_split(eligible, "label", key, 0.25, seed), "router_split")
-    sizes = {(r["label"], r["is_test"]): r["n"] for r in split.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
-    classes, total = sorted({label for label, _ in sizes}), sum(sizes.values())
-    if len(classes) < 2:
-        raise ValueError(f"a router needs two classes of {min_class} documents, {target} has {len(classes)}")
-    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    counts = tfidf.count_terms(train, key, "clean_narrative", spec)
-    vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec)), "router_terms")
-    table = vocab.orderBy("idx").select("term", "idf").toArrow()
-    terms, n_terms = table["term"].to_pylist(), table.num_rows
-    n_train = {c: sizes.get((c, False), 0) for c in classes}
-    train_total = sum(n_train.values())
-    weight = {c: train_total / (len(classes) * n) for c, n in n_train.items() if n}
-    labels = train.select(key, case({c: i for i, c in enumerate(classes)}, F.col("label")).alias("y"), case(weight, F.col("label")).alias("weight"))
-    found = labels.join(tfidf.doc_vectors(counts, vocab, key, spec), key, "left")
-    # Every row ends with the constant, also one without known terms.
-    vectors = materialize(found.select(
-        "y", "weight", F.concat(F.coalesce("idx", F.array().cast("array<int>")), F.array(F.lit(n_terms))).alias("idx"),
-        F.concat(F.coalesce("x", F.array().cast("array<double>")), F.array(F.lit(1.0))).alias("x")), "router_features")
-    first = carried_over(start, terms, classes) if start else np.zeros((n_terms + 1, len(classes)))
-    coefficients, gradient = fit(vectors, n_terms, len(classes), float(train_total), first, max_iter, tol)
-    router = Router(terms, table["idf"].to_numpy(), coefficients, classes, spec, gradient <= tol, gradient)
-    predicted = materialize(router.predict(test).select(key, "label", "prediction"), "router_predictions")
+    # Texts are read once, to count their terms. Classes and thresholds come from the key and label columns of the counts, and a document's counts lie in one row
+    # with both, so nothing else of it is written or moved.
+    rows = docs.filter(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("string"))
+    with tfidf.counted_documents(rows, key, "clean_narrative", spec, ["label"]) as counts:
+        eligible = classification.eligible_classes(counts, "label", min_class)
+        split = classification.stratified_split(eligible, "label", key, 0.25, seed)
+        sides = materialize(split.select("label", "is_test"), "router_split")
+        sizes = {(r["label"], r["is_test"]): r["n"] for r in sides.groupBy("label", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
+        classes, total = sorted({label for label, _ in sizes}), sum(sizes.values())
+        if len(classes) < 2:
+            raise ValueError(f"a router needs two classes of {min_class} documents, {target} has {len(classes)}")
+        train, test = (split.filter(side).select(key, "label", "terms", "tf") for side in (~F.col("is_test"), F.col("is_test")))
+        vocab = tfidf.numbered_vocabulary(train, spec, "router_terms")
+        table = vocab.orderBy("idx").select("term", "idf").toArrow()
+        terms, n_terms = table["term"].to_pylist(), table.num_rows
+        n_train = {c: sizes.get((c, False), 0) for c in classes}
+        train_total = sum(n_train.values())
+        weight = {c: train_total / (len(classes) * n) for c, n in n_train.items() if n}
+        found = tfidf.doc_vectors(train, vocab, key, spec, ["label"])
+        # Every row ends with the constant, also one without known terms.
+        vectors = materialize(found.select(
+            case({c: i for i, c in enumerate(classes)}, F.col("label")).alias("y"), case(weight, F.col("label")).alias("weight"),
+            F.concat(F.coalesce("idx", F.array().cast("array<int>")), F.array(F.lit(n_terms))).alias("idx"),
+            F.concat(F.coalesce("x", F.array().cast("array<double>")), F.array(F.lit(1.0))).alias("x")), "router_features")
+        first = carried_over(start, terms, classes) if start else np.zeros((n_terms + 1, len(classes)))
+        coefficients, gradient = fit(vectors, n_terms, len(classes), float(train_total), first, max_iter, tol)
+        discard(vectors)
+        router = Router(terms, table["idf"].to_numpy(), coefficients, classes, spec, gradient <= tol, gradient)
+        predicted = materialize(router.predict_counted(test).select(key, "label", "prediction"), "router_predictions")
+    train, test = sides.filter(~F.col("is_test")), sides.filter("is_test")
     baseline = classification.summary_report(classification.majority_baseline(train.select("label"), test.select("label")))
     report = classification.summary_report(predicted).select(
         F.lit("trained").alias("status"), F.lit(target).alias("target"), F.lit(total).cast("bigint").alias("records"),

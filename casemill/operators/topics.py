@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.operators import lowrank, tfidf
 from casemill.operators.tfidf import TOPICS, TfidfSpec
-from casemill.session import materialize
+from casemill.session import discard, materialize
 
 TERMS_PER_TOPIC, TERMS_PER_NAME, EXAMPLES = 12, 4, 3
+KEY, TEXT, ABOUT = "complaint_id", "clean_narrative", ("product", "company")
 
 
 def topic_terms(spark, terms: list[str], components) -> DataFrame:
@@ -53,30 +54,30 @@ def discover_topics(docs: DataFrame, n_topics: int = 12, spec: TfidfSpec = TOPIC
                     tol: float = 1e-4, seed: int = 42, path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(registry, assignments)`` of cleaned narratives; all documents are used. Without a term left all documents belong to the first of the topics, which have no terms.
 
-    With ``path`` the model is written there; :func:`open_topics` reads it, and :meth:`TopicModel.extended` adds documents to it.
+    Narratives that are counted already are taken as they are. With ``path`` the model is written there; :func:`open_topics` reads it, and :meth:`TopicModel.extended`
+    adds documents to it.
     """
     spark = docs.sparkSession
-    n_docs = docs.count()
-    key, text = "complaint_id", "clean_narrative"
-    counts = tfidf.count_terms(docs, key, text, spec)
-    vocab = materialize(tfidf.numbered(tfidf.vocabulary(counts, spec, F.lit(n_docs))), "topic_terms")
-    terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
-    if not terms:
-        assigned = docs.select("complaint_id", "product", "company").withColumns({"topic_id": F.lit(0), "topic_score": F.lit(0.0)})
-        return topic_registry(assigned, topic_terms(spark, [], np.zeros((n_topics, 0)))), assigned
-    vectors = materialize(tfidf.doc_vectors(counts, vocab, key, spec), "topic_vectors")
-    components, _, sums = lowrank.nmf_components(vectors, len(terms), n_docs, n_topics, max_iter, tol, seed)
-    assigned = assign(docs, vectors, components)
+    with tfidf.counted_documents(docs, KEY, TEXT, spec, ABOUT) as counts:
+        n_docs = counts.count()
+        vocab = tfidf.numbered_vocabulary(counts, spec, "topic_terms", F.lit(n_docs))
+        terms = [r["term"] for r in vocab.orderBy("idx").select("term").collect()]
+        if not terms:
+            assigned = materialize(counts.select(KEY, *ABOUT).withColumns({"topic_id": F.lit(0), "topic_score": F.lit(0.0)}), "topic_assignments")
+            return topic_registry(assigned, topic_terms(spark, [], np.zeros((n_topics, 0)))), assigned
+        vectors = lowrank.in_batches(tfidf.doc_vectors(counts, vocab, KEY, spec, ABOUT))
+    components, _, sums = lowrank.nmf_components(vectors.where("idx IS NOT NULL"), len(terms), n_docs, n_topics, max_iter, tol, seed)
+    assigned = assign(vectors, components)
+    discard(vectors)
     model = TopicModel(vocab, components, sums, spec)
     if path is not None:
         model.write(path)
     return topic_registry(assigned, topic_terms(spark, terms, components)), assigned
 
 
-def assign(docs: DataFrame, vectors: DataFrame, components: np.ndarray) -> DataFrame:
+def assign(vectors: DataFrame, components: np.ndarray) -> DataFrame:
     """Documents with topic and score; one without any known term has weight 0 for every topic and falls to the first."""
-    found = lowrank.assign_components(vectors, "complaint_id", components)
-    return materialize(docs.select("complaint_id", "product", "company").join(found, "complaint_id", "left").withColumns({
+    return materialize(lowrank.assign_components(vectors, KEY, components, ABOUT).withColumns({
         "topic_id": F.coalesce("topic_id", F.lit(0)), "topic_score": F.coalesce("topic_score", F.lit(0.0)),
     }), "topic_assignments")
 
@@ -92,13 +93,15 @@ class TopicModel:
 
     def extended(self, docs: DataFrame, rounds: int = 3) -> tuple[TopicModel, DataFrame]:
         """The model after new documents, and their assignments. The documents of before are not read: their sums stay as they were."""
-        key, text = "complaint_id", "clean_narrative"
-        vectors = materialize(tfidf.doc_vectors(tfidf.count_terms(docs, key, text, self.spec), self.vocab, key, self.spec), "topic_vectors")
+        with tfidf.counted_documents(docs, KEY, TEXT, self.spec, ABOUT) as counts:
+            vectors = materialize(tfidf.doc_vectors(counts, self.vocab, KEY, self.spec, ABOUT), "topic_vectors")
         components, total = self.components, self.sums
         for _ in range(rounds):
-            total = self.sums + lowrank.factor_sums(vectors, components)
+            total = self.sums + lowrank.factor_sums(vectors.where("idx IS NOT NULL"), components)
             components = total.updated(components)
-        return TopicModel(self.vocab, components, total, self.spec), assign(docs, vectors, components)
+        assigned = assign(vectors, components)
+        discard(vectors)
+        return TopicModel(self.vocab, components, total, self.spec), assigned
 
     def write(self, path: str) -> None:
         """A row per term, and one with the small sums."""

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions.text import narratives
-from casemill.operators import anomaly, metrics, opportunities, quality, router, topics
+from casemill.operators import anomaly, metrics, opportunities, quality, router, tfidf, topics
+from casemill.session import discard, freed_shuffles
 from casemill.sources import artifacts, complaints
 
 PARTIAL_GROUPS = ["product", "issue"]
@@ -27,11 +28,12 @@ def write_partials(spark: SparkSession, output: str, months: list[str] | None =
     rows = store if months is None else store.where(F.col(complaints.STORE_PARTITION).isin(months))
     # A month's partials are few; a month that is not dated has its own folder.
     counted = complaints.with_partition(metrics.monthly_partials(rows, *PARTIAL_GROUPS)).coalesce(1 if months else 8)
-    if months is None:
-        counted.write.mode("overwrite").partitionBy(complaints.STORE_PARTITION).parquet(path)
-        return
-    found = {r[0] for r in rows.select(complaints.STORE_PARTITION).distinct().collect()}
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(complaints.STORE_PARTITION).parquet(path)
+    with freed_shuffles(spark):
+        if months is None:
+            counted.write.mode("overwrite").partitionBy(complaints.STORE_PARTITION).parquet(path)
+            return
+        found = {r[0] for r in rows.select(complaints.STORE_PARTITION).distinct().collect()}
+        counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(complaints.STORE_PARTITION).parquet(path)
     for month in set(months) - found:
         complaints.delete_folder(spark, f"{path}/{complaints.STORE_PARTITION}={month}")
 
@@ -52,28 +54,35 @@ def derive(spark: SparkSession, output: str, run_nlp: bool, target: str = "produ
     }
     if run_nlp:
         # Ids may be null or repeated; the models need a key per document, which stands for the id.
-        keyed = complaints.with_document_key(rows.where("consumer_complaint_narrative IS NOT NULL"))
+        # The key is given, the text cleaned and its terms counted in one step, and the counts serve both models.
+        keyed = complaints.keyed_documents(rows.where("consumer_complaint_narrative IS NOT NULL"))
         docs = narratives(keyed.withColumn("complaint_id", F.col(complaints.DOCUMENT_KEY)).drop(complaints.DOCUMENT_KEY))
-        registry, _ = topics.discover_topics(docs)
+        counted = tfidf.count_terms(docs, topics.KEY, topics.TEXT, tfidf.TOPICS, list(dict.fromkeys([*topics.ABOUT, target])))
+        registry, _ = topics.discover_topics(counted)
         tables["topics"] = registry.withColumns({
             c: F.to_json(c) for c in ("product_distribution", "company_distribution", "representatives")
         })
         model = f"{output}/router_model"
         before = router.open_router(spark, model) if complaints.folder_exists(spark, model) else None
-        trained = router.train_router(docs, target, min_class=min_class, start=before)
+        trained = router.train_router(counted, target, min_class=min_class, start=before)
         trained.write(spark, model)
+        discard(counted)
         tables["router_report"], tables["router_classes"] = trained.report, trained.class_report
-    for name, table in tables.items():
-        artifacts.write_csv_table(table, f"{output}/{name}")
+    with freed_shuffles(spark):
+        for name, table in tables.items():
+            artifacts.write_csv_table(table, f"{output}/{name}")
     return {name: artifacts.read_csv_table(spark, f"{output}/{name}", table.schema) for name, table in tables.items()}
 
 
-def run_nightly(spark: SparkSession, csv_path: str, output: str, run_nlp: bool = True, multi_line: bool = True, min_class: int = 50) -> dict[str, DataFrame]:
-    """Ingest a bulk extract, and write and return the artifact tables.
+def run_nightly(spark: SparkSession, csv_path: str, output: str, run_nlp: bool = True, multi_line: bool = True, min_class: int = 50,
+                keep_extract: bool = True) -> dict[str, DataFrame]:
+    """Ingest a bulk extract, and write and return the artifact tables. Without ``keep_extract`` its folder goes as soon as the store has its rows.
 
-    Fails with the list of violated checks when the ingested rows are not valid; the store of the run before then stays.
+    Fails with the list of violated checks when the ingested rows are not valid; the store of the run before then stays, and so does the extract.
     """
     complaints.ingest_bulk(spark, csv_path, f"{output}/complaints", multi_line, check=refuse_invalid)
+    if not keep_extract:
+        complaints.delete_folder(spark, csv_path)
     write_partials(spark, output)
     return derive(spark, output, run_nlp, min_class=min_class)
 

@@ -14,7 +14,7 @@ from casemill.plans.queries_retrieval import FLAGS, ROLL_UP_SQL, built_index, fi
 from casemill.plans.queries_text import DOCS_SQL, clean_sql, docs_of
 from casemill.plans.sql import CASES, scores
 from casemill.plans.tables import cases, documents, table
-from casemill.session import materialize, scratch_path
+from casemill.session import freed_shuffles, materialize, scratch_path
 from casemill.sources import complaints
 
 
@@ -142,13 +142,14 @@ def land_valid_csv(spark: SparkSession, sf_dir: str) -> str:
     header = {name: text for text, name in COMPLAINT_COLUMNS.items()}
     rows = narrative_cases(spark, sf_dir).withColumn("date_received", F.date_format("date_received", "yyyy-MM-dd"))
     path = scratch_path(spark, "valid_csv")
-    rows.select([F.col(c).alias(header[c]) for c in REQUIRED_COLUMNS]).write.option("header", True).option("escape", '"').csv(path)
+    with freed_shuffles(spark):
+        rows.select([F.col(c).alias(header[c]) for c in REQUIRED_COLUMNS]).write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
 def nightly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The opportunities of a whole run with topics and router, and what must hold of these: all narratives have a topic, and the router learnt and converged."""
-    tables = nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), scratch_path(spark, "nightly"), min_class=10)
+    tables = nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), scratch_path(spark, "nightly"), min_class=10, keep_extract=False)
     documents_in_topics = tables["topics"].select(F.sum("volume")).scalar()
     report = tables["router_report"].select(F.struct("records", "classes", "converged", (F.col("model_macro_f1") > F.col("baseline_macro_f1")).alias("better"))).scalar()
     return tables["opportunities"].withColumns({
@@ -167,7 +168,7 @@ def window_of(rows: DataFrame, part: int) -> DataFrame:
 def nightly_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emerging issues after an ingest and two refreshes, from partials of which each refresh recounted its months."""
     output = scratch_path(spark, "nightly")
-    nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), output, run_nlp=False)
+    nightly.run_nightly(spark, land_valid_csv(spark, sf_dir), output, run_nlp=False, keep_extract=False)
     for part in (1, 2):
         rows = narrative_cases(spark, sf_dir).withColumn("date_received", F.date_trunc("day", "date_received").cast("timestamp_ntz"))
         window = complaints.normalize_columns(window_of(rows, part))

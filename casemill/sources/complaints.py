@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import strip, to_long, to_timestamp
-from casemill.session import materialize
+from casemill.session import freed_shuffles, materialize
 from casemill.sources import records
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
@@ -105,8 +105,9 @@ def write_store(df: DataFrame, path: str, limited: bool = False, check: Callable
     """
     spark, version = df.sparkSession, new_version()
     try:
-        with_partition(df).hint("rebalance", STORE_PARTITION) \
-            .write.partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(f"{path}/{VERSION}={version}")
+        with freed_shuffles(spark):
+            with_partition(df).hint("rebalance", STORE_PARTITION) \
+                .write.partitionBy(STORE_PARTITION).option("compression", "snappy").parquet(f"{path}/{VERSION}={version}")
         rows = read_version(spark, path, version)
         metadata = ingest_metadata(rows, limited).first().asDict()
         if not metadata["record_count"]:
@@ -243,7 +244,8 @@ def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> li
     # running it again merges the same rows.
     touched = base.filter(F.col(STORE_PARTITION).isin(months)).select(columns)
     version = new_version()
-    with_partition(merge_window(touched, window.select(columns))).hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(f"{store_path}/{VERSION}={version}")
+    with freed_shuffles(spark):
+        with_partition(merge_window(touched, window.select(columns))).hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(f"{store_path}/{VERSION}={version}")
     # A month whose last row moved to another month has no new folder.
     written = {m: version for m in months_of(read_version(spark, store_path, version))}
     commit(spark, store_path, {m: v for m, v in before.items() if m not in months} | written)
@@ -269,8 +271,8 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 DOCUMENT_KEY = "doc_key"
 
 
-def with_document_key(rows: DataFrame, key: str = DOCUMENT_KEY) -> DataFrame:
-    """``rows`` as a written table with a key that is never null and never repeated.
+def keyed_documents(rows: DataFrame, key: str = DOCUMENT_KEY) -> DataFrame:
+    """``rows`` with a key that is never null and never repeated, for one reading: another may number them otherwise.
 
     The key is the complaint id where exactly one row has it. Other rows, without id or with an id of several rows, get numbers above all ids in the
     order of the input. Ids are counted without the texts; Spark broadcasts the repeated ones if they are few.
@@ -278,7 +280,12 @@ def with_document_key(rows: DataFrame, key: str = DOCUMENT_KEY) -> DataFrame:
     repeated = materialize(rows.groupBy("complaint_id").count().where("count > 1 AND complaint_id IS NOT NULL").select("complaint_id", F.lit(True).alias("repeated")), "repeated_ids")
     numbered = rows.withColumn(key, F.monotonically_increasing_id() + F.lit(1 << 62)).join(repeated, "complaint_id", "left")
     own = F.col("complaint_id").isNotNull() & F.col("repeated").isNull()
-    return materialize(numbered.withColumn(key, F.when(own, F.col("complaint_id")).otherwise(F.col(key))).select(*rows.columns, key), "keyed")
+    return numbered.withColumn(key, F.when(own, F.col("complaint_id")).otherwise(F.col(key))).select(*rows.columns, key)
+
+
+def with_document_key(rows: DataFrame, key: str = DOCUMENT_KEY) -> DataFrame:
+    """:func:`keyed_documents` as a written table, which can be read again and again."""
+    return materialize(keyed_documents(rows, key), "keyed")
 
 
 def sql_query(spark: SparkSession, sql: str, store: DataFrame, args: dict[str, Any] | list[Any] | None = None) -> DataFrame:
