@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import strip, to_long, to_timestamp
-from casemill.session import freed_shuffles, materialize
+from casemill.session import discard, freed_shuffles, materialize
 from casemill.sources import records
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
@@ -210,42 +210,74 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*folders).select(STORE_SCHEMA.fieldNames())
 
 
+def changes_of(window: DataFrame) -> DataFrame:
+    """The rows of a window that count: of every id the one received last, and of the rows without id one of each content."""
+    ordered = F.struct(*[F.col(c) for c in ["date_received", *[c for c in window.columns if c != "date_received"]]])
+    keyed = window.filter(F.col("complaint_id").isNotNull())
+    newest = keyed.groupBy("complaint_id").agg(F.max(ordered).alias("r")).select("r.*").select(window.columns)
+    return newest.unionByName(window.filter(F.col("complaint_id").isNull()).distinct())
+
+
+def merge_changes(base: DataFrame, replaced: DataFrame, changes: DataFrame) -> DataFrame:
+    """The rows of ``base`` without those of the ``replaced`` ids, and the changes; one without id only if no row there is equal."""
+    anonymous = changes.filter(F.col("complaint_id").isNull()).select(base.columns)
+    known = base.filter(F.col("complaint_id").isNull())
+    same = [anonymous[c].eqNullSafe(known[c]) for c in base.columns if c != "complaint_id"]
+    return base.join(replaced, "complaint_id", "left_anti").select(base.columns) \
+        .unionByName(changes.filter(F.col("complaint_id").isNotNull()).select(base.columns)) \
+        .unionByName(anonymous.join(known, reduce(lambda a, b: a & b, same), "left_anti"))
+
+
 def merge_window(base: DataFrame, window: DataFrame) -> DataFrame:
     """Upsert by complaint id: window rows replace base rows of the same id, all other rows stay.
 
     When the window holds an id more than once, the row received last wins. Rows without an id are told apart by their content: equal ones in a
     window are one row, and a window row equal to one that is there is not added again, so merging a window twice changes nothing.
     """
-    ordered = F.struct(*[F.col(c) for c in ["date_received", *[c for c in window.columns if c != "date_received"]]])
-    keyed = window.filter(F.col("complaint_id").isNotNull())
-    newest = keyed.groupBy("complaint_id").agg(F.max(ordered).alias("r")).select("r.*").select(window.columns)
-    anonymous = window.filter(F.col("complaint_id").isNull()).select(base.columns)
-    known = base.filter(F.col("complaint_id").isNull())
-    same = [anonymous[c].eqNullSafe(known[c]) for c in base.columns if c != "complaint_id"]
-    return base.join(newest.select("complaint_id"), "complaint_id", "left_anti").select(base.columns) \
-        .unionByName(newest.select(base.columns)).unionByName(anonymous.distinct().join(known, reduce(lambda a, b: a & b, same), "left_anti"))
+    return merge_changes(base, window.select("complaint_id"), changes_of(window))
+
+
+TURN_BYTES = 1 << 30  # stored bytes of the months that a refresh rewrites at a time
+
+
+def turns_of(spark: SparkSession, path: str, months: list[str], before: dict[str, str]) -> list[list[str]]:
+    """The months in order, cut where their stored folders exceed :data:`TURN_BYTES`."""
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    turns, size = [], 0
+    for month in sorted(months):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={before.get(month)}/{STORE_PARTITION}={month}")
+        own = files.getContentSummary(folder).getLength() if month in before else 0
+        if not turns or size + own > TURN_BYTES:
+            turns, size = [*turns, []], 0
+        turns[-1].append(month)
+        size += own
+    return turns
 
 
 def refresh_store(spark: SparkSession, store_path: str, window: DataFrame) -> list[str]:
     """Merge a window into the store, rewriting only the months it touches.
 
     A month is touched when the window has rows in it or when it holds an older version of a window row. Finding
-    the latter reads the id and partition columns only. Returns the rewritten months.
+    the latter reads the id and partition columns only. The window is evaluated once. Months are rewritten in turns of bounded size, so that a store in which all months
+    are touched is never shuffled as a whole. Returns the rewritten months.
     """
     base, before = read_store(spark, store_path), current(spark, store_path)
     columns = COMPLAINT_SCHEMA.fieldNames()
-    ids = window.select("complaint_id").filter(F.col("complaint_id").isNotNull()).distinct()
-    old_months = base.select("complaint_id", STORE_PARTITION).join(ids, "complaint_id", "left_semi") \
-        .select(STORE_PARTITION)
-    months = [r[0] for r in with_partition(window).select(STORE_PARTITION).union(old_months).distinct().collect()]
-    if not months:
-        return []
+    changes = materialize(with_partition(changes_of(window.select(columns))), "changes")
+    ids = changes.select("complaint_id").filter(F.col("complaint_id").isNotNull())
+    replaced = materialize(base.select("complaint_id", STORE_PARTITION).join(ids, "complaint_id", "left_semi"), "replaced")
+    months = [r[0] for r in changes.select(STORE_PARTITION).union(replaced.select(STORE_PARTITION)).distinct().collect()]
     # The touched months are computed once, as a version of their own, and one commit puts all of them in place. Should the job end before, the store is as it was, and
     # running it again merges the same rows.
-    touched = base.filter(F.col(STORE_PARTITION).isin(months)).select(columns)
     version = new_version()
     with freed_shuffles(spark):
-        with_partition(merge_window(touched, window.select(columns))).hint("rebalance", STORE_PARTITION).write.partitionBy(STORE_PARTITION).parquet(f"{store_path}/{VERSION}={version}")
+        for turn in turns_of(spark, store_path, months, before):
+            touched, gone, new = (rows.filter(F.col(STORE_PARTITION).isin(turn)) for rows in (base, replaced, changes))
+            merged = merge_changes(touched.select(columns), gone.select("complaint_id"), new.select(columns))
+            with_partition(merged).hint("rebalance", STORE_PARTITION).write.mode("append").partitionBy(STORE_PARTITION).parquet(f"{store_path}/{VERSION}={version}")
+    discard(changes, replaced)
+    if not months:
+        return []
     # A month whose last row moved to another month has no new folder.
     written = {m: version for m in months_of(read_version(spark, store_path, version))}
     commit(spark, store_path, {m: v for m, v in before.items() if m not in months} | written)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from casemill.operators import hybrid, lowrank, tfidf
 from casemill.plans import queries_models
 from casemill.session import FREE_SHUFFLES, discard, materialize, scratch_root
+from casemill.sources import complaints
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -86,3 +87,32 @@ def test_nightly_run_keeps_no_copies_of_texts(spark):
     before = tables(spark)
     assert queries_models.nightly_run(spark, SF_DIR).count()
     assert named(tables(spark) - before) <= {"nightly", "splits", "headers", "repeated_ids", "topic_terms", "topic_assignments", "thresholds", "router_split", "router_terms", "router_predictions"}
+
+
+def test_nightly_refresh_lands_no_extract_behind(spark):
+    before = tables(spark)
+    assert queries_models.nightly_refresh(spark, SF_DIR).count()
+    assert named(tables(spark) - before) <= {"nightly", "splits", "headers"}
+
+
+def test_refresh_in_turns_gives_the_same_store(spark, tmp_path, monkeypatch):
+    """Months that are rewritten one at a time: rows move between turns, ids and rows without id are merged as in one."""
+    def rows(items):
+        return complaints.normalize_columns(spark.createDataFrame(items, "complaint_id long, date_received string, issue string"))
+
+    def state(path):
+        return sorted(((r.complaint_id, str(r.date_received)[:10], r.issue, r.received_month) for r in complaints.read_store(spark, path).collect()), key=str)
+
+    start = [(i, f"2024-{i % 6 + 1:02d}-05", "a") for i in range(60)] + [(None, "2024-03-01", "n"), (None, None, "undated")]
+    window = [(i, f"2024-{(i + i // 10) % 8 + 1:02d}-07", "b") for i in range(0, 90, 3)] + [(3, "2024-01-01", "late"), (6, None, "b"), (None, "2024-03-01", "n"), (None, "2024-07-01", "m"), (None, "2024-07-01", "m")]
+    writes = []
+    for name, turn in (("whole", 1 << 30), ("turns", 1)):
+        monkeypatch.setattr(complaints, "TURN_BYTES", turn)
+        complaints.write_store(rows(start), str(tmp_path / name))
+        writes.append(len(complaints.turns_of(spark, str(tmp_path / name), ["2024-01", "2024-02", "2024-09"], complaints.current(spark, str(tmp_path / name)))))
+        complaints.refresh_store(spark, str(tmp_path / name), rows(window))
+    assert state(str(tmp_path / "whole")) == state(str(tmp_path / "turns")) and writes[0] == 1 and writes[1] >= 2
+    kept = {i for i in range(60)} - {r[0] for r in window}
+    assert {r[0] for r in state(str(tmp_path / "turns")) if r[2] == "a"} == kept
+    ids = [r[0] for r in state(str(tmp_path / "turns")) if r[0] is not None]
+    assert len(ids) == len(set(ids)) == 60 + 10 and sum(r[0] is None for r in state(str(tmp_path / "turns"))) == 3
