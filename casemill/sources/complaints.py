@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casemill.fixed import API_FIELD_RENAMES, COMPLAINT_COLUMNS
 from casemill.functions.columns import strip, to_long, to_timestamp
-from casemill.session import discard, freed_shuffles, materialize
+from casemill.session import delete_folder, discard, freed_shuffles, materialize
 from casemill.sources import records
 
 TIMESTAMP_COLUMNS = {"date_received", "date_sent_to_company"}
@@ -295,11 +295,6 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 DOCUMENT_KEY = "doc_key"
 
 

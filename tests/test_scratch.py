@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill.operators import hybrid, lowrank, tfidf
-from casemill.plans import queries_models
+from casemill.plans import queries_models, queries_retrieval
 from casemill.session import FREE_SHUFFLES, discard, materialize, scratch_root
 from casemill.sources import complaints
 
@@ -116,3 +116,16 @@ def test_refresh_in_turns_gives_the_same_store(spark, tmp_path, monkeypatch):
     assert {r[0] for r in state(str(tmp_path / "turns")) if r[2] == "a"} == kept
     ids = [r[0] for r in state(str(tmp_path / "turns")) if r[0] is not None]
     assert len(ids) == len(set(ids)) == 60 + 10 and sum(r[0] is None for r in state(str(tmp_path / "turns"))) == 3
+
+
+def test_fused_search_is_held_against_the_index(spark, tmp_path):
+    """``dense_fits`` of index_search sees worse documents, missing ones, and scores that are not those of the vectors."""
+    index = hybrid.build_index(some_docs(spark), str(tmp_path / "index"), components=4)
+    asked = spark.createDataFrame([(1, "word1 word2 word3"), (2, "word7 narrative"), (3, "unheard")], "question_id long, question string")
+    exact, _ = hybrid.retrieve(index, asked, lexical_weight=1.0, dense_weight=0.0)
+    fused, trace = hybrid.retrieve(index, asked)
+    later = hybrid.retrieve(index, asked, k=16)[0].where("rank > 8").withColumn("rank", F.col("rank") - 8)
+    cases = {"right": fused, "worse": later, "missing": fused.where("question_id <> 2 OR rank < 8"), "none": fused.limit(0),
+             "dense": fused.withColumn("dense_score", F.col("dense_score") * 0.9), "sum": fused.withColumn("hybrid_score", F.col("hybrid_score") * 0.9)}
+    fits = {name: queries_retrieval.fused_fits(index, asked, exact, found, trace).first()["fits"] for name, found in cases.items()}
+    assert fits == {name: name == "right" for name in cases}
