@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.fixed import ABSTAIN_TEXT, ANSWER_MODE, ANSWER_TEXT, ASSUMPTION_DEFAULTS, COMPLAINT_COLUMNS, NO_GROWTH_TEXT, REQUIRED_COLUMNS
 from casemill.functions.text import narratives
-from casemill.operators import answers, evaluation, hybrid, rollup, router, topics
+from casemill.operators import answers, evaluation, rollup, router, topics
 from casemill.plans import nightly
 from casemill.plans.queries_core import rounded
 from casemill.plans.queries_decide import CATALOG_SQL, ISSUES_SQL, OPPORTUNITIES_SQL, REPORT_SQL, SPLIT_SQL, SUMMARY_SQL, derived, quoted, value_sql
-from casemill.plans.queries_retrieval import FLAGS, ROLL_UP_SQL, built_index, filtered_questions, hybrid_fixed, hybrid_sql, report_sql
+from casemill.plans.queries_retrieval import FLAGS, ROLL_UP_SQL, built_index, filtered_questions, hybrid_fixed, hybrid_sql, index_report, report_sql
 from casemill.plans.queries_text import DOCS_SQL, clean_sql, docs_of
 from casemill.plans.sql import CASES, scores
 from casemill.plans.tables import cases, documents, table
@@ -122,10 +122,11 @@ SELECT question_id, complaints, date_min, date_max, round(timely_response_rate,
 def final_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole record: topics, evaluation on a built index, router and index beside the metrics. Of the router's fitted quality it says whether it beats the baseline."""
     index = built_index(spark, sf_dir)
-    evidence, trace = hybrid.retrieve(index, filtered_questions(spark, sf_dir), 10, 1.0, 0.0)
-    checked = evaluation.roll_up(evaluation.question_report(evidence.join(index.docs, "complaint_id"), filtered_questions(spark, sf_dir), trace))
+    checked = materialize(evaluation.roll_up(index_report(spark, sf_dir, index)), "evaluated")
+    summary = materialize(index.summary(), "index_summary")
+    index.delete()  # before the router's tables are written
     report = router.train_router(docs_of(spark, sf_dir), min_class=10).report
-    row = rollup.final_metrics(cases(spark, sf_dir), derived(spark, sf_dir), given_topics(spark, sf_dir), checked, report, index.summary(), text="Build")
+    row = rollup.final_metrics(cases(spark, sf_dir), derived(spark, sf_dir), given_topics(spark, sf_dir), checked, report, summary, text="Build")
     row = row.withColumn("model_beats_baseline", F.col("model_macro_f1") > F.col("baseline_macro_f1")).drop("model_macro_f1")
     return rounded(rounded(row, 4, "baseline_estimated_annual_capacity_value", "baseline_three_year_net_value", "baseline_macro_f1"), 6, *FLAGS.values())
 
