@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm.arrow import gather, map_batches, ragged
 from casemill.llm.embed_dedup import usable
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 LINKS = 16
 BUILD_BEAM = 64

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 
 SALTS = 16

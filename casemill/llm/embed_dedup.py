@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm.arrow import gather, list_array, map_batches, ragged, with_columns
 from casemill.llm.components import components, local_leads
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 PROJECTIONS = 32
 WIDTH = 2.5

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm.arrow import list_array, map_batches, ragged
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 BUCKETS = 1 << 16
 STRENGTH = 40.0

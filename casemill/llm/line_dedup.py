@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import words
 from casemill.llm.arrow import map_batches, ragged, texts_of, unused
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 MIN_WORDS = 30
 BATCH_CHARS = 1_000_000

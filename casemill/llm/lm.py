@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from casemill.llm import spans
 from casemill.llm.arrow import ragged
 from casemill.llm.words import mixed
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 WORD = spans.marker([0x20, *range(9, 14)])
 FOLDS, HELD_FOLD = 7, 2

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from casemill.llm import words
 from casemill.llm.arrow import list_array, map_batches, ragged, texts_of
 from casemill.llm.components import components, local_leads
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 BATCH_CHARS = 1_000_000
 BLOCK = 512

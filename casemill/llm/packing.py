@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm.arrow import gather, list_array, map_batches, ragged
 from casemill.llm.token_file import id_and_text, id_rows
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 CHUNK_PIECES = 1_000_000
 

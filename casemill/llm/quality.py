@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from casemill.llm import words
 from casemill.llm.arrow import ROWS, list_array, map_batches, ragged, texts_of, with_columns
 from casemill.llm.counts import pretoken_spans
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 TRAIN_ROWS = 6_000
 CALIBRATE_ROWS = 2_000

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import spans
 from casemill.llm.arrow import list_array, ragged
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 # Bytes that belong to no term: all of ASCII but digits and letters.
 TERM = spans.marker([b for b in range(128) if not chr(b).isalnum()])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from casemill.llm import spans
 from casemill.llm.arrow import gather, ragged
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 LEAST_LENGTH, LEAST_COUNT, ALTERED_ONE_IN, FORM_RATIO = 7, 2, 31, 10
 WINDOW, MOST_WINDOWS = 3, 8  # places of a window, and windows of a word at most (long words have wider ones)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from casemill.llm import language, line_dedup, ngram_join, packing, quality
 from casemill.llm.arrow import unused
 from casemill.llm.queries import BYTE_VOCABULARY, GOOD, SHINGLE_WORDS, SIMILAR, table, vocabulary
-from casemill.session import materialize
+from casemill.session import materialize_plain as materialize
 
 SEQUENCE, END_ID = 1024, 0
 
